@@ -190,7 +190,7 @@ def freshness(
 ) -> DataFrame:
     """(table, newest, hours, status). Never blocks: an error is a warning to the reader."""
     newest = F.max(column).alias("newest")
-    seconds = F.timestampdiff("SECOND", F.col("newest"), F.lit(as_of).cast("timestamp_ntz"))
+    seconds = F.timestamp_diff("SECOND", F.col("newest"), F.lit(as_of).cast("timestamp_ntz"))
     status = (
         F.when(F.col("newest").isNull(), "missing")
         .when(seconds > int(error.total_seconds()), "error")

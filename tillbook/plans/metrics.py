@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -219,7 +220,7 @@ def _query_model(df, model, metrics, by, grain, where) -> DataFrame:
         if isinstance(m, Ratio):
             outer[m.name] = ratio(F.col(m.numerator), F.col(m.denominator))
         elif isinstance(m, Derived):
-            outer[m.name] = F.expr(m.expr)
+            outer[m.name] = F.expr(_spell(m.expr, {n: f"CAST({n} AS DOUBLE)" for n in m.inputs}))
     return sums.withColumns(outer) if outer else sums
 
 
@@ -263,10 +264,12 @@ def expression(metric: Metric) -> str:
     if isinstance(metric, Ratio):
         top, bottom = (expression(METRICS[n]) for n in (metric.numerator, metric.denominator))
         return f"CAST({top} AS DOUBLE) / CAST(NULLIF({bottom}, 0) AS DOUBLE)"
-    text = metric.expr
-    for name in metric.inputs:
-        text = text.replace(name, expression(METRICS[name]))
-    return text.replace("nullif", "NULLIF")
+    return _spell(metric.expr, {n: expression(METRICS[n]) for n in metric.inputs}).replace("nullif", "NULLIF")
+
+
+def _spell(text: str, names: dict[str, str]) -> str:
+    """Replace whole metric names in an expression."""
+    return re.sub("|".join(rf"\b{n}\b" for n in names), lambda m: names[m.group(0)], text)
 
 
 def catalog(spark: SparkSession) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import date
 
@@ -67,7 +68,8 @@ def run_pipeline(
     raw = raw_table(spark, root)
     gate(stack([suites.raw_checks(raw(t), t) for t in suites.RAW_RULES]))
 
-    star = Star(spark, raw, as_of, root=f"{root}/layers/load-{load_id}")
+    # A new folder per attempt, so a night that failed half-way can run again.
+    star = Star(spark, raw, as_of, root=f"{root}/layers/load-{load_id}-{uuid.uuid4().hex[:8]}")
     fact = fact_table(spark, root)
     run_fct_sales(star, fact, mode, batch=f"load-{load_id}-{mode}")
     star.use("fct_sales", fact.read())

@@ -110,6 +110,30 @@ def invalid_promo_pairs(items: DataFrame, bridge: DataFrame) -> DataFrame:
     return found.join(bridge.select("product_id", "promotion_id"), ["product_id", "promotion_id"], "left_anti")
 
 
+# The key of each staging table. History needs one row per key and change time.
+STAGING_KEYS = {
+    "store": ["store_id"],
+    "category": ["category_id"],
+    "brand": ["brand_id"],
+    "promotion": ["promotion_id"],
+    "payment_method": ["payment_method_id"],
+    "promotion_product": ["promotion_id", "product_id"],
+    "product": ["product_id", "updated_at"],
+    "employee": ["employee_id", "updated_at"],
+    "sales_transaction": ["transaction_id"],
+    "sales_transaction_item": ["transaction_id", "line_number"],
+}
+
+
+def staging_keys(stg: dict[str, DataFrame]) -> DataFrame:
+    """Each staging table: key columns are filled and unique."""
+    parts = []
+    for name, cols in STAGING_KEYS.items():
+        parts.append(check_rows(stg[name], f"stg_{name}", [not_null(c) for c in cols]))
+        parts.append(report(f"stg_{name}", "unique " + " ".join(cols), unique(stg[name], cols)))
+    return stack(parts)
+
+
 # ------------------------------------------------------------------ history
 def check_scd2(
     history: DataFrame,

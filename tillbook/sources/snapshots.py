@@ -50,12 +50,11 @@ class SnapshotTable:
     def exists(self) -> bool:
         return bool(self.directories())
 
-    def read(self, slices: list[str] | None = None) -> DataFrame:
+    def read(self) -> DataFrame:
         found = self.directories()
-        chosen = [d for s, d in found.items() if slices is None or s in slices]
-        if not chosen:
+        if not found:
             raise FileNotFoundError(f"{self.path} has no committed data")
-        return self.spark.read.parquet(*chosen)
+        return self.spark.read.parquet(*found.values())
 
     # -------------------------------------------------------------- writing
     def _slice(self):
@@ -89,11 +88,12 @@ class SnapshotTable:
         """Replace rows with the same keys and add the others. A batch id is applied once."""
         if batch is not None and self.has_batch(batch):
             return
-        if not self.exists():
+        found = self.directories()
+        if not found:
             _assert_unique(src, keys)
             self._write(src, self.version() + 1, batch, [])
             return
-        target = self.read()
+        target = self.spark.read.parquet(*found.values())
         assert_same_schema(src, target)
         src = pin(src, "upsert")
         _assert_unique(src, keys)
@@ -107,10 +107,10 @@ class SnapshotTable:
         old = near.join(new_keys, keys, "left_semi").select("in_slice")
         places = old.union(src.select(self._slice())).distinct()
         touched = [r[0] for r in places.collect()]
-        present = [s for s in touched if s in self.directories()]
+        present = [found[s] for s in touched if s in found]
         merged = src
         if present:
-            merged = self.read(present).join(new_keys, keys, "left_anti").unionByName(src)
+            merged = self.spark.read.parquet(*present).join(new_keys, keys, "left_anti").unionByName(src)
         self._write(merged, self.version() + 1, batch, touched)
 
 

@@ -153,18 +153,20 @@ def _sales_transaction_item(given):
 
 
 def _product(given):
-    changes = given("lineitem").groupBy("l_partkey", "l_shipdate").agg(F.max("l_tax").alias("tax"))
+    # A leap day moves onto the 28th, so rows are grouped by the moved day.
+    moved = given("lineitem").select("l_partkey", "l_tax", _ahead("l_shipdate").alias("updated_at"))
+    changes = moved.groupBy("l_partkey", "updated_at").agg(F.max("l_tax").alias("tax"))
     retail = F.col("p_retailprice").cast("decimal(12,2)")
     out = changes.join(given("part"), F.col("l_partkey") == F.col("p_partkey")).select(
         F.col("p_partkey").alias("id"),
         F.concat(F.lit("SKU-"), F.lpad(F.col("p_partkey").cast("string"), 8, "0")).alias("product_sku"),
         _name_id("p_type").alias("category_id"),
         _brand_id().alias("brand_id"),
-        F.concat("p_name", F.lit(" "), F.year("l_shipdate").cast("string")).alias("product_name"),
+        F.concat("p_name", F.lit(" "), F.year("updated_at").cast("string")).alias("product_name"),
         (retail * 2).alias("unit_price"),
         (retail * (1 + F.col("tax").cast("decimal(12,2)"))).alias("unit_cost"),
         F.lit("2020-01-01 00:00:00").cast("timestamp_ntz").alias("created_at"),
-        _ahead("l_shipdate").alias("updated_at"),
+        "updated_at",
     )
     return _loaded(out, "id")
 
