@@ -21,6 +21,7 @@ from tillbook.functions.columns import (
 from tillbook.operators.pit import pit_join
 from tillbook.operators.scale import DEFAULT, Limits, broadcast_if_small
 from tillbook.schemas import MART
+from tillbook.session import pin
 
 
 def headers_lines(tx: DataFrame, items: DataFrame) -> DataFrame:
@@ -57,7 +58,8 @@ def incremental_slice(items: DataFrame, tx: DataFrame, watermark, limits: Limits
     def changed(df: DataFrame) -> DataFrame:
         return df.filter(F.col("updated_at") >= since).select("transaction_id")
 
-    ids = broadcast_if_small(changed(items).unionByName(changed(tx)).distinct(), limits)
+    ids = pin(changed(items).unionByName(changed(tx)).distinct(), "changed-receipts")
+    ids = broadcast_if_small(ids, limits)
     rows = headers_lines(
         tx.join(ids, "transaction_id", "left_semi"), items.join(ids, "transaction_id", "left_semi")
     )

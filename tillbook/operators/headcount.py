@@ -44,7 +44,10 @@ def daily_state(history: DataFrame, start: date, as_of: date, tz: str = LOCAL_TZ
     before it, so the window runs on versions and the days are exploded after it without a shuffle.
     """
     along = Window.partitionBy("employee_id").orderBy("first_day")
-    versions = held_days(history, start, as_of, tz).withColumns(
+    # A fixed number of partitions: AQE would merge the small version rows and so the many days behind them.
+    parts = int(history.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    held = held_days(history, start, as_of, tz).repartition(parts, "employee_id")
+    versions = held.withColumns(
         {"_prev_day": F.lag("last_day").over(along), "_prev_store": F.lag("store_id").over(along)}
     )
     day, first = F.col("calendar_date"), F.col("calendar_date") == F.col("first_day")
@@ -134,6 +137,12 @@ def dense_spine(dim_store: DataFrame, start: date, as_of: date) -> DataFrame:
     return stores.withColumn("month_start", F.explode(months))
 
 
+def fill_left(spine: DataFrame, agg: DataFrame, on: list[str], zero_cols: list[str]) -> DataFrame:
+    """Every spine row with its aggregates, zero where there are none."""
+    out = spine.join(agg, on, "left")
+    return out.withColumns({c: F.coalesce(c, F.lit(0)) for c in zero_cols})
+
+
 def headcount_monthly(
     daily: DataFrame,
     dim_store: DataFrame,
@@ -144,28 +153,18 @@ def headcount_monthly(
 ) -> DataFrame:
     """Dense store x month snapshot.
 
-    Spine, levels, movements and revenue are stacked and summed once per store and month: one shuffle of
-    already aggregated rows in place of four joins.
+    Levels, movements and revenue are stacked and summed once per store and month, so the spine meets one
+    small table in place of four.
     """
-    spine = dense_spine(dim_store, start, as_of)
-    parts = [
-        spine,
-        _levels(daily, start, as_of),
-        count_by_kind(movements(daily)),
-        revenue_by_store_month(fct, dim_store, dim_date),
-    ]
-    stacked = parts[0]
-    for part in parts[1:]:
-        stacked = stacked.unionByName(part, allowMissingColumns=True)
-    counts = ["opening_headcount", "closing_headcount", "joiners", "leavers", "transfers_in", "transfers_out"]
-    sums = {c: F.coalesce(F.sum(c), F.lit(0)) for c in [*counts, "net_revenue"]}
-    summed = stacked.groupBy("store_id", "month_start").agg(
-        F.max("store_key").alias("store_key"),
-        F.max("store_name").alias("store_name"),
-        *[v.alias(c) for c, v in sums.items()],
+    levels, moves = _levels(daily, start, as_of), count_by_kind(movements(daily))
+    stacked = levels.unionByName(moves, allowMissingColumns=True).unionByName(
+        revenue_by_store_month(fct, dim_store, dim_date), allowMissingColumns=True
     )
+    measures = [c for c in stacked.columns if c not in ("store_id", "month_start")]
+    summed = stacked.groupBy("store_id", "month_start").agg(*[F.sum(c).alias(c) for c in measures])
+    filled = fill_left(dense_spine(dim_store, start, as_of), summed, ["store_id", "month_start"], measures)
     both = F.col("opening_headcount") + F.col("closing_headcount")
-    out = summed.filter(F.col("store_key").isNotNull()).withColumns(
+    out = filled.withColumns(
         {
             "month_start_date_key": yyyymmdd("month_start"),
             "average_headcount": both.cast("decimal(18,0)") / 2,

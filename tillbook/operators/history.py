@@ -24,13 +24,15 @@ def scd2(
     tracked: list[str],
     type1: list[str] = (),
     limits: Limits = DEFAULT,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """Version rows of each key with [valid_from, valid_to) and is_current.
 
     A version starts where any tracked column differs from the row before it; Type 1 columns carry the
     latest value of the key on every version. Needs (key, order_by) unique apart from exact copies.
+    `counted` is a cheaper table to count rows per key on, such as RAW before copies are removed.
     """
-    cuts = time_cuts(df, [key], order_by, limits)
+    cuts = time_cuts(df if counted is None else counted, [key], order_by, limits)
     rows = with_segment(df.select(key, order_by, *tracked, *type1), cuts, [key], order_by)
     rows = _with_latest(rows, key, order_by, type1, cuts)
 
@@ -75,7 +77,9 @@ def _with_latest(rows: DataFrame, key: str, order_by: str, type1: list[str], cut
     return out.withColumns({c: F.when(known, F.col(f"_latest.{c}")).otherwise(F.col(c)) for c in type1}).drop("_latest")
 
 
-def product_history(stg_product: DataFrame, limits: Limits = DEFAULT) -> DataFrame:
+def product_history(
+    stg_product: DataFrame, limits: Limits = DEFAULT, counted: DataFrame | None = None
+) -> DataFrame:
     return scd2(
         stg_product,
         "product_id",
@@ -83,10 +87,13 @@ def product_history(stg_product: DataFrame, limits: Limits = DEFAULT) -> DataFra
         tracked=["category_id", "brand_id", "unit_price", "unit_cost"],
         type1=["product_sku", "product_name"],
         limits=limits,
+        counted=counted,
     )
 
 
-def employee_history(stg_employee: DataFrame, limits: Limits = DEFAULT) -> DataFrame:
+def employee_history(
+    stg_employee: DataFrame, limits: Limits = DEFAULT, counted: DataFrame | None = None
+) -> DataFrame:
     named = stg_employee.withColumn("employee_name", F.concat("first_name", F.lit(" "), "last_name"))
     return scd2(
         named,
@@ -95,6 +102,7 @@ def employee_history(stg_employee: DataFrame, limits: Limits = DEFAULT) -> DataF
         tracked=["store_id"],
         type1=["employee_name", "salary", "address", "start_date", "end_date"],
         limits=limits,
+        counted=counted,
     )
 
 

@@ -25,8 +25,7 @@ def pit_join(
     versions and facts, linear in both, where a quadratic key join would stall on a long history.
     """
     slim = versions.select(key, valid_from, valid_to, *take)
-    longest = slim.groupBy(key).count().agg(F.max("count")).first()[0] or 0
-    if longest <= limits.versions_per_key and fits_broadcast(slim, limits):
+    if fits_broadcast(slim, limits, per_key=([key], limits.versions_per_key)):
         v, f = slim.alias("v"), facts.alias("f")
         on = (
             (F.col(f"f.{key}") == F.col(f"v.{key}"))

@@ -52,7 +52,11 @@ def check_rows(df: DataFrame, table: str, rules: list[Rule], min_rows: int | Non
     if min_rows is not None:
         counts.append(F.count(F.lit(1)).alias("n"))
         named.append((f"row_count >= {min_rows}", "error", F.when(F.col("n") < min_rows, 1).otherwise(0)))
-    rows = F.array(
+    return df.agg(*counts).select(F.inline(_rule_rows(table, named)))
+
+
+def _rule_rows(table: str, named: list[tuple[str, str, Column]]) -> Column:
+    return F.array(
         *[
             F.struct(
                 F.lit(table).alias("table"),
@@ -63,7 +67,6 @@ def check_rows(df: DataFrame, table: str, rules: list[Rule], min_rows: int | Non
             for name, severity, n in named
         ]
     )
-    return df.agg(*counts).select(F.inline(rows))
 
 
 def failing_rows(df: DataFrame, rule: Rule) -> DataFrame:
@@ -81,6 +84,18 @@ def unique(df: DataFrame, columns: list[str]) -> DataFrame:
     return groups_having(known, columns, F.count(F.lit(1)).alias("rows"), F.col("rows") > 1)
 
 
+def check_keys(df: DataFrame, table: str, columns: list[str]) -> DataFrame:
+    """Key columns are filled and unique, both from one count per key."""
+    groups = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("n"))
+    known = F.lit(True)
+    for c in columns:
+        known = known & F.col(c).isNotNull()
+    found = [(f"not_null {c}", F.sum(F.when(F.col(c).isNull(), F.col("n")))) for c in columns]
+    found.append(("unique " + " ".join(columns), F.count_if(known & (F.col("n") > 1))))
+    totals = groups.agg(*[F.coalesce(v, F.lit(0)).alias(f"r{i}") for i, (_, v) in enumerate(found)])
+    return totals.select(F.inline(_rule_rows(table, [(n, "error", F.col(f"r{i}")) for i, (n, _) in enumerate(found)])))
+
+
 def orphans(child: DataFrame, parent: DataFrame, column: str, parent_column: str | None = None) -> DataFrame:
     """(value, rows) of child values that no parent row has; NULL passes.
 
@@ -91,6 +106,11 @@ def orphans(child: DataFrame, parent: DataFrame, column: str, parent_column: str
     return values.agg(F.count(F.lit(1)).alias("rows")).join(keys, "value", "left_anti")
 
 
+def tuple_hash(columns: list[str]) -> Column:
+    """One 64-bit value per tuple, NULLs told apart by position."""
+    return F.xxhash64(*columns, *[F.col(c).isNull() for c in columns])
+
+
 def distinct_tuples(df: DataFrame, key: str, columns: list[str]) -> DataFrame:
     """Number of different value tuples per key; NULLs count as values."""
     return df.groupBy(key).agg(F.count_distinct(F.struct(*columns)).alias("tuples"))

@@ -42,10 +42,19 @@ def _width(df: DataFrame) -> Column:
     return total
 
 
-def fits_broadcast(df: DataFrame, limits: Limits = DEFAULT) -> bool:
-    """Measure rows and bytes in one pass over the columns that would be sent."""
-    rows, size = df.agg(F.count(F.lit(1)), F.sum(_width(df))).first()
-    return rows <= limits.broadcast_rows and (size or 0) <= limits.broadcast_bytes
+def fits_broadcast(
+    df: DataFrame, limits: Limits = DEFAULT, per_key: tuple[list[str], int] | None = None
+) -> bool:
+    """Measure rows and bytes in one pass over the columns that would be sent.
+
+    `per_key` also bounds the rows of one key: a hash join tries all of them for each probing row.
+    """
+    keys, most = per_key or ([], limits.broadcast_rows)
+    groups = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.sum(_width(df)).alias("size"))
+    rows, size, longest = groups.agg(F.sum("n"), F.sum("size"), F.max("n")).first()
+    if not rows:
+        return True
+    return rows <= limits.broadcast_rows and size <= limits.broadcast_bytes and longest <= most
 
 
 def broadcast_if_small(df: DataFrame, limits: Limits = DEFAULT) -> DataFrame:

@@ -7,6 +7,7 @@ staging. `fresh(name)` is the layer's own DataFrame over its stored inputs, `sto
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -67,8 +68,18 @@ class Star:
         return facts.headers_lines(self.stored("stg_sales_transaction"), items)
 
     def build(self) -> None:
-        for name in schemas.MART:
-            self.stored(name)
+        """Write every layer. Layers of one level need only the levels before, so they run side by side."""
+        dimensions = [n for n in schemas.MART if n.startswith("dim_")]
+        levels = [
+            [f"raw_{n}" for n in schemas.RAW],
+            ["stg_sales_transaction", "product_history", "employee_history"],
+            [*dimensions, "employee_daily_store"],
+            ["fct_sales"],
+            ["fct_sales_enriched", "fct_store_headcount_monthly"],
+        ]
+        with ThreadPoolExecutor(4) as pool:
+            for level in levels:
+                list(pool.map(self.stored, level))
 
 
 def _replaced(name: str):
@@ -87,8 +98,12 @@ _LAYERS: dict[str, Callable[[Star], DataFrame]] = {
     "stg_employee": lambda s: staging.stage_employee(s.stored("raw_employee")),
     "stg_sales_transaction": lambda s: staging.stage_sales_transaction(s.stored("raw_sales_transaction")),
     "stg_sales_transaction_item": _stg_item,
-    "product_history": lambda s: history.product_history(s.fresh("stg_product"), s.limits),
-    "employee_history": lambda s: history.employee_history(s.fresh("stg_employee"), s.limits),
+    "product_history": lambda s: history.product_history(
+        s.fresh("stg_product"), s.limits, s.stored("raw_product").withColumnRenamed("id", "product_id")
+    ),
+    "employee_history": lambda s: history.employee_history(
+        s.fresh("stg_employee"), s.limits, s.stored("raw_employee").withColumnRenamed("id", "employee_id")
+    ),
     "employee_daily_store": lambda s: headcount.daily_state(
         s.stored("employee_history"), dims.DATE_START, s.as_of, s.tz
     ),

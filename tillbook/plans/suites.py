@@ -26,9 +26,9 @@ from tillbook.operators.quality import (
     accepted_range,
     accepted_values,
     broadcastable_orphans,
+    check_keys,
     check_rows,
     contract_nulls,
-    distinct_tuples,
     expression_is_true,
     groups_having,
     not_null,
@@ -37,6 +37,7 @@ from tillbook.operators.quality import (
     report,
     same_totals,
     stack,
+    tuple_hash,
     unique,
 )
 from tillbook.operators.scale import DEFAULT, Limits, broadcast_if_small, neighbours, time_cuts
@@ -127,11 +128,7 @@ STAGING_KEYS = {
 
 def staging_keys(stg: dict[str, DataFrame]) -> DataFrame:
     """Each staging table: key columns are filled and unique."""
-    parts = []
-    for name, cols in STAGING_KEYS.items():
-        parts.append(check_rows(stg[name], f"stg_{name}", [not_null(c) for c in cols]))
-        parts.append(report(f"stg_{name}", "unique " + " ".join(cols), unique(stg[name], cols)))
-    return stack(parts)
+    return stack([check_keys(stg[name], f"stg_{name}", cols) for name, cols in STAGING_KEYS.items()])
 
 
 # ------------------------------------------------------------------ history
@@ -146,7 +143,13 @@ def check_scd2(
     limits: Limits = DEFAULT,
 ) -> DataFrame:
     """One row per rule. Pairwise overlap is found on adjacent versions, which is equivalent."""
-    by_key = history.groupBy(key).agg(F.min("valid_from").alias("first"), F.count_if("is_current").alias("current"))
+    latest = tuple_hash(type1)
+    by_key = history.groupBy(key).agg(
+        F.min("valid_from").alias("first"),
+        F.count_if("is_current").alias("current"),
+        F.min(latest).alias("lo"),
+        F.max(latest).alias("hi"),
+    )
     cuts = time_cuts(history, [key], "valid_from", limits)
     side = neighbours(
         history, [key], "valid_from", prev=[*tracked, "valid_from"], nxt=["valid_from"], cuts=cuts
@@ -158,6 +161,7 @@ def check_scd2(
     rules = [
         Rule("no identical adjacent", same),
         Rule("no overlap", following < F.col("valid_to")),
+        Rule("unique version", F.col("_prev.valid_from") == F.col("valid_from")),
         Rule("valid range", F.col("valid_to") <= F.col("valid_from")),
         Rule("open end means current", is_distinct(F.col("valid_to") == F.lit(OPEN_END).cast("timestamp_ntz"), "is_current")),
     ]
@@ -168,10 +172,12 @@ def check_scd2(
         check_rows(
             by_key,
             table,
-            [Rule("first version from 1900", F.col("first") != open_start()), Rule("single current", F.col("current") != 1)],
+            [
+                Rule("first version from 1900", F.col("first") != open_start()),
+                Rule("single current", F.col("current") != 1),
+                Rule("type 1 consistent", F.col("lo") != F.col("hi")),
+            ],
         ),
-        report(table, "type 1 consistent", distinct_tuples(history, key, type1).filter("tuples > 1")),
-        report(table, "unique version", unique(history, [key, "valid_from"])),
     ]
     if source is not None:
         parts.append(report(table, "complete", orphans(source, history.select(key).distinct(), key)))

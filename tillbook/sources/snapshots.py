@@ -60,24 +60,27 @@ class SnapshotTable:
     def _slice(self):
         return F.lit("all") if self.slice_by is None else F.col(self.slice_by).cast("string")
 
-    def _write(self, df: DataFrame, version: int, batch: str | None, touched: list[str]) -> None:
-        """Write slices, then commit. A touched slice that got no rows is committed as gone."""
+    def _write(
+        self, df: DataFrame, version: int, batch: str | None, touched: list[str], keys: list[str] | None = None
+    ) -> None:
+        """Write slices, then commit. A touched slice that got no rows is committed as gone.
+
+        `keys` are checked on the written rows before the commit, so the source is computed once.
+        """
         data = f"{self.path}/data/v{version}-{uuid.uuid4().hex[:8]}"
         sliced = df.withColumn("in_slice", self._slice())
         # Rebalance keeps files even: a large slice is split, small pieces are merged.
         sliced.hint("rebalance", "in_slice").write.partitionBy("in_slice").parquet(data)
-        written = self._written(data, df)
+        stored = self.spark.read.schema(df.schema.add("in_slice", "string")).parquet(data)
+        if keys:
+            _assert_unique(stored, keys)
+        written = [r[0] for r in stored.select("in_slice").distinct().collect()]
         rows = [(version, batch, s, f"{data}/in_slice={s}") for s in written]
         rows += [(version, batch, s, None) for s in touched if s not in written]
         if rows:
             log = self.spark.createDataFrame(rows, _LOG)
             log.coalesce(1).write.mode("append").parquet(f"{self.path}/log")
 
-    def _written(self, data: str, df: DataFrame) -> list[str]:
-        schema = df.schema.add("in_slice", "string")
-        slices = self.spark.read.schema(schema).parquet(data).select("in_slice").distinct()
-        return [r["in_slice"] for r in slices.collect()]
-
     def replace(self, df: DataFrame, batch: str | None = None) -> None:
         """Full refresh: the new rows are the whole table."""
         if batch is not None and self.has_batch(batch):
@@ -90,8 +93,7 @@ class SnapshotTable:
             return
         found = self.directories()
         if not found:
-            _assert_unique(src, keys)
-            self._write(src, self.version() + 1, batch, [])
+            self._write(src, self.version() + 1, batch, [], keys)
             return
         target = self.spark.read.parquet(*found.values())
         assert_same_schema(src, target)
