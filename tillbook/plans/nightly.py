@@ -68,8 +68,11 @@ def run_pipeline(
     raw = raw_table(spark, root)
     gate(stack([suites.raw_checks(raw(t), t) for t in suites.RAW_RULES]))
 
-    # A new folder per attempt, so a night that failed half-way can run again.
-    star = Star(spark, raw, as_of, root=f"{root}/layers/load-{load_id}-{uuid.uuid4().hex[:8]}")
+    # A new folder per attempt, so a night that failed half-way can run again. RAW is read in place, and
+    # staging and the wide fact stay views: a night must not rewrite what it did not change.
+    layers = f"{root}/layers/load-{load_id}-{uuid.uuid4().hex[:8]}"
+    views = (*(f"raw_{n}" for n in schemas.RAW), "stg_sales_transaction", "fct_sales_enriched")
+    star = Star(spark, raw, as_of, root=layers, views=views)
     fact = fact_table(spark, root)
     run_fct_sales(star, fact, mode, batch=f"load-{load_id}-{mode}")
     star.use("fct_sales", fact.read())

@@ -196,7 +196,8 @@ def fct_sales_incremental(s: Star) -> DataFrame:
     early = F.col("updated_at") < F.lit(CUT)
     raws = {"sales_transaction": tx, "sales_transaction_item": items}
     for part in [{n: df.filter(early) for n, df in raws.items()}, raws]:
-        run = Star(s.spark, lambda n, p=part: p[n], AS_OF, tz=s.tz, limits=s.limits)
+        views = ("raw_sales_transaction", "raw_sales_transaction_item", "stg_sales_transaction")
+        run = Star(s.spark, lambda n, p=part: p[n], AS_OF, tz=s.tz, limits=s.limits, views=views)
         for name, df in s.dims().items():
             run.use(name, df)
         nightly.run_fct_sales(run, table)

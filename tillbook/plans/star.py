@@ -29,8 +29,13 @@ class Star:
         root: str | None = None,
         tz: str = LOCAL_TZ,
         limits: Limits = DEFAULT,
+        views: tuple[str, ...] = (),
     ):
-        """`raw(name)` gives a RAW table; `as_of` is the last report day, fixed once per run."""
+        """`raw(name)` gives a RAW table; `as_of` is the last report day, fixed once per run.
+
+        Layers named in `views` are not written: filters of a later layer reach their sources.
+        """
+        self.views = views
         self.spark, self.raw, self.as_of, self.tz, self.limits = spark, raw, as_of, tz, limits
         self.root = root or new_folder(spark, "star")
         self._tables: dict[str, DataFrame] = {}
@@ -44,6 +49,8 @@ class Star:
         return df
 
     def stored(self, name: str) -> DataFrame:
+        if name in self.views:
+            return self.fresh(name)
         if name not in self._tables:
             df, path = self.fresh(name), f"{self.root}/{name}"
             if name == "fct_sales":

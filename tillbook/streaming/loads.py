@@ -58,7 +58,8 @@ def upsert_stream(
 
     def write(batch: DataFrame, batch_id: int) -> None:
         newest = latest_state(batch, keys, order_by)
-        table.upsert(transform(newest), keys, batch=f"stream-{batch_id}")
+        # The checkpoint names the stream: another stream into the same table counts its own batches.
+        table.upsert(transform(newest), keys, batch=f"{checkpoint}#{batch_id}")
 
     (
         stream.writeStream.foreachBatch(write)
