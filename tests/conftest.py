@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 from datetime import date, datetime
 from decimal import Decimal
 
@@ -14,7 +15,8 @@ SF = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
-    session = local_session("tests", 8, "4g")
+    warehouse = tempfile.mkdtemp(prefix="tillbook-warehouse-")
+    session = local_session("tests", 8, "4g", **{"spark.sql.warehouse.dir": warehouse})
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

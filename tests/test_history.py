@@ -4,7 +4,7 @@ from conftest import money, rows, ts
 from tillbook.operators.history import dedupe_copies, latest_state, product_history, scd2, wrong_pins
 from tillbook.operators.pit import pit_join
 from tillbook.operators.scale import Limits, hot_groups, time_cuts, with_segment
-from tillbook.plans.suites import check_scd2
+from tillbook.plans.suites import check_scd2, overlaps, validity_gaps
 
 START, END = ts("1900-01-01"), ts("9999-12-31")
 # Small limits push every key down the split path.
@@ -196,6 +196,17 @@ def test_history_checks_see_broken_history(spark):
     assert history_checks(good.filter("id = 1"), changes(spark))["complete"] == 1
 
 
+def test_overlaps_and_gaps(spark):
+    good = versions(spark)
+    later = F.expr("valid_to + interval 1 day")
+    broken = good.withColumn("valid_to", F.when(F.col("is_current"), F.col("valid_to")).otherwise(later))
+    earlier = good.withColumn("valid_to", F.when(F.col("is_current"), F.col("valid_to")).otherwise(F.expr("valid_to - interval 1 hour")))
+    for limits in (Limits(), Limits(rows_per_task=1)):
+        assert overlaps(good, "id", limits).isEmpty() and validity_gaps(good, "id", limits).isEmpty()
+        assert overlaps(broken, "id", limits).count() == 3
+        assert overlaps(earlier, "id", limits).isEmpty() and validity_gaps(earlier, "id", limits).count() == 3
+
+
 def test_product_history_tracks_every_column(spark):
     base = (1, "SKU", 5, 6, "n", money(9), money(4), ts("2020-01-01"))
     def row(i, **kw):

@@ -136,6 +136,13 @@ def test_spine_and_materialize(spark):
     assert materialize(spine(spark, 4), "view", "v_spine").count() == 4
     with pytest.raises(ValueError):
         materialize(spine(spark, 4), "other", "x")
+    # Two tables bucketed on the join key meet without a shuffle.
+    for name in ("bucketed_a", "bucketed_b"):
+        materialize(spine(spark, 1000), "table", name, bucket_by=(4, ["i"]))
+    joined = spark.table("bucketed_a").hint("merge").join(spark.table("bucketed_b"), "i")
+    assert joined.count() == 1000
+    plan = joined._jdf.queryExecution().toString().split("== Physical Plan ==")[1]
+    assert "SortMergeJoin" in plan and "Exchange" not in plan
 
 
 def test_scan_uses_the_declared_schema(spark):

@@ -65,6 +65,16 @@ def daily_state(history: DataFrame, start: date, as_of: date, tz: str = LOCAL_TZ
     )
 
 
+def employed_by_day(people: DataFrame, start: date, as_of: date) -> DataFrame:
+    """Employees per day, once without and once with their last working day. One row per person in."""
+    first, last = F.greatest("start_date", F.lit(start)), F.least(F.coalesce("end_date", F.lit(as_of)), F.lit(as_of))
+    days = people.filter(first <= last).withColumn("day", F.explode(F.sequence(first, last)))
+    return days.groupBy("day").agg(
+        F.count_if(employed_on("start_date", "end_date", F.col("day"))).alias("employed_at_end"),
+        F.count_if(employed_on("start_date", "end_date", F.col("day"), inclusive_end=True)).alias("can_sell"),
+    )
+
+
 KINDS = ["joiner", "leaver", "transfer_in", "transfer_out"]
 
 

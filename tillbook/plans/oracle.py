@@ -396,7 +396,7 @@ def statements() -> dict[str, str]:
         q[f"scan_{name}"] = shown(f"select * from src_{name}", _raw(name))
     q["extract_incremental"] = shown(f"select * from one_product where updated_at >= {CUT}", PRODUCT)
     q["drop_boundary"] = shown(
-        f"select * from one_product where updated_at > {CUT} or (updated_at = {CUT} and id % 2 = 1)", PRODUCT
+        f"select * from one_product where updated_at > {CUT} or (updated_at = {CUT} and brand_id > 12)", PRODUCT
     )
     q["append_loads"] = shown(
         "select *, case when updated_at <= timestamp '2024-01-15' then 1 else 2 end as _load_id from one_employee",
@@ -407,17 +407,17 @@ def statements() -> dict[str, str]:
     newest = "select * from one_product qualify row_number() over (partition by id order by updated_at desc) = 1"
     q["latest_product"] = shown(newest, PRODUCT)
     q["guarded_changes"] = shown(
-        f"select id, unit_cost + if(id % 7 = 0, 100, 0) as unit_cost, unit_price from ({newest})", "id unit_cost unit_price"
+        f"select id, unit_cost + if(unit_cost < 950, 100, 0) as unit_cost, unit_price from ({newest})", "id unit_cost unit_price"
     )
     q["explode_lines"] = shown(
         "select transaction_id, i as line_number, store_id + i as product_id, i * 2 as quantity "
-        "from s_tx, range(1, 5) r(i) where i <= transaction_id % 4 + 1",
+        "from s_tx, range(1, 6) r(i) where i <= payment_method_id",
         "transaction_id line_number product_id quantity",
         whole="product_id",
     )
     q["upsert_snapshot"] = shown(
         "select transaction_id, employee_id, transaction_ts, store_id + if(transaction_ts >= timestamp '2024-06-01' "
-        "and transaction_id % 3 = 0, 1, 0) as store_id from s_tx",
+        "and employee_id < 100, 1, 0) as store_id from s_tx",
         "transaction_id employee_id transaction_ts store_id",
     )
 
@@ -453,6 +453,17 @@ def statements() -> dict[str, str]:
     q["headcount_movements"] = shown("from move", "employee_id calendar_date store_id movement")
     q["movement_counts"] = shown("from move_count", "store_id month_start joiners leavers transfers_in transfers_out")
     q["headcount_monthly"] = shown("from snapshot", _mart("fct_store_headcount_monthly"), sums="net_revenue")
+    q["employed_by_day"] = shown(
+        "select cast(calendar_date as date) as calendar_date, count(*) filter (start_date <= calendar_date and (end_date is null or end_date > calendar_date)) as employed_at_end, "
+        "count(*) as can_sell from h_employee join (select day as calendar_date from report_day where day >= date '2020-01-01') "
+        "on start_date <= calendar_date and (end_date is null or end_date >= calendar_date) where is_current group by 1",
+        "calendar_date employed_at_end can_sell",
+    ).replace("as calendar_date, employed_at_end, can_sell from result", "as day, employed_at_end, can_sell from result")
+    q["promotion_use"] = shown(
+        "select l.promotion_id, cast(l.local_ts as date) between p.start_date and p.end_date as running, count(*) as lines "
+        "from line l join src_promotion p on p.id = l.promotion_id group by 1, 2",
+        "promotion_id running lines",
+    )
     q["closing_recount"] = shown(
         "select store_id, month_start, closing_headcount as headcount from ("
         "select d.store_id, m.month_start, count(*) as closing_headcount from daily d join "
@@ -784,7 +795,7 @@ def statements() -> dict[str, str]:
     )
     q["business_hours"] = shown(
         "select transaction_id, greatest(a, day + interval 7 hour) as open_from, least(b, day + interval 22 hour) as open_to from ("
-        "select transaction_id, transaction_ts + interval 7 hour as a, transaction_ts + interval 7 hour + to_hours(transaction_id % 60) as b from s_tx) "
+        "select transaction_id, transaction_ts + interval 7 hour as a, transaction_ts + interval 7 hour + to_hours(store_id * 3) as b from s_tx) "
         "join (select unnest(generate_series(timestamp '2019-12-31', timestamp '2026-09-01', interval 1 day)) as day) "
         "on day >= date_trunc('day', a) and day <= date_trunc('day', b) "
         "where greatest(a, day + interval 7 hour) < least(b, day + interval 22 hour)",
@@ -798,12 +809,12 @@ def statements() -> dict[str, str]:
         new, old = grid(f"{x} * (1 + {pct})", step), grid(x, step)
         return f"greatest(0, if({new} = {old}, {new} + if({pct} > 0, {step}, -{step}), {new}))"
 
-    pct = "(id % 11 - 5) * 0.01"
-    ppct = "(id % 17 - 8) * 0.01"
+    pct = "(brand_id - 13) * 0.01"
+    ppct = "(brand_id - 9) * 0.01"
     q["price_revision"] = shown(
         "select id, unit_cost, unit_price, least(new_cost, new_unit_price) as new_unit_cost, new_unit_price from ("
         f"select id, unit_cost, unit_price, {shifted('unit_cost', pct, 100)} as new_cost, "
-        f"if(id % 10 = 3, greatest({shifted('unit_price', ppct, 1000)}, ceil(cast(unit_cost as double) / 1000) * 1000), cast(unit_price as double)) as new_unit_price "
+        f"if(unit_cost > 1000, greatest({shifted('unit_price', ppct, 1000)}, ceil(cast(unit_cost as double) / 1000) * 1000), cast(unit_price as double)) as new_unit_price "
         f"from ({newest}))",
         "id unit_cost unit_price new_unit_cost new_unit_price",
         ratios="new_unit_cost new_unit_price",

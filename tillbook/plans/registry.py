@@ -11,9 +11,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, DecimalType, IntegerType, ShortType, TimestampNTZType
 
 from tillbook import schemas
-from tillbook.functions.columns import LOCAL_TZ
+from tillbook.functions.columns import LOCAL_TZ, local_date
 from tillbook.operators import dims, facts, headcount, history, quality
 from tillbook.operators.pit import pit_join
+from tillbook.operators.scale import broadcast_if_small
 from tillbook.plans import metrics, nightly, reports, suites
 from tillbook.plans.star import Star
 from tillbook.session import new_folder
@@ -86,8 +87,8 @@ def extract_incremental(s: Star) -> DataFrame:
 def drop_boundary(s: Star) -> DataFrame:
     source = _source(s, "product")
     rows, _ = ingest.extract_incremental(source, "updated_at", CUT)
-    # Half of the boundary rows are in RAW already.
-    raw = source.filter((F.col("updated_at") < F.lit(CUT)) | (F.col("id") % 2 == 0))
+    # Some of the boundary rows are in RAW already.
+    raw = source.filter((F.col("updated_at") < F.lit(CUT)) | (F.col("brand_id") <= 12))
     return ingest.drop_boundary(rows, raw, ["id"], "updated_at", CUT)
 
 
@@ -117,7 +118,7 @@ def latest_product(s: Star) -> DataFrame:
 @registered
 def guarded_changes(s: Star) -> DataFrame:
     now = history.latest_state(s.stored("raw_product"), ["id"]).drop("_load_id")
-    events = now.filter("id % 7 = 0").select(
+    events = now.filter("unit_cost < 950").select(
         "id",
         F.col("unit_cost").alias("old_cost"),
         F.col("unit_price").alias("old_price"),
@@ -129,9 +130,8 @@ def guarded_changes(s: Star) -> DataFrame:
 
 @registered
 def explode_lines(s: Star) -> DataFrame:
-    n = (F.col("transaction_id") % 4 + 1).cast("int")
     line = F.transform(
-        F.sequence(F.lit(1), n),
+        F.sequence(F.lit(1), F.col("payment_method_id").cast("int")),
         lambda i: F.struct((F.col("store_id") + i).alias("product_id"), (i * 2).alias("quantity")),
     )
     headers = s.stored("stg_sales_transaction").select("transaction_id", line.alias("lines"))
@@ -145,7 +145,7 @@ def upsert_snapshot(s: Star) -> DataFrame:
     table = SnapshotTable(s.spark, new_folder(s.spark, "upsert"), slice_by="store_id")
     table.replace(tx.filter("transaction_ts < timestamp_ntz'2025-01-01 00:00:00'"))
     changed = tx.filter("transaction_ts >= timestamp_ntz'2024-06-01 00:00:00'")
-    moved = F.when(F.col("transaction_id") % 3 == 0, F.col("store_id") + 1).otherwise(F.col("store_id"))
+    moved = F.when(F.col("employee_id") < 100, F.col("store_id") + 1).otherwise(F.col("store_id"))
     table.upsert(changed.withColumn("store_id", moved), ["transaction_id"])
     return table.read()
 
@@ -214,6 +214,22 @@ def movement_counts(s: Star) -> DataFrame:
     return headcount.count_by_kind(headcount.movements(s.stored("employee_daily_store")))
 
 
+@registered
+def employed_by_day(s: Star) -> DataFrame:
+    """Staff per day by both meanings of employed: without and with the last working day."""
+    people = s.stored("employee_history").filter("is_current")
+    return headcount.employed_by_day(people, dims.DATE_START, AS_OF)
+
+
+@registered
+def promotion_use(s: Star) -> DataFrame:
+    """Lines per promotion that were sold while it was running, and outside its dates."""
+    runs = s.fresh("stg_promotion").select("promotion_id", "start_date", "end_date")
+    lines = s.lines().join(broadcast_if_small(runs), "promotion_id")
+    running = facts.promo_active(F.col("start_date"), F.col("end_date"), local_date("transaction_ts"))
+    return lines.groupBy("promotion_id", running.alias("running")).agg(F.count(F.lit(1)).alias("lines"))
+
+
 @registered
 def closing_recount(s: Star) -> DataFrame:
     return headcount.recount(s.stored("employee_history"), dims.DATE_START, AS_OF)
@@ -239,9 +255,9 @@ def pinned_cost(s: Star) -> DataFrame:
 @registered
 def what_if_cost(s: Star) -> DataFrame:
     changed = facts.what_if_cost(s.stored("fct_sales"), Decimal("0.05"))
-    named = changed.join(F.broadcast(s.stored("dim_store").select("store_key", "store_name")), "store_key")
-    margins = reports.what_if_margin(named, "store_name")
-    return margins.withColumns({c: F.round(c, 6) for c in ["gross_margin", "new_gross_margin"]})
+    margins = reports.what_if_margin(changed, "store_key")
+    stores = broadcast_if_small(s.stored("dim_store").select("store_key", "store_name"))
+    return margins.join(stores, "store_key").drop("store_key").withColumns({c: F.round(c, 6) for c in ["gross_margin", "new_gross_margin"]})
 
 
 @registered
@@ -325,7 +341,7 @@ def gross_profit_by_store(s: Star) -> DataFrame:
     sums = s.fresh("fct_sales").groupBy("store_key").agg(
         F.count(F.lit(1)).alias("lines"), F.sum("net_amount").alias("net_revenue"), F.sum("gross_profit").alias("profit")
     )
-    names = F.broadcast(s.stored("dim_store").select("store_key", "store_name"))
+    names = broadcast_if_small(s.stored("dim_store").select("store_key", "store_name"))
     return sums.join(names, "store_key").select("store_name", "lines", "net_revenue", "profit")
 
 
@@ -492,7 +508,7 @@ def rolling_median_threshold(s: Star) -> DataFrame:
 
 @registered
 def business_hours(s: Star) -> DataFrame:
-    until = F.col("transaction_ts") + F.make_dt_interval(hours=(F.col("transaction_id") % 60).cast("int"))
+    until = F.col("transaction_ts") + F.make_dt_interval(hours=(F.col("store_id") * 3).cast("int"))
     spans = s.stored("stg_sales_transaction").select("transaction_id", "transaction_ts", until.alias("until_ts"))
     return reports.open_intervals(spans, "transaction_ts", "until_ts", LOCAL_TZ).select(
         "transaction_id", "open_from", "open_to"
@@ -501,9 +517,9 @@ def business_hours(s: Star) -> DataFrame:
 
 @registered
 def price_revision(s: Star) -> DataFrame:
-    pct = (F.col("id") % 11 - 5).cast("decimal(12,2)") * F.lit(Decimal("0.01"))
-    priced = F.when(F.col("id") % 10 == 3, (F.col("id") % 17 - 8).cast("decimal(12,2)") * F.lit(Decimal("0.01")))
-    now = history.latest_state(s.stored("raw_product"), ["id"]).select("id", "unit_cost", "unit_price")
+    pct = (F.col("brand_id") - 13).cast("decimal(12,2)") * F.lit(Decimal("0.01"))
+    priced = F.when(F.col("unit_cost") > 1000, (F.col("brand_id") - 9).cast("decimal(12,2)") * F.lit(Decimal("0.01")))
+    now = history.latest_state(s.stored("raw_product"), ["id"]).select("id", "brand_id", "unit_cost", "unit_price")
     out = reports.revise_prices(now.withColumns({"cost_pct": pct, "price_pct": priced}), "cost_pct", "price_pct")
     return out.select("id", "unit_cost", "unit_price", "new_unit_cost", "new_unit_price")
 

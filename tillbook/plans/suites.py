@@ -132,6 +132,22 @@ def staging_keys(stg: dict[str, DataFrame]) -> DataFrame:
 
 
 # ------------------------------------------------------------------ history
+def overlaps(history: DataFrame, key: str, limits: Limits = DEFAULT) -> DataFrame:
+    """Versions that run into the next version of their key. If any two overlap, some neighbours do."""
+    return _with_next(history, key, limits).filter(F.col("next_valid_from") < F.col("valid_to"))
+
+
+def validity_gaps(history: DataFrame, key: str, limits: Limits = DEFAULT) -> DataFrame:
+    """Versions that do not end exactly where the next version of their key begins."""
+    return _with_next(history, key, limits).filter(F.col("next_valid_from") != F.col("valid_to"))
+
+
+def _with_next(history: DataFrame, key: str, limits: Limits) -> DataFrame:
+    cuts = time_cuts(history, [key], "valid_from", limits)
+    side = neighbours(history, [key], "valid_from", nxt=["valid_from"], cuts=cuts)
+    return side.withColumn("next_valid_from", F.col("_next.valid_from")).drop("_next", "_segment")
+
+
 def check_scd2(
     history: DataFrame,
     table: str,

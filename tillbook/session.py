@@ -10,9 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 _local_folders: dict[str, str] = {}
 
 
-def local_session(app: str, cpus: int | str = 8, memory: str = "8g") -> SparkSession:
+def local_session(app: str, cpus: int | str = 8, memory: str = "8g", **extra: str) -> SparkSession:
     """Session for tests and the benchmark. A cluster brings its own settings."""
-    return (
+    builder = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName(app)
         .config("spark.driver.memory", memory)
@@ -21,8 +21,8 @@ def local_session(app: str, cpus: int | str = 8, memory: str = "8g") -> SparkSes
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
-        .getOrCreate()
     )
+    return builder.config(map=extra).getOrCreate() if extra else builder.getOrCreate()
 
 
 def shared_folder(spark: SparkSession) -> str:
