@@ -81,6 +81,17 @@ def test_upsert_moves_rows_between_slices_and_drops_empty_ones(spark):
     assert set(after) == {"1", "3", "4"}
 
 
+def test_watermark_comes_from_live_slices(spark):
+    schema = "k bigint, month int, changed timestamp_ntz"
+    table = SnapshotTable(spark, new_folder(spark, "t"), slice_by="month", mark="changed")
+    assert table.high_water() is None
+    table.upsert(spark.createDataFrame([(1, 1, ts("2024-01-01")), (2, 2, ts("2024-01-09"))], schema), ["k"])
+    assert table.high_water() == ts("2024-01-09") == ingest.high_water(table.read(), "changed")
+    # The newest row is replaced by an older one in another slice.
+    table.upsert(spark.createDataFrame([(2, 1, ts("2024-01-05"))], schema), ["k"])
+    assert table.high_water() == ts("2024-01-05") == ingest.high_water(table.read(), "changed")
+
+
 def test_a_batch_is_applied_once_and_reruns_add_nothing(spark):
     table = SnapshotTable(spark, new_folder(spark, "t"))
     table.upsert(keyed(spark, [(1, 1, "a")]), ["k"], batch="b1")

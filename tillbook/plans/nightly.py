@@ -14,7 +14,7 @@ from tillbook.operators import facts, history
 from tillbook.operators.quality import assert_shape, gate, stack
 from tillbook.plans import suites
 from tillbook.plans.star import Star
-from tillbook.sources.ingest import high_water, load_appended, read_raw, replace_table
+from tillbook.sources.ingest import load_appended, read_raw, replace_table
 from tillbook.sources.snapshots import SnapshotTable
 
 FACT_KEYS = ["transaction_id", "line_number"]
@@ -33,7 +33,7 @@ def raw_table(spark: SparkSession, root: str) -> Callable[[str], DataFrame]:
 
 
 def fact_table(spark: SparkSession, root: str) -> SnapshotTable:
-    return SnapshotTable(spark, f"{root}/marts/fct_sales", slice_by="sale_month")
+    return SnapshotTable(spark, f"{root}/marts/fct_sales", slice_by="sale_month", mark="source_updated_at")
 
 
 def run_fct_sales(star: Star, table: SnapshotTable, mode: str = "incremental", batch: str | None = None) -> None:
@@ -41,9 +41,7 @@ def run_fct_sales(star: Star, table: SnapshotTable, mode: str = "incremental", b
 
     An empty or missing target has no watermark and loads all rows.
     """
-    watermark = None
-    if mode == "incremental" and table.exists():
-        watermark = high_water(table.read(), "source_updated_at")
+    watermark = table.high_water() if mode == "incremental" else None
     items = history.dedupe_copies(star.stored("raw_sales_transaction_item"))
     lines = facts.incremental_slice(items, star.stored("stg_sales_transaction"), watermark, star.limits)
     df = facts.fct_sales(lines, star.dims(), star.tz, star.limits)

@@ -171,8 +171,8 @@ dim_date as (
 dim_time as (
   select h * 100 + m as time_key, format('{{:02d}}:{{:02d}}:00', h, m) as time_of_day, h as hour_24, m as minute,
          case when h % 12 = 0 then 12 else h % 12 end as hour_12, case when h < 12 then 'AM' else 'PM' end as am_pm,
-         case when h between 6 and 11 then 'Morning' when h between 12 and 17 then 'Afternoon'
-              when h between 18 and 21 then 'Evening' else 'Night' end as day_part
+         case when h < 6 or h >= 22 then 'Night' when h < 12 then 'Morning' when h < 18 then 'Afternoon'
+              else 'Evening' end as day_part
   from (select i // 60 as h, i % 60 as m from range(1440) r(i))
   union all select -2, null, null, null, null, 'Unknown', 'Unknown')"""
 
@@ -227,13 +227,17 @@ daily_now as (
 daily as (
   select *, lag(is_employed) over w as prev_is_employed, lag(store_id) over w as prev_store_id
   from daily_now window w as (partition by employee_id order by calendar_date)),
+step as (
+  -- Yesterday and today of every employee, with the store that counts on each side.
+  select employee_id, calendar_date, if(prev_is_employed, prev_store_id, null) as was_at, if(is_employed, store_id, null) as is_at
+  from daily where prev_is_employed is not null),
 move as (
-  select employee_id, calendar_date, store_id, 'joiner' as movement from daily where is_employed and prev_is_employed = false
-  union all select employee_id, calendar_date, prev_store_id, 'leaver' from daily where prev_is_employed and not is_employed
-  union all select employee_id, calendar_date, store_id, 'transfer_in' from daily
-    where is_employed and prev_is_employed and store_id <> prev_store_id
-  union all select employee_id, calendar_date, prev_store_id, 'transfer_out' from daily
-    where is_employed and prev_is_employed and store_id <> prev_store_id),
+  select employee_id, calendar_date, unnest(case
+      when was_at is null then [{{'store_id': is_at, 'movement': 'joiner'}}]
+      when is_at is null then [{{'store_id': was_at, 'movement': 'leaver'}}]
+      else [{{'store_id': is_at, 'movement': 'transfer_in'}}, {{'store_id': was_at, 'movement': 'transfer_out'}}] end,
+    recursive := true)
+  from step where was_at is distinct from is_at),
 move_count as (
   select store_id, cast(date_trunc('month', calendar_date) as date) as month_start,
          count(*) filter (movement = 'joiner') as joiners, count(*) filter (movement = 'leaver') as leavers,
@@ -663,16 +667,16 @@ def statements() -> dict[str, str]:
     )
     q["scd2_checks_product"] = shown(
         _rules(
-            *_history_rules("int_product_scd2", "h_product", "product_id", ["category_id", "brand_id", "unit_price", "unit_cost"], ["product_sku", "product_name"]),
-            ("int_product_scd2", "complete", "select count(distinct product_id) from n_product where product_id not in (select product_id from h_product)"),
+            *_history_rules("product_history", "h_product", "product_id", ["category_id", "brand_id", "unit_price", "unit_cost"], ["product_sku", "product_name"]),
+            ("product_history", "complete", "select count(distinct product_id) from n_product where product_id not in (select product_id from h_product)"),
         ),
         rule_cols,
     )
     ranked = "select *, lead(valid_from) over (partition by employee_id order by valid_from) as n from h_employee"
     q["scd2_checks_employee"] = shown(
         _rules(
-            *_history_rules("int_employee_scd2", "h_employee", "employee_id", ["store_id"], ["employee_name", "salary", "address", "start_date", "end_date"]),
-            ("int_employee_scd2", "no gap", f"select count(*) from ({ranked}) where n <> valid_to"),
+            *_history_rules("employee_history", "h_employee", "employee_id", ["store_id"], ["employee_name", "salary", "address", "start_date", "end_date"]),
+            ("employee_history", "no gap", f"select count(*) from ({ranked}) where n <> valid_to"),
         ),
         rule_cols,
     )

@@ -383,7 +383,7 @@ def staging_keys(s: Star) -> DataFrame:
 def scd2_checks_product(s: Star) -> DataFrame:
     return suites.check_scd2(
         s.stored("product_history"),
-        "int_product_scd2",
+        "product_history",
         "product_id",
         ["category_id", "brand_id", "unit_price", "unit_cost"],
         ["product_sku", "product_name"],
@@ -395,7 +395,7 @@ def scd2_checks_product(s: Star) -> DataFrame:
 def scd2_checks_employee(s: Star) -> DataFrame:
     type1 = ["employee_name", "salary", "address", "start_date", "end_date"]
     return suites.check_scd2(
-        s.stored("employee_history"), "int_employee_scd2", "employee_id", ["store_id"], type1, gapless=True
+        s.stored("employee_history"), "employee_history", "employee_id", ["store_id"], type1, gapless=True
     )
 
 

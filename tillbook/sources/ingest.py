@@ -55,6 +55,13 @@ def replace_table(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
+def loaded_until(raw: DataFrame, cursor: str = "updated_at"):
+    """Newest cursor value in RAW. Every load starts at the value before, so it is in the last load and
+    only that partition is read."""
+    newest = raw.agg(F.max("_load_id")).first()[0]
+    return None if newest is None else high_water(raw.filter(F.col("_load_id") == newest), cursor)
+
+
 def load_appended(source: DataFrame, path: str, schema: StructType, pk: list[str], load_id: int) -> None:
     """Extract since the newest RAW row, drop the boundary copies, append.
 
@@ -66,7 +73,7 @@ def load_appended(source: DataFrame, path: str, schema: StructType, pk: list[str
         append_raw(source, path, load_id)
         return
     earlier = raw.filter(F.col("_load_id") != load_id)
-    last = high_water(earlier)
+    last = loaded_until(earlier)
     rows, _ = extract_incremental(source, "updated_at", last)
     append_raw(drop_boundary(rows, earlier, pk, "updated_at", last), path, load_id)
 

@@ -18,14 +18,18 @@ from tillbook.operators.scale import broadcast_if_small
 from tillbook.session import pin
 from tillbook.sources.ingest import existing
 
-_LOG = "version bigint, batch string, slice string, directory string"
+_LOG = "version bigint, batch string, slice string, directory string, mark timestamp_ntz"
 
 
 class SnapshotTable:
-    """`slice_by` is a column of few values, such as the month of a fact. None keeps one slice."""
+    """`slice_by` is a column of few values, such as the month of a fact. None keeps one slice.
 
-    def __init__(self, spark: SparkSession, path: str, slice_by: str | None = None):
-        self.spark, self.path, self.slice_by = spark, path, slice_by
+    `mark` is a change time column: its largest value per slice is logged at commit, so the watermark of a
+    table is read from the log and not from the rows.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, slice_by: str | None = None, mark: str | None = None):
+        self.spark, self.path, self.slice_by, self.mark = spark, path, slice_by, mark
 
     # -------------------------------------------------------------- reading
     def _log(self) -> DataFrame | None:
@@ -35,13 +39,22 @@ class SnapshotTable:
         log = self._log()
         return 0 if log is None else log.agg(F.max("version")).first()[0] or 0
 
-    def directories(self) -> dict[str, str]:
-        """Newest directory of each slice; one row per slice, so as few as the table has slices."""
+    def _current(self) -> DataFrame | None:
+        """Newest log row of each live slice; as few rows as the table has slices."""
         log = self._log()
         if log is None:
-            return {}
-        newest = log.groupBy("slice").agg(F.max_by("directory", "version").alias("directory"))
-        return {r["slice"]: r["directory"] for r in newest.filter("directory is not null").collect()}
+            return None
+        newest = log.groupBy("slice").agg(F.max_by(F.struct("directory", "mark"), "version").alias("row"))
+        return newest.select("slice", "row.*").filter("directory is not null")
+
+    def directories(self) -> dict[str, str]:
+        current = self._current()
+        return {} if current is None else {r["slice"]: r["directory"] for r in current.collect()}
+
+    def high_water(self):
+        """Largest mark of the table, None while it is empty."""
+        current = self._current()
+        return None if current is None else current.agg(F.max("mark")).first()[0]
 
     def has_batch(self, batch: str) -> bool:
         log = self._log()
@@ -74,9 +87,10 @@ class SnapshotTable:
         stored = self.spark.read.schema(df.schema.add("in_slice", "string")).parquet(data)
         if keys:
             _assert_unique(stored, keys)
-        written = [r[0] for r in stored.select("in_slice").distinct().collect()]
-        rows = [(version, batch, s, f"{data}/in_slice={s}") for s in written]
-        rows += [(version, batch, s, None) for s in touched if s not in written]
+        mark = F.max(self.mark) if self.mark else F.lit(None).cast("timestamp_ntz")
+        written = {r[0]: r[1] for r in stored.groupBy("in_slice").agg(mark).collect()}
+        rows = [(version, batch, s, f"{data}/in_slice={s}", m) for s, m in written.items()]
+        rows += [(version, batch, s, None, None) for s in touched if s not in written]
         if rows:
             log = self.spark.createDataFrame(rows, _LOG)
             log.coalesce(1).write.mode("append").parquet(f"{self.path}/log")

@@ -18,9 +18,12 @@ from tillbook.operators.pit import pit_join
 from tillbook.sources.snapshots import SnapshotTable
 
 
-def read_files(spark: SparkSession, folder: str, schema: StructType, glob: str = "*.parquet") -> DataFrame:
-    """New Parquet files of a folder as a stream."""
-    return spark.readStream.schema(schema).option("pathGlobFilter", glob).parquet(folder)
+def read_files(
+    spark: SparkSession, folder: str, schema: StructType, glob: str = "*.parquet", max_files: int = 10_000
+) -> DataFrame:
+    """New Parquet files of a folder as a stream; max_files bounds one micro-batch of a long backlog."""
+    reader = spark.readStream.schema(schema).option("pathGlobFilter", glob)
+    return reader.option("maxFilesPerTrigger", max_files).parquet(folder)
 
 
 def ingest_stream(stream: DataFrame, path: str, checkpoint: str) -> int:
