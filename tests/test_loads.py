@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from conftest import day, money, rows, ts
 from tillbook import schemas
+from tillbook.functions import columns as C
 from tillbook.operators import facts, history
 from tillbook.operators.quality import ContractError, QualityError
 from tillbook.plans import nightly
@@ -190,7 +191,7 @@ def test_slice_from_the_watermark_equals_a_filter_on_the_join(star):
     lines, tx = history.dedupe_copies(star.stored("raw_sales_transaction_item")), star.stored("stg_sales_transaction")
     mark = ts("2024-03-01")
     got = facts.incremental_slice(lines, tx, mark)
-    assert same(got, facts.headers_lines(tx, lines).filter(F.col("source_updated_at") >= F.lit(mark)))
+    assert same(got, facts.headers_lines(tx, lines).filter(F.col("source_updated_at") >= C.at(mark)))
     assert facts.incremental_slice(lines, tx, None).count() == facts.headers_lines(tx, lines).count()
 
 
@@ -220,7 +221,7 @@ def test_nightly_runs(star, spark):
             df = star.stored(f"raw_{name}")
             if name not in schemas.APPENDED:
                 return df
-            return df.filter("_load_id = 1").drop("_load_id").filter(F.col("updated_at") < F.lit(ts(cut)).cast("timestamp_ntz"))
+            return df.filter("_load_id = 1").drop("_load_id").filter(F.col("updated_at") < C.at(ts(cut)))
         return read
 
     first = nightly.run_pipeline(spark, source("2024-06-01"), root, star.as_of, 1)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from datetime import datetime
 from decimal import Decimal
 
 from pyspark.sql import Column
@@ -63,6 +64,21 @@ def open_end() -> Column:
 
 
 # ------------------------------------------------------------------ time
+def at(value: datetime) -> Column:
+    """A naive UTC datetime as a literal. Goes through text: a plain literal would pass the session zone."""
+    return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
+def seconds_between(a: Column | str, b: Column | str) -> Column:
+    """Whole seconds from a to b on the UTC wall clock, whatever the session zone is."""
+
+    def of_day(t: Column) -> Column:
+        return F.hour(t) * 3600 + F.minute(t) * 60 + F.second(t)
+
+    x, y = _col(a), _col(b)
+    return F.datediff(F.to_date(y), F.to_date(x)).cast("bigint") * 86400 + of_day(y) - of_day(x)
+
+
 def to_local(ts: Column | str, tz: str = LOCAL_TZ) -> Column:
     """Wall clock in `tz` of a UTC instant held as TIMESTAMP_NTZ."""
     return F.convert_timezone(F.lit("UTC"), F.lit(tz), _col(ts))

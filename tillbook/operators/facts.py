@@ -11,6 +11,7 @@ from tillbook.functions.columns import (
     LOCAL_TZ,
     NO_PROMOTION_KEY,
     UNKNOWN_KEY,
+    at,
     discount,
     greatest_strict,
     hhmm,
@@ -53,7 +54,7 @@ def incremental_slice(items: DataFrame, tx: DataFrame, watermark, limits: Limits
     """
     if watermark is None:
         return headers_lines(tx, items)
-    since = F.lit(watermark).cast("timestamp_ntz")
+    since = at(watermark)
 
     def changed(df: DataFrame) -> DataFrame:
         return df.filter(F.col("updated_at") >= since).select("transaction_id")

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tillbook.functions.columns import at, seconds_between
 from tillbook.operators.scale import broadcast_if_small
 
 
@@ -210,7 +211,7 @@ def freshness(
 ) -> DataFrame:
     """(table, newest, hours, status). Never blocks: an error is a warning to the reader."""
     newest = F.max(column).alias("newest")
-    seconds = F.timestamp_diff("SECOND", F.col("newest"), F.lit(as_of).cast("timestamp_ntz"))
+    seconds = seconds_between("newest", at(as_of))
     status = (
         F.when(F.col("newest").isNull(), "missing")
         .when(seconds > int(error.total_seconds()), "error")

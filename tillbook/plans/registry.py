@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, DecimalType, IntegerType, ShortType, TimestampNTZType
 
 from tillbook import schemas
-from tillbook.functions.columns import LOCAL_TZ, local_date
+from tillbook.functions.columns import LOCAL_TZ, at, local_date
 from tillbook.operators import dims, facts, headcount, history, quality
 from tillbook.operators.pit import pit_join
 from tillbook.operators.scale import broadcast_if_small
@@ -49,7 +49,9 @@ def present(df: DataFrame) -> DataFrame:
         elif isinstance(t, DateType):
             c = c.cast("string")
         elif isinstance(t, TimestampNTZType):
-            c = F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS")
+            # Text of a wall clock, padded to microseconds.
+            text = c.cast("string")
+            c = F.rpad(F.when(F.length(text) == 19, F.concat(text, F.lit("."))).otherwise(text), 26, "0")
         out.append(c.alias(f.name))
     return df.select(out)
 
@@ -88,7 +90,7 @@ def drop_boundary(s: Star) -> DataFrame:
     source = _source(s, "product")
     rows, _ = ingest.extract_incremental(source, "updated_at", CUT)
     # Some of the boundary rows are in RAW already.
-    raw = source.filter((F.col("updated_at") < F.lit(CUT)) | (F.col("brand_id") <= 12))
+    raw = source.filter((F.col("updated_at") < at(CUT)) | (F.col("brand_id") <= 12))
     return ingest.drop_boundary(rows, raw, ["id"], "updated_at", CUT)
 
 
@@ -193,7 +195,7 @@ def fct_sales_incremental(s: Star) -> DataFrame:
     """The fact loaded in two runs, the second from the watermark of the first."""
     table = nightly.fact_table(s.spark, new_folder(s.spark, "incremental"))
     items, tx = s.stored("raw_sales_transaction_item"), s.stored("raw_sales_transaction")
-    early = F.col("updated_at") < F.lit(CUT)
+    early = F.col("updated_at") < at(CUT)
     raws = {"sales_transaction": tx, "sales_transaction_item": items}
     for part in [{n: df.filter(early) for n, df in raws.items()}, raws]:
         views = ("raw_sales_transaction", "raw_sales_transaction_item", "stg_sales_transaction")

@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tillbook.functions.columns import at
+
 
 def high_water(df: DataFrame, cursor: str = "updated_at"):
     """Largest cursor value, one scalar; NULL on an empty table."""
@@ -22,7 +24,7 @@ def extract_incremental(df: DataFrame, cursor: str, last: datetime | None) -> tu
     """
     if last is None:
         return df, high_water(df, cursor)
-    rows = df.filter(F.col(cursor) >= F.lit(last).cast("timestamp_ntz"))
+    rows = df.filter(F.col(cursor) >= at(last))
     return rows, high_water(rows, cursor) or last
 
 
@@ -30,8 +32,7 @@ def drop_boundary(df: DataFrame, raw: DataFrame, pk: list[str], cursor: str, las
     """Leave out rows read before: same key at exactly the last cursor value. Never merges."""
     if last is None:
         return df
-    at = F.lit(last).cast("timestamp_ntz")
-    loaded = raw.filter(F.col(cursor) == at).select(*pk, cursor)
+    loaded = raw.filter(F.col(cursor) == at(last)).select(*pk, cursor)
     return df.join(loaded, [*pk, cursor], "left_anti")
 
 
