@@ -51,6 +51,15 @@ def test_local_time(spark):
     assert one(spark, C.yyyymmdd(lit("2024-03-09", "date"))) == 20240309
 
 
+def test_literals_do_not_depend_on_the_session_zone(spark):
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        assert one(spark, C.at(ts("2024-03-10 02:30:00")).cast("string")) == "2024-03-10 02:30:00"
+        assert one(spark, C.seconds_between(C.at(ts("2024-03-09 23:00:00")), C.at(ts("2024-03-10 04:00:01")))) == 18001
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def test_month_boundaries_are_counted(spark):
     assert one(spark, C.month_starts_between(lit("2020-01-31", "date"), lit("2020-02-01", "date"))) == 1
     assert one(spark, C.month_starts_between(lit("2019-12-01", "date"), lit("2021-01-31", "date"))) == 13

@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 from conftest import money, rows, ts
 from tillbook.operators.history import dedupe_copies, latest_state, product_history, scd2, wrong_pins
 from tillbook.operators.pit import pit_join
-from tillbook.operators.scale import Limits, hot_groups, time_cuts, with_segment
+from tillbook.operators.scale import Limits, hot_groups, numbered, time_cuts, with_segment
 from tillbook.plans.suites import check_scd2, overlaps, validity_gaps
 
 START, END = ts("1900-01-01"), ts("9999-12-31")
@@ -87,6 +87,16 @@ def test_split_history_equals_the_plain_one(spark):
         assert rows(split) == rows(plain)
 
 
+def test_numbers_of_a_cut_key_have_no_gap(spark):
+    df = hot_changes(spark).select("product_id", "updated_at", F.xxhash64("product_name").alias("v"))
+    df = df.withColumn("bucket", F.pmod("v", F.lit(60)))
+    plain, split = (
+        numbered(df, ["product_id"], ["bucket", "updated_at"], "n", limits).withColumn("n", F.col("n").cast("bigint"))
+        for limits in (Limits(), Limits(rows_per_task=50))
+    )
+    assert rows(split) == rows(plain)
+
+
 def test_segment_without_change_points_is_bridged(spark):
     same = spark.range(200).select(
         F.lit(1).alias("k"),

@@ -170,7 +170,7 @@ def explode_lines(headers: DataFrame, lines: str = "lines") -> DataFrame:
     """Line rows of nested headers: header columns are copied, line_number counts from 1."""
     rest = [c for c in headers.columns if c != lines]
     out = headers.select(*rest, F.posexplode(lines).alias("_pos", "_line"))
-    return out.select(*rest, (F.col("_pos") + 1).cast("smallint").alias("line_number"), "_line.*")
+    return out.select(*rest, (F.col("_pos") + 1).alias("line_number"), "_line.*")
 
 
 def promo_active(start: Column, end: Column, day: Column) -> Column:

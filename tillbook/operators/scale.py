@@ -81,7 +81,7 @@ def hot_groups(df: DataFrame, keys: list[str], limits: Limits = DEFAULT) -> Data
 
 
 def time_cuts(df: DataFrame, keys: list[str], at: str, limits: Limits = DEFAULT) -> DataFrame | None:
-    """(keys, cuts): ascending cut points of `at` that split every hot key into even pieces."""
+    """(keys, cuts): ascending cut points of `at`, a time or a number, that split every hot key evenly."""
     hot = hot_groups(df, keys, limits)
     if hot is None:
         return None
@@ -122,6 +122,22 @@ def group_of(keys: list[str], cuts: DataFrame | None) -> list[str]:
     return list(keys) if cuts is None else [*keys, "_segment"]
 
 
+def numbered(df: DataFrame, keys: list[str], order: list[str], name: str, limits: Limits = DEFAULT) -> DataFrame:
+    """Add a gap-free number per key in the given order; a hot key is cut along the first order column."""
+    cuts = time_cuts(df, keys, order[0], limits)
+    base = with_segment(df, cuts, keys, order[0])
+    inside = Window.partitionBy(*group_of(keys, cuts)).orderBy(*order)
+    out = base.withColumn(name, F.row_number().over(inside))
+    if cuts is None:
+        return out
+    sizes = base.join(F.broadcast(cuts.select(*keys)), keys, "left_semi").groupBy(*keys, "_segment").count()
+    earlier = Window.partitionBy(*keys).orderBy("_segment").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select(*keys, "_segment", F.sum("count").over(earlier).alias("_before"))
+    out = out.join(F.broadcast(offsets), [*keys, "_segment"], "left")
+    number = (F.col(name) + F.coalesce("_before", F.lit(0))).cast("bigint")
+    return out.withColumn(name, number).drop("_segment", "_before")
+
+
 def neighbours(
     df: DataFrame,
     keys: list[str],

@@ -57,7 +57,7 @@ one_tx as (
 one_item as (
   select l_orderkey as transaction_id,
          cast(row_number() over (partition by l_orderkey
-           order by l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_quantity, l_shipdate) as smallint) as line_number,
+           order by l_partkey, l_linenumber, l_suppkey, l_extendedprice, l_quantity, l_shipdate) as integer) as line_number,
          l_partkey as product_id, {PROMO} as promotion_id, cast(l_quantity as integer) as quantity,
          cast(l_extendedprice as decimal(12,2)) as regular_price,
          cast(case when {PROMO} % 2 = 1 then 0 else round(l_tax * 100) end as decimal(12,2)) as coupon_amount,

@@ -8,7 +8,7 @@ from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, DecimalType, IntegerType, ShortType, TimestampNTZType
+from pyspark.sql.types import DateType, DecimalType, IntegerType, TimestampNTZType
 
 from tillbook import schemas
 from tillbook.functions.columns import LOCAL_TZ, at, local_date
@@ -44,7 +44,7 @@ def present(df: DataFrame) -> DataFrame:
         c, t = F.col(f.name), f.dataType
         if isinstance(t, DecimalType):
             c = (F.round(c, 2) if t.precision > 20 else c).cast("double")
-        elif isinstance(t, (IntegerType, ShortType)):
+        elif isinstance(t, IntegerType):
             c = c.cast("bigint")
         elif isinstance(t, DateType):
             c = c.cast("string")

@@ -8,7 +8,6 @@ from pyspark.sql.types import (
     DecimalType,
     IntegerType,
     LongType,
-    ShortType,
     StringType,
     StructField,
     StructType,
@@ -18,7 +17,6 @@ from pyspark.sql.types import (
 _TYPES = {
     "bigint": LongType(),
     "int": IntegerType(),
-    "smallint": ShortType(),
     "string": StringType(),
     "date": DateType(),
     "boolean": BooleanType(),
@@ -65,7 +63,7 @@ _SOURCE = {
         "payment_method_id bigint not null; transaction_ts timestamp_ntz not null; status string not null"
     ),
     "sales_transaction_item": (
-        "transaction_id bigint not null; line_number smallint not null; product_id bigint not null; "
+        "transaction_id bigint not null; line_number int not null; product_id bigint not null; "
         "promotion_id bigint; quantity int not null; regular_price decimal(12,2) not null; "
         "coupon_amount decimal(12,2) not null"
     ),
@@ -124,13 +122,13 @@ MART = {
         "fct_sales": (
             "date_key int not null; time_key int not null; product_key bigint not null; store_key bigint not null; "
             "employee_key bigint not null; payment_method_key bigint not null; promotion_key bigint not null; "
-            "transaction_id bigint not null; line_number smallint not null; transaction_ts timestamp_ntz not null; "
+            "transaction_id bigint not null; line_number int not null; transaction_ts timestamp_ntz not null; "
             "quantity int; regular_price decimal(12,2); unit_cost decimal(12,2); gross_amount decimal(18,2); "
             "discount_amount decimal(20,6); coupon_amount decimal(12,2); net_amount decimal(20,6); "
             "cost_amount decimal(18,2); gross_profit decimal(20,6); source_updated_at timestamp_ntz"
         ),
         "fct_sales_enriched": (
-            "transaction_id bigint not null; line_number smallint not null; transaction_ts timestamp_ntz; "
+            "transaction_id bigint not null; line_number int not null; transaction_ts timestamp_ntz; "
             "full_date date; year int; month int; month_name string; day_name string; is_weekend boolean; "
             "store_name string not null; product_name string not null; category_name string not null; "
             "brand_name string not null; promotion_label string not null; promotion_type string; "

@@ -6,10 +6,11 @@ with a second load id, like rows read again at a cursor boundary.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillbook import schemas
+from tillbook.operators.scale import numbered
 
 YEARS_AHEAD = 25
 
@@ -131,11 +132,10 @@ def _sales_transaction(given):
 
 
 def _sales_transaction_item(given):
-    # Lines of one receipt are bounded: line_number is a SMALLINT.
-    order = ["l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity", "l_shipdate"]
-    lines = given("lineitem").withColumn(
-        "line_number", F.row_number().over(Window.partitionBy("l_orderkey").orderBy(*order))
-    )
+    # (l_orderkey, l_linenumber) repeats, so lines are numbered anew. The part goes first in the order:
+    # it has many values, so even a very long receipt can be cut into pieces.
+    order = ["l_partkey", "l_linenumber", "l_suppkey", "l_extendedprice", "l_quantity", "l_shipdate"]
+    lines = numbered(given("lineitem"), ["l_orderkey"], order, "line_number")
     promo = _promotion_id()
     coupon = F.when(promo % 2 == 1, 0.0).otherwise(F.round(F.col("l_tax") * 100))
     out = lines.select(
