@@ -179,7 +179,12 @@ _BUILDS["dim_time"] = lambda s: reports.sold_clock(s.stored("fct_sales"), s.fres
 @registered
 def pit_product(s: Star) -> DataFrame:
     joined = pit_join(
-        s.lines(), s.stored("product_history"), "product_id", "transaction_ts", ["valid_from", "unit_cost"]
+        s.lines(),
+        s.stored("product_history"),
+        "product_id",
+        "transaction_ts",
+        ["valid_from", "unit_cost"],
+        limits=s.limits,
     )
     return joined.select("transaction_id", "line_number", "product_id", "valid_from", "unit_cost")
 
@@ -390,6 +395,7 @@ def scd2_checks_product(s: Star) -> DataFrame:
         ["category_id", "brand_id", "unit_price", "unit_cost"],
         ["product_sku", "product_name"],
         source=s.fresh("stg_product"),
+        limits=s.limits,
     )
 
 
@@ -397,7 +403,7 @@ def scd2_checks_product(s: Star) -> DataFrame:
 def scd2_checks_employee(s: Star) -> DataFrame:
     type1 = ["employee_name", "salary", "address", "start_date", "end_date"]
     return suites.check_scd2(
-        s.stored("employee_history"), "employee_history", "employee_id", ["store_id"], type1, gapless=True
+        s.stored("employee_history"), "employee_history", "employee_id", ["store_id"], type1, gapless=True, limits=s.limits
     )
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillbook import schemas
-from tillbook.operators.scale import numbered
+from tillbook.operators.scale import DEFAULT, Limits, numbered
 
 YEARS_AHEAD = 25
 
@@ -42,13 +42,14 @@ def _stamped(df: DataFrame) -> DataFrame:
     return df.withColumns({"created_at": start, "updated_at": start})
 
 
-def retail_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def retail_table(spark: SparkSession, sf_dir: str, name: str, limits: Limits = DEFAULT) -> DataFrame:
     """One retail table with the declared RAW columns and types."""
 
     def given(table: str) -> DataFrame:
         return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
-    df = _BUILDERS[name](given)
+    build = _BUILDERS[name]
+    df = build(given, limits) if name == "sales_transaction_item" else build(given)
     return df.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in schemas.RAW[name].fields])
 
 
@@ -131,11 +132,11 @@ def _sales_transaction(given):
     )
 
 
-def _sales_transaction_item(given):
+def _sales_transaction_item(given, limits):
     # (l_orderkey, l_linenumber) repeats, so lines are numbered anew. The part goes first in the order:
     # it has many values, so even a very long receipt can be cut into pieces.
     order = ["l_partkey", "l_linenumber", "l_suppkey", "l_extendedprice", "l_quantity", "l_shipdate"]
-    lines = numbered(given("lineitem"), ["l_orderkey"], order, "line_number")
+    lines = numbered(given("lineitem"), ["l_orderkey"], order, "line_number", limits)
     promo = _promotion_id()
     coupon = F.when(promo % 2 == 1, 0.0).otherwise(F.round(F.col("l_tax") * 100))
     out = lines.select(
