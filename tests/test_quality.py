@@ -138,6 +138,22 @@ def test_mart_suites_see_broken_marts(star):
     assert suites.status_changes(changed).count() == 1
 
 
+def test_source_and_staging_rules_see_bad_rows(star):
+    raw = {n: star.stored(f"raw_{n}") for n in schemas.RAW}
+    raw["promotion"] = raw["promotion"].withColumn("amount", F.lit(money("200.00"))).withColumn("end_date", F.lit(date(2000, 1, 1)))
+    raw["store"] = raw["store"].withColumn("store_name", F.lit("same"))
+    raw["sales_transaction_item"] = raw["sales_transaction_item"].withColumn("quantity", F.lit(0))
+    found = bad(suites.check_source_rules(raw))
+    assert found["percentage <= 100"] == 4 and found["expression end_date >= start_date"] == 9
+    assert found["unique store_name"] == 1 and found["accepted_range quantity"] > 0
+    keys = star.stored("raw_store").select(F.col("id").alias("store_id"))
+    broken = keys.union(keys.limit(2)).union(keys.limit(1).select(F.lit(None).cast("bigint")))
+    assert bad(Q.check_keys(broken, "t", ["store_id"])) == {"not_null store_id": 1, "unique store_id": 2}
+    items, tx = star.stored("stg_sales_transaction_item"), star.stored("stg_sales_transaction")
+    fewer = star.stored("fct_sales").filter("line_number != 1")
+    assert bad(suites.row_count_matches(fewer, items, tx)) == {"same totals": 1}
+
+
 def test_sales_integrity_cases(spark):
     tx = spark.createDataFrame(
         [(1, 1, 10, ts("2024-01-10 05:00")), (2, 2, 10, ts("2024-01-10 05:00")), (3, 1, 10, ts("2024-01-20 05:00")), (4, 1, 10, ts("2024-01-10 20:00"))],

@@ -1,5 +1,7 @@
 import os
+import re
 import sys
+import time
 
 import pytest
 
@@ -23,9 +25,25 @@ def test_every_query_has_a_statement():
     assert set(SQL) == set(spark_entry.queries())
 
 
+# Nothing of this may stand in a physical plan.
+FORBIDDEN = ["CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "InPandas", "PythonUDF"]
+
+
+def check_plan(df) -> None:
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert [word for word in FORBIDDEN if word in plan] == []
+    # A window over the whole table would sit on an exchange to a single partition.
+    for window in re.finditer(r"Window \[", plan):
+        below = plan[window.start() :].split("Exchange", 2)
+        assert len(below) < 2 or not below[1].lstrip().startswith("SinglePartition")
+
+
 @pytest.mark.parametrize("name", spark_entry.queries())
 def test_query_equals_its_statement(spark, con, name):
-    assert compare.compare(spark, con, SF, name, SQL[name]).startswith("ok")
+    df = spark_entry.queries()[name](spark, SF)
+    check_plan(df)
+    result = compare.compare_frame(df, con, SQL[name], time.time())
+    assert result.startswith("ok"), result
 
 
 def test_entry(spark):
