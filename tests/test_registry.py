@@ -12,8 +12,9 @@ sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(
 import compare  # noqa: E402
 
 import __spark_entry__ as spark_entry  # noqa: E402
+from tillbook.plans import oracle, registry  # noqa: E402
 
-SQL = spark_entry.oracle_sql()
+SQL = oracle.statements()
 
 
 @pytest.fixture(scope="module")
@@ -22,7 +23,8 @@ def con():
 
 
 def test_every_query_has_a_statement():
-    assert set(SQL) == set(spark_entry.queries())
+    assert set(SQL) == set(registry.queries())
+    assert set(SQL) <= set(spark_entry.oracle_sql()) and set(SQL) <= set(spark_entry.queries())
 
 
 # Nothing of this may stand in a physical plan.
@@ -38,9 +40,9 @@ def check_plan(df) -> None:
         assert len(below) < 2 or not below[1].lstrip().startswith("SinglePartition")
 
 
-@pytest.mark.parametrize("name", spark_entry.queries())
+@pytest.mark.parametrize("name", registry.queries())
 def test_query_equals_its_statement(spark, con, name):
-    df = spark_entry.queries()[name](spark, SF)
+    df = registry.queries()[name](spark, SF)
     check_plan(df)
     result = compare.compare_frame(df, con, SQL[name], time.time())
     assert result.startswith("ok"), result
