@@ -1,8 +1,8 @@
 """Quality rules judged by an isolation forest.
 
 Rule statistics come from whole texts in one pass and are written once. Each isolation tree is grown on a
-few hundred documents (that sampling is the method's own): a pool of `trees * tree_rows` documents with the
-smallest hash of their id. Every document is scored; short average paths over the random splits mark
+few hundred documents (that sampling is the method's own) from a pool of `trees * tree_rows` documents
+picked by the hash of their id. Every document is scored; short average paths over the random splits mark
 anomalies. The score above which a document goes is calibrated on every labelled row that the base rules pass: the histogram of
 scores by label has a fixed number of bins, so only that reaches the driver.
 
@@ -20,8 +20,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
-from tillbook.llm.text import SPACES, WordHashes, rows, runs
+from tillbook.llm.text import SPACES, WordHashes, runs
 from tillbook.session import pin
 
 WINDOW = 8
@@ -173,24 +174,33 @@ def verdict_bin(histogram: list[tuple[int, int, int]], bins: int, most_good_loss
     return best if value[best] > 0 else bins + 1
 
 
-def quality_verdicts(
-    docs: DataFrame,
-    labels: DataFrame,
-    trees: int = 100,
-    tree_rows: int = 256,
-    bins: int = 1000,
-    most_good_loss: float = 0.02,
-    seed: int = 7,
-) -> DataFrame:
-    """doc_id, COUNTS, score, base_failed and kept for every row of docs(doc_id, text)."""
-    spark = docs.sparkSession
-    counts = pin(rule_counts(docs), "rule-counts")
-
-    order = F.xxhash64("doc_id", F.lit(seed))
-    pool = counts.orderBy(order, "doc_id", *COUNTS).limit(trees * tree_rows).select(COUNTS).toPandas()
+def calibrated_forest(counts: DataFrame, labels: DataFrame, trees: int, tree_rows: int, bins: int, most_good_loss: float, seed: int):
+    """(forest, rows of a tree, first bin that goes), from rule counts of all documents and all labelled rows."""
+    order, wanted = F.xxhash64("doc_id", F.lit(seed)), trees * tree_rows
+    # of the hash range only as much as holds about twice the pool, so that tasks send few rows
+    share = min(1.0, 2 * wanted / max(1, counts.count()))
+    likely = counts.filter(F.pmod(order, F.lit(1 << 40)) < F.lit(int(share * (1 << 40)))) if share < 1 else counts
+    pool = likely.orderBy(order, "doc_id", *COUNTS).limit(wanted).select(COUNTS).toPandas()
     forest = grow_forest(rule_statistics({c: pool[c].to_numpy() for c in COUNTS}), trees, tree_rows, seed) if len(pool) else []
     size = min(tree_rows, len(pool))
-    shared = spark.sparkContext.broadcast(forest)
+    known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("label"))
+    labelled = counts.filter(~base_failed()).join(known.filter("label in (0, 1)"), "doc_id").select(*COUNTS, "label")
+    histogram = (
+        with_scores(labelled, forest, size)
+        .groupBy(F.floor(F.col("score") * bins).cast("int").alias("bin"), "label")
+        .count()
+        .collect()  # at most two rows per bin
+    )
+    return forest, size, verdict_bin([tuple(r) for r in histogram], bins, most_good_loss)
+
+
+def base_failed():
+    return (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEAT_PERCENT * F.col("n_words"))
+
+
+def with_scores(counts: DataFrame, forest: list[dict[str, np.ndarray]], size: int) -> DataFrame:
+    """The columns of counts and the forest's score."""
+    shared = counts.sparkSession.sparkContext.broadcast(forest)  # trees * 2 * tree_rows nodes at most
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -198,29 +208,35 @@ def quality_verdicts(
             scores = pa.array(forest_scores(stats, shared.value, size))
             yield pa.RecordBatch.from_arrays([*batch.columns, scores], [*batch.schema.names, "score"])
 
-    schema = "doc_id long, " + ", ".join(f"{c} long" for c in COUNTS) + ", score double"
-    scored = pin(counts.mapInArrow(score, schema), "rule-scores")
-    bin_of = F.floor(F.col("score") * bins).cast("int")
+    return counts.mapInArrow(score, StructType([*counts.schema.fields, StructField("score", DoubleType())]))
 
-    failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEAT_PERCENT * F.col("n_words"))
-    known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("label"))
-    histogram = (
-        scored.filter(~failed)
-        .select("doc_id", bin_of.alias("bin"))
-        .join(known.filter("label in (0, 1)"), "doc_id")
-        .groupBy("bin", "label")
-        .count()
-        .collect()  # at most two rows per bin
-    )
-    least = verdict_bin([tuple(r) for r in histogram], bins, most_good_loss)
-    return scored.withColumn("base_failed", failed).withColumn("kept", ~failed & (bin_of < least))
+
+def quality_verdicts(
+    docs: DataFrame, labels: DataFrame, trees: int = 100, tree_rows: int = 256, bins: int = 1000, most_good_loss: float = 0.02, seed: int = 7
+) -> DataFrame:
+    """doc_id, COUNTS, score, base_failed and kept for every row of docs(doc_id, text)."""
+    counts = pin(rule_counts(docs), "rule-counts")
+    forest, size, least = calibrated_forest(counts, labels, trees, tree_rows, bins, most_good_loss, seed)
+    scored = with_scores(counts, forest, size).withColumn("base_failed", base_failed())
+    return scored.withColumn("kept", ~F.col("base_failed") & (F.floor(F.col("score") * bins) < least))
 
 
-def keep_good(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
-    """Rows of docs that the rules keep, every column as it was.
+def keep_good(
+    docs: DataFrame, labels: DataFrame, trees: int = 100, tree_rows: int = 256, bins: int = 1000, most_good_loss: float = 0.02, seed: int = 7
+) -> DataFrame:
+    """Rows of docs that the rules keep, every column as it was; texts are judged in place and never shuffled."""
+    counts = pin(rule_counts(docs), "rule-counts")
+    forest, size, least = calibrated_forest(counts, labels, trees, tree_rows, bins, most_good_loss, seed)
+    shared = docs.sparkSession.sparkContext.broadcast(forest)
+    column = docs.columns.index("text")
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = WordHashes()
+        for batch in batches:
+            found = np.array([text_counts(t.as_py(), hashes) for t in batch.column(column)], dtype=np.int64).reshape(-1, len(COUNTS))
+            c = dict(zip(COUNTS, found.T, strict=True))
+            failed = (c["n_words"] < LEAST_WORDS) | (100 * c["n_repeat_words"] > MOST_REPEAT_PERCENT * c["n_words"])
+            bin_of = np.floor(forest_scores(rule_statistics(c), shared.value, size) * bins)
+            yield batch.filter(pa.array(~failed & (bin_of < least)))
 
-    Rows with one id but different texts share a verdict: they stay if any of them would stay, because the
-    clean one must not be lost. Rows without an id are compared as one such group.
-    """
-    kept = quality_verdicts(docs, labels, **options).filter("kept").select(F.col("doc_id").alias("__id")).distinct()
-    return docs.join(kept, docs["doc_id"].cast("long").eqNullSafe(kept["__id"]), "left_semi")
+    return docs.mapInArrow(keep, docs.schema)
