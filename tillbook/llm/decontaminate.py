@@ -3,8 +3,9 @@
 An item of n words is looked for in windows of n words. A window and an item are fingerprinted by SimHash over
 their five-word shingles with counts; fingerprints of one window size within `radius` bits are found through
 `radius + 1` blocks of bits (two that differ in `radius` bits agree on a block, so none is missed), and the
-weighted Jaccard similarity of the shingle counts decides at `similarity`. Windows that hold no shingle of any
-item have similarity zero and are not fingerprinted; all others are, at every offset and item size.
+weighted Jaccard similarity of the shingle counts decides at `similarity`. A window of which fewer than
+`similarity` of the shingles belong to any item cannot reach it and is not fingerprinted; all others are, at
+every offset and item size.
 
 Words are runs without white space, compared by their letters and digits in lower case; a word without any
 is skipped. Documents stay where they are: items are sent in blocks of at most `block_words` words, one pass
@@ -30,13 +31,16 @@ from tillbook.llm.text import CACHED_WORDS, runs
 SHINGLE = 5
 RADIUS = 16  # at similarity 0.8 the mean distance is 9.7 bits, standard deviation 2.9
 FILTER_BITS = 22
+STRETCH = 32768
 
 
 class PlainWords(dict):
     """Hash of the letters and digits of a word in lower case; 0 for a word without any."""
 
     def __missing__(self, word: bytes) -> int:
-        plain = "".join(filter(str.isalnum, word.decode().lower()))
+        plain = word.decode().lower()
+        if not plain.isalnum():
+            plain = "".join(filter(str.isalnum, plain))
         value = (xxhash.xxh64_intdigest(plain.encode()) or 1) if plain else 0
         if len(self) < CACHED_WORDS:
             self[word] = value
@@ -48,12 +52,12 @@ class PlainWords(dict):
         return hashes[hashes != 0]
 
 
-def window_fingerprints(shingles: np.ndarray, starts: np.ndarray, width: int) -> np.ndarray:
-    """SimHash of the `width` shingles from each start; a bit is set if over half the shingles have it."""
+def window_fingerprints(shingles: np.ndarray, starts: np.ndarray, widths: np.ndarray) -> np.ndarray:
+    """SimHash of the shingles of each window; a bit is set if over half the shingles have it."""
     bits = np.unpackbits(shingles.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
     sums = np.zeros((len(shingles) + 1, 64), dtype=np.int32)
     np.cumsum(bits, axis=0, out=sums[1:])
-    over = (sums[starts + width] - sums[starts]) * 2 > width
+    over = (sums[starts + widths] - sums[starts]) * 2 > widths[:, None]
     return np.packbits(over, axis=1, bitorder="little").view(np.uint64).reshape(-1)
 
 
@@ -66,77 +70,104 @@ def weighted_similarity(a: np.ndarray, b: np.ndarray) -> float:
 
 
 class ItemIndex:
-    """Items by shingle size and window width, with block tables for the Hamming search."""
-
-    def __init__(self, items: list[tuple[int, np.ndarray]], radius: int = RADIUS):
-        self.radius, self.bounds = radius, block_bounds(radius)
-        self.by_k: dict[int, dict[int, list[tuple[int, np.ndarray]]]] = {}
-        for item, hashes in items:
-            if len(hashes):
-                k = min(SHINGLE, len(hashes))
-                found = runs(hashes, k)
-                self.by_k.setdefault(k, {}).setdefault(len(found), []).append((item, found))
-        self.known, self.tables, self.seen = {}, {}, {}
-        for k, widths in self.by_k.items():
-            self.known[k] = np.unique(np.concatenate([s for held in widths.values() for _, s in held]))
-            mask = np.zeros(1 << FILTER_BITS, dtype=bool)
-            mask[self.known[k] & np.uint64((1 << FILTER_BITS) - 1)] = True
-            self.seen[k] = mask
-            for width, held in widths.items():
-                fps = np.array([window_fingerprints(s, np.zeros(1, dtype=np.int64), width)[0] for _, s in held], dtype=np.uint64)
-                blocks = []
-                for first, size in self.bounds:
-                    values = (fps >> np.uint64(first)) & np.uint64((1 << size) - 1)
-                    order = np.argsort(values, kind="stable")
-                    blocks.append((values[order], order))
-                self.tables[k, width] = (fps, blocks)
-
-    def near(self, k: int, width: int, fps: np.ndarray) -> list[tuple[int, int]]:
-        """(window, item) of all fingerprints within the radius."""
-        item_fps, blocks = self.tables[k, width]
+    """Items of one shingle size, with a table per block of bits for the Hamming search."""
+
+    def __init__(self, items: list[tuple[int, np.ndarray]], k: int, radius: int):
+        self.k, self.radius, self.bounds = k, radius, block_bounds(radius)
+        self.items = [(item, runs(hashes, k)) for item, hashes in items]
+        self.widths = np.unique([len(s) for _, s in self.items])
+        self.known = np.unique(np.concatenate([s for _, s in self.items]))
+        self.mask = np.zeros(1 << FILTER_BITS, dtype=bool)
+        self.mask[self.known & np.uint64((1 << FILTER_BITS) - 1)] = True
+        own = np.array([len(s) for _, s in self.items])
+        self.fps = np.array([window_fingerprints(s, np.zeros(1, np.int64), np.array([len(s)]))[0] for _, s in self.items], dtype=np.uint64)
+        self.tables = []
+        for i in range(len(self.bounds)):
+            keys = self._keys(self.fps, own, i)
+            order = np.argsort(keys, kind="stable")
+            self.tables.append((keys[order], order))
+
+    def _keys(self, fps: np.ndarray, widths: np.ndarray, block: int) -> np.ndarray:
+        """Window width and value of a block as one number."""
+        first, size = self.bounds[block]
+        values = (fps >> np.uint64(first)) & np.uint64((1 << size) - 1)
+        return values | (widths.astype(np.uint64) << np.uint64(size))
+
+    def near(self, fps: np.ndarray, widths: np.ndarray) -> np.ndarray:
+        """(window, item) rows of equal width within the radius, by window and item."""
         pairs = []
-        for (first, size), (values, order) in zip(self.bounds, blocks, strict=True):
-            mine = (fps >> np.uint64(first)) & np.uint64((1 << size) - 1)
-            low, high = np.searchsorted(values, mine, "left"), np.searchsorted(values, mine, "right")
+        for block, (keys, order) in enumerate(self.tables):
+            mine = self._keys(fps, widths, block)
+            low, high = np.searchsorted(keys, mine, "left"), np.searchsorted(keys, mine, "right")
             count = high - low
             window = np.repeat(np.arange(len(fps)), count)
-            offset = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+            offset = np.arange(len(window)) - np.repeat(np.cumsum(count) - count, count)
             item = order[np.repeat(low, count) + offset]
-            close = np.bitwise_count(fps[window] ^ item_fps[item]) <= self.radius
-            pairs.append(np.stack([window[close], item[close]], axis=1))
-        found = np.unique(np.concatenate(pairs), axis=0)
-        return [(int(w), int(i)) for w, i in found]
+            close = np.bitwise_count(fps[window] ^ self.fps[item]) <= self.radius
+            pairs.append(window[close] * len(self.items) + item[close])
+        found = np.unique(np.concatenate(pairs))
+        return np.stack([found // len(self.items), found % len(self.items)], axis=1)
+
+    def windows(self, shingles: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray]:
+        """Start and width of the windows that can match: at least `similarity` of their shingles belong to items."""
+        likely = np.flatnonzero(self.mask[shingles & np.uint64((1 << FILTER_BITS) - 1)])
+        at = np.searchsorted(self.known, shingles[likely])
+        likely = likely[self.known[np.minimum(at, len(self.known) - 1)] == shingles[likely]]
+        if len(likely) < similarity * self.widths[0]:
+            return np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64)
+        hits = np.zeros(len(shingles) + 1, dtype=np.int32)
+        hits[likely + 1] = 1
+        np.cumsum(hits, out=hits)
+        starts, widths = [], []
+        for width in self.widths[self.widths <= len(shingles)]:
+            found = np.flatnonzero(hits[width:] - hits[:-width] >= similarity * width - 1e-9)
+            starts.append(found)
+            widths.append(np.full(len(found), width))
+        return np.concatenate(starts), np.concatenate(widths)
 
     def matches(self, hashes: np.ndarray, similarity: float) -> dict[int, tuple[float, int, int]]:
         """item -> (similarity, first word, words) of its best window in one text."""
         best: dict[int, tuple[float, int, int]] = {}
-        for k, widths in self.by_k.items():
-            shingles = runs(hashes, k)
-            hits = np.flatnonzero(self.seen[k][shingles & np.uint64((1 << FILTER_BITS) - 1)])
-            hits = hits[np.isin(shingles[hits], self.known[k])]
-            if not len(hits):
-                continue
-            for width, held in widths.items():
-                if width > len(shingles):
-                    continue
-                # stretches of the text in which every window start covers a hit
-                first, last = np.maximum(hits - width + 1, 0), np.minimum(hits, len(shingles) - width)
-                cut = np.flatnonzero(first[1:] > last[:-1] + 1) + 1
-                for a, b in zip(first[np.r_[0, cut]], last[np.r_[cut - 1, len(hits) - 1]], strict=True):
-                    if a > b:
-                        continue
-                    for at in range(a, b + 1, 4096):  # a long stretch goes in parts, each start once
-                        starts = np.arange(min(4096, b + 1 - at))
-                        part = shingles[at : at + len(starts) - 1 + width]
-                        fps = window_fingerprints(part, starts, width)
-                        for w, i in self.near(k, width, fps):
-                            item, own = held[i]
-                            value = weighted_similarity(part[w : w + width], own)
-                            if value >= similarity and (item not in best or value > best[item][0]):
-                                best[item] = (value, at + w, width + k - 1)
+        shingles = runs(hashes, self.k)
+        if not len(shingles):
+            return best
+        starts, widths = self.windows(shingles, similarity)
+        order = np.argsort(starts, kind="stable")
+        starts, widths = starts[order], widths[order]
+        at = 0
+        while at < len(starts):  # in stretches, so that memory does not follow the length of the text
+            end = min(int(np.searchsorted(starts, starts[at] + STRETCH)), at + STRETCH)
+            first, last = starts[at], int((starts[at:end] + widths[at:end]).max())
+            fps = window_fingerprints(shingles[first:last], starts[at:end] - first, widths[at:end])
+            for w, i in self.near(fps, widths[at:end]):
+                item, own = self.items[i]
+                start, width = int(starts[at + w]), int(widths[at + w])
+                value = weighted_similarity(shingles[start : start + width], own)
+                if value >= similarity and (item not in best or value > best[item][0]):
+                    best[item] = (value, start, width + self.k - 1)
+            at = end
         return best
 
 
+class Items:
+    """Indexes of a block of items; items of fewer than SHINGLE words are one shingle each."""
+
+    def __init__(self, items: list[tuple[int, np.ndarray]], radius: int = RADIUS):
+        sized: dict[int, list] = {}
+        for item, hashes in items:
+            if len(hashes):
+                sized.setdefault(min(SHINGLE, len(hashes)), []).append((item, hashes))
+        self.indexes = [ItemIndex(held, k, radius) for k, held in sorted(sized.items())]
+
+    def matches(self, hashes: np.ndarray, similarity: float) -> dict[int, tuple[float, int, int]]:
+        out: dict[int, tuple[float, int, int]] = {}
+        for index in self.indexes:
+            for item, found in index.matches(hashes, similarity).items():
+                if item not in out or found[0] > out[item][0]:
+                    out[item] = found
+        return out
+
+
 def item_blocks(items: DataFrame, block_words: int) -> Iterator[list[tuple[int, str]]]:
     """Items in blocks of at most block_words words; a single longer item is a block of its own."""
     block, size = [], 0
@@ -153,7 +184,7 @@ def item_blocks(items: DataFrame, block_words: int) -> Iterator[list[tuple[int,
 
 def _index(spark, block: list[tuple[int, str]], radius: int):
     plain = PlainWords()
-    return spark.sparkContext.broadcast(ItemIndex([(i, plain.of(t)) for i, t in block], radius))
+    return spark.sparkContext.broadcast(Items([(i, plain.of(t)) for i, t in block], radius))
 
 
 def contamination(docs: DataFrame, items: DataFrame, similarity: float = 0.8, radius: int = RADIUS, block_words: int = 500_000) -> DataFrame:

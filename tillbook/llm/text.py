@@ -56,10 +56,11 @@ def runs(hashes: np.ndarray, k: int) -> np.ndarray:
     n = len(hashes) - k + 1
     if n <= 0:
         return np.empty(0, dtype=np.uint64)
-    out = np.zeros(n, dtype=np.uint64)
-    for j in range(k):
-        out = mixed(out + hashes[j : j + n] + np.uint64(j + 1))
-    return out
+    out = hashes[:n].copy()
+    for j in range(1, k):
+        out *= MIX
+        out += hashes[j : j + n]
+    return mixed(out)
 
 
 def shingle_set(found: list[bytes], k: int, hashes: WordHashes) -> np.ndarray:
