@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillbook.llm import decontaminate, quality_rules, simhash
+from tillbook.llm import decontaminate, pii, quality_rules, simhash
 from tillbook.llm.shipping import ship
 
 _BUILDS: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -44,6 +44,12 @@ def op3_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.fingerprint_components(table(spark, sf_dir, "documents"), k=3, radius=2)
 
 
+@registered
+def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document: base kinds by pattern, identifiers by context."""
+    return pii.personal_data(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(_BUILDS)
 
