@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tillbook.llm import bpe, decontaminate, pii, quality_rules, simhash
+from tillbook.llm import bpe, decontaminate, html_text, pii, quality_rules, simhash
 from tillbook.llm.shipping import ship
 
 _BUILDS: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -58,6 +58,12 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN).drop("ids")
 
 
+@registered
+def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page without the templates of its site."""
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(_BUILDS)
 
