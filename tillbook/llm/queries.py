@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tillbook.llm import bpe, decontaminate, html_text, pii, quality_rules, simhash
+from tillbook.llm import bpe, decontaminate, html_text, pii, quality_rules, simhash, substring_dedup
 from tillbook.llm.shipping import ship
 
 _BUILDS: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -26,6 +26,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@registered
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the sentences of runs that stand in an earlier one."""
+    return substring_dedup.without_repeats(table(spark, sf_dir, "documents"))
+
+
 @registered
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rule statistics, base rules and the forest's verdict for every document."""
