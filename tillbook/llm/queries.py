@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tillbook.llm import bpe, decontaminate, html_text, pii, quality_rules, simhash, substring_dedup
+from tillbook.llm import bpe, decontaminate, html_text, katz, pii, quality_rules, simhash, substring_dedup
 from tillbook.llm.shipping import ship
 
 _BUILDS: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -39,6 +39,12 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "score")
 
 
+@registered
+def op1_katz_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base and Katz scores of every document, learned from those that are not held out."""
+    return katz.scores(table(spark, sf_dir, "documents"))
+
+
 @registered
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark items found in documents, with the best window of each."""
