@@ -50,6 +50,12 @@ def repeated_words(hashes: np.ndarray, window: int = WINDOW) -> int:
     return int((np.cumsum(edges[:-1]) > 0).sum())
 
 
+def capitals(text: str) -> int:
+    """Letters A-Z and their accented kin in the Latin-1 range."""
+    points = np.frombuffer(text.encode("utf-32-le"), dtype=np.uint32)
+    return int((((points >= 0x41) & (points <= 0x5A)) | ((points >= 0xC0) & (points <= 0xDE) & (points != 0xD7))).sum())
+
+
 def text_counts(text: str | None, hashes: WordHashes) -> tuple[int, ...]:
     """COUNTS of one text."""
     if not text:
@@ -67,7 +73,7 @@ def text_counts(text: str | None, hashes: WordHashes) -> tuple[int, ...]:
         len(lines) - len(set(lines)),
         repeated_words(ids),
         len(lines),
-        sum(map(str.isupper, text)),
+        capitals(text),
         int((ids[1:] == ids[:-1]).sum()),
     )
 

@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tillbook.llm import bpe, decontaminate, html_text, katz, pii, quality_rules, simhash, substring_dedup
+from tillbook.llm import bpe, decontaminate, html_text, katz, licences, pii, quality_rules, simhash, substring_dedup, weak_labels
 from tillbook.llm.shipping import ship
 
 _BUILDS: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -63,6 +64,14 @@ def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.personal_data(table(spark, sf_dir, "documents"))
 
 
+@registered
+def op7_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence of every document, its own or inherited; documents lie in folders by source and language."""
+    path = F.concat(F.coalesce("source", F.lit("")), F.lit("/"), F.coalesce("lang", F.lit("")), F.lit("/"), F.col("doc_id").cast("string"), F.lit(".txt"))
+    files = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), path.alias("path"), "text")
+    return licences.scan(files).withColumnRenamed("id", "doc_id")
+
+
 @registered
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of every document and the text decoded from them, as digests."""
@@ -70,6 +79,12 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN).drop("ids")
 
 
+@registered
+def op9_weak_label_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weak label, score and verdict of every document."""
+    return weak_labels.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @registered
 def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page without the templates of its site."""
