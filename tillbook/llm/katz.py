@@ -329,7 +329,8 @@ def _out(row, doc_id=None, w=None, n0=None, na=None, nb=None, n_tokens=None, n_k
 
 
 def _sums(index: np.ndarray, size: int, weights: np.ndarray | None = None) -> np.ndarray:
-    return np.bincount(index, weights=weights, minlength=size)
+    out = np.bincount(index, weights=weights, minlength=size)
+    return out if weights is None else out.astype(np.float64)  # without any entry bincount forgets the weights
 
 
 def chunk_rows(rows: list[tuple], texts: list, shared: dict, hashes: WordHashes) -> tuple[pa.RecordBatch, pa.RecordBatch, list[tuple]]:
