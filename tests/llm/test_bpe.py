@@ -1,0 +1,82 @@
+import base64
+import hashlib
+import random
+
+import numpy as np
+import public_tokenizers
+import pytest
+import tiktoken
+from llm_data import SF, documents, llm, nothing, odd, odd_rows  # noqa: F401
+
+from tillbook.llm import bpe
+
+PATH = public_tokenizers.path("byte_bpe_50k.tiktoken")
+PATTERN = public_tokenizers.PATTERN
+
+
+@pytest.fixture(scope="module")
+def reference():
+    with open(PATH, "rb") as f:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+    return tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
+@pytest.fixture(scope="module")
+def own():
+    with open(PATH, "rb") as f:
+        return bpe.ByteBPE(f.read(), PATTERN)
+
+
+def digests(reference, text):
+    ids = reference.encode_ordinary(text or "")
+    return len(ids), hashlib.sha256(np.array(ids, dtype="<u4").tobytes()).hexdigest(), hashlib.sha256((text or "").encode()).hexdigest()
+
+
+def expected(reference, rows):
+    return sorted(((d, *digests(reference, t)) for d, t in rows), key=repr)
+
+
+def collected(df):
+    return sorted(((r.doc_id, r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in df.collect()), key=repr)
+
+
+def test_documents_equal_the_library(llm, documents, reference):
+    docs = llm.read.parquet(f"{SF}/documents.parquet")
+    assert collected(bpe.round_trip(docs, PATH, PATTERN)) == expected(reference, documents)
+
+
+def test_white_space_and_scripts(own, reference):
+    rng = random.Random(3)
+    letters = "ab'st  \n\t\r  \x0b\x1c\x85 é漢1 ½٣ I'll we've.,!—😀x y"
+    texts = ["".join(rng.choice(letters) for _ in range(rng.randrange(0, 60))) for _ in range(3000)]
+    texts += [" ", "  ", " a", "a ", "a  b", "a \n b", "　 a", "<|endoftext|> x", "don't 'tis", "x" + " " * 7 + "y"]
+    got = own.encode(texts)
+    for text, ids in zip(texts, got, strict=True):
+        assert ids.tolist() == reference.encode_ordinary(text), repr(text)
+    assert own.decode(got) == [t.encode() for t in texts]
+
+
+def test_long_pieces_contract_alike(own, reference):
+    rng = random.Random(4)
+    texts = ["a" * 3000, "ab" * 900, "aab" * 500, "".join(rng.choice("abcdefghij") for _ in range(4000)), "漢字" * 200, "=" * 501, "".join(rng.choice("ab") for _ in range(2000))]
+    texts += ["".join(rng.choice("etaoin") for _ in range(rng.randrange(60, 90))) for _ in range(200)]
+    for text, ids in zip(texts, own.encode(texts), strict=True):
+        assert ids.tolist() == reference.encode_ordinary(text), text[:50]
+
+
+def test_cache_that_is_full_changes_nothing(own, reference, documents, monkeypatch):
+    monkeypatch.setattr(bpe, "CACHED_CHUNKS", 50)
+    monkeypatch.setattr(bpe, "WORDS", 30)
+    texts = [t for _, t in documents[:20]]
+    for part in (texts[:10], texts[10:]):
+        assert [i.tolist() for i in own.encode(part)] == [reference.encode_ordinary(t) for t in part]
+
+
+def test_unknown_id_fails(own):
+    with pytest.raises(ValueError):
+        own.decode([np.array([5, 60_000], dtype=np.uint32)])
+
+
+def test_odd_rows(odd, odd_rows, nothing, reference):
+    assert collected(bpe.round_trip(odd, PATH, PATTERN)) == expected(reference, odd_rows)
+    assert bpe.round_trip(nothing, PATH, PATTERN).collect() == []

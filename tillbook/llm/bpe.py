@@ -16,6 +16,7 @@ repeated rows each give a row; an id that the vocabulary lacks fails the query.
 from __future__ import annotations
 
 import base64
+import hashlib
 import sys
 from collections.abc import Iterator
 
@@ -73,8 +74,8 @@ select w, p, t, best is null as done from s where best is null or step = $steps
 """
 
 DECODE = """
-select d, string_agg(v.bytes, '' order by p) as text
-from ids join vocabulary v using (t) group by d
+select d, string_agg(v.bytes, '' order by p) as text, count(*) - count(v.bytes) as unknown
+from ids left join vocabulary v using (t) group by d
 """
 
 
@@ -125,7 +126,8 @@ class ByteBPE:
         w, p, t = (np.concatenate(c) for c in zip(*found, strict=True))
         order = np.lexsort((p, w))
         w, t = w[order], t[order].astype(np.uint32)
-        return np.split(t, np.searchsorted(w, np.arange(1, len(words))))
+        cuts = np.searchsorted(w, np.arange(len(words) + 1)).tolist()
+        return [t[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
 
     def encode_words(self, words: list[bytes]) -> list[np.ndarray]:
         out: list[np.ndarray] = [np.empty(0, dtype=np.uint32)] * len(words)
@@ -154,11 +156,18 @@ class ByteBPE:
     def _learn(self, fresh: list[str]) -> None:
         """Encode chunks of text that are not in the cache."""
         pieces = [self.pattern.findall(c) for c in fresh]
-        words = list(dict.fromkeys(p for found in pieces for p in found))
-        ids = dict(zip(words, self.encode_words([w.encode() for w in words]), strict=True))
-        none = np.empty(0, dtype=np.uint32)
-        found = [np.concatenate([ids[p] for p in c]) if c else none for c in pieces]
-        sizes = np.array([len(f) for f in found], dtype=np.int64)
+        ids: dict[str, np.ndarray] = {}
+        words = []
+        for p in dict.fromkeys(p for found in pieces for p in found):
+            at = self.chunks.get(p)  # most pieces are a chunk of their own somewhere
+            if at is None:
+                words.append(p)
+            else:
+                ids[p] = self.flat[self.starts[at] : self.starts[at] + self.sizes[at]]
+        ids.update(zip(words, self.encode_words([w.encode() for w in words]), strict=True))
+        found = [ids[p] for c in pieces for p in c]
+        ends = np.r_[0, np.cumsum([len(f) for f in found], dtype=np.int64)]
+        sizes = np.diff(ends[np.r_[0, np.cumsum([len(c) for c in pieces], dtype=np.int64)]])
         starts = len(self.flat) + np.cumsum(sizes) - sizes
         at = len(self.chunks)
         self.chunks.update(zip(fresh, range(at, at + len(fresh)), strict=True))
@@ -215,10 +224,9 @@ class ByteBPE:
             flat = np.concatenate(part).astype(np.int32)
             d = np.repeat(np.arange(at, end, dtype=np.int32), sizes)
             self._load("ids", pa.table({"d": d, "p": np.arange(total) - np.repeat(starts, sizes), "t": flat}))
-            unknown = self.con.execute("select count(*) from ids anti join vocabulary using (t)").fetchall()[0][0]
-            if unknown:
-                raise ValueError(f"{unknown} ids are not in the vocabulary")
-            for doc, text in self.con.execute(DECODE).fetchall():
+            for doc, text, unknown in self.con.execute(DECODE).fetchall():
+                if unknown:
+                    raise ValueError(f"{unknown} ids are not in the vocabulary")
                 out[doc] = text.encode("latin-1")
             at = end
         return out
@@ -275,6 +283,27 @@ def decode(encoded: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
 
 
 def round_trip(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
-    """doc_id, n_tokens, ids, ids_sha256 and decoded_sha256 of every row."""
-    both = decode(encode(docs, ranks_path, pattern), ranks_path, pattern)
-    return both.select("doc_id", "n_tokens", "ids", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+    """doc_id, n_tokens, ids, ids_sha256 and decoded_sha256 of every row: encode() and decode() in one pass."""
+    ranks = _sent(docs.sparkSession, ranks_path)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bpe = tokenizer(ranks.value, pattern)
+        for batch in batches:
+            for at in range(0, batch.num_rows, 1024):
+                part = batch.slice(at, 1024)
+                ids = bpe.encode([t or "" for t in part.column(1).to_pylist()])
+                packed = [i.astype("<u4").tobytes() for i in ids]
+                decoded = bpe.decode(ids)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        part.column(0),
+                        pa.array([len(i) for i in ids], pa.int64()),
+                        pa.array(packed, pa.binary()),
+                        pa.array([hashlib.sha256(x).hexdigest() for x in packed], pa.string()),
+                        pa.array([hashlib.sha256(x).hexdigest() for x in decoded], pa.string()),
+                    ],
+                    ["doc_id", "n_tokens", "ids", "ids_sha256", "decoded_sha256"],
+                )
+
+    schema = "doc_id long, n_tokens long, ids binary, ids_sha256 string, decoded_sha256 string"
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, schema)

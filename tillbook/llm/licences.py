@@ -67,7 +67,7 @@ TEMPLATES = {
 # Words without which a sentence is no notice.
 SPEAKS = r"(?i)licen[cs]e|redistribut|permission|creative commons"
 FILE_NAME = r"(?i)^(?:licen[cs]e|copying|notice|unlicense)(?:[._-][^/]*)?$"
-SENTENCES = r"\n|(?<=[.!?:;])[\x20\x09\x0B-\x0D]+(?=\S)"
+SENTENCES = r"\n|(?<=[.!?;])[\x20\x09\x0B-\x0D]+(?=\S)"
 
 
 def _terms(text: Column) -> Column:
