@@ -13,11 +13,11 @@ kinds the threshold is 0.5; patterns with equal counts are summed, equal scores
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import regex
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -105,13 +105,18 @@ def expectation_maximisation(patterns: np.ndarray, counts: np.ndarray, rounds: i
 
 
 # ------------------------------------------------------------------ hashed linear scorer
+# Shape of a word: letters (all bytes of other scripts among them) a, capitals A, digits 0, runs as one.
+SHAPES = bytes(0x41 if 0x41 <= b <= 0x5A else 0x30 if 0x30 <= b <= 0x39 else 0x61 if 0x61 <= b <= 0x7A or b >= 0x80 else b for b in range(256))
+RUN = re.compile(rb"(.)\1+", re.DOTALL)
+
+
 class Features(dict):
     """Feature numbers of a word: its hash and the hash of its shape, as one integer."""
 
     def __missing__(self, word: bytes) -> int:
-        shape = regex.sub(r"\p{Lu}+", "A", regex.sub(r"\p{Ll}+", "a", regex.sub(r"\p{N}+", "0", word.decode())))
+        shape = RUN.sub(rb"\1", word.translate(SHAPES))
         low = (1 << FEATURE_BITS) - 1
-        value = (xxhash.xxh64_intdigest(b"w" + word.lower()) & low) << 32 | (xxhash.xxh64_intdigest(b"s" + shape.encode()) & low)
+        value = (xxhash.xxh64_intdigest(word.lower()) & low) << 32 | (xxhash.xxh64_intdigest(shape, 1) & low)
         if len(self) < CACHED_WORDS:
             self[word] = value
         return value
