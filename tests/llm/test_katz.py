@@ -71,7 +71,8 @@ def collected(df):
 def test_scores_equal_the_definition(llm, documents, options, monkeypatch):
     if options:  # several buckets and chunks, most words rare
         monkeypatch.setattr(katz, "BUCKET_BYTES", 20_000)
-        monkeypatch.setattr(katz, "CHUNK_TOKENS", 4_000)
+        monkeypatch.setattr(katz, "COUNT_TOKENS", 4_000)
+        monkeypatch.setattr(katz, "SCORE_TOKENS", 3_000)
     docs = llm.read.parquet(f"{SF}/documents.parquet").repartition(5)
     expected, mass = brute(documents)
     assert collected(katz.scores(docs, **options)) == expected

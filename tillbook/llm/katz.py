@@ -26,11 +26,12 @@ gives a row, repeated ones too; without training rows every probability is 1 and
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillbook.llm.text import WordHashes, lower_words, mixed, signed
@@ -38,7 +39,7 @@ from tillbook.session import pin
 
 K = 5
 START, END = xxhash.xxh64_intdigest(b"\r"), xxhash.xxh64_intdigest(b"\n")  # no word holds white space
-CHUNK_TOKENS = 2_000_000
+COUNT_TOKENS, SCORE_TOKENS = 1_500_000, 500_000  # tokens that a task holds at a time
 BUCKET_BYTES = 4_000_000  # text per bucket
 BINS = 8  # count bins per power of two
 PAIR = np.uint64(0x9E3779B97F4A7C15)
@@ -111,8 +112,8 @@ def _arrays(cell) -> np.ndarray:
     return cell.values.to_numpy(zero_copy_only=False)
 
 
-def _chunks(batches: Iterator[pa.RecordBatch], text: int) -> Iterator[tuple[list[tuple], list]]:
-    """Rows of about CHUNK_TOKENS tokens (estimated by length) and their texts."""
+def _chunks(batches: Iterator[pa.RecordBatch], text: int, most: int) -> Iterator[tuple[list[tuple], list]]:
+    """Rows of about `most` tokens (estimated by length) and their texts."""
     held, texts, size = [], [], 0
     for batch in batches:
         plain = [c.to_pylist() for i, c in enumerate(batch.columns) if i != text]
@@ -121,7 +122,7 @@ def _chunks(batches: Iterator[pa.RecordBatch], text: int) -> Iterator[tuple[list
             held.append(tuple(c[i] for c in plain))
             texts.append(t)
             size += len(t or "") // 6 + 1
-            if size >= CHUNK_TOKENS:
+            if size >= most:
                 yield held, texts
                 held, texts, size = [], [], 0
     if held:
@@ -130,11 +131,14 @@ def _chunks(batches: Iterator[pa.RecordBatch], text: int) -> Iterator[tuple[list
 
 # ------------------------------------------------------------------ training
 def pair_table(docs: DataFrame, buckets: int) -> DataFrame:
-    """bucket, w1, w2, n (arrays ordered by w1, w2): counts of all training pairs, one row per bucket."""
+    """bucket, w1, w2, n (arrays ordered by w1, w2): counts of all training pairs, one row per bucket.
+
+    small and binned say how many pairs of the bucket have count 1 .. K + 1, and lie in each bin of counts.
+    """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
-        for _, texts in _chunks(batches, 0):
+        for _, texts in _chunks(batches, 0, COUNT_TOKENS):
             w, h, _ = tokens(texts, hashes)
             h, w, n = unique_pairs(h, w)
             parts = by_bucket(bucket_of(h, w, buckets), signed(h), signed(w), n)
@@ -152,8 +156,10 @@ def pair_table(docs: DataFrame, buckets: int) -> DataFrame:
                     pa.array([signed(h)], pa.list_(pa.int64())),
                     pa.array([signed(w)], pa.list_(pa.int64())),
                     pa.array([n], pa.list_(pa.int64())),
+                    pa.array([np.bincount(n[n <= K + 1], minlength=K + 2)], pa.list_(pa.int64())),
+                    pa.array([np.bincount(np.floor(np.log2(n) * BINS).astype(np.int64))], pa.list_(pa.int64())),
                 ],
-                ["bucket", "w1", "w2", "n"],
+                ["bucket", "w1", "w2", "n", "small", "binned"],
             )
 
         for batch in batches:
@@ -168,11 +174,17 @@ def pair_table(docs: DataFrame, buckets: int) -> DataFrame:
 
     found = docs.select("text").mapInArrow(count, PACKED)
     placed = found.repartition(_partitions(buckets), "bucket").sortWithinPartitions("bucket")
-    return placed.mapInArrow(merge, "bucket int, w1 array<long>, w2 array<long>, n array<long>")
+    return placed.mapInArrow(merge, "bucket int, w1 array<long>, w2 array<long>, n array<long>, small array<long>, binned array<long>")
+
+
+def _summed(table: DataFrame, column: str) -> list[tuple[int, int]]:
+    """Sums of an array column by position."""
+    each = table.select(F.posexplode(column).alias("at", "n")).groupBy("at").agg(F.sum("n").alias("n"))
+    return sorted((r.at, r.n) for r in each.filter("n > 0").collect())
 
 
 def _partitions(buckets: int) -> int:
-    return max(1, buckets // 8)
+    return max(1, buckets // 2)
 
 
 def discounts(counts: dict[int, int], most: int = K) -> np.ndarray:
@@ -236,7 +248,7 @@ class Model:
         self.train_tokens, self.vocabulary = (x or 0 for x in counts.agg(F.sum("n"), F.count(F.lit(1))).first())
         small, bins = count_profile(counts)
         d1 = discounts(small)
-        pair_small, pair_bins = count_profile(flat)
+        pair_small, pair_bins = dict(_summed(self.pairs, "small")), _summed(self.pairs, "binned")
         self.d2 = discounts(pair_small)
         total = max(1, self.train_tokens)
         if len(d1):
@@ -428,7 +440,7 @@ def score_block(rows: DataFrame, model: Model) -> DataFrame:
 
     def chunk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
-        for held, texts in _chunks(batches, 2):
+        for held, texts in _chunks(batches, 2, SCORE_TOKENS):
             sums, rare, packed = chunk_rows(held, texts, shared.value, hashes)
             for at in range(0, len(packed), 64):
                 part = _packed(packed[at : at + 64])
@@ -490,8 +502,27 @@ def _direct(out: pa.RecordBatch, names: list[str], buckets: int) -> pa.RecordBat
     return pa.RecordBatch.from_arrays([*head.columns, pa.array([out.to_struct_array().to_pylist()], DIRECT)], names)
 
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffle_files_end_with_their_job(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of a job go when its result is written, not when the driver happens to collect garbage."""
+    before = spark.conf.get(CLEANUP)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(CLEANUP, before)
+
+
 def scores(docs: DataFrame, hot_words: int = 100_000, hot_pairs: int = 400_000, blocks: int = 2) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every row of docs(doc_id, text)."""
+    with shuffle_files_end_with_their_job(docs.sparkSession):
+        return _scores(docs, hot_words, hot_pairs, blocks)
+
+
+def _scores(docs: DataFrame, hot_words: int, hot_pairs: int, blocks: int) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     model = Model(rows.filter(~held_out()), hot_words, hot_pairs)
     numbered = rows.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text")
