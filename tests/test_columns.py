@@ -27,6 +27,18 @@ def test_shift_by_pct(spark, value, pct, step, expected):
     assert one(spark, shifted) == expected
 
 
+def test_shift_without_a_percent_or_a_value(spark):
+    money_of = lambda v: lit(v, "decimal(12,2)")
+    assert one(spark, C.shift_by_pct(money_of(1234), lit(None, "decimal(4,2)"), 100)) == 1234
+    assert one(spark, C.shift_by_pct(money_of(None), lit("0.05", "decimal(4,2)"), 100)) is None
+    data = [(1, money(1000), money(2000), None, None), (2, money(1000), money(2000), money("0.10"), None)]
+    df = spark.createDataFrame(data, "id bigint, unit_cost decimal(12,2), unit_price decimal(12,2), c decimal(4,2), p decimal(4,2)")
+    assert rows(reports.revise_prices(df, "c", "p"), "id", "new_unit_cost", "new_unit_price") == [
+        (1, money(1000), money(2000)),
+        (2, money(1100), money(2000)),
+    ]
+
+
 def test_round_to_step_takes_the_even_multiple_on_ties(spark):
     assert [one(spark, C.round_to_step(lit(v, "decimal(12,2)"), 100)) for v in (150, 250, 251)] == [200, 200, 300]
     assert one(spark, C.ceil_to_step(lit("100.01", "decimal(12,2)"), 100)) == 200

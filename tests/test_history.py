@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import money, rows, ts
@@ -235,6 +236,24 @@ def test_product_history_tracks_every_column(spark):
     assert {r["product_sku"] for r in got.collect()} == {"NEW"}
 
 
+@pytest.mark.parametrize("per_key", [256, 0])
+def test_overlapping_versions_give_one_row_on_both_paths(spark, per_key):
+    """The latest start counts; after its end the earlier version does not come back."""
+    data = [
+        (1, ts("2024-01-01"), ts("2024-01-10"), "long"),
+        (1, ts("2024-01-05"), ts("2024-01-07"), "inner"),
+        (2, ts("2024-01-01"), ts("2024-01-03"), "tie a"),
+        (2, ts("2024-01-01"), ts("2024-01-09"), "tie b"),
+        (None, ts("2024-01-01"), ts("2024-01-09"), "no key"),
+    ]
+    versions = spark.createDataFrame(data, "id bigint, valid_from timestamp_ntz, valid_to timestamp_ntz, v string")
+    when = [(1, "2024-01-02"), (1, "2024-01-05"), (1, "2024-01-08"), (2, "2024-01-02"), (2, "2024-01-05"), (3, "2024-01-02"), (None, "2024-01-02")]
+    sale = spark.createDataFrame([(i, ts(t)) for i, t in when] + [(1, None)], "id bigint, at timestamp_ntz")
+    got = rows(pit_join(sale, versions, "id", "at", ["v"], limits=Limits(versions_per_key=per_key)), "id", "at", "v")
+    expected = ["long", "inner", None, "tie b", "tie b", None, None, None]
+    assert got == sorted(((i, t, v) for (i, t), v in zip([(i, ts(t)) for i, t in when] + [(1, None)], expected)), key=repr)
+
+
 def test_wrong_pins(spark):
     fct = spark.createDataFrame([(1, money(5)), (2, money(6)), (-2, None)], "product_key bigint, unit_cost decimal(12,2)")
     dim = spark.createDataFrame([(1, money(5)), (2, money(7)), (-2, None)], "product_key bigint, unit_cost decimal(12,2)")

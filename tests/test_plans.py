@@ -46,3 +46,22 @@ def test_slice_filter_passes_the_copy_removal(star):
     # The semi join with the changed receipts is below the aggregate, and the id range is at the scan.
     assert plan.index("HashAggregate") < plan.index("LeftSemi")
     assert "GreaterThanOrEqual(transaction_id," in plan
+
+
+def test_lines_are_shuffled_once_up_to_the_join(star):
+    plan = physical(star.lines())
+    dealt = [row for row in plan.splitlines() if "Exchange hashpartitioning" in row]
+    # The lines' own exchange, and one of the headers if they are too many to send.
+    assert plan.count("REPARTITION_BY_COL") == 1 and len(dealt) <= 2
+    assert all("hashpartitioning(transaction_id" in row and "line_number" not in row for row in dealt)
+
+
+def test_merged_point_in_time_join_reads_its_facts_from_one_write(star, spark):
+    from dataclasses import replace
+
+    from tillbook.operators.pit import pit_join
+
+    limits = replace(star.limits, versions_per_key=0)
+    take = ["valid_from", "unit_cost"]
+    plan = physical(pit_join(star.lines(), star.stored("product_history"), "product_id", "transaction_ts", take, limits=limits))
+    assert plan.count("FileScan") == 2 and plan.count("pit-facts") == 1

@@ -167,8 +167,12 @@ def ceil_to_step(value: Column, step: int) -> Column:
 
 
 def shift_by_pct(value: Column, pct: Column, step: int) -> Column:
-    """value * (1 + pct) on the step grid, moved by at least one step and never below zero."""
+    """value * (1 + pct) on the step grid, moved by at least one step and never below zero.
+
+    A NULL percent leaves the value as it is, a NULL value stays NULL.
+    """
     moved = round_to_step(value * (F.lit(1) + pct), step)
     stuck = moved == round_to_step(value, step)
     nudge = F.when(pct > 0, F.lit(step)).otherwise(F.lit(-step))
-    return F.greatest(F.when(stuck, moved + nudge).otherwise(moved).cast(MONEY), F.lit(0).cast(MONEY))
+    shifted = F.greatest(F.when(stuck, moved + nudge).otherwise(moved).cast(MONEY), F.lit(0).cast(MONEY))
+    return F.when(value.isNull() | pct.isNull(), value.cast(MONEY)).otherwise(shifted)

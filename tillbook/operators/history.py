@@ -113,6 +113,10 @@ def latest_state(raw: DataFrame, pk: list[str], order_by: str = "updated_at") ->
 
 
 def wrong_pins(fact: DataFrame, dim_product: DataFrame) -> DataFrame:
-    """Fact rows whose stored cost differs from the version their key points to."""
+    """(product_key, unit_cost, version_cost, rows) of facts whose stored cost is not that of their version.
+
+    Facts are summed per key and cost before the join, so no busy key is shuffled row by row.
+    """
     versions = dim_product.select("product_key", F.col("unit_cost").alias("version_cost"))
-    return fact.join(versions, "product_key", "left").filter(is_distinct("unit_cost", "version_cost"))
+    pinned = fact.groupBy("product_key", "unit_cost").agg(F.count(F.lit(1)).alias("rows"))
+    return pinned.join(versions, "product_key", "left").filter(is_distinct("unit_cost", "version_cost"))

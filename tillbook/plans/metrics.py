@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tillbook.functions.columns import period, ratio
 
-SEMI_ADDITIVE_WARNING = "Semi-additive: sum across stores, group by month, never total over several months."
+SEMI_ADDITIVE_WARNING = "A level, not a flow: added up over stores; over a longer period the edge month alone is counted."
 
 
 @dataclass(frozen=True)

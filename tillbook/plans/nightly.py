@@ -4,16 +4,17 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
-from datetime import date
+from datetime import date, datetime, time
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillbook import schemas
 from tillbook.operators import facts, history
-from tillbook.operators.quality import assert_shape, gate, stack
+from tillbook.operators.quality import assert_shape, freshness, gate, report, stack
 from tillbook.plans import suites
 from tillbook.plans.star import Star
+from tillbook.session import pin
 from tillbook.sources.ingest import load_appended, read_raw, replace_table
 from tillbook.sources.snapshots import SnapshotTable
 
@@ -48,11 +49,32 @@ def run_fct_sales(star: Star, table: SnapshotTable, mode: str = "incremental", b
     assert_shape(df, schemas.MART["fct_sales"], "fct_sales")
     df = df.withColumn("sale_month", facts.sale_month())
     if mode == "full":
-        table.replace(df, batch)
+        table.replace(df, batch, FACT_KEYS)
     else:
         table.upsert(df, FACT_KEYS, batch)
 
 
+def history_checks(star: Star) -> DataFrame:
+    """The rules of both histories."""
+    tracked = ["category_id", "brand_id", "unit_price", "unit_cost"]
+    people = ["employee_name", "salary", "address", "start_date", "end_date"]
+    product, employee = star.stored("product_history"), star.stored("employee_history")
+    return stack(
+        [
+            suites.check_scd2(
+                product, "product_history", "product_id", tracked, ["product_sku", "product_name"], source=star.fresh("stg_product"), limits=star.limits
+            ),
+            suites.check_scd2(employee, "employee_history", "employee_id", ["store_id"], people, gapless=True, limits=star.limits),
+        ]
+    )
+
+
+def freshness_rule(raw: DataFrame, table: str, as_of: date) -> DataFrame:
+    """Freshness at the end of the report day as a rule that never blocks."""
+    late = freshness(raw, table, datetime.combine(as_of, time.max)).filter("status <> 'pass'")
+    return report(table, "fresh", late, severity="warn")
+
+
 def run_pipeline(
     spark: SparkSession,
     source: Callable[[str], DataFrame],
@@ -60,8 +82,13 @@ def run_pipeline(
     as_of: date,
     load_id: int,
     mode: str = "incremental",
+    blocking_relationships: bool = True,
 ) -> DataFrame:
-    """One night. Bad RAW stops the run before any mart; returns the check results of the marts."""
+    """One night; returns the check results, those of freshness as warnings.
+
+    Bad RAW, repeated staging keys and staging rows without their parent stop the run before history is built.
+    With blocking_relationships=False missing parents are only reported.
+    """
     load_raw(spark, source, root, load_id)
     raw = raw_table(spark, root)
     gate(stack([suites.raw_checks(raw(t), t) for t in suites.RAW_RULES]))
@@ -71,6 +98,11 @@ def run_pipeline(
     layers = f"{root}/layers/load-{load_id}-{uuid.uuid4().hex[:8]}"
     views = (*(f"raw_{n}" for n in schemas.RAW), "stg_sales_transaction", "fct_sales_enriched")
     star = Star(spark, raw, as_of, root=layers, views=views)
+    gate(suites.staging_keys({n: star.fresh(f"stg_{n}") for n in suites.STAGING_KEYS}))
+    parents = {n: star.fresh(f"stg_{n}") for n in suites.STAGING_PARENTS}
+    relationships = pin(suites.staging_relationships(parents), "staging-relationships")
+    if blocking_relationships:
+        gate(relationships)
     fact = fact_table(spark, root)
     run_fct_sales(star, fact, mode, batch=f"load-{load_id}-{mode}")
     star.use("fct_sales", fact.read())
@@ -84,6 +116,16 @@ def run_pipeline(
             suites.dim_rules(star.dims()),
             suites.fact_relationships(marts["fct_sales"], star.dims()),
             suites.enriched_matches(marts["fct_sales"], marts["fct_sales_enriched"]),
+            relationships,
+            history_checks(star),
+            suites.check_headcount(
+                marts["fct_store_headcount_monthly"], star.stored("employee_history"), marts["fct_sales"], marts["dim_store"], marts["dim_date"], as_of
+            ),
+            suites.row_count_matches(marts["fct_sales"], parents["sales_transaction_item"], parents["sales_transaction"]),
+            suites.check_source_rules({n: raw(n) for n in schemas.RAW}),
+            report("sales_transaction", "status never changes", suites.status_changes(raw("sales_transaction"))),
+            *[freshness_rule(raw(t), t, as_of) for t in schemas.APPENDED],
         ]
     )
-    return results.withColumn("load_id", F.lit(load_id))
+    # Written, because the next night replaces tables that the rules read.
+    return pin(results.withColumn("load_id", F.lit(load_id)), "night-checks")

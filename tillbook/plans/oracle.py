@@ -9,7 +9,7 @@ from __future__ import annotations
 from tillbook import schemas
 from tillbook.plans.metrics import METRICS, SALES, base_metrics, expression, model_of
 
-AS_OF = "date '2024-02-15'"
+AS_OF = "date '2026-08-02'"
 FIRST_DAY = "date '2020-01-01'"
 
 
@@ -248,7 +248,7 @@ store_sales as (
   from fct join dim_store using (store_key) join dim_date using (date_key) group by all),
 grid as (
   select store_key, store_id, store_name, cast(m as date) as month_start, least(last_day(m), {AS_OF}) as closing_day
-  from dim_store, (select unnest(generate_series(timestamp '2020-01-01', timestamp '2024-02-01', interval 1 month)) as m)
+  from dim_store, (select unnest(generate_series(timestamp '2020-01-01', timestamp '2026-08-01', interval 1 month)) as m)
   where store_key <> -2),
 counted as (
   select g.*,
@@ -443,11 +443,12 @@ def statements() -> dict[str, str]:
     q["dim_date"] = shown("select d.*, (select count(*) from fct f where f.date_key = d.date_key) as lines from dim_date d", _mart("dim_date") + " lines")
     q["dim_time"] = shown("select d.*, (select count(*) from fct f where f.time_key = d.time_key) as lines from dim_time d", _mart("dim_time") + " lines")
     q["employees_without_pii"] = shown("from dim_employee", "employee_key employee_id store_id employee_name start_date end_date valid_from valid_to is_current")
-    q["pit_product"] = shown(
-        "select transaction_id, line_number, l.product_id, valid_from, unit_cost from line l left join h_product h "
-        "on h.product_id = l.product_id and transaction_ts >= valid_from and transaction_ts < valid_to",
-        "transaction_id line_number product_id valid_from unit_cost",
-    )
+    for name in ["pit_product", "pit_product_merged"]:
+        q[name] = shown(
+            "select transaction_id, line_number, l.product_id, valid_from, unit_cost from line l left join h_product h "
+            "on h.product_id = l.product_id and transaction_ts >= valid_from and transaction_ts < valid_to",
+            "transaction_id line_number product_id valid_from unit_cost",
+        )
 
     # facts
     for name in ["fct_sales", "fct_sales_incremental", "stream_upsert_fact"]:
@@ -518,7 +519,7 @@ def statements() -> dict[str, str]:
     )
     q["metric_headcount_total"] = shown(
         "select store_name, sum(opening_headcount) filter (month_start = date '2020-01-01') as opening_headcount, "
-        "sum(closing_headcount) filter (month_start = date '2024-02-01') as closing_headcount, sum(joiners) as joiners "
+        "sum(closing_headcount) filter (month_start = date '2026-08-01') as closing_headcount, sum(joiners) as joiners "
         "from snapshot group by 1",
         "store_name opening_headcount closing_headcount joiners",
         whole="opening_headcount closing_headcount joiners",
@@ -722,7 +723,7 @@ def statements() -> dict[str, str]:
         rule_cols,
     )
     snap = "fct_store_headcount_monthly"
-    per_store = f"select store_id from grid group by store_id having count(*) <> 50"
+    per_store = f"select store_id from grid group by store_id having count(*) <> 80"
     q["headcount_checks"] = shown(
         _rules(
             (snap, "complete", f"select count(*) from ({per_store})"),
@@ -739,11 +740,11 @@ def statements() -> dict[str, str]:
         rule_cols,
     )
     q["revenue_differences"] = shown(
-        "select 'key' as level, store_id, month_start, ifnull(s.net_revenue, 0) as left_value, x.net_revenue as right_value "
-        "from store_sales x left join snapshot s using (store_id, month_start) where ifnull(s.net_revenue, 0) <> x.net_revenue "
-        "union all select 'total', null, null, (select sum(net_revenue) from snapshot), (select sum(net_revenue) from store_sales)",
-        "level store_id month_start left_value right_value",
-        sums="left_value right_value",
+        _rules(
+            (snap, "revenue by store and month", "select count(*) from store_sales x full join snapshot s using (store_id, month_start) where ifnull(s.net_revenue, 0) <> ifnull(x.net_revenue, 0)"),
+            (snap, "revenue in total", "select if((select sum(net_revenue) from snapshot) = (select sum(net_revenue) from store_sales), 0, 1)"),
+        ),
+        rule_cols,
     )
     q["status_changes"] = shown(
         _rules((tx, "status never changes", f"select count(*) from (select transaction_id from src_{tx} group by 1 having count(distinct status) > 1)")), rule_cols
@@ -791,7 +792,10 @@ def statements() -> dict[str, str]:
         "select *, if(median_before is null, null, greatest(2 * median_before, 100000)) as threshold, "
         "ifnull(cast(net_revenue as double) > threshold, false) as is_above from ("
         "select store_name, full_date, net_revenue, if(count(*) over w = 14, quantile_cont(cast(net_revenue as double), 0.5) over w, null) as median_before "
-        "from (select store_name, full_date, sum(net_amount) as net_revenue from wide group by 1, 2) "
+        "from (select d.store_name, d.full_date, ifnull(net_revenue, 0) as net_revenue from ("
+        "select store_name, cast(unnest(generate_series(min(full_date), max(full_date), interval 1 day)) as date) as full_date from wide group by 1) d "
+        "left join (select store_name, full_date, sum(net_amount) as net_revenue from wide group by 1, 2) s "
+        "on s.store_name = d.store_name and s.full_date = d.full_date) "
         "window w as (partition by store_name order by full_date rows between 14 preceding and 1 preceding))",
         "store_name full_date net_revenue median_before threshold is_above",
         sums="net_revenue",
@@ -817,7 +821,7 @@ def statements() -> dict[str, str]:
     ppct = "(brand_id - 9) * 0.01"
     q["price_revision"] = shown(
         "select id, unit_cost, unit_price, least(new_cost, new_unit_price) as new_unit_cost, new_unit_price from ("
-        f"select id, unit_cost, unit_price, {shifted('unit_cost', pct, 100)} as new_cost, "
+        f"select id, unit_cost, unit_price, if(brand_id % 7 = 0, cast(unit_cost as double), {shifted('unit_cost', pct, 100)}) as new_cost, "
         f"if(unit_cost > 1000, greatest({shifted('unit_price', ppct, 1000)}, ceil(cast(unit_cost as double) / 1000) * 1000), cast(unit_price as double)) as new_unit_price "
         f"from ({newest}))",
         "id unit_cost unit_price new_unit_cost new_unit_price",

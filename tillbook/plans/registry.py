@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import date, datetime
 from decimal import Decimal
 
@@ -12,9 +13,9 @@ from pyspark.sql.types import DateType, DecimalType, IntegerType, TimestampNTZTy
 
 from tillbook import schemas
 from tillbook.functions.columns import LOCAL_TZ, at, local_date
-from tillbook.operators import dims, facts, headcount, history, quality
+from tillbook.operators import dims, facts, headcount, history, quality, staging
 from tillbook.operators.pit import pit_join
-from tillbook.operators.scale import broadcast_if_small
+from tillbook.operators.scale import Limits, broadcast_if_small
 from tillbook.plans import metrics, nightly, reports, suites
 from tillbook.plans.star import Star
 from tillbook.session import new_folder
@@ -22,7 +23,7 @@ from tillbook.sources import ingest, testdata
 from tillbook.sources.snapshots import SnapshotTable, apply_changes
 from tillbook.streaming import loads
 
-AS_OF = date(2024, 2, 15)
+AS_OF = date(2026, 8, 2)  # last day of the given sales
 CUT = datetime(2025, 1, 1)
 NOW = datetime(2026, 8, 2, 12)
 
@@ -176,19 +177,24 @@ _BUILDS["dim_date"] = lambda s: reports.sold_calendar(s.stored("fct_sales"), s.f
 _BUILDS["dim_time"] = lambda s: reports.sold_clock(s.stored("fct_sales"), s.fresh("dim_time"))
 
 
-@registered
-def pit_product(s: Star) -> DataFrame:
+def _pit_product(s: Star, limits: Limits) -> DataFrame:
     joined = pit_join(
-        s.lines(),
-        s.stored("product_history"),
-        "product_id",
-        "transaction_ts",
-        ["valid_from", "unit_cost"],
-        limits=s.limits,
+        s.lines(), s.stored("product_history"), "product_id", "transaction_ts", ["valid_from", "unit_cost"], limits=limits
     )
     return joined.select("transaction_id", "line_number", "product_id", "valid_from", "unit_cost")
 
 
+@registered
+def pit_product(s: Star) -> DataFrame:
+    return _pit_product(s, s.limits)
+
+
+@registered
+def pit_product_merged(s: Star) -> DataFrame:
+    """The same join by the path for version tables that are too large to send."""
+    return _pit_product(s, replace(s.limits, versions_per_key=0))
+
+
 @registered
 def employees_without_pii(s: Star) -> DataFrame:
     return dims.drop_pii(dims.tag_pii(s.stored("dim_employee"), "dim_employee"))
@@ -256,7 +262,7 @@ def unknown_key_rows(s: Star) -> DataFrame:
 
 @registered
 def pinned_cost(s: Star) -> DataFrame:
-    return history.wrong_pins(s.stored("fct_sales"), s.stored("dim_product")).agg(F.count(F.lit(1)).alias("bad_rows"))
+    return history.wrong_pins(s.stored("fct_sales"), s.stored("dim_product")).agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("bad_rows"))
 
 
 @registered
@@ -448,9 +454,14 @@ def headcount_checks(s: Star) -> DataFrame:
 
 @registered
 def revenue_differences(s: Star) -> DataFrame:
-    """Sales after the last snapshot month are missing from the snapshot and show up here."""
-    return suites.revenue_differences(
-        s.stored("fct_store_headcount_monthly"), s.stored("fct_sales"), s.stored("dim_store"), s.stored("dim_date")
+    """Store months and totals on which snapshot and fact differ, as rules."""
+    snap = "fct_store_headcount_monthly"
+    found = suites.revenue_differences(s.stored(snap), s.stored("fct_sales"), s.stored("dim_store"), s.stored("dim_date"))
+    return quality.stack(
+        [
+            quality.report(snap, "revenue by store and month", found.filter("level = 'key'")),
+            quality.report(snap, "revenue in total", found.filter("level = 'total'")),
+        ]
     )
 
 
@@ -525,7 +536,8 @@ def business_hours(s: Star) -> DataFrame:
 
 @registered
 def price_revision(s: Star) -> DataFrame:
-    pct = (F.col("brand_id") - 13).cast("decimal(12,2)") * F.lit(Decimal("0.01"))
+    # Some brands have no new percent; their cost stays.
+    pct = F.when(F.col("brand_id") % 7 != 0, (F.col("brand_id") - 13).cast("decimal(12,2)") * F.lit(Decimal("0.01")))
     priced = F.when(F.col("unit_cost") > 1000, (F.col("brand_id") - 9).cast("decimal(12,2)") * F.lit(Decimal("0.01")))
     now = history.latest_state(s.stored("raw_product"), ["id"]).select("id", "brand_id", "unit_cost", "unit_price")
     out = reports.revise_prices(now.withColumns({"cost_pct": pct, "price_pct": priced}), "cost_pct", "price_pct")
@@ -568,22 +580,18 @@ def stream_dedupe(s: Star) -> DataFrame:
 
 @registered
 def stream_upsert_fact(s: Star) -> DataFrame:
-    """Line rows arrive as a stream and end in the sales fact, point-in-time joined per batch."""
+    """Lines and headers arrive as two streams, the lines first, and end in the sales fact."""
     table = nightly.fact_table(s.spark, new_folder(s.spark, "stream-fact"))
-    tx, all_dims = s.stored("stg_sales_transaction"), s.dims()
+    all_dims, landed = s.dims(), loads.LandedStreams(s.spark, new_folder(s.spark, "stream-landed"), "transaction_id")
 
-    def to_fact(batch: DataFrame) -> DataFrame:
-        items = batch.drop("_load_id")
+    def to_fact(tables: dict[str, DataFrame]) -> DataFrame:
+        tx = staging.stage_sales_transaction(tables["sales_transaction"].drop("_load_id"))
+        items = history.dedupe_copies(tables["sales_transaction_item"])
         return facts.fct_sales(facts.headers_lines(tx, items), all_dims, s.tz).withColumn("sale_month", facts.sale_month())
 
-    loads.upsert_stream(
-        _stream(s, "sales_transaction_item"),
-        table,
-        nightly.FACT_KEYS,
-        new_folder(s.spark, "stream-state"),
-        "updated_at",
-        to_fact,
-    )
+    for name in ("sales_transaction_item", "sales_transaction"):
+        state = new_folder(s.spark, "stream-state")
+        landed.upsert(_stream(s, name), name, schemas.RAW, to_fact, table, nightly.FACT_KEYS, state)
     return table.read().drop("sale_month")
 
 

@@ -19,15 +19,6 @@ from tillbook.plans.metrics import query
 Tables = dict[str, DataFrame]
 
 
-def rank_desc(df: DataFrame, metric: str, *ties: str) -> DataFrame:
-    return df.orderBy(F.col(metric).desc_nulls_last(), *ties)
-
-
-def top_k(df: DataFrame, metric: str, k: int, *ties: str) -> DataFrame:
-    """Largest k rows; the ties make the choice unique."""
-    return rank_desc(df, metric, *ties).limit(k)
-
-
 def latest_n(df: DataFrame, key: str, n: int) -> DataFrame:
     return df.orderBy(F.col(key).desc()).limit(n)
 
@@ -98,17 +89,15 @@ def receipts_by_day_part(fct: DataFrame, dim_time: DataFrame) -> DataFrame:
 
 
 def reconcile_totals(fct: DataFrame, enriched: DataFrame) -> DataFrame:
-    """Totals of three breakdowns next to the fact total."""
+    """Totals of three breakdowns, from one scan, next to the fact total."""
     total = fct.agg(F.lit("fact").alias("breakdown"), F.sum("net_amount").alias("net_revenue"))
-    out = total
-    for name, key in {
-        "category": F.col("category_name"),
-        "store": F.col("store_name"),
-        "month": F.trunc("full_date", "month"),
-    }.items():
-        groups = enriched.groupBy(key.alias("k")).agg(F.sum("net_amount").alias("net_revenue"))
-        out = out.unionByName(groups.agg(F.lit(name).alias("breakdown"), F.sum("net_revenue").alias("net_revenue")))
-    return out
+    keys = {"category": F.col("category_name"), "store": F.col("store_name"), "month": F.trunc("full_date", "month")}
+    rows = enriched.select("net_amount", *[k.alias(n) for n, k in keys.items()])
+    sets = [[F.col(n)] for n in keys]
+    groups = rows.groupingSets(sets, *keys).agg(F.grouping_id().alias("_set"), F.sum("net_amount").alias("net_revenue"))
+    # grouping_id has a bit per column, set where the column is not part of the breakdown
+    name = F.when(F.col("_set") == 0b011, "category").when(F.col("_set") == 0b101, "store").otherwise("month")
+    return total.unionByName(groups.groupBy(name.alias("breakdown")).agg(F.sum("net_revenue").alias("net_revenue")))
 
 
 def sold_calendar(fct: DataFrame, dim_date: DataFrame) -> DataFrame:
@@ -127,10 +116,13 @@ def sold_clock(fct: DataFrame, dim_time: DataFrame) -> DataFrame:
 def anomaly(
     df: DataFrame, by: str, day: str, value: str, floor: float, n: int = 14, times: float = 2.0
 ) -> DataFrame:
-    """Each period against the median of the n before it: threshold = max(times x median, floor).
+    """Each day against the median of the n days before it: threshold = max(times x median, floor).
 
-    Input has one row per `by` and period, so a window holds no more rows than there are periods.
+    Input has one row per `by` and day with a value. The days between the first and the last of a `by` without one
+    count as zero, so n rows are n complete days, and a window holds no more rows than there are days.
     """
+    spans = df.groupBy(by).agg(F.explode(F.sequence(F.min(day), F.max(day))).alias(day))
+    df = spans.join(df, [by, day], "left").withColumn(value, F.coalesce(value, F.lit(0).cast(df.schema[value].dataType)))
     before = Window.partitionBy(by).orderBy(day).rowsBetween(-n, -1)
     x = F.col(value).cast("double")
     median = F.when(F.count(value).over(before) == n, F.percentile(x, F.lit(0.5)).over(before))

@@ -70,8 +70,11 @@ class Star:
         return {n: self.stored(n) for n in schemas.MART if n.startswith("dim_")}
 
     def lines(self) -> DataFrame:
-        """Headers joined to copy-free lines. The join itself drops lines of other headers."""
-        items = history.dedupe_copies(self.stored("raw_sales_transaction_item"))
+        """Headers joined to copy-free lines. The join itself drops lines of other headers.
+
+        Lines are dealt out by receipt once, which serves both the removal of copies and the join.
+        """
+        items = history.dedupe_copies(self.stored("raw_sales_transaction_item").repartition("transaction_id"))
         return facts.headers_lines(self.stored("stg_sales_transaction"), items)
 
     def build(self) -> None:

@@ -213,6 +213,9 @@ def fact_relationships(fct: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
     )
 
 
+STAGING_PARENTS = ["store", "payment_method", "promotion", "sales_transaction", "sales_transaction_item"]
+
+
 def staging_relationships(stg: dict[str, DataFrame]) -> DataFrame:
     pairs = [
         ("sales_transaction", "store_id", "store"),

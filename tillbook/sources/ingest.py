@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime
 
 from pyspark.errors import AnalysisException
@@ -17,14 +18,17 @@ def high_water(df: DataFrame, cursor: str = "updated_at"):
     return df.agg(F.max(cursor)).first()[0]
 
 
-def extract_incremental(df: DataFrame, cursor: str, last: datetime | None) -> tuple[DataFrame, datetime | None]:
-    """Rows at or after the last loaded cursor value, and the new value. None loads everything.
+def rows_since(df: DataFrame, cursor: str, last: datetime | None) -> DataFrame:
+    """Rows at or after the last loaded cursor value; None loads everything.
 
     The bound is a literal on a bare column, so it reaches the scan.
     """
-    if last is None:
-        return df, high_water(df, cursor)
-    rows = df.filter(F.col(cursor) >= at(last))
+    return df if last is None else df.filter(F.col(cursor) >= at(last))
+
+
+def extract_incremental(df: DataFrame, cursor: str, last: datetime | None) -> tuple[DataFrame, datetime | None]:
+    """rows_since and the cursor value to go on from, for a caller that keeps it."""
+    rows = rows_since(df, cursor, last)
     return rows, high_water(rows, cursor) or last
 
 
@@ -37,14 +41,8 @@ def drop_boundary(df: DataFrame, raw: DataFrame, pk: list[str], cursor: str, las
 
 
 def append_raw(df: DataFrame, path: str, load_id: int) -> None:
-    """Add one load. History stays; running the same load id again replaces only that load."""
-    (
-        df.withColumn("_load_id", F.lit(load_id).cast("bigint"))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("_load_id")
-        .parquet(path)
-    )
+    """Add rows of one load. Nothing that was stored is ever replaced; a repeated load adds to its first attempt."""
+    df.withColumn("_load_id", F.lit(load_id).cast("bigint")).write.mode("append").partitionBy("_load_id").parquet(path)
 
 
 def read_raw(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
@@ -53,30 +51,33 @@ def read_raw(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
 
 
 def replace_table(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").parquet(path)
-
-
-def loaded_until(raw: DataFrame, cursor: str = "updated_at"):
-    """Newest cursor value in RAW. Every load starts at the value before, so it is in the last load and
-    only that partition is read."""
-    newest = raw.agg(F.max("_load_id")).first()[0]
-    return None if newest is None else high_water(raw.filter(F.col("_load_id") == newest), cursor)
+    """Write beside the table, then swap the folders: a failed write leaves the old table as it was."""
+    spark, fresh = df.sparkSession, f"{path}.new-{uuid.uuid4().hex[:8]}"
+    df.write.parquet(fresh)
+    jvm = spark.sparkContext._jvm.org.apache.hadoop.fs
+    old, new = jvm.Path(path), jvm.Path(fresh)
+    files = old.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if files.exists(old):
+        files.delete(old, True)
+    if not files.rename(new, old):
+        raise OSError(f"{fresh} could not become {path}")
+    spark.catalog.refreshByPath(path)
 
 
 def load_appended(source: DataFrame, path: str, schema: StructType, pk: list[str], load_id: int) -> None:
     """Extract since the newest RAW row, drop the boundary copies, append.
 
-    The cursor state is RAW itself, so a lost run repeats without a gap.
+    The cursor state is RAW itself, so a lost run repeats without a gap, and a repeated load adds only what
+    the source has changed since.
     """
     spark = source.sparkSession
     raw = existing(spark, path, schema)
     if raw is None:
         append_raw(source, path, load_id)
         return
-    earlier = raw.filter(F.col("_load_id") != load_id)
-    last = loaded_until(earlier)
-    rows, _ = extract_incremental(source, "updated_at", last)
-    append_raw(drop_boundary(rows, earlier, pk, "updated_at", last), path, load_id)
+    # The newest row may stand in any load, because a load can be repeated; one column is read.
+    last = high_water(raw)
+    append_raw(drop_boundary(rows_since(source, "updated_at", last), raw, pk, "updated_at", last), path, load_id)
 
 
 def existing(spark: SparkSession, path: str, schema: StructType) -> DataFrame | None:

@@ -70,6 +70,25 @@ class SnapshotTable:
         return self.spark.read.parquet(*found.values())
 
     # -------------------------------------------------------------- writing
+    def _files(self):
+        context = self.spark.sparkContext
+        folder = context._jvm.org.apache.hadoop.fs.Path(f"{self.path}/claims")
+        return folder, folder.getFileSystem(context._jsc.hadoopConfiguration())
+
+    def _next(self) -> int:
+        """Version that a write beginning now will claim: one after the last claim, used or not."""
+        folder, files = self._files()
+        claimed = [int(f.getPath().getName()) for f in files.listStatus(folder)] if files.exists(folder) else []
+        return max([self.version(), *claimed]) + 1
+
+    def _claim(self, version: int) -> None:
+        """Create the one file of this version; of two writers that began on the same version the second fails."""
+        folder, files = self._files()
+        files.mkdirs(folder)
+        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder, str(version))
+        if not files.createNewFile(path):
+            raise WriterConflict(f"version {version} of {self.path} was written by another writer")
+
     def _slice(self):
         return F.lit("all") if self.slice_by is None else F.col(self.slice_by).cast("string")
 
@@ -92,30 +111,40 @@ class SnapshotTable:
         rows = [(version, batch, s, f"{data}/in_slice={s}", m) for s, m in written.items()]
         rows += [(version, batch, s, None, None) for s in touched if s not in written]
         if rows:
+            self._claim(version)
             log = self.spark.createDataFrame(rows, _LOG)
             log.coalesce(1).write.mode("append").parquet(f"{self.path}/log")
 
-    def replace(self, df: DataFrame, batch: str | None = None) -> None:
-        """Full refresh: the new rows are the whole table."""
+    def replace(self, df: DataFrame, batch: str | None = None, keys: list[str] | None = None) -> None:
+        """Full refresh: the new rows are the whole table; `keys` must be unique in them."""
         if batch is not None and self.has_batch(batch):
             return
-        self._write(df, self.version() + 1, batch, list(self.directories()))
+        self._write(df, self._next(), batch, list(self.directories()), keys)
 
     def upsert(self, src: DataFrame, keys: list[str], batch: str | None = None) -> None:
-        """Replace rows with the same keys and add the others. A batch id is applied once."""
+        """Replace rows with the same keys and add the others. A batch id is applied once.
+
+        With a `mark`, a stored row with a later mark than the new one stays, so batches may come in any order.
+        """
         if batch is not None and self.has_batch(batch):
             return
-        found = self.directories()
+        version, found = self._next(), self.directories()
         if not found:
-            self._write(src, self.version() + 1, batch, [], keys)
+            self._write(src, version, batch, [], keys)
             return
         target = self.spark.read.parquet(*found.values())
         assert_same_schema(src, target)
         src = pin(src, "upsert")
-        _assert_unique(src, keys)
-        lo, hi = src.agg(F.min(keys[0]), F.max(keys[0])).first()
+        copies, lo, hi = _key_range(src, keys)
+        if copies > 1:
+            raise ValueError(f"source rows repeat on {keys}")
         if lo is None:
             return
+        if self.mark:
+            src = pin(self._not_outdated(src, target, keys, lo, hi), "upsert-newer")
+            _, lo, hi = _key_range(src, keys)
+            if lo is None:
+                return
         new_keys = broadcast_if_small(src.select(*keys))
         # A row may sit in another slice than its new version, so the old place is looked up by key.
         # Only key columns are read, and the key range lets Parquet skip row groups.
@@ -127,14 +156,39 @@ class SnapshotTable:
         merged = src
         if present:
             merged = self.spark.read.parquet(*present).join(new_keys, keys, "left_anti").unionByName(src)
-        self._write(merged, self.version() + 1, batch, touched)
+        self._write(merged, version, batch, touched)
+
+    def _not_outdated(self, src: DataFrame, target: DataFrame, keys: list[str], lo, hi) -> DataFrame:
+        """Rows of src whose key is new or whose mark is not before the stored one; a NULL mark is the earliest."""
+        stored = target.filter(F.col(keys[0]).between(lo, hi)).select(*keys, F.col(self.mark).alias("_stored_mark"))
+        joined = src.join(stored, keys, "left")
+        return joined.filter(
+            F.col("_stored_mark").isNull() | F.coalesce(F.col(self.mark) >= F.col("_stored_mark"), F.lit(False))
+        ).select(src.columns)
+
+
+class WriterConflict(RuntimeError):
+    """Another writer committed since this write began."""
 
 
 def assert_same_schema(df: DataFrame, target: DataFrame) -> None:
-    """Stop before a write that would change the shape of the target."""
-    wrong = contract_mismatches(df.schema, target.schema)
+    """Stop before a write that would change the shape of the target or the exact type of a column."""
+    wrong = [f"{c}: {reason}" for c, _, _, reason in contract_mismatches(df.schema, target.schema)]
+    types = {f.name: f.dataType for f in target.schema.fields}
+    wrong += [
+        f"{f.name}: {f.dataType.simpleString()} is not {types[f.name].simpleString()}"
+        for f in df.schema.fields
+        if f.name in types and f.dataType != types[f.name]
+    ]
     if wrong:
-        raise ContractError("; ".join(f"{c}: {reason}" for c, _, _, reason in wrong))
+        raise ContractError("; ".join(wrong))
+
+
+def _key_range(src: DataFrame, keys: list[str]) -> tuple:
+    """(most rows of one key, least and greatest first key) in one pass."""
+    counted = src.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    copies, lo, hi = counted.agg(F.max("_n"), F.min(keys[0]), F.max(keys[0])).first()
+    return copies or 0, lo, hi
 
 
 def _assert_unique(src: DataFrame, keys: list[str]) -> None:

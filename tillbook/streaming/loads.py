@@ -15,6 +15,9 @@ from pyspark.sql.types import StructType
 from tillbook.functions.columns import UNKNOWN_KEY
 from tillbook.operators.history import latest_state
 from tillbook.operators.pit import pit_join
+from tillbook.operators.scale import broadcast_if_small
+from tillbook.session import pin
+from tillbook.sources.ingest import existing
 from tillbook.sources.snapshots import SnapshotTable
 
 
@@ -73,6 +76,50 @@ def upsert_stream(
     )
 
 
+class LandedStreams:
+    """Streams of several tables that share a key, landed side by side, and the keyed table made from them.
+
+    A batch of any table is stored, then the rows of every key it touches are made anew from all tables, so it
+    does not matter which table's row of a key comes first. A batch delivered again replaces its own files.
+    """
+
+    def __init__(self, spark: SparkSession, folder: str, key: str):
+        self.spark, self.folder, self.key = spark, folder, key
+
+    def upsert(
+        self,
+        stream: DataFrame,
+        name: str,
+        schemas: dict[str, StructType],
+        build: Callable[[dict[str, DataFrame]], DataFrame],
+        table: SnapshotTable,
+        keys: list[str],
+        checkpoint: str,
+        needs: tuple[str, ...] = ("sales_transaction", "sales_transaction_item"),
+    ) -> None:
+        """Land new rows of table `name` and upsert what `build` makes of the touched keys."""
+
+        def write(batch: DataFrame, batch_id: int) -> None:
+            place = f"{self.folder}/{name}/batch={checkpoint.rstrip('/').rsplit('/', 1)[-1]}-{batch_id}"
+            batch.write.mode("overwrite").parquet(place)
+            touched = pin(self.spark.read.schema(batch.schema).parquet(place).select(self.key).distinct(), "touched")
+            lo, hi = touched.agg(F.min(self.key), F.max(self.key)).first()
+            landed = {n: existing(self.spark, f"{self.folder}/{n}", schemas[n]) for n in needs}
+            if lo is None or None in landed.values():
+                return
+            small = broadcast_if_small(touched)
+            near = {n: df.filter(F.col(self.key).between(lo, hi)).join(small, self.key, "left_semi") for n, df in landed.items()}
+            table.upsert(build(near), keys, batch=f"{checkpoint}#{batch_id}")
+
+        (
+            stream.writeStream.foreachBatch(write)
+            .option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True)
+            .start()
+            .awaitTermination()
+        )
+
+
 def stream_pit_join(batch: DataFrame, current_dim: Callable[[], DataFrame], key: str, ts: str, take: list[str]):
     """Point-in-time join of one micro-batch with the dimension as it is now; a miss gets key -2."""
     out = pit_join(batch, current_dim(), key, ts, take)
