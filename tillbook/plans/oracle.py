@@ -7,7 +7,6 @@ Vietnam has kept UTC+7 without daylight saving over all report days, so local ti
 from __future__ import annotations
 
 from tillbook import schemas
-from tillbook.plans.metrics import METRICS, SALES, base_metrics, expression, model_of
 
 AS_OF = "date '2026-08-02'"
 FIRST_DAY = "date '2020-01-01'"
@@ -353,33 +352,57 @@ def _history_rules(table: str, cte: str, natural: str, tracked: list[str], type1
     ]
 
 
+# Metrics as statements of their own: (kind, expression shown in the catalog, aggregate).
+_REVENUE, _RECEIPTS = "cast(sum(net_amount) as double)", "count(distinct transaction_id)"
+SALES_METRICS = {
+    "net_revenue": ("simple", "SUM(net_amount)", "sum(net_amount)"),
+    "gross_revenue": ("simple", "SUM(gross_amount)", "sum(gross_amount)"),
+    "discount_amount": ("simple", "SUM(discount_amount)", "sum(discount_amount)"),
+    "gross_profit": ("simple", "SUM(gross_profit)", "sum(gross_profit)"),
+    "quantity_sold": ("simple", "SUM(quantity)", "sum(quantity)"),
+    "transaction_count": ("simple", "COUNT(DISTINCT transaction_id)", _RECEIPTS),
+    "gross_margin": (
+        "ratio",
+        "CAST(SUM(gross_profit) AS DOUBLE) / CAST(NULLIF(SUM(net_amount), 0) AS DOUBLE)",
+        f"cast(sum(gross_profit) as double) / nullif({_REVENUE}, 0)",
+    ),
+    "average_basket_value": (
+        "derived",
+        "SUM(net_amount) / NULLIF(COUNT(DISTINCT transaction_id), 0)",
+        f"{_REVENUE} / nullif({_RECEIPTS}, 0)",
+    ),
+}
+# Levels count in the edge month of the period: the first for an opening, the last for a closing.
+STAFF_METRICS = {
+    "closing_headcount": ("simple", "SUM(closing_headcount)", "sum(closing_headcount) filter (month_start = last_month)"),
+    "opening_headcount": ("simple", "SUM(opening_headcount)", "sum(opening_headcount) filter (month_start = first_month)"),
+    "employee_months": ("simple", "SUM(average_headcount)", "sum(average_headcount)"),
+    "store_net_revenue": ("simple", "SUM(net_revenue)", "sum(net_revenue)"),
+    "joiners": ("simple", "SUM(joiners)", "sum(joiners)"),
+    "leavers": ("simple", "SUM(leavers)", "sum(leavers)"),
+    "revenue_per_employee": (
+        "ratio",
+        "CAST(SUM(net_revenue) AS DOUBLE) / CAST(NULLIF(SUM(average_headcount), 0) AS DOUBLE)",
+        "cast(sum(net_revenue) as double) / nullif(cast(sum(average_headcount) as double), 0)",
+    ),
+}
+
+
 def _metric_sql(name: str, grain: str | None, by: list[str]) -> str:
-    """A metric from its definition: semi-additive measures keep the edge month of each period."""
-    metric = METRICS[name]
-    model = model_of(metric)
-    cte = "wide" if model is SALES else "snapshot"
-    period = f"cast(date_trunc('{grain}', {model.time}) as date)" if grain else "null"
-    base = f"select *, {period} as period from {cte}"
-    parts = []
-    for b in base_metrics(metric):
-        m = model.measures[b.measure]
-        if m.agg == "count_distinct":
-            parts.append(f"count(distinct {m.column}) as m_{b.name}")
-        elif m.non_additive:
-            edge = f"select {m.non_additive[1]}(month_start) from {cte} e where {f'cast(date_trunc({chr(39)}{grain}{chr(39)}, e.month_start) as date) = b.period' if grain else 'true'}"
-            parts.append(f"sum({m.column}) filter (month_start = ({edge})) as m_{b.name}")
-        else:
-            parts.append(f"sum({m.column}) as m_{b.name}")
+    sales = name in SALES_METRICS
+    day = "full_date" if sales else "month_start"
+    period = f"cast(date_trunc('{grain}', {day}) as date)" if grain else "null"
+    if sales:
+        rows, aggregate = f"select *, {period} as period from wide", SALES_METRICS[name][2]
+    else:
+        rows = (
+            "select *, min(month_start) over (partition by period) as first_month, max(month_start) over (partition by period) as last_month "
+            f"from (select *, {period} as period from snapshot)"
+        )
+        aggregate = STAFF_METRICS[name][2]
     keys = [*(["period"] if grain else []), *by]
     group = f" group by {', '.join(keys)}" if keys else ""
-    inner = f"select {', '.join([*keys, *parts])} from ({base}) b{group}"
-    if metric.kind == "simple":
-        value = f"m_{name}"
-    elif metric.kind == "ratio":
-        value = f"cast(m_{metric.numerator} as double) / nullif(cast(m_{metric.denominator} as double), 0)"
-    else:
-        value = "cast(m_net_revenue as double) / nullif(m_transaction_count, 0)"
-    return f"select {', '.join([*keys, f'{value} as {name}'])} from ({inner})"
+    return f"select {', '.join([*keys, f'{aggregate} as {name}'])} from ({rows}){group}"
 
 
 _COUNTED = {"quantity_sold", "transaction_count", "closing_headcount", "opening_headcount", "joiners", "leavers"}
@@ -506,9 +529,10 @@ def statements() -> dict[str, str]:
     )
 
     # metrics and reports
-    for name, metric in METRICS.items():
-        grain = "month" if model_of(metric) is SALES else "quarter"
-        q[f"metric_{name}"] = _metric(name, grain, ["store_name"])
+    for name in SALES_METRICS:
+        q[f"metric_{name}"] = _metric(name, "month", ["store_name"])
+    for name in STAFF_METRICS:
+        q[f"metric_{name}"] = _metric(name, "quarter", ["store_name"])
     edges = "select cast(date_trunc('quarter', month_start) as date) as period, min(month_start) as lo, max(month_start) as hi from snapshot group by 1"
     q["metric_closing_headcount_by_quarter"] = shown(
         "select e.period, sum(opening_headcount) filter (month_start = lo) as opening_headcount, "
@@ -535,7 +559,8 @@ def statements() -> dict[str, str]:
         f"select '{n}' as metric, '{t}' as type, '{tab}' as \"table\", '{e}' as expression, "
         f"round(cast(v as double), 3) as value "
         f"from (select {n} as v from ({_metric_sql(n, None, [])}))"
-        for n, t, tab, e in ((m.name, m.kind, model_of(m).table, expression(m)) for m in METRICS.values())
+        for tab, held in (("fct_sales_enriched", SALES_METRICS), ("fct_store_headcount_monthly", STAFF_METRICS))
+        for n, (t, e, _) in held.items()
     )
     q["metric_catalog"] = shown(cat, 'metric type "table" expression value')
     q["report_revenue_by_month"] = _metric("net_revenue", "month", [])

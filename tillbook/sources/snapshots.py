@@ -135,14 +135,16 @@ class SnapshotTable:
         target = self.spark.read.parquet(*found.values())
         assert_same_schema(src, target)
         src = pin(src, "upsert")
-        copies, lo, hi = _key_range(src, keys)
+        copies, lo, hi, earliest = _key_range(src, keys, self.mark)
         if copies > 1:
             raise ValueError(f"source rows repeat on {keys}")
         if lo is None:
             return
-        if self.mark:
+        # Rows that all carry the table's latest mark or a later one cannot be outdated: the usual night.
+        latest = self.high_water() if self.mark else None
+        if latest is not None and (earliest is None or earliest < latest):
             src = pin(self._not_outdated(src, target, keys, lo, hi), "upsert-newer")
-            _, lo, hi = _key_range(src, keys)
+            _, lo, hi, _ = _key_range(src, keys)
             if lo is None:
                 return
         new_keys = broadcast_if_small(src.select(*keys))
@@ -184,11 +186,14 @@ def assert_same_schema(df: DataFrame, target: DataFrame) -> None:
         raise ContractError("; ".join(wrong))
 
 
-def _key_range(src: DataFrame, keys: list[str]) -> tuple:
-    """(most rows of one key, least and greatest first key) in one pass."""
-    counted = src.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    copies, lo, hi = counted.agg(F.max("_n"), F.min(keys[0]), F.max(keys[0])).first()
-    return copies or 0, lo, hi
+def _key_range(src: DataFrame, keys: list[str], mark: str | None = None) -> tuple:
+    """(most rows of one key, least and greatest first key, earliest mark or None if one is missing) in one pass."""
+    earliest, unmarked = (F.min(mark), F.count_if(F.col(mark).isNull())) if mark else (F.lit(None), F.lit(1))
+    counted = src.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), earliest.alias("_mark"), unmarked.alias("_unmarked"))
+    copies, lo, hi, mark_at, bare = counted.agg(
+        F.max("_n"), F.min(keys[0]), F.max(keys[0]), F.min("_mark"), F.sum("_unmarked")
+    ).first()
+    return copies or 0, lo, hi, None if bare else mark_at
 
 
 def _assert_unique(src: DataFrame, keys: list[str]) -> None:
