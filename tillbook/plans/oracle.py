@@ -455,7 +455,8 @@ def statements() -> dict[str, str]:
     q["stg_payment_method"] = shown("select id as payment_method_id, method from src_payment_method", "payment_method_id method")
     q["stg_promotion"] = shown("select id as promotion_id, * exclude (id) from src_promotion", "promotion_id type amount start_date end_date")
     q["stg_promotion_product"] = shown("from src_promotion_product", "product_id promotion_id")
-    q["stg_product"] = shown("from n_product", PRODUCT.replace("id ", "product_id ", 1))
+    for name in ["stg_product", "materialized_table"]:
+        q[name] = shown("from n_product", PRODUCT.replace("id ", "product_id ", 1))
     q["stg_employee"] = shown("from n_employee", EMPLOYEE.replace("id ", "employee_id ", 1))
     q["stg_sales_transaction"] = shown("from s_tx", "transaction_id store_id employee_id payment_method_id transaction_ts created_at updated_at")
     q["stg_completed_items"] = shown("from s_item", _raw("sales_transaction_item").replace(" _load_id", ""))
@@ -474,7 +475,7 @@ def statements() -> dict[str, str]:
         )
 
     # facts
-    for name in ["fct_sales", "fct_sales_incremental", "stream_upsert_fact"]:
+    for name in ["fct_sales", "fct_sales_incremental", "full_refresh", "late_rows_repaired", "stream_upsert_fact"]:
         q[name] = shown("from fct", _mart("fct_sales"))
     q["fct_sales_enriched"] = shown("from wide", _mart("fct_sales_enriched"))
     q["employee_daily_store"] = shown("from daily", "employee_id calendar_date is_employed store_id prev_is_employed prev_store_id")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import replace
 from datetime import date, datetime
@@ -21,6 +22,7 @@ from tillbook.plans.star import Star
 from tillbook.session import new_folder
 from tillbook.sources import ingest, testdata
 from tillbook.sources.snapshots import SnapshotTable, apply_changes
+from tillbook.sources.tables import materialize
 from tillbook.streaming import loads
 
 AS_OF = date(2026, 8, 2)  # last day of the given sales
@@ -204,19 +206,49 @@ def employees_without_pii(s: Star) -> DataFrame:
 @registered
 def fct_sales_incremental(s: Star) -> DataFrame:
     """The fact loaded in two runs, the second from the watermark of the first."""
-    table = nightly.fact_table(s.spark, new_folder(s.spark, "incremental"))
-    items, tx = s.stored("raw_sales_transaction_item"), s.stored("raw_sales_transaction")
-    early = F.col("updated_at") < at(CUT)
-    raws = {"sales_transaction": tx, "sales_transaction_item": items}
-    for part in [{n: df.filter(early) for n, df in raws.items()}, raws]:
-        views = ("raw_sales_transaction", "raw_sales_transaction_item", "stg_sales_transaction")
-        run = Star(s.spark, lambda n, p=part: p[n], AS_OF, tz=s.tz, limits=s.limits, views=views)
-        for name, df in s.dims().items():
-            run.use(name, df)
-        nightly.run_fct_sales(run, table)
+    table, raws = nightly.fact_table(s.spark, new_folder(s.spark, "incremental")), _sales_raws(s)
+    for part in [{n: df.filter(F.col("updated_at") < at(CUT)) for n, df in raws.items()}, raws]:
+        nightly.run_fct_sales(_fact_run(s, part, s.dims()), table)
     return table.read().drop("sale_month")
 
 
+def _fact_run(s: Star, raws: dict[str, DataFrame], dimensions: dict[str, DataFrame]) -> Star:
+    views = ("raw_sales_transaction", "raw_sales_transaction_item", "stg_sales_transaction")
+    run = Star(s.spark, lambda n: raws[n], AS_OF, tz=s.tz, limits=s.limits, views=views)
+    for name, df in dimensions.items():
+        run.use(name, df)
+    return run
+
+
+def _sales_raws(s: Star) -> dict[str, DataFrame]:
+    return {n: s.stored(f"raw_{n}") for n in ("sales_transaction", "sales_transaction_item")}
+
+
+@registered
+def full_refresh(s: Star) -> DataFrame:
+    """A fact that was loaded up to some day, replaced as a whole."""
+    table, raws = nightly.fact_table(s.spark, new_folder(s.spark, "refresh")), _sales_raws(s)
+    nightly.run_fct_sales(_fact_run(s, {n: df.filter(F.col("updated_at") < at(CUT)) for n, df in raws.items()}, s.dims()), table)
+    nightly.run_fct_sales(_fact_run(s, raws, s.dims()), table, mode="full")
+    return table.read().drop("sale_month")
+
+
+@registered
+def late_rows_repaired(s: Star) -> DataFrame:
+    """Sales of products that the dimension lacks wait on -2 and are repaired when the products arrive."""
+    table, raws = nightly.fact_table(s.spark, new_folder(s.spark, "repair")), _sales_raws(s)
+    few = s.dims() | {"dim_product": s.stored("dim_product").filter("product_id % 2 = 0 or product_id < 0")}
+    nightly.run_fct_sales(_fact_run(s, raws, few), table)
+    loads.repair_unknown(table, lambda: s.stored("fct_sales"))
+    return table.read().drop("sale_month")
+
+
+@registered
+def materialized_table(s: Star) -> DataFrame:
+    """A staging view kept as a table, bucketed by its key."""
+    return materialize(s.fresh("stg_product"), "table", f"stg_product_{uuid.uuid4().hex[:8]}", bucket_by=(4, ["product_id"]))
+
+
 @registered
 def headcount_movements(s: Star) -> DataFrame:
     return headcount.movements(s.stored("employee_daily_store"))
