@@ -34,13 +34,15 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillbook.llm.text import WordHashes, lower_words, mixed, signed
+from tillbook.llm.text import lower_words, mixed, signed
 from tillbook.session import pin
 
 K = 5
 START, END = xxhash.xxh64_intdigest(b"\r"), xxhash.xxh64_intdigest(b"\n")  # no word holds white space
 COUNT_TOKENS, SCORE_TOKENS = 1_500_000, 500_000  # tokens that a task holds at a time
 BUCKET_BYTES = 4_000_000  # text per bucket
+KNOWN_WORDS = 500_000  # words a task keeps before it starts anew
+SEEN_BITS = 22
 BINS = 8  # count bins per power of two
 PAIR = np.uint64(0x9E3779B97F4A7C15)
 
@@ -54,21 +56,53 @@ def held_out():
 
 
 # ------------------------------------------------------------------ tokens
-def tokens(texts: list[str | None], hashes: WordHashes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(words, their contexts, index of their text); each text ends with END and begins after START."""
-    found, parts = [], []
-    for i, text in enumerate(texts):
-        words = hashes.array(lower_words(text))
-        found.append(np.r_[words, np.uint64(END)])
-        parts.append(len(words) + 1)
-    if not found:
-        none = np.empty(0, np.uint64)
-        return none, none, np.empty(0, np.int64)
-    w = np.concatenate(found)
-    h = np.r_[np.uint64(START), w[:-1]]
-    first = np.cumsum(parts) - parts
-    h[first] = START
-    return w, h, np.repeat(np.arange(len(texts)), parts)
+class Words(dict):
+    """Numbers of the words a task has met, and per number the word's hash and its hot entry."""
+
+    def __init__(self, hot: dict[str, np.ndarray] | None = None):
+        self.hot = hot
+        self.restart()
+
+    def restart(self) -> None:
+        self.clear()
+        self.fresh: list[int] = []
+        self.hash = np.empty(0, np.uint64)
+        self.place = np.empty(0, np.int64)
+        self.end, self.start = self[b"\n"], self[b"\r"]  # no word holds white space
+
+    def __missing__(self, word: bytes) -> int:
+        number = self[word] = len(self)
+        self.fresh.append(xxhash.xxh64_intdigest(word))
+        return number
+
+    def tokens(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(words, their contexts, index of their text) as numbers; each text ends with the end and begins after the start."""
+        if len(self) > KNOWN_WORDS:
+            self.restart()
+        parts, sizes = [], []
+        end = np.array([self.end])
+        for text in texts:
+            found = lower_words(text)
+            parts += [np.fromiter(map(self.__getitem__, found), dtype=np.int64, count=len(found)), end]
+            sizes.append(len(found) + 1)
+        if self.fresh:
+            new = np.array(self.fresh, dtype=np.uint64)
+            self.hash = np.concatenate([self.hash, new])
+            if self.hot is not None:
+                self.place = np.concatenate([self.place, hot_index(self.hot["w"], new)])
+            self.fresh = []
+        if not parts:
+            return (np.empty(0, np.int64),) * 3
+        w = np.concatenate(parts)
+        h = np.r_[self.start, w[:-1]]
+        h[np.cumsum(sizes) - sizes] = self.start
+        return w, h, np.repeat(np.arange(len(texts)), sizes)
+
+
+def counted(sorted_values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct values of an ordered array and how often each occurs."""
+    at = np.flatnonzero(np.r_[True, sorted_values[1:] != sorted_values[:-1]]) if len(sorted_values) else np.empty(0, np.int64)
+    return sorted_values[at], np.diff(np.r_[at, len(sorted_values)])
 
 
 def pair_keys(h: np.ndarray, w: np.ndarray) -> np.ndarray:
@@ -80,7 +114,7 @@ def bucket_of(h: np.ndarray, w: np.ndarray, buckets: int) -> np.ndarray:
     return ((mixed(pair_keys(h, w)) >> np.uint64(33)) % np.uint64(buckets)).astype(np.int32)
 
 
-def unique_pairs(h: np.ndarray, w: np.ndarray, n: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def unique_pairs(h: np.ndarray, w: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct pairs and their summed counts, ordered by h and w."""
     order = np.lexsort((w, h))
     h, w = h[order], w[order]
@@ -88,8 +122,7 @@ def unique_pairs(h: np.ndarray, w: np.ndarray, n: np.ndarray | None = None) -> t
     at = np.flatnonzero(new)
     if not len(at):
         return h, w, np.empty(0, np.int64)
-    counts = np.diff(np.r_[at, len(h)]) if n is None else np.add.reduceat(n[order].astype(np.int64), at)
-    return h[at], w[at], counts
+    return h[at], w[at], np.add.reduceat(n[order].astype(np.int64), at)
 
 
 def _packed(rows: list[tuple]) -> pa.RecordBatch:
@@ -100,10 +133,13 @@ def _packed(rows: list[tuple]) -> pa.RecordBatch:
 
 def by_bucket(bucket: np.ndarray, *columns: np.ndarray) -> Iterator[tuple]:
     """(bucket, columns of its rows) in the order the rows have."""
-    order = np.argsort(bucket, kind="stable")
+    if not len(bucket):
+        return
+    # numbers of 16 bits are sorted by counting
+    order = np.argsort(bucket.astype(np.uint16) if bucket.max() < 1 << 16 else bucket, kind="stable")
     bucket = bucket[order]
     columns = [c[order] for c in columns]
-    cuts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]]) if len(bucket) else []
+    cuts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
     for a, b in zip(cuts, [*cuts[1:], len(bucket)], strict=True):
         yield (int(bucket[a]), *[c[a:b] for c in columns])
 
@@ -137,10 +173,11 @@ def pair_table(docs: DataFrame, buckets: int) -> DataFrame:
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
+        words = Words()
         for _, texts in _chunks(batches, 0, COUNT_TOKENS):
-            w, h, _ = tokens(texts, hashes)
-            h, w, n = unique_pairs(h, w)
+            w, h, _ = words.tokens(texts)
+            pairs, n = counted(np.sort(h << 32 | w))
+            h, w = words.hash[pairs >> 32], words.hash[pairs & 0xFFFFFFFF]
             parts = by_bucket(bucket_of(h, w, buckets), signed(h), signed(w), n)
             yield _packed([(b, 0, x, y, z, [], 0) for b, x, y, z in parts])
 
@@ -306,10 +343,13 @@ class Model:
     def shared(self) -> dict:
         """What tasks need: hot entries and a few numbers."""
         base = np.log10((self.hot["c"] + 0.5) / (self.train_tokens + 0.5 * (self.vocabulary + 1)))
+        seen = np.zeros(1 << SEEN_BITS, dtype=bool)
+        seen[_slot(self.hot_pair)] = True
         return {
             "hot": self.hot | {"base": base},
             "pair": self.hot_pair,
             "gain": self.hot_gain,
+            "seen": seen,
             "d2": self.d2,
             "buckets": self.buckets,
         }
@@ -340,49 +380,66 @@ def _out(row, doc_id=None, w=None, n0=None, na=None, nb=None, n_tokens=None, n_k
     return pa.RecordBatch.from_arrays(columns, names)
 
 
-def _sums(index: np.ndarray, size: int, weights: np.ndarray | None = None) -> np.ndarray:
-    out = np.bincount(index, weights=weights, minlength=size)
-    return out if weights is None else out.astype(np.float64)  # without any entry bincount forgets the weights
-
-
-def chunk_rows(rows: list[tuple], texts: list, shared: dict, hashes: WordHashes) -> tuple[pa.RecordBatch, pa.RecordBatch, list[tuple]]:
-    """Of a chunk of texts: sums per text over hot words and pairs, rare words per text, and pairs to look up by bucket."""
-    hot = shared["hot"]
-    size = len(rows)
-    w, h, doc = tokens(texts, hashes)
-    i, j = hot_index(hot["w"], h), hot_index(hot["w"], w)
-    known_w = j >= 0
-    at = j[known_w]
-    start = hot_index(hot["w"], np.array([START], np.uint64))[0]
-    score = _sums(doc[known_w], size, hot["log_p"][at] + hot["log_alpha"][at])  # a word is also the context of the next; END has 0
-    score += hot["log_alpha"][start] if start >= 0 else 0.0
-    base = _sums(doc[known_w], size, hot["base"][at])
-    n_known = _sums(doc[known_w], size, (hot["c"][at] > 0).astype(float)).astype(np.int64)
-    both = (i >= 0) & known_w
-    key = i[both] * len(hot["w"]) + j[both]
-    pair_at = hot_index(shared["pair"], key) if len(shared["pair"]) else np.full(len(key), -1)
-    score += _sums(doc[both][pair_at >= 0], size, shared["gain"][pair_at[pair_at >= 0]])
-    row = np.array([r[0] for r in rows], dtype=np.int64)
-    sums = _out(row, [r[1] for r in rows], n_tokens=_sums(doc, size), n_known=n_known, base=base, score=score)
+def _slot(key: np.ndarray) -> np.ndarray:
+    """Place of a pair of hot words in the table that says which pairs may be hot."""
+    return (key.astype(np.uint64) * PAIR) >> np.uint64(64 - SEEN_BITS)
+
+
+def chunk_rows(rows: list[tuple], texts: list, shared: dict, words: Words) -> list[tuple]:
+    """PACKED rows of a chunk of texts: pairs to look up by bucket, rare words of its texts, and sums over hot words and pairs.
 
-    rare_doc, rare_w, n0 = unique_pairs(doc[~known_w].astype(np.uint64), w[~known_w])
-    rare = _out(row[rare_doc.astype(np.int64)], w=signed(rare_w), n0=n0)
+    A text is named by the distance of its row number from the first one's; places, words and texts of a chunk
+    have less than 20 bits each, so one sort orders all of them.
+    """
+    hot, buckets = shared["hot"], shared["buckets"]
+    row = np.array([r[0] for r in rows], dtype=np.int64)
+    base, place = int(row[0]), (row - row[0]).astype(np.int32)
+    w, h, doc = words.tokens(texts)
+    size, low = len(rows), (1 << 20) - 1
+    n_tokens = np.bincount(doc, minlength=size)
+
+    # sums over hot words; a word is also the context of the next, the end has 0 there and every text has the start
+    at = words.place
+    is_hot = at >= 0
+    of_word = np.where(is_hot, hot["log_p"][at] + hot["log_alpha"][at], 0.0) if len(hot["w"]) else np.zeros(len(at))
+    of_base = np.where(is_hot, hot["base"][at], 0.0) if len(hot["w"]) else np.zeros(len(at))
+    is_known = is_hot & (hot["c"][at] > 0) if len(hot["w"]) else is_hot
+    score = np.bincount(doc, weights=of_word[w], minlength=size)
+    score += hot["log_alpha"][at[words.start]] if at[words.start] >= 0 else 0.0
+    bases = np.bincount(doc, weights=of_base[w], minlength=size)
+    n_known = np.bincount(doc[is_known[w]], minlength=size)
+
+    rare = ~is_hot[w]
+    rare_words, n0 = counted(np.sort(w[rare] << 20 | doc[rare]))
+
+    pairs, n = counted(np.sort(h << 40 | w << 20 | doc))
+    h, w, doc = pairs >> 40, pairs >> 20 & low, pairs & low
+    i, j = at[h], at[w]
+    both = (i >= 0) & (j >= 0)
+    key = i * len(hot["w"]) + j
+    found = np.flatnonzero(both & shared["seen"][_slot(key)])
+    where = hot_index(shared["pair"], key[found])
+    found, where = found[where >= 0], where[where >= 0]
+    score += np.bincount(doc[found], weights=shared["gain"][where] * n[found], minlength=size)
+    open_ = both.copy()
+    open_[found] = False
 
     packed = []
-    # pairs of hot words by their numbers, ordered so that equal numbers stand together
-    hot_open = np.flatnonzero(both)[pair_at < 0]
-    place = (row - row[0]).astype(np.int32) if size else row
-    for kind, chosen in ((1, hot_open), (2, np.flatnonzero(~both))):
-        a, b = (i, j) if kind == 1 else (signed(h), signed(w))
-        order = chosen[np.lexsort((doc[chosen], b[chosen], a[chosen]))]
-        x, y, z = a[order], b[order], doc[order]
-        if not len(order):
-            continue
-        cut = np.flatnonzero(np.r_[True, (x[1:] != x[:-1]) | (y[1:] != y[:-1]) | (z[1:] != z[:-1])])
-        n = np.diff(np.r_[cut, len(order)])
-        where = bucket_of(h[order][cut], w[order][cut], shared["buckets"])
-        packed += [(bk, kind, *cols, int(row[0])) for bk, *cols in by_bucket(where, x[cut], y[cut], n, place[z[cut]])]
-    return sums, rare, packed
+    for kind, chosen, a, b in ((1, open_, i, j), (2, ~both, signed(words.hash)[h], signed(words.hash)[w])):
+        c = np.flatnonzero(chosen)
+        place_of = bucket_of(words.hash[h[c]], words.hash[w[c]], buckets)
+        packed += [(bk, kind, *cols, base) for bk, *cols in by_bucket(place_of, a[c], b[c], n[c], place[doc[c]])]
+
+    def anywhere(kind: int) -> int:
+        return int(mixed(np.array([base + kind], dtype=np.int64))[0] >> np.uint64(33)) % buckets
+
+    none = np.empty(0, np.int64)
+    packed.append((anywhere(3), 3, signed(words.hash[rare_words >> 20]), none, n0, place[rare_words & low], base))
+    packed.append((anywhere(4), 4, score.view(np.int64), bases.view(np.int64), n_tokens, place, base))
+    ids = np.array([0 if r[1] is None else r[1] for r in rows], dtype=np.int64)
+    missing = np.array([r[1] is None for r in rows], dtype=np.int64)
+    packed.append((anywhere(5), 5, ids, missing, n_known, place, base))
+    return packed
 
 
 def bucket_rows(model: tuple, kind: int, a: np.ndarray, b: np.ndarray, n: np.ndarray, doc: np.ndarray, shared: dict):
@@ -431,23 +488,14 @@ def find_pairs(h: np.ndarray, w: np.ndarray, a: np.ndarray, b: np.ndarray) -> tu
 
 
 def score_block(rows: DataFrame, model: Model) -> DataFrame:
-    """OUT rows of rows(row, doc_id, text): sums per text, and rare words still to be joined.
-
-    Numbers of rows that are made together lie close, so a text is named by its distance from the first one's.
-    """
+    """OUT rows of rows(row, doc_id, text): sums per text, and rare words still to be joined."""
     shared = rows.sparkSession.sparkContext.broadcast(model.shared())
-    names = [*_packed([]).schema.names, "direct"]
-
     def chunk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
+        words = Words(shared.value["hot"])
         for held, texts in _chunks(batches, 2, SCORE_TOKENS):
-            sums, rare, packed = chunk_rows(held, texts, shared.value, hashes)
+            packed = chunk_rows(held, texts, shared.value, words)
             for at in range(0, len(packed), 64):
-                part = _packed(packed[at : at + 64])
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.nulls(part.num_rows, DIRECT)], names)
-            for out in (sums, rare):
-                for at in range(0, out.num_rows, 50_000):
-                    yield _direct(out.slice(at, 50_000), names, shared.value["buckets"])
+                yield _packed(packed[at : at + 64])
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables, at, hot = None, None, shared.value["hot"]
@@ -459,9 +507,6 @@ def score_block(rows: DataFrame, model: Model) -> DataFrame:
 
         for batch in batches:
             for k in range(batch.num_rows):
-                if batch.column("direct")[k].is_valid:
-                    yield pa.RecordBatch.from_struct_array(batch.column("direct")[k].values)
-                    continue
                 bucket, kind, base = (batch.column(c)[k].as_py() for c in ("bucket", "kind", "base"))
                 a, b, n = (_arrays(batch.column(c)[k]) for c in "abn")
                 if kind == 0:
@@ -472,6 +517,15 @@ def score_block(rows: DataFrame, model: Model) -> DataFrame:
                     order = np.argsort(numbers)
                     tables, at = (h, w, n.copy(), both[order], numbers[order]), bucket
                     continue
+                if kind >= 3:
+                    row = _arrays(batch.column("doc")[k]).astype(np.int64) + base
+                    if kind == 3:
+                        yield _out(row, w=a, n0=n)
+                    elif kind == 4:
+                        yield _out(row, n_tokens=n, base=b.view(np.float64), score=a.view(np.float64))
+                    else:
+                        yield _out(row, doc_id=pa.array(a, mask=b.astype(bool)), n_known=n)
+                    continue
                 if at != bucket:  # no training pair fell into this bucket
                     continue
                 (text, gain), (doc, word, na, nb) = bucket_rows(tables, kind, a, b, n, _arrays(batch.column("doc")[k]), shared.value)
@@ -485,23 +539,12 @@ def score_block(rows: DataFrame, model: Model) -> DataFrame:
         if size:
             yield summed()
 
-    schema = PACKED + ", direct array<struct<" + OUT.replace(", ", ",").replace(" ", ":") + ">>"
-    texts = rows.mapInArrow(chunk, schema)
-    pairs = model.pairs.selectExpr("bucket", "0 kind", "w1 a", "w2 b", "n", "cast(null as array<int>) doc", "0L base", "null direct")
+    texts = rows.mapInArrow(chunk, PACKED)
+    pairs = model.pairs.selectExpr("bucket", "0 kind", "w1 a", "w2 b", "n", "cast(null as array<int>) doc", "0L base")
     placed = texts.unionByName(pairs).repartition(_partitions(model.buckets), "bucket").sortWithinPartitions("bucket", "kind")
     return placed.mapInArrow(answer, OUT)
 
 
-DIRECT = pa.list_(pa.struct([(c.split()[0], pa.float64() if c.endswith("double") else pa.int64()) for c in OUT.split(", ")]))
-
-
-def _direct(out: pa.RecordBatch, names: list[str], buckets: int) -> pa.RecordBatch:
-    """Result rows that pass through the shuffle as one row; kind 3 stands after the pairs of any bucket."""
-    bucket = int(mixed(np.array([out.column("row")[0].as_py() + out.num_rows], dtype=np.int64))[0] >> np.uint64(33)) % buckets
-    head = _packed([(bucket, 3, [], [], [], [], 0)])
-    return pa.RecordBatch.from_arrays([*head.columns, pa.array([out.to_struct_array().to_pylist()], DIRECT)], names)
-
-
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
