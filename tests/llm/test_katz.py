@@ -91,6 +91,16 @@ def test_no_rows_and_no_training_rows(llm, nothing):
     assert [tuple(r) for r in rows] == [(held, True, 3, 0, 0, 0.0, 0.0)]
 
 
+def test_triples_by_one_number_and_by_three():
+    rng = np.random.default_rng(2)
+    h, w, doc = (rng.integers(0, n, 3000) for n in (6, 7, 5))
+    small, large = katz.distinct_triples(h, w, doc, 8, 5), katz.distinct_triples(h, w, doc, 1 << 30, 1 << 10)
+    assert all((a == b).all() for a, b in zip(small, large, strict=True))
+    assert dict(zip(zip(*small[:3], strict=True), small[3], strict=True)) == Counter(zip(h, w, doc, strict=True))
+    none = np.empty(0, np.int64)
+    assert all(len(x) == 0 for words in (8, 1 << 30) for x in katz.distinct_triples(none, none, none, words, 1 << 10))
+
+
 def test_discounts_fall_back():
     assert len(katz.discounts({1: 10})) == 0
     assert len(katz.discounts({1: 100, 2: 40, 3: 20, 4: 12, 5: 8, 6: 6})) == 6

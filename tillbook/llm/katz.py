@@ -105,6 +105,19 @@ def counted(sorted_values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return sorted_values[at], np.diff(np.r_[at, len(sorted_values)])
 
 
+def distinct_triples(h: np.ndarray, w: np.ndarray, doc: np.ndarray, words: int, texts: int) -> tuple[np.ndarray, ...]:
+    """Distinct (h, w, doc) in order and how often each occurs; numbers are below `words` and `texts`."""
+    a, b = (words - 1).bit_length(), (texts - 1).bit_length()
+    if 2 * a + b < 63:  # the three numbers fit into one, which sorts fastest
+        values, n = counted(np.sort(h << (a + b) | w << b | doc))
+        return values >> (a + b), values >> b & ((1 << a) - 1), values & ((1 << b) - 1), n
+    order = np.lexsort((doc, w, h))
+    h, w, doc = h[order], w[order], doc[order]
+    new = np.r_[True, (h[1:] != h[:-1]) | (w[1:] != w[:-1]) | (doc[1:] != doc[:-1])] if len(h) else np.empty(0, bool)
+    at = np.flatnonzero(new)
+    return h[at], w[at], doc[at], np.diff(np.r_[at, len(h)])
+
+
 def pair_keys(h: np.ndarray, w: np.ndarray) -> np.ndarray:
     """A number of the pair; with h it determines w, and its upper bits are mixed well enough for buckets after mixed()."""
     return h * PAIR + w
@@ -221,7 +234,7 @@ def _summed(table: DataFrame, column: str) -> list[tuple[int, int]]:
 
 
 def _partitions(buckets: int) -> int:
-    return max(1, buckets // 2)
+    return max(1, buckets // 8)
 
 
 def discounts(counts: dict[int, int], most: int = K) -> np.ndarray:
@@ -276,7 +289,7 @@ def hot_count(bins: list[tuple[int, int]], most: int) -> int:
 class Model:
     """Tables of a trained model: pairs by bucket, words with c, log P(w), log C and log alpha, and the hot entries."""
 
-    def __init__(self, docs: DataFrame, hot_words: int = 100_000, hot_pairs: int = 400_000):
+    def __init__(self, docs: DataFrame, hot_words: int = 250_000, hot_pairs: int = 400_000):
         size = docs.agg(F.sum(F.length("text") + 1)).first()[0] or 0
         self.buckets = 8 * max(1, int(np.ceil(size / (8 * BUCKET_BYTES))))
         self.pairs = pin(pair_table(docs, self.buckets), "katz-pairs")
@@ -388,14 +401,13 @@ def _slot(key: np.ndarray) -> np.ndarray:
 def chunk_rows(rows: list[tuple], texts: list, shared: dict, words: Words) -> list[tuple]:
     """PACKED rows of a chunk of texts: pairs to look up by bucket, rare words of its texts, and sums over hot words and pairs.
 
-    A text is named by the distance of its row number from the first one's; places, words and texts of a chunk
-    have less than 20 bits each, so one sort orders all of them.
+    A text is named by the distance of its row number from the first one's.
     """
     hot, buckets = shared["hot"], shared["buckets"]
     row = np.array([r[0] for r in rows], dtype=np.int64)
     base, place = int(row[0]), (row - row[0]).astype(np.int32)
     w, h, doc = words.tokens(texts)
-    size, low = len(rows), (1 << 20) - 1
+    size = len(rows)
     n_tokens = np.bincount(doc, minlength=size)
 
     # sums over hot words; a word is also the context of the next, the end has 0 there and every text has the start
@@ -410,10 +422,9 @@ def chunk_rows(rows: list[tuple], texts: list, shared: dict, words: Words) -> li
     n_known = np.bincount(doc[is_known[w]], minlength=size)
 
     rare = ~is_hot[w]
-    rare_words, n0 = counted(np.sort(w[rare] << 20 | doc[rare]))
+    _, rare_word, rare_doc, n0 = distinct_triples(np.zeros(int(rare.sum()), np.int64), w[rare], doc[rare], len(words), size)
 
-    pairs, n = counted(np.sort(h << 40 | w << 20 | doc))
-    h, w, doc = pairs >> 40, pairs >> 20 & low, pairs & low
+    h, w, doc, n = distinct_triples(h, w, doc, len(words), size)
     i, j = at[h], at[w]
     both = (i >= 0) & (j >= 0)
     key = i * len(hot["w"]) + j
@@ -434,7 +445,7 @@ def chunk_rows(rows: list[tuple], texts: list, shared: dict, words: Words) -> li
         return int(mixed(np.array([base + kind], dtype=np.int64))[0] >> np.uint64(33)) % buckets
 
     none = np.empty(0, np.int64)
-    packed.append((anywhere(3), 3, signed(words.hash[rare_words >> 20]), none, n0, place[rare_words & low], base))
+    packed.append((anywhere(3), 3, signed(words.hash[rare_word]), none, n0, place[rare_doc], base))
     packed.append((anywhere(4), 4, score.view(np.int64), bases.view(np.int64), n_tokens, place, base))
     ids = np.array([0 if r[1] is None else r[1] for r in rows], dtype=np.int64)
     missing = np.array([r[1] is None for r in rows], dtype=np.int64)
@@ -559,7 +570,7 @@ def shuffle_files_end_with_their_job(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(CLEANUP, before)
 
 
-def scores(docs: DataFrame, hot_words: int = 100_000, hot_pairs: int = 400_000, blocks: int = 2) -> DataFrame:
+def scores(docs: DataFrame, hot_words: int = 250_000, hot_pairs: int = 400_000, blocks: int = 3) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every row of docs(doc_id, text)."""
     with shuffle_files_end_with_their_job(docs.sparkSession):
         return _scores(docs, hot_words, hot_pairs, blocks)
