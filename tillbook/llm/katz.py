@@ -39,9 +39,9 @@ from tillbook.session import pin
 
 K = 5
 START, END = xxhash.xxh64_intdigest(b"\r"), xxhash.xxh64_intdigest(b"\n")  # no word holds white space
-COUNT_TOKENS, SCORE_TOKENS = 1_500_000, 500_000  # tokens that a task holds at a time
+COUNT_TOKENS, SCORE_TOKENS = 1_000_000, 500_000  # tokens that a task holds at a time
 BUCKET_BYTES = 4_000_000  # text per bucket
-KNOWN_WORDS = 500_000  # words a task keeps before it starts anew
+KNOWN_WORDS = 300_000  # words a task keeps before it starts anew
 SEEN_BITS = 22
 BINS = 8  # count bins per power of two
 PAIR = np.uint64(0x9E3779B97F4A7C15)
@@ -223,7 +223,7 @@ def pair_table(docs: DataFrame, buckets: int) -> DataFrame:
             yield out()
 
     found = docs.select("text").mapInArrow(count, PACKED)
-    placed = found.repartition(_partitions(buckets), "bucket").sortWithinPartitions("bucket")
+    placed = found.repartition(_partitions(buckets, 2), "bucket").sortWithinPartitions("bucket")
     return placed.mapInArrow(merge, "bucket int, w1 array<long>, w2 array<long>, n array<long>, small array<long>, binned array<long>")
 
 
@@ -233,8 +233,9 @@ def _summed(table: DataFrame, column: str) -> list[tuple[int, int]]:
     return sorted((r.at, r.n) for r in each.filter("n > 0").collect())
 
 
-def _partitions(buckets: int) -> int:
-    return max(1, buckets // 8)
+def _partitions(buckets: int, each: int) -> int:
+    """Partitions of about `each` buckets."""
+    return max(1, buckets // each)
 
 
 def discounts(counts: dict[int, int], most: int = K) -> np.ndarray:
@@ -552,27 +553,34 @@ def score_block(rows: DataFrame, model: Model) -> DataFrame:
 
     texts = rows.mapInArrow(chunk, PACKED)
     pairs = model.pairs.selectExpr("bucket", "0 kind", "w1 a", "w2 b", "n", "cast(null as array<int>) doc", "0L base")
-    placed = texts.unionByName(pairs).repartition(_partitions(model.buckets), "bucket").sortWithinPartitions("bucket", "kind")
+    placed = texts.unionByName(pairs).repartition(_partitions(model.buckets, 4), "bucket").sortWithinPartitions("bucket", "kind")
     return placed.mapInArrow(answer, OUT)
 
 
-CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+# Shuffle files go when their job's result is written, not when the driver happens to collect garbage, and rows of
+# large arrays are handed to Python in small batches.
+SETTINGS = {
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+    "spark.sql.execution.arrow.maxBytesPerBatch": "16m",
+}
 
 
 @contextmanager
-def shuffle_files_end_with_their_job(spark: SparkSession) -> Iterator[None]:
-    """Shuffle files of a job go when its result is written, not when the driver happens to collect garbage."""
-    before = spark.conf.get(CLEANUP)
-    spark.conf.set(CLEANUP, "true")
+def settings(spark: SparkSession) -> Iterator[None]:
+    """SETTINGS while the jobs of an operator run; the session gets its own back."""
+    before = {k: spark.conf.get(k) for k in SETTINGS}
+    for k, v in SETTINGS.items():
+        spark.conf.set(k, v)
     try:
         yield
     finally:
-        spark.conf.set(CLEANUP, before)
+        for k, v in before.items():
+            spark.conf.set(k, v)
 
 
 def scores(docs: DataFrame, hot_words: int = 250_000, hot_pairs: int = 400_000, blocks: int = 3) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every row of docs(doc_id, text)."""
-    with shuffle_files_end_with_their_job(docs.sparkSession):
+    with settings(docs.sparkSession):
         return _scores(docs, hot_words, hot_pairs, blocks)
 
 
