@@ -41,7 +41,7 @@ K = 5
 START, END = xxhash.xxh64_intdigest(b"\r"), xxhash.xxh64_intdigest(b"\n")  # no word holds white space
 COUNT_TOKENS, SCORE_TOKENS = 1_000_000, 500_000  # tokens that a task holds at a time
 BUCKET_BYTES = 4_000_000  # text per bucket
-KNOWN_WORDS = 300_000  # words a task keeps before it starts anew
+KNOWN_WORDS = 400_000  # words a task keeps before it starts anew
 SEEN_BITS = 22
 BINS = 8  # count bins per power of two
 PAIR = np.uint64(0x9E3779B97F4A7C15)
@@ -456,20 +456,23 @@ def chunk_rows(rows: list[tuple], texts: list, shared: dict, words: Words) -> li
 
 def bucket_rows(model: tuple, kind: int, a: np.ndarray, b: np.ndarray, n: np.ndarray, doc: np.ndarray, shared: dict):
     """Of pairs of one chunk in one bucket: (text, gain) sums, and rare words of seen pairs as (text, word, as context, as word)."""
-    hot, d2 = shared["hot"], shared["d2"]
-    h, w, count, by_number, numbers = model
+    hot = shared["hot"]
+    h, w, count, keys, order = model
     if kind == 1:
-        key = a * len(hot["w"]) + b
-        at = np.minimum(np.searchsorted(numbers, key), max(0, len(numbers) - 1))
-        seen = numbers[at] == key if len(numbers) else np.zeros(len(key), bool)
-        at, i, j = by_number[at[seen]] if len(numbers) else at[seen], a[seen], b[seen]
+        i, j, a, b = a, b, hot["w"][a], hot["w"][b]
     else:
         a, b = a.view(np.uint64), b.view(np.uint64)
-        at, seen = find_pairs(h, w, a, b)
-        at = at[seen]
-        i, j = hot_index(hot["w"], a[seen]), hot_index(hot["w"], b[seen])
-    doc, n = doc[seen], n[seen].astype(np.int64)
-    gain = np.log10(discounted_array(count[at], d2))
+    key = pair_keys(a, b)
+    at = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
+    found = np.flatnonzero(keys[at] == key)
+    at = order[at[found]]
+    found, at = found[h[at] == a[found]], at[h[at] == a[found]]  # with the context, the key determines the word
+    if kind == 1:
+        i, j = i[found], j[found]
+    else:
+        i, j = hot_index(hot["w"], a[found]), hot_index(hot["w"], b[found])
+    doc, n = doc[found], n[found]
+    gain = np.log10(discounted_array(count[at], shared["d2"]))
     gain -= np.where(i >= 0, hot["log_c"][i] + hot["log_alpha"][i], 0.0)
     gain -= np.where(j >= 0, hot["log_p"][j], 0.0)
     texts, index = np.unique(doc, return_inverse=True)
@@ -484,21 +487,6 @@ def bucket_rows(model: tuple, kind: int, a: np.ndarray, b: np.ndarray, n: np.nda
     return sums, rare
 
 
-def find_pairs(h: np.ndarray, w: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Position in pairs ordered by (h, w) of each (a, b), and whether it is there."""
-    low, high = np.searchsorted(h, a, "left"), np.searchsorted(h, a, "right")
-    while True:  # binary search inside each context, all at once
-        open_ = low < high
-        if not open_.any():
-            break
-        mid = (low + high) // 2
-        less = open_ & (w[np.minimum(mid, len(w) - 1)] < b)
-        low = np.where(less, mid + 1, low)
-        high = np.where(open_ & ~less, mid, high)
-    at = np.minimum(low, max(0, len(h) - 1))
-    return at, ((h[at] == a) & (w[at] == b)) if len(h) else np.zeros(len(a), bool)
-
-
 def score_block(rows: DataFrame, model: Model) -> DataFrame:
     """OUT rows of rows(row, doc_id, text): sums per text, and rare words still to be joined."""
     shared = rows.sparkSession.sparkContext.broadcast(model.shared())
@@ -510,7 +498,7 @@ def score_block(rows: DataFrame, model: Model) -> DataFrame:
                 yield _packed(packed[at : at + 64])
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tables, at, hot = None, None, shared.value["hot"]
+        tables, at = None, None
         texts, gains, size = [], [], 0
 
         def summed() -> pa.RecordBatch:
@@ -523,11 +511,9 @@ def score_block(rows: DataFrame, model: Model) -> DataFrame:
                 a, b, n = (_arrays(batch.column(c)[k]) for c in "abn")
                 if kind == 0:
                     h, w = a.copy().view(np.uint64), b.copy().view(np.uint64)
-                    i, j = hot_index(hot["w"], h), hot_index(hot["w"], w)
-                    both = np.flatnonzero((i >= 0) & (j >= 0))
-                    numbers = i[both] * len(hot["w"]) + j[both]
-                    order = np.argsort(numbers)
-                    tables, at = (h, w, n.copy(), both[order], numbers[order]), bucket
+                    keys = pair_keys(h, w)
+                    order = np.argsort(keys)
+                    tables, at = (h, w, n.copy(), keys[order], order), bucket
                     continue
                 if kind >= 3:
                     row = _arrays(batch.column("doc")[k]).astype(np.int64) + base
@@ -594,7 +580,7 @@ def _scores(docs: DataFrame, hot_words: int, hot_pairs: int, blocks: int) -> Dat
     for block in range(blocks):
         part = numbered.filter(F.pmod(F.xxhash64("doc_id"), F.lit(blocks)) == block)
         found = pin(score_block(part, model), "katz-parts")
-        rare = found.filter("w is not null").groupBy("row", "w").agg(*[F.sum(c).alias(c) for c in ("n0", "na", "nb")])
+        rare = found.filter("w is not null").select("row", "w", "n0", "na", "nb")  # every figure below is linear in them
         joined = rare.join(words, rare["w"] == words["_w"], "left")
         n0, na, nb = (F.coalesce(c, F.lit(0)) for c in ("n0", "na", "nb"))
         c, log_p = F.coalesce("c", F.lit(0)), F.coalesce("log_p", F.lit(model.log_unknown))
