@@ -455,7 +455,7 @@ def chunk_rows(rows: list[tuple], texts: list, shared: dict, words: Words) -> li
 
 
 def bucket_rows(model: tuple, kind: int, a: np.ndarray, b: np.ndarray, n: np.ndarray, doc: np.ndarray, shared: dict):
-    """Of pairs of one chunk in one bucket: (text, gain) sums, and rare words of seen pairs as (text, word, as context, as word)."""
+    """Of pairs of one chunk in one bucket: (text, gain), and rare words of seen pairs as (text, word, as context, as word)."""
     hot = shared["hot"]
     h, w, count, keys, order = model
     if kind == 1:
@@ -475,8 +475,6 @@ def bucket_rows(model: tuple, kind: int, a: np.ndarray, b: np.ndarray, n: np.nda
     gain = np.log10(discounted_array(count[at], shared["d2"]))
     gain -= np.where(i >= 0, hot["log_c"][i] + hot["log_alpha"][i], 0.0)
     gain -= np.where(j >= 0, hot["log_p"][j], 0.0)
-    texts, index = np.unique(doc, return_inverse=True)
-    sums = (texts, np.bincount(index, weights=gain * n, minlength=len(texts)))
     lost_i, lost_j = i < 0, j < 0
     rare = (
         np.r_[doc[lost_i], doc[lost_j]],
@@ -484,7 +482,7 @@ def bucket_rows(model: tuple, kind: int, a: np.ndarray, b: np.ndarray, n: np.nda
         np.r_[n[lost_i], np.zeros(lost_j.sum(), np.int64)],
         np.r_[np.zeros(lost_i.sum(), np.int64), n[lost_j]],
     )
-    return sums, rare
+    return (doc, gain * n), rare
 
 
 def score_block(rows: DataFrame, model: Model) -> DataFrame:
@@ -500,6 +498,11 @@ def score_block(rows: DataFrame, model: Model) -> DataFrame:
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables, at = None, None
         texts, gains, size = [], [], 0
+        lost, lost_size = [], 0  # many small results become few batches
+
+        def rare_rows() -> pa.RecordBatch:
+            row, word, na, nb = (np.concatenate(c) for c in zip(*lost, strict=True))
+            return _out(row, w=word, na=na, nb=nb)
 
         def summed() -> pa.RecordBatch:
             ids, index = np.unique(np.concatenate(texts), return_inverse=True)
@@ -533,9 +536,15 @@ def score_block(rows: DataFrame, model: Model) -> DataFrame:
                     yield summed()
                     texts, gains, size = [], [], 0
                 if len(doc):
-                    yield _out(doc.astype(np.int64) + base, w=word, na=na, nb=nb)
+                    lost.append((doc.astype(np.int64) + base, word, na, nb))
+                    lost_size += len(doc)
+                    if lost_size > 200_000:
+                        yield rare_rows()
+                        lost, lost_size = [], 0
         if size:
             yield summed()
+        if lost:
+            yield rare_rows()
 
     texts = rows.mapInArrow(chunk, PACKED)
     pairs = model.pairs.selectExpr("bucket", "0 kind", "w1 a", "w2 b", "n", "cast(null as array<int>) doc", "0L base")
