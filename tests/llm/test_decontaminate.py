@@ -98,3 +98,47 @@ def test_window_fingerprints_are_those_of_their_shingles():
     for fp, s, w in zip(decontaminate.window_fingerprints(values, starts, widths), starts, widths, strict=True):
         part = [int(v) for v in values[s : s + w]]
         assert int(fp) == sum(1 << b for b in range(64) if 2 * sum(v >> b & 1 for v in part) > w)
+
+
+def brute_short(text, items, similarity):
+    """Best weighted Jaccard similarity where a text shorter than the item is the one window."""
+    plain = PlainWords()
+    found = {}
+    for item, own in items:
+        if len(plain.of(text)) >= len(plain.of(own)):
+            found |= brute_matches(text, [(item, own)], similarity)
+            continue
+        a, b = (plain.of(t).tolist() for t in (text, own))
+        k = min(5, len(b))
+        x, y = ([tuple(w[i : i + k]) for i in range(len(w) - k + 1)] for w in (a, b))
+        kinds = set(x) | set(y)
+        value = sum(min(x.count(s), y.count(s)) for s in kinds) / sum(max(x.count(s), y.count(s)) for s in kinds)
+        if value >= similarity - 1e-12:
+            found[item] = round(value, 9)
+    return found
+
+
+def test_texts_shorter_than_items(llm):
+    rng = random.Random(8)
+    items = [(n, " ".join(f"s{rng.randrange(2000)}" for _ in range(n))) for n in (15, 16, 24, 59, 120)]
+    texts = []
+    for _, text in items:
+        w = text.split()
+        texts += [" ".join(w[a : len(w) - b]) for a in range(4) for b in range(4)] + [" ".join(w[: len(w) * 9 // 10]), " ".join(w[: len(w) * 3 // 4])]
+    plain = PlainWords()
+    for held in (items, items[3:], items[:1]):
+        index = Items([(i, plain.of(t)) for i, t in held])
+        for text in texts:
+            assert {i: round(v[0], 9) for i, v in index.matches(plain.of(text), 0.8).items()} == brute_short(text, held, 0.8), text
+    docs = llm.createDataFrame([(1, " ".join(items[3][1].split()[:-1])), (2, " ".join(items[0][1].split()[:-1]))], "doc_id long, text string")
+    table = llm.createDataFrame(items, "item_id long, text string")
+    assert sorted((r.doc_id, r.item_id) for r in decontaminate.contamination(docs, table).collect()) == [(1, 59), (2, 15)]
+    assert decontaminate.drop_contaminated(docs, table).count() == 0
+
+
+def test_items_without_an_id_are_dropped_too(llm):
+    words = [f"n{i}" for i in range(30)]
+    docs = llm.createDataFrame([(1, " ".join(words)), (2, " ".join(reversed(words)))], "doc_id long, text string")
+    items = llm.createDataFrame([(None, " ".join(words)), (None, "other words of no document at all"), (5, "five")], "item_id long, text string")
+    assert [r.doc_id for r in decontaminate.drop_contaminated(docs, items).collect()] == [2]
+    assert decontaminate.contamination(docs, items).collect() == []

@@ -1,7 +1,7 @@
 """Benchmark decontamination by SimHash windows of item size.
 
-An item of n words is looked for in windows of n words. A window and an item are fingerprinted by SimHash over
-their five-word shingles with counts; fingerprints of one window size within `radius` bits are found through
+An item of n words is looked for in windows of n words, in a shorter text in the whole text as the one window. A window and an item are fingerprinted by SimHash over
+their five-word shingles with counts; fingerprints looked up for one item size within `radius` bits are found through
 `radius + 1` blocks of bits (two that differ in `radius` bits agree on a block, so none is missed), and the
 weighted Jaccard similarity of the shingle counts decides at `similarity`. A window of which fewer than
 `similarity` of the shingles belong to any item cannot reach it and is not fingerprinted; all others are, at
@@ -11,7 +11,8 @@ Words are runs without white space, compared by their letters and digits in lowe
 is skipped. Documents stay where they are: items are sent in blocks of at most `block_words` words, one pass
 over the documents per block.
 
-Defined cases: items or texts that are null or have no word match nothing; an item of fewer than five words
+Defined cases: items or texts that are null or have no word match nothing; an item without an id has no name to
+report in `contamination`, but its passage is dropped like any other; an item of fewer than five words
 is one shingle; repeated items and rows are treated alike and separately; of equally similar windows the first counts.
 """
 
@@ -94,7 +95,7 @@ class ItemIndex:
         return values | (widths.astype(np.uint64) << np.uint64(size))
 
     def near(self, fps: np.ndarray, widths: np.ndarray) -> np.ndarray:
-        """(window, item) rows of equal width within the radius, by window and item."""
+        """(window, item) rows of the asked item width within the radius, by window and item."""
         pairs = []
         for block, (keys, order) in enumerate(self.tables):
             mine = self._keys(fps, widths, block)
@@ -109,18 +110,22 @@ class ItemIndex:
         return np.stack([found // len(self.items), found % len(self.items)], axis=1)
 
     def windows(self, shingles: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray]:
-        """Start and width of the windows that can match: at least `similarity` of their shingles belong to items."""
+        """Start and item size of the windows that can match: shingles of items make up `similarity` of that size.
+
+        A window ends with the text, so one looked up for a larger item is the whole text.
+        """
         likely = np.flatnonzero(self.mask[shingles & np.uint64((1 << FILTER_BITS) - 1)])
         at = np.searchsorted(self.known, shingles[likely])
         likely = likely[self.known[np.minimum(at, len(self.known) - 1)] == shingles[likely]]
-        if len(likely) < similarity * self.widths[0]:
+        if len(likely) < similarity * self.widths[0] - 1e-9:
             return np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64)
         hits = np.zeros(len(shingles) + 1, dtype=np.int32)
         hits[likely + 1] = 1
         np.cumsum(hits, out=hits)
         starts, widths = [], []
-        for width in self.widths[self.widths <= len(shingles)]:
-            found = np.flatnonzero(hits[width:] - hits[:-width] >= similarity * width - 1e-9)
+        for width in self.widths[similarity * self.widths - 1e-9 <= len(likely)]:
+            span = min(int(width), len(shingles))
+            found = np.flatnonzero(hits[span:] - hits[:-span] >= similarity * width - 1e-9)
             starts.append(found)
             widths.append(np.full(len(found), width))
         return np.concatenate(starts), np.concatenate(widths)
@@ -131,15 +136,16 @@ class ItemIndex:
         shingles = runs(hashes, self.k)
         if not len(shingles):
             return best
-        starts, widths = self.windows(shingles, similarity)
+        starts, sizes = self.windows(shingles, similarity)
         order = np.argsort(starts, kind="stable")
-        starts, widths = starts[order], widths[order]
+        starts, sizes = starts[order], sizes[order]
+        widths = np.minimum(sizes, len(shingles))
         at = 0
         while at < len(starts):  # in stretches, so that memory does not follow the length of the text
             end = min(int(np.searchsorted(starts, starts[at] + STRETCH)), at + STRETCH)
             first, last = starts[at], int((starts[at:end] + widths[at:end]).max())
             fps = window_fingerprints(shingles[first:last], starts[at:end] - first, widths[at:end])
-            for w, i in self.near(fps, widths[at:end]):
+            for w, i in self.near(fps, sizes[at:end]):
                 item, own = self.items[i]
                 start, width = int(starts[at + w]), int(widths[at + w])
                 value = weighted_similarity(shingles[start : start + width], own)
@@ -168,10 +174,10 @@ class Items:
         return out
 
 
-def item_blocks(items: DataFrame, block_words: int) -> Iterator[list[tuple[int, str]]]:
+def item_blocks(items: DataFrame, block_words: int) -> Iterator[list[tuple[int | None, str]]]:
     """Items in blocks of at most block_words words; a single longer item is a block of its own."""
     block, size = [], 0
-    for item, text in items.select(F.col("item_id").cast("long"), "text").filter("text is not null and item_id is not null").toLocalIterator():
+    for item, text in items.select(F.col("item_id").cast("long"), "text").filter("text is not null").toLocalIterator():
         n = len(text.split())
         if block and size + n > block_words:
             yield block
@@ -191,7 +197,7 @@ def contamination(docs: DataFrame, items: DataFrame, similarity: float = 0.8, ra
     """doc_id, item_id, similarity, first_word and n_words of the best window, for every match of a row."""
     schema = "doc_id long, item_id long, similarity double, first_word long, n_words long"
     out = docs.sparkSession.createDataFrame([], schema)
-    for block in item_blocks(items, block_words):
+    for block in item_blocks(items.filter("item_id is not null"), block_words):
         shared = _index(docs.sparkSession, block, radius)
 
         def search(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
