@@ -142,3 +142,25 @@ def test_items_without_an_id_are_dropped_too(llm):
     items = llm.createDataFrame([(None, " ".join(words)), (None, "other words of no document at all"), (5, "five")], "item_id long, text string")
     assert [r.doc_id for r in decontaminate.drop_contaminated(docs, items).collect()] == [2]
     assert decontaminate.contamination(docs, items).collect() == []
+
+
+def test_pairs_at_the_boundary_are_all_found():
+    rng = np.random.default_rng(6)
+    lost = 0
+    for n in range(3000):
+        item = rng.integers(1, 2**63, 59, dtype=np.uint64)
+        text = item.copy()
+        text[:6] = rng.integers(1, 2**63, 6, dtype=np.uint64)  # 49 of 55 shingles are shared: similarity 49/61 = 0.803
+        lost += not Items([(n, item)]).matches(text, 0.8)
+    assert not lost
+
+
+def test_repeated_shingles_far_apart_in_bits():
+    rng = np.random.default_rng(7)
+    for n in range(200):
+        shared = rng.integers(1, 2**63, 84, dtype=np.uint64)
+        item = np.concatenate([shared, np.full(14, rng.integers(1, 2**63, dtype=np.uint64))])
+        text = np.concatenate([shared, np.full(14, item[-1] + np.uint64(1))])
+        text[84:88] = item[84:88]  # the repeated shingle is 10 of 94 in one and gone in the other: 84 / 104 = 0.81
+        found = Items([(n, item)]).matches(text, 0.8)
+        assert found and abs(found[n][0] - 84 / 104) < 1e-9, n
