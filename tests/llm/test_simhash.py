@@ -146,3 +146,27 @@ def test_dedup_keeps_rows_without_id_and_all_columns(odd, odd_rows, nothing):
     # empty texts are one group kept by 1; rows of one id stay together; null ids stay
     assert sorted(ids, key=repr) == sorted([None, None, 1, 4, 5, 5, 6, 6, 7, 8, 9], key=repr)
     assert simhash.drop_near_duplicates(nothing).collect() == []
+
+
+def repeated_lines():
+    """Pairs of texts of 150 distinct words, one with some of its lines ten times, that share 85% to all of their shingles."""
+    rng = random.Random(11)
+    rows = []
+    for g in range(60):
+        base = [f"r{g}x{i}" for i in range(150)]
+        other = list(base)
+        for _ in range(g % 3):
+            other[rng.randrange(len(other))] = f"o{len(rows)}"
+        line = " ".join(other[20:32])
+        text = " ".join(other)
+        rows.append((2 * g, " ".join(base)))
+        rows.append((2 * g + 1, text.replace(line, "\n".join([line] * 10))))
+    return rows
+
+
+def test_near_copies_with_repeated_lines_are_grouped(llm):
+    rows = repeated_lines()
+    tops = brute_groups(rows)
+    assert len(set(tops.values())) < len(rows)
+    got = {r[0]: r[1] for r in simhash.near_duplicate_groups(llm.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == tops

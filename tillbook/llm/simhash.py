@@ -8,7 +8,8 @@ that size, and its fingerprints visit each of these trees.
 
 Near-duplicate texts at a Jaccard similarity: 0.8 on word shingles means about ten differing bits, too many
 for blocks. There the shards are pairs of minimum shingle hashes (texts at 0.8 share one of the 8 pairs but
-for 3 in 10,000), a BK-tree of the shard proposes partners within a wide radius, and the shingle sets decide.
+for 3 in 10,000), a BK-tree of the shard proposes partners within a wide radius of the SimHash of distinct
+shingles, and the shingle sets decide.
 Proposed texts already in one group are not compared again, and a shard passes on a spanning forest of its
 verified links, never all its pairs.
 """
@@ -47,7 +48,11 @@ def fingerprint(found: list[bytes], k: int) -> int:
             ends.append(at)
         starts = [0, *(e + 1 for e in ends[: len(ends) - k])]
         hashes = [digest(joined[s:e], SEED) for s, e in zip(starts, ends[k - 1 :], strict=True)]
-    values = np.array(hashes, dtype=np.uint64)
+    return majority(np.array(hashes, dtype=np.uint64))
+
+
+def majority(values: np.ndarray) -> int:
+    """Bits that more than half of the hashes have; no hash gives zero."""
     total = np.zeros(64, dtype=np.int64)
     for part in range(0, len(values), 65536):
         octets = values[part : part + 65536].view(np.uint8).reshape(-1, 8)
@@ -178,7 +183,7 @@ def _digest(found: list[bytes]) -> bytes:
 
 
 def signatures(docs: DataFrame, k: int) -> DataFrame:
-    """doc_id, digest of the word sequence, fp and bands (null for a text without words)."""
+    """doc_id, digest of the word sequence, fp of the distinct shingles and bands (null for a text without words)."""
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
@@ -188,8 +193,9 @@ def signatures(docs: DataFrame, k: int) -> DataFrame:
             for t in texts:
                 found = lower_words(t.as_py())
                 digests.append(_digest(found))
-                fps.append(fingerprint(found, k))
-                keys.append(bands(shingle_set(found, k, hashes)) if found else None)
+                distinct = shingle_set(found, k, hashes)  # what the Jaccard rule compares; repeats would move bits that it does not see
+                fps.append(majority(distinct))
+                keys.append(bands(distinct) if found else None)
             yield pa.RecordBatch.from_arrays(
                 [ids, pa.array(digests, pa.binary()), pa.array(signed(np.array(fps, dtype=np.uint64)), pa.int64()), pa.array(keys, pa.list_(pa.int64()))],
                 ["doc_id", "digest", "fp", "bands"],
