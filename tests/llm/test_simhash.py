@@ -170,3 +170,19 @@ def test_near_copies_with_repeated_lines_are_grouped(llm):
     assert len(set(tops.values())) < len(rows)
     got = {r[0]: r[1] for r in simhash.near_duplicate_groups(llm.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got == tops
+
+
+def test_groups_of_a_hot_shard_are_bounded_and_meet_every_pair_once(llm):
+    from pyspark.sql import functions as F
+
+    members = llm.range(3000).select(F.lit(1).alias("key"), F.col("id").alias("item"))
+    rows = simhash.in_trees(members, ["key"], "item", 200).select("tree", "own", "item").collect()
+    held = {}
+    for r in rows:
+        held.setdefault(r.tree, ([], []))[r.own].append(r.item)
+    assert len(held) == 15 * 16 // 2 and max(len(a) + len(b) for a, b in held.values()) < 2 * 200 * 1.5
+    met = []
+    for tree, (visitors, own) in held.items():
+        assert len(simhash.seekers(tree, [True] * len(own) + [False] * len(visitors))) == (len(visitors) or len(own))
+        met += [(min(a, b), max(a, b)) for a in visitors for b in own] if visitors else [(a, b) for a in own for b in own if a < b]
+    assert len(met) == len(set(met)) == 3000 * 2999 // 2

@@ -3,8 +3,8 @@
 Links of fingerprints: two fingerprints that differ in at most `radius` bits agree on one of `radius + 1`
 blocks of bits, so a block and its value is a shard that holds all partners. Only distinct fingerprints
 travel. A shard gets its BK-tree in the task that owns it. The trees together grow with the corpus and have
-no size bound, so they are not broadcast. A shard of more than `shard_rows` fingerprints is cut into trees of
-that size, and its fingerprints visit each of these trees.
+no size bound, so they are not broadcast. A shard of more than `shard_rows` fingerprints is cut into parts of
+about that size; a task holds the tree of one part and the visitors of one other, for every two parts.
 
 Near-duplicate texts at a Jaccard similarity: 0.8 on word shingles means about ten differing bits, too many
 for blocks. There the shards are pairs of minimum shingle hashes (texts at 0.8 share one of the 8 pairs but
@@ -17,6 +17,7 @@ verified links, never all its pairs.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from math import isqrt
 
 import numpy as np
 import pyarrow as pa
@@ -80,20 +81,22 @@ def block_bounds(radius: int) -> list[tuple[int, int]]:
 
 
 def in_trees(members: DataFrame, key: list[str], item: str, shard_rows: int) -> DataFrame:
-    """Rows of members whose key has several, once per tree of their shard: key, tree, own, and their columns.
+    """Rows of members whose key has several, once per group of their shard: key, tree (the group), own, and their columns.
 
-    A shard of up to shard_rows rows is one tree; a larger one is cut by the hash of `item`, its rows belong
-    to one tree (own) and visit all of them.
+    A shard of up to shard_rows rows is one part; a larger one is cut by the hash of `item` into parts of about
+    that size. A group is two parts: the rows of the first are its tree (own), those of the second visit it, so
+    any two parts meet once and no group grows with its shard. A part meets itself in a group of its own.
     """
     counted = members.groupBy(*key).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
-    trees = F.ceil(F.col("_n") / shard_rows).cast("int")
-    home = F.pmod(F.xxhash64(item), trees).cast("int")
+    parts = F.ceil(F.col("_n") / shard_rows).cast("long")
+    home = F.pmod(F.xxhash64(item), parts)
     return (
         members.join(counted, key)
         .withColumn("_home", home)
-        .withColumn("tree", F.explode(F.sequence(F.lit(0), trees - 1)))
-        .withColumn("own", F.col("tree") == F.col("_home"))
-        .drop("_n", "_home")
+        .withColumn("_other", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)))
+        .withColumn("tree", F.expr("greatest(_home, _other) * (greatest(_home, _other) + 1) div 2 + least(_home, _other)"))
+        .withColumn("own", F.col("_home") >= F.col("_other"))
+        .drop("_n", "_home", "_other")
     )
 
 
@@ -109,6 +112,13 @@ def groups(found: Iterator[tuple], size: int) -> Iterator[list[tuple]]:
         yield part
 
 
+def seekers(group: int, own: list[bool]) -> list[int]:
+    """Rows that look for partners in the tree of their group: all where a part meets itself, else the visitors."""
+    first = (isqrt(8 * group + 1) - 1) // 2
+    itself = group - first * (first + 1) // 2 == first
+    return [i for i, o in enumerate(own) if itself or not o]
+
+
 def fingerprint_links(distinct: DataFrame, radius: int, shard_rows: int = 20_000) -> DataFrame:
     """u < v of every two fingerprints in distinct(fp) that differ in 1 to `radius` bits; radius is 1 or more."""
     bounds = block_bounds(radius)
@@ -127,15 +137,15 @@ def fingerprint_links(distinct: DataFrame, radius: int, shard_rows: int = 20_000
         for part in groups(rows(batches), 3):
             block = part[0][0]
             tree = BKTree(r[4] & 0xFFFFFFFFFFFFFFFF for r in part if r[3])
-            for r in part:
-                fp = r[4] & 0xFFFFFFFFFFFFFFFF
+            for i in seekers(part[0][2], [r[3] for r in part]):
+                fp, inside = part[i][4] & 0xFFFFFFFFFFFFFFFF, part[i][3]
                 for other in tree.within(fp, radius):
-                    # a pair shows once as smaller in tree, and only in the first block it agrees on
-                    if other < fp and not any((fp ^ other) & m == 0 for m in masks[:block]):
-                        us.append(other), vs.append(fp)
-            if len(us) > 50_000:
-                yield _pairs(us, vs)
-                us, vs = [], []
+                    # a pair shows once, as smaller in its own tree or as visitor, and only in the first block it agrees on
+                    if (other < fp or not inside) and not any((fp ^ other) & m == 0 for m in masks[:block]):
+                        us.append(min(fp, other)), vs.append(max(fp, other))
+                if len(us) > 50_000:
+                    yield _pairs(us, vs)
+                    us, vs = [], []
         yield _pairs(us, vs)
 
     placed = visits.repartition("block", "value", "tree").sortWithinPartitions("block", "value", "tree")
@@ -235,7 +245,8 @@ def _proposed(visits: DataFrame, radius: int) -> DataFrame:
                     tree.add(fp)
                     holders.setdefault(fp, []).append(i)
             active: set[int] = set()
-            for i, r in enumerate(part):
+            for i in seekers(part[0][2], [r[3] for r in part]):
+                r = part[i]
                 near = tree.within(r[5] & 0xFFFFFFFFFFFFFFFF, radius)
                 if len(near) > 1 or (near and any(part[j][4] != r[4] for j in holders[near[0]])):
                     active.add(i)
@@ -253,13 +264,13 @@ def _proposed(visits: DataFrame, radius: int) -> DataFrame:
 
 
 def _visit_batch(found: list[tuple]) -> pa.RecordBatch:
-    types = [pa.int32(), pa.int64(), pa.int32(), pa.bool_(), pa.binary(), pa.int64()]
+    types = [pa.int32(), pa.int64(), pa.int64(), pa.bool_(), pa.binary(), pa.int64()]
     columns = list(zip(*found, strict=True)) if found else [[]] * 6
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], ["band", "key", "tree", "own", "node", "fp"])
 
 
-def shard_links(own: list[bool], nodes: list, fps: list[int], sets: list[np.ndarray], radius: int, similarity: float) -> list[tuple]:
-    """Spanning links of one tree: proposed by the BK-tree, verified by exact Jaccard similarity of the sets."""
+def shard_links(group: int, own: list[bool], nodes: list, fps: list[int], sets: list[np.ndarray], radius: int, similarity: float) -> list[tuple]:
+    """Spanning links of one group: proposed by the BK-tree, verified by exact Jaccard similarity of the sets."""
     mine = [i for i, o in enumerate(own) if o]
     tree = BKTree(fps[i] for i in mine)
     holders: dict[int, list[int]] = {}
@@ -280,7 +291,7 @@ def shard_links(own: list[bool], nodes: list, fps: list[int], sets: list[np.ndar
         return i
 
     found = []
-    for i in range(len(nodes)):
+    for i in seekers(group, own):
         near = [j for fp in tree.within(fps[i], radius) for j in holders[fp]]
         near = [j for j in near if j != i and top(j) != top(i) and min(sizes[i], sizes[j]) >= similarity * max(sizes[i], sizes[j])]
         if not near:
@@ -323,7 +334,7 @@ def near_duplicate_groups(docs: DataFrame, k: int = 5, similarity: float = 0.8,
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in groups(_light_rows(batches), 3):
             own, nodes, fps, held = zip(*(r[3:] for r in part), strict=True)
-            found = shard_links(list(own), list(nodes), [f & 0xFFFFFFFFFFFFFFFF for f in fps], list(held), radius, similarity)
+            found = shard_links(part[0][2], list(own), list(nodes), [f & 0xFFFFFFFFFFFFFFFF for f in fps], list(held), radius, similarity)
             if found:
                 us, vs = zip(*found, strict=True)
                 yield pa.RecordBatch.from_arrays([pa.array(us, pa.binary()), pa.array(vs, pa.binary())], ["u", "v"])
