@@ -8,7 +8,22 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillbook.llm import bpe, decontaminate, html_text, katz, licences, pii, quality_rules, simhash, substring_dedup, weak_labels
+from tillbook.llm import (
+    archives,
+    bpe,
+    conversation_trie,
+    decontaminate,
+    html_text,
+    katz,
+    licences,
+    pii,
+    quality_rules,
+    simhash,
+    sql,
+    substring_dedup,
+    vector_codes,
+    weak_labels,
+)
 from tillbook.llm.shipping import ship
 
 _BUILDS: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -91,10 +106,30 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
 
 
+@registered
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Product code and error of every embedding."""
+    return vector_codes.compress(table(spark, sf_dir, "embeddings")).drop("label")
+
+
+@registered
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the trie of conversations that begin like the first one of their family."""
+    turns = conversation_trie.sequences(table(spark, sf_dir, "conversations"))
+    return conversation_trie.prefix_trie(*conversation_trie.with_shared_heads(turns))
+
+
+@registered
+def op13_archive_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page as a record of ARC archives that became WARC archives."""
+    records = archives.round_trip(table(spark, sf_dir, "pages"))
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(_BUILDS)
 
 
 def oracle_sql() -> dict[str, str]:
     """DuckDB statements where SQL expresses the operator; the others are tested against brute force."""
-    return {}
+    return dict(sql.STATEMENTS)
