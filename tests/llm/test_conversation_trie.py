@@ -1,0 +1,144 @@
+import hashlib
+import random
+import zlib
+
+import pytest
+
+from conftest import rows
+from llm_data import SF, llm  # noqa: F401
+from tillbook.llm import conversation_trie as ct
+
+NAMES = ["conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256"]
+SCHEMA = "conv_id long, turn long, role string, text string"
+
+
+def order(row):
+    _, turn, role, text = row
+    role, text = role or "", text or ""
+    digest = hashlib.sha256(f"{len(role)}:{role}{text}".encode()).digest()[:16]
+    return (turn is not None, turn or 0, digest)
+
+
+def brute(sequences):
+    """Rows of the trie of {conv: [(role, text)]} by walking every prefix."""
+    members = {}
+    for conv, turns in sequences.items():
+        for d in range(len(turns) + 1):
+            members.setdefault(tuple(turns[:d]), []).append(conv)
+    children = {}
+    for node in members:
+        if node:
+            children.setdefault(node[:-1], []).append(node)
+    saved = dict.fromkeys(members, 0)
+    leaves = dict.fromkeys(members, 0)
+    for node, found in members.items():
+        for d in range(len(node) + 1):
+            saved[node[:d]] += (len(found) - 1) * len(node[-1][1]) if node else 0
+            leaves[node[:d]] += node not in children
+    return sorted(
+        (
+            (
+                *(min(found), len(node), min(members[node[:-1]]) if node else None, len(found), len(children.get(node, []))),
+                *(leaves[node], saved[node]),
+                hashlib.sha256(",".join(str(c) for c in sorted(found) if len(sequences[c]) == len(node)).encode()).hexdigest(),
+            )
+            for node, found in members.items()
+        ),
+        key=repr,
+    )
+
+
+def sequences_of(table):
+    out = {}
+    for row in sorted((r for r in table if r[0] is not None), key=lambda r: (r[0], order(r))):
+        out.setdefault(row[0], []).append((row[2] or "", row[3] or ""))
+    return out
+
+
+def rebuilt(sequences):
+    out = {}
+    for conv, turns in sequences.items():
+        h = zlib.crc32(str(conv).encode()) % 6
+        base = sequences.get(conv - (conv % 100 if conv >= 0 else -(-conv % 100)), [])
+        out[conv] = base[:h] + turns[h:]
+    return out
+
+
+def random_table(seed, convs=80, most=12):
+    rng = random.Random(seed)
+    table = []
+    for conv in range(convs):
+        said = "" if rng.random() < 0.5 else "other "
+        table += [(conv, i, "user" if i % 2 else None, f"{said}{rng.choice('ab')}") for i in range(rng.randrange(1, most))]
+    return table
+
+
+ODD = [
+    (None, 1, "user", "no conversation"),
+    (3, None, "user", "null turn comes first"),
+    (3, 2, None, None),
+    (3, 1, "user", "équatre 漢字 😀"),
+    (4, 1, "user", "tie a"),
+    (4, 1, "user", "tie b"),
+    (5, 1, "user", "twice"),
+    (5, 1, "user", "twice"),
+    (-7, 1, "", ""),
+    (-100, 1, "user", "x" * 30_000),
+    (205, 1, "user", "its family's first conversation is absent"),
+    (1, 1, "a:b", "c"),
+    (2, 1, "a", ":bc"),
+]
+
+
+@pytest.mark.parametrize("local_weight", [1, 30, 1_000_000])
+@pytest.mark.parametrize("seed", [1, 2])
+def test_equals_brute_force(llm, seed, local_weight):  # noqa: F811
+    table = random_table(seed) + ODD
+    turns = ct.sequences(llm.createDataFrame([(*r, 1, "o") for r in table], SCHEMA + ", depth long, owner string").repartition(4))
+    found = ct.prefix_trie(*ct.with_shared_heads(turns), local_weight=local_weight)
+    assert rows(found, *NAMES) == brute(rebuilt(sequences_of(table)))
+
+
+def test_long_chains_cross_blocks_and_split_in_halves(llm):  # noqa: F811
+    table = [(c, i, "user", f"t{i}" if i < 90 + c else f"{c}-{i}") for c in range(3) for i in range(130)]
+    turns = ct.sequences(llm.createDataFrame(table, SCHEMA))
+    lengths = turns.groupBy("conv").count().withColumnRenamed("count", "len")
+    found = ct.prefix_trie(turns, lengths, local_weight=40, block=16)
+    assert rows(found, *NAMES) == brute(sequences_of(table))
+
+
+def test_copies_of_one_conversation(llm, monkeypatch):  # noqa: F811
+    monkeypatch.setattr(ct, "IDS", 7)
+    table = [(c, i, "user", f"same {i}") for c in range(0, 3000, 3) for i in range(4)] + random_table(3, 20)
+    assert rows(ct.trie(llm.createDataFrame(table, SCHEMA)), *NAMES) == brute(sequences_of(table))
+
+
+@pytest.mark.parametrize("shape", ["chain", "star", "caterpillar", "random"])
+def test_subtree_sums_of_a_component(shape):
+    n, rng = 400, random.Random(4)
+    parents = {
+        "chain": [i - 1 for i in range(n)],
+        "star": [-1] + [0] * (n - 1),
+        "caterpillar": [-1] + [(i - 1) // 2 * 2 for i in range(1, n)],
+        "random": [-1] + [rng.randrange(i) for i in range(1, n)],
+    }[shape]
+    a, b = [rng.randrange(5) for _ in range(n)], [rng.randrange(100) for _ in range(n)]
+    want = list(a), list(b)
+    for i in reversed(range(1, n)):
+        for w in want:
+            w[parents[i]] += w[i]
+    assert ct.subtree_sums(parents, a, b) == want
+
+
+def test_empty_table(llm):  # noqa: F811
+    turns = ct.sequences(llm.createDataFrame([], SCHEMA))
+    assert rows(ct.prefix_trie(*ct.with_shared_heads(turns))) == []
+    assert rows(ct.trie(llm.createDataFrame([(None, 1, "a", "b")], SCHEMA))) == []
+
+
+def test_trie_of_the_table(llm):  # noqa: F811
+    from tillbook.llm import queries
+
+    table = [tuple(r) for r in llm.read.parquet(f"{SF}/conversations.parquet").select("conv_id", "turn", "role", "text").collect()]
+    found = queries.queries()["op12_conversation_trie"](llm, SF)
+    assert rows(found, *NAMES) == brute(rebuilt(sequences_of(table)))

@@ -46,7 +46,8 @@ def sequences(conversations: DataFrame, conv_id: str = "conv_id", turn: str = "t
     turns = conversations.filter(F.col(conv_id).isNotNull()).select(
         F.col(conv_id).alias("conv"), F.col(turn).alias("turn"), digest.alias("digest"), F.char_length(said).cast("long").alias("chars")
     )
-    return pin(numbered(pin(turns, "turns"), ["conv"], ["turn", "digest"], "pos").select("conv", "pos", "digest", "chars"), "sequences")
+    placed = numbered(pin(turns, "turns"), ["conv"], ["turn", "digest"], "pos")
+    return pin(placed.select("conv", F.col("pos").cast("long").alias("pos"), "digest", "chars"), "sequences")
 
 
 def with_shared_heads(turns: DataFrame, family: int = 100, most: int = 6) -> tuple[DataFrame, DataFrame]:
@@ -263,7 +264,8 @@ def totals_below(nodes: DataFrame, visits: DataFrame, local_weight: int = LOCAL_
         zero.alias("top_depth"),
         F.lit(root[1] if root else 0).cast("long").alias("weight"),
     )
-    small, done = [], []
+    # Written, so that the planner does not take the one top for a constant and the join by it for a join without a key.
+    state, small, done = pin(state, "trie-state"), [], []
     while True:
         small.append(state.filter(F.col("weight") <= local_weight))
         large = state.filter(F.col("weight") > local_weight)
@@ -356,4 +358,4 @@ def prefix_trie(turns: DataFrame, lengths: DataFrame, local_weight: int = LOCAL_
 def trie(conversations: DataFrame, **names: str) -> DataFrame:
     """Trie of conversations as they stand."""
     turns = sequences(conversations, **names)
-    return prefix_trie(turns, turns.groupBy("conv").agg(F.max("pos").cast("long").alias("len")))
+    return prefix_trie(turns, turns.groupBy("conv").agg(F.max("pos").alias("len")))
