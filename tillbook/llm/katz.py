@@ -39,7 +39,8 @@ from tillbook.session import pin
 
 K = 5
 START, END = xxhash.xxh64_intdigest(b"\r"), xxhash.xxh64_intdigest(b"\n")  # no word holds white space
-COUNT_TOKENS, SCORE_TOKENS = 1_000_000, 500_000  # tokens that a task holds at a time
+COUNT_TOKENS, SCORE_TOKENS = 1_000_000, 300_000  # tokens that a task holds at a time
+SUMMED_PAIRS = 300_000  # gains that a task holds before it sums them by text
 BUCKET_BYTES = 4_000_000  # text per bucket
 KNOWN_WORDS = 400_000  # words a task keeps before it starts anew
 SEEN_BITS = 22
@@ -571,7 +572,7 @@ def score_block(rows: DataFrame, model: Model) -> DataFrame:
                 (text, gain), (doc, word, na, nb) = bucket_rows(tables, kind, a, b, n, _arrays(batch.column("doc")[k]), shared.value)
                 texts.append(text.astype(np.int64) + base), gains.append(gain)
                 size += len(text)
-                if size > 1_000_000:
+                if size > SUMMED_PAIRS:
                     yield summed()
                     texts, gains, size = [], [], 0
                 if len(doc):
@@ -587,7 +588,7 @@ def score_block(rows: DataFrame, model: Model) -> DataFrame:
 
     texts = rows.mapInArrow(chunk, PACKED)
     pairs = model.pairs.selectExpr("bucket", "0 kind", "w1 a", "w2 b", "n", "cast(null as array<int>) doc", "0L base")
-    placed = texts.unionByName(pairs).repartition(_partitions(model.buckets, 4), "bucket").sortWithinPartitions("bucket", "kind")
+    placed = texts.unionByName(pairs).repartition(_partitions(model.buckets, 1), "bucket").sortWithinPartitions("bucket", "kind")
     return placed.mapInArrow(answer, OUT)
 
 
