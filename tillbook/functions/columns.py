@@ -29,9 +29,10 @@ def _col(c: Column | str) -> Column:
 
 # ------------------------------------------------------------------ keys and null logic
 def surrogate_key(*cols: Column | str) -> Column:
-    """Non-negative 60-bit key of the column values, so it never meets -1 or -2."""
-    text = F.concat_ws("|", *[_col(c).cast("string") for c in cols])
-    return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("bigint")
+    """Non-negative 63-bit key of the column values, so it never meets -1 or -2."""
+    digest = F.md5(F.concat_ws("|", *[_col(c).cast("string") for c in cols]))
+    high, low = (F.conv(F.substring(digest, at, 8), 16, 10).cast("bigint") for at in (1, 9))
+    return F.shiftleft(high.bitwiseAND(F.lit(0x7FFFFFFF).cast("bigint")), 32).bitwiseOR(low)
 
 
 def is_distinct(a: Column | str, b: Column | str) -> Column:

@@ -25,12 +25,14 @@ def scd2(
     type1: list[str] = (),
     limits: Limits = DEFAULT,
     counted: DataFrame | None = None,
+    started: bool = False,
 ) -> DataFrame:
     """Version rows of each key with [valid_from, valid_to) and is_current.
 
     A version starts where any tracked column differs from the row before it; Type 1 columns carry the
     latest value of the key on every version. Needs (key, order_by) unique apart from exact copies.
-    `counted` is a cheaper table to count rows per key on, such as RAW before copies are removed.
+    `counted` is a cheaper table to count rows per key on, such as RAW before copies are removed. With `started`,
+    each version also shows the change time of the row it starts with.
     """
     cuts = time_cuts(df if counted is None else counted, [key], order_by, limits)
     rows = with_segment(df.select(key, order_by, *tracked, *type1), cuts, [key], order_by)
@@ -48,6 +50,7 @@ def scd2(
     versions = neighbours(starts, [key], order_by, nxt=[order_by], cuts=cuts)
     return versions.select(
         key,
+        *([order_by] if started else []),
         *type1,
         *tracked,
         "valid_from",
@@ -77,33 +80,29 @@ def _with_latest(rows: DataFrame, key: str, order_by: str, type1: list[str], cut
     return out.withColumns({c: F.when(known, F.col(f"_latest.{c}")).otherwise(F.col(c)) for c in type1}).drop("_latest")
 
 
+# Natural key, tracked and Type 1 columns of the two histories.
+HISTORIES = {
+    "product": ("product_id", ["category_id", "brand_id", "unit_price", "unit_cost"], ["product_sku", "product_name"]),
+    "employee": ("employee_id", ["store_id"], ["employee_name", "salary", "address", "start_date", "end_date"]),
+}
+
+
+def named_employees(stg_employee: DataFrame) -> DataFrame:
+    return stg_employee.withColumn("employee_name", F.concat("first_name", F.lit(" "), "last_name"))
+
+
 def product_history(
     stg_product: DataFrame, limits: Limits = DEFAULT, counted: DataFrame | None = None
 ) -> DataFrame:
-    return scd2(
-        stg_product,
-        "product_id",
-        "updated_at",
-        tracked=["category_id", "brand_id", "unit_price", "unit_cost"],
-        type1=["product_sku", "product_name"],
-        limits=limits,
-        counted=counted,
-    )
+    key, tracked, type1 = HISTORIES["product"]
+    return scd2(stg_product, key, "updated_at", tracked, type1, limits, counted)
 
 
 def employee_history(
     stg_employee: DataFrame, limits: Limits = DEFAULT, counted: DataFrame | None = None
 ) -> DataFrame:
-    named = stg_employee.withColumn("employee_name", F.concat("first_name", F.lit(" "), "last_name"))
-    return scd2(
-        named,
-        "employee_id",
-        "updated_at",
-        tracked=["store_id"],
-        type1=["employee_name", "salary", "address", "start_date", "end_date"],
-        limits=limits,
-        counted=counted,
-    )
+    key, tracked, type1 = HISTORIES["employee"]
+    return scd2(named_employees(stg_employee), key, "updated_at", tracked, type1, limits, counted)
 
 
 def latest_state(raw: DataFrame, pk: list[str], order_by: str = "updated_at") -> DataFrame:

@@ -13,9 +13,9 @@ FIRST_DAY = "date '2020-01-01'"
 
 
 def key(*cols: str) -> str:
-    """60-bit key of the text of some columns."""
-    text = ", ".join(f"cast({c} as varchar)" for c in cols)
-    return f"cast('0x' || substr(md5(concat_ws('|', {text})), 1, 15) as bigint)"
+    """63-bit key of the text of some columns."""
+    digest = f"md5(concat_ws('|', {', '.join(f'cast({c} as varchar)' for c in cols)}))"
+    return f"(((cast('0x' || substr({digest}, 1, 8) as bigint) & 2147483647) << 32) | cast('0x' || substr({digest}, 9, 8) as bigint))"
 
 
 STAMPS = "timestamp '2020-01-01' as created_at, timestamp '2020-01-01' as updated_at"
@@ -460,7 +460,8 @@ def statements() -> dict[str, str]:
     q["stg_employee"] = shown("from n_employee", EMPLOYEE.replace("id ", "employee_id ", 1))
     q["stg_sales_transaction"] = shown("from s_tx", "transaction_id store_id employee_id payment_method_id transaction_ts created_at updated_at")
     q["stg_completed_items"] = shown("from s_item", _raw("sales_transaction_item").replace(" _load_id", ""))
-    q["scd2_product"] = shown("from h_product", "product_id product_sku product_name category_id brand_id unit_price unit_cost valid_from valid_to is_current")
+    for name in ["scd2_product", "scd2_maintained"]:
+        q[name] = shown("from h_product", "product_id product_sku product_name category_id brand_id unit_price unit_cost valid_from valid_to is_current")
     q["scd2_employee"] = shown("from h_employee", "employee_id employee_name salary address start_date end_date store_id valid_from valid_to is_current")
     for name in ["dim_store", "dim_payment_method", "dim_promotion", "dim_product", "dim_employee"]:
         q[name] = shown(f"from {name}", _mart(name))
@@ -481,7 +482,8 @@ def statements() -> dict[str, str]:
     q["employee_daily_store"] = shown("from daily", "employee_id calendar_date is_employed store_id prev_is_employed prev_store_id")
     q["headcount_movements"] = shown("from move", "employee_id calendar_date store_id movement")
     q["movement_counts"] = shown("from move_count", "store_id month_start joiners leavers transfers_in transfers_out")
-    q["headcount_monthly"] = shown("from snapshot", _mart("fct_store_headcount_monthly"), sums="net_revenue")
+    for name in ["headcount_monthly", "headcount_incremental"]:
+        q[name] = shown("from snapshot", _mart("fct_store_headcount_monthly"), sums="net_revenue")
     q["employed_by_day"] = shown(
         "select cast(calendar_date as date) as calendar_date, count(*) filter (start_date <= calendar_date and (end_date is null or end_date > calendar_date)) as employed_at_end, "
         "count(*) as can_sell from h_employee join (select day as calendar_date from report_day where day >= date '2020-01-01') "

@@ -18,15 +18,18 @@ from tillbook.operators import dims, facts, headcount, history, quality, staging
 from tillbook.operators.pit import pit_join
 from tillbook.operators.scale import Limits, broadcast_if_small
 from tillbook.plans import metrics, nightly, reports, suites
+from tillbook.plans.months import MonthlyHeadcount
 from tillbook.plans.star import Star
 from tillbook.session import new_folder
 from tillbook.sources import ingest, testdata
+from tillbook.sources.histories import MaintainedHistory
 from tillbook.sources.snapshots import SnapshotTable, apply_changes
 from tillbook.sources.tables import materialize
 from tillbook.streaming import loads
 
 AS_OF = date(2026, 8, 2)  # last day of the given sales
 CUT = datetime(2025, 1, 1)
+LATE = datetime(2022, 1, 1)
 NOW = datetime(2026, 8, 2, 12)
 
 _stars: dict[tuple[str, str], Star] = {}
@@ -197,6 +200,35 @@ def pit_product_merged(s: Star) -> DataFrame:
     return _pit_product(s, replace(s.limits, versions_per_key=0))
 
 
+def _history(s: Star, name: str) -> MaintainedHistory:
+    key, tracked, type1 = history.HISTORIES[name]
+    return MaintainedHistory(s.spark, new_folder(s.spark, f"{name}-history"), key, tracked, type1, limits=s.limits)
+
+
+@registered
+def scd2_maintained(s: Star) -> DataFrame:
+    """The product history after three loads; the second brings rows that are older than stored ones."""
+    rows, kept = staging.stage_product(s.stored("raw_product")), _history(s, "product")
+    early, late = F.col("updated_at") < at(CUT), (F.col("product_id") % 3 == 0) & (F.col("updated_at") < at(LATE))
+    for load, part in enumerate([early & ~late, late, ~early]):
+        kept.merge(rows.filter(part), str(load))
+    return kept.versions()
+
+
+@registered
+def headcount_incremental(s: Star) -> DataFrame:
+    """The monthly snapshot after two nights; the second computes the months that new rows touch."""
+    people, fact = _history(s, "employee"), nightly.fact_table(s.spark, new_folder(s.spark, "months-fact"))
+    months = MonthlyHeadcount(s.spark, new_folder(s.spark, "months"), tz=s.tz)
+    rows, sales = history.named_employees(staging.stage_employee(s.stored("raw_employee"))), s.stored("fct_sales")
+    early, sold = F.col("updated_at") < at(datetime(2024, 1, 15)), F.col("transaction_ts") < at(CUT)
+    for staff, lines, day in [(early, sold, date(2025, 3, 10)), (~early, ~sold, AS_OF)]:
+        people.merge(rows.filter(staff))
+        fact.upsert(sales.filter(lines), nightly.FACT_KEYS)
+        months.refresh(people, fact, s.stored("dim_store"), s.stored("dim_date"), day)
+    return months.read(AS_OF)
+
+
 @registered
 def employees_without_pii(s: Star) -> DataFrame:
     return dims.drop_pii(dims.tag_pii(s.stored("dim_employee"), "dim_employee"))

@@ -1,24 +1,41 @@
 """A Parquet table whose writes are whole commits: replace, and upsert by key.
 
-A write goes to new directories, one per slice of the table, and becomes visible by one appended log row
-set. Readers of the version before are undisturbed, a failed write leaves no trace in the log, and an
-upsert rewrites only the slices it touches. On a v2 lake table MERGE INTO does the same.
+A write goes to new directories, one per slice of the table, and becomes visible by one log file that bears
+the number of the version: a file of that name can appear only once, so of two writers that began on one
+version the second fails, and there is no claim that a lost writer could leave behind. Readers of the version
+before are undisturbed, a failed write leaves no trace in the log, and an upsert rewrites only the slices it
+touches. On a v2 lake table MERGE INTO does the same.
 """
 
 from __future__ import annotations
 
+import json
 import uuid
+from dataclasses import dataclass
+from datetime import datetime
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from tillbook.operators.quality import ContractError, contract_mismatches
 from tillbook.operators.scale import broadcast_if_small
 from tillbook.session import pin
-from tillbook.sources.ingest import existing
 
-_LOG = "version bigint, batch string, slice string, directory string, mark timestamp_ntz"
+# The mark is ISO text in the file.
+_LOG = "version bigint, batch string, slice string, directory string, mark string"
+
+
+@dataclass(frozen=True)
+class State:
+    """A table as one read of its log shows it."""
+
+    version: int
+    directories: dict[str, str]
+    high_water: datetime | None
+    has_batch: bool
+    last_batch: str | None
 
 
 class SnapshotTable:
@@ -33,106 +50,142 @@ class SnapshotTable:
 
     # -------------------------------------------------------------- reading
     def _log(self) -> DataFrame | None:
-        return existing(self.spark, f"{self.path}/log", StructType.fromDDL(_LOG))
-
-    def version(self) -> int:
-        log = self._log()
-        return 0 if log is None else log.agg(F.max("version")).first()[0] or 0
-
-    def _current(self) -> DataFrame | None:
-        """Newest log row of each live slice; as few rows as the table has slices."""
+        try:
+            log = self.spark.read.schema(_LOG).json(f"{self.path}/log")
+        except AnalysisException as missing:
+            if missing.getCondition() == "PATH_NOT_FOUND":
+                return None
+            raise
+        return log.withColumn("mark", F.col("mark").cast("timestamp_ntz"))
+
+    def state(self, batch: str | None = None, at: int | None = None) -> State:
+        """Version, live slices and watermark in one pass over the log; as few rows as the table has slices.
+
+        `at` shows the table as it was at that version.
+        """
         log = self._log()
         if log is None:
-            return None
-        newest = log.groupBy("slice").agg(F.max_by(F.struct("directory", "mark"), "version").alias("row"))
-        return newest.select("slice", "row.*").filter("directory is not null")
+            return State(0, {}, None, False, None)
+        if at is not None:
+            log = log.filter(F.col("version") <= at)
+        newest = F.max_by(F.struct("directory", "mark", "version", "batch"), "version").alias("row")
+        known = F.coalesce(F.bool_or(F.col("batch") == batch), F.lit(False)) if batch is not None else F.lit(False)
+        rows = log.groupBy("slice").agg(newest, known.alias("known")).collect()
+        live = [r for r in rows if r["row"]["directory"] is not None]
+        last = max((r["row"] for r in rows), key=lambda r: r["version"], default=None)
+        return State(
+            last["version"] if last else 0,
+            {r["slice"]: r["row"]["directory"] for r in live},
+            max((r["row"]["mark"] for r in live if r["row"]["mark"] is not None), default=None),
+            any(r["known"] for r in rows),
+            last["batch"] if last else None,
+        )
+
+    def changed_slices(self, since: int) -> list[str]:
+        """Slices written after a version."""
+        log = self._log()
+        return [] if log is None else [r[0] for r in log.filter(F.col("version") > since).select("slice").distinct().collect()]
+
+    def version(self) -> int:
+        return self.state().version
 
     def directories(self) -> dict[str, str]:
-        current = self._current()
-        return {} if current is None else {r["slice"]: r["directory"] for r in current.collect()}
+        return self.state().directories
 
     def high_water(self):
         """Largest mark of the table, None while it is empty."""
-        current = self._current()
-        return None if current is None else current.agg(F.max("mark")).first()[0]
+        return self.state().high_water
 
     def has_batch(self, batch: str) -> bool:
-        log = self._log()
-        return log is not None and not log.filter(F.col("batch") == batch).isEmpty()
+        return self.state(batch).has_batch
 
     def exists(self) -> bool:
         return bool(self.directories())
 
     def read(self) -> DataFrame:
-        found = self.directories()
+        return self.rows_of(self.directories())
+
+    def rows_of(self, found: dict[str, str]) -> DataFrame:
+        """Rows of some slices, as a State names them; no other directory is listed."""
         if not found:
             raise FileNotFoundError(f"{self.path} has no committed data")
         return self.spark.read.parquet(*found.values())
 
     # -------------------------------------------------------------- writing
-    def _files(self):
-        context = self.spark.sparkContext
-        folder = context._jvm.org.apache.hadoop.fs.Path(f"{self.path}/claims")
-        return folder, folder.getFileSystem(context._jsc.hadoopConfiguration())
-
     def _next(self) -> int:
-        """Version that a write beginning now will claim: one after the last claim, used or not."""
-        folder, files = self._files()
-        claimed = [int(f.getPath().getName()) for f in files.listStatus(folder)] if files.exists(folder) else []
-        return max([self.version(), *claimed]) + 1
-
-    def _claim(self, version: int) -> None:
-        """Create the one file of this version; of two writers that began on the same version the second fails."""
-        folder, files = self._files()
-        files.mkdirs(folder)
-        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder, str(version))
-        if not files.createNewFile(path):
-            raise WriterConflict(f"version {version} of {self.path} was written by another writer")
+        """Version that a write beginning now will commit."""
+        return self.version() + 1
+
+    def _commit(self, version: int, rows: list[dict]) -> None:
+        """Write the log file beside the log, then give it the version's name, which fails where it exists."""
+        context = self.spark.sparkContext
+        jvm, conf = context._jvm.org.apache.hadoop.fs, context._jsc.hadoopConfiguration()
+        pending, name = jvm.Path(f"{self.path}/log/_pending-{uuid.uuid4().hex}"), jvm.Path(f"{self.path}/log/{version:012d}.json")
+        files = pending.getFileSystem(conf)
+        out = files.create(pending)
+        try:
+            out.write("".join(json.dumps(r) + "\n" for r in rows).encode())
+        finally:
+            out.close()
+        try:
+            never = context._gateway.new_array(jvm.Options.Rename, 0)
+            jvm.FileContext.getFileContext(pending.toUri(), conf).rename(pending, name, never)
+        except Py4JJavaError as failed:
+            files.delete(pending, False)
+            if "FileAlreadyExists" in failed.java_exception.getClass().getName():
+                raise WriterConflict(f"version {version} of {self.path} was written by another writer") from failed
+            raise
 
     def _slice(self):
         return F.lit("all") if self.slice_by is None else F.col(self.slice_by).cast("string")
 
     def _write(
-        self, df: DataFrame, version: int, batch: str | None, touched: list[str], keys: list[str] | None = None
+        self, df: DataFrame, version: int, batch: str | None, touched: list[str], keys: list[str] | None = None, dealt: bool = False
     ) -> None:
         """Write slices, then commit. A touched slice that got no rows is committed as gone.
 
-        `keys` are checked on the written rows before the commit, so the source is computed once.
+        `keys` are checked on the written rows before the commit, so the source is computed once. `dealt` rows are
+        written where they are, without a shuffle for even files.
         """
         data = f"{self.path}/data/v{version}-{uuid.uuid4().hex[:8]}"
         sliced = df.withColumn("in_slice", self._slice())
         # Rebalance keeps files even: a large slice is split, small pieces are merged.
-        sliced.hint("rebalance", "in_slice").write.partitionBy("in_slice").parquet(data)
+        (sliced if dealt else sliced.hint("rebalance", "in_slice")).write.partitionBy("in_slice").parquet(data)
         stored = self.spark.read.schema(df.schema.add("in_slice", "string")).parquet(data)
         if keys:
             _assert_unique(stored, keys)
         mark = F.max(self.mark) if self.mark else F.lit(None).cast("timestamp_ntz")
         written = {r[0]: r[1] for r in stored.groupBy("in_slice").agg(mark).collect()}
-        rows = [(version, batch, s, f"{data}/in_slice={s}", m) for s, m in written.items()]
-        rows += [(version, batch, s, None, None) for s in touched if s not in written]
+        rows = [(s, f"{data}/in_slice={s}", None if m is None else m.isoformat(sep=" ")) for s, m in written.items()]
+        rows += [(s, None, None) for s in touched if s not in written]
         if rows:
-            self._claim(version)
-            log = self.spark.createDataFrame(rows, _LOG)
-            log.coalesce(1).write.mode("append").parquet(f"{self.path}/log")
+            names = ("slice", "directory", "mark")
+            self._commit(version, [{"version": version, "batch": batch} | dict(zip(names, r, strict=True)) for r in rows])
 
     def replace(self, df: DataFrame, batch: str | None = None, keys: list[str] | None = None) -> None:
         """Full refresh: the new rows are the whole table; `keys` must be unique in them."""
-        if batch is not None and self.has_batch(batch):
-            return
-        self._write(df, self._next(), batch, list(self.directories()), keys)
+        now = self.state(batch)
+        if not now.has_batch:
+            self._write(df, now.version + 1, batch, list(now.directories), keys)
+
+    def rewrite(self, now: State, df: DataFrame, touched: list[str], batch: str | None = None, dealt: bool = False) -> None:
+        """Put df in the place of some slices, as the version after the state that it was derived from."""
+        self._write(df, now.version + 1, batch, touched, dealt=dealt)
 
     def upsert(self, src: DataFrame, keys: list[str], batch: str | None = None) -> None:
         """Replace rows with the same keys and add the others. A batch id is applied once.
 
         With a `mark`, a stored row with a later mark than the new one stays, so batches may come in any order.
         """
-        if batch is not None and self.has_batch(batch):
+        # All that the write builds on comes from this one read of the log, and only the next version may follow it.
+        now = self.state(batch)
+        version, found = now.version + 1, now.directories
+        if now.has_batch:
             return
-        version, found = self._next(), self.directories()
         if not found:
             self._write(src, version, batch, [], keys)
             return
-        target = self.spark.read.parquet(*found.values())
+        target = self.rows_of(found)
         assert_same_schema(src, target)
         src = pin(src, "upsert")
         copies, lo, hi, earliest = _key_range(src, keys, self.mark)
@@ -141,7 +194,7 @@ class SnapshotTable:
         if lo is None:
             return
         # Rows that all carry the table's latest mark or a later one cannot be outdated: the usual night.
-        latest = self.high_water() if self.mark else None
+        latest = now.high_water
         if latest is not None and (earliest is None or earliest < latest):
             src = pin(self._not_outdated(src, target, keys, lo, hi), "upsert-newer")
             _, lo, hi, _ = _key_range(src, keys)

@@ -6,6 +6,7 @@ twice, and a batch that is delivered again is recognised by its id.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -100,7 +101,9 @@ class LandedStreams:
         """Land new rows of table `name` and upsert what `build` makes of the touched keys."""
 
         def write(batch: DataFrame, batch_id: int) -> None:
-            place = f"{self.folder}/{name}/batch={checkpoint.rstrip('/').rsplit('/', 1)[-1]}-{batch_id}"
+            # The whole checkpoint path names the stream: two streams of one table must not share a folder.
+            stream_id = hashlib.sha1(checkpoint.rstrip("/").encode()).hexdigest()
+            place = f"{self.folder}/{name}/batch={stream_id}-{batch_id}"
             batch.write.mode("overwrite").parquet(place)
             touched = pin(self.spark.read.schema(batch.schema).parquet(place).select(self.key).distinct(), "touched")
             lo, hi = touched.agg(F.min(self.key), F.max(self.key)).first()
