@@ -45,6 +45,7 @@ BUCKET_BYTES = 4_000_000  # text per bucket
 KNOWN_WORDS = 400_000  # words a task keeps before it starts anew
 SEEN_BITS = 22
 CONTEXT_ROWS = 50_000
+SLICE = 30_000  # entries of an array in a row: larger ones are humongous objects of the JVM, whose heap then grows to its end
 BINS = 8  # count bins per power of two
 PAIR = np.uint64(0x9E3779B97F4A7C15)
 
@@ -182,9 +183,9 @@ def _chunks(batches: Iterator[pa.RecordBatch], text: int, most: int) -> Iterator
 
 # ------------------------------------------------------------------ training
 def pair_table(docs: DataFrame, buckets: int) -> DataFrame:
-    """bucket, w1, w2, n (arrays ordered by w1, w2): counts of all training pairs, one row per bucket.
+    """bucket, w1, w2, n (arrays ordered by w1, w2): counts of all training pairs, a bucket in rows of SLICE pairs.
 
-    small and binned say how many pairs of the bucket have count 1 .. K + 1, and lie in each bin of counts.
+    small and binned say how many pairs of the row have count 1 .. K + 1, and lie in each bin of counts.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -199,30 +200,32 @@ def pair_table(docs: DataFrame, buckets: int) -> DataFrame:
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, at = [], None
 
-        def out() -> pa.RecordBatch:
-            h, w, n = (np.concatenate(c) for c in zip(*held, strict=True))
-            h, w, n = unique_pairs(h.view(np.uint64), w.view(np.uint64), n)
-            return pa.RecordBatch.from_arrays(
-                [
-                    pa.array([at], pa.int32()),
-                    pa.array([signed(h)], pa.list_(pa.int64())),
-                    pa.array([signed(w)], pa.list_(pa.int64())),
-                    pa.array([n], pa.list_(pa.int64())),
-                    pa.array([np.bincount(n[n <= K + 1], minlength=K + 2)], pa.list_(pa.int64())),
-                    pa.array([np.bincount(np.floor(np.log2(n) * BINS).astype(np.int64))], pa.list_(pa.int64())),
-                ],
-                ["bucket", "w1", "w2", "n", "small", "binned"],
-            )
+        def out() -> Iterator[pa.RecordBatch]:
+            whole = (np.concatenate(c) for c in zip(*held, strict=True))
+            h, w, n = unique_pairs(*(c.view(np.uint64) if i < 2 else c for i, c in enumerate(whole)))
+            for first in range(0, len(h), SLICE):
+                part = slice(first, first + SLICE)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([at], pa.int32()),
+                        pa.array([signed(h[part])], pa.list_(pa.int64())),
+                        pa.array([signed(w[part])], pa.list_(pa.int64())),
+                        pa.array([n[part]], pa.list_(pa.int64())),
+                        pa.array([np.bincount(n[part][n[part] <= K + 1], minlength=K + 2)], pa.list_(pa.int64())),
+                        pa.array([np.bincount(np.floor(np.log2(n[part]) * BINS).astype(np.int64))], pa.list_(pa.int64())),
+                    ],
+                    ["bucket", "w1", "w2", "n", "small", "binned"],
+                )
 
         for batch in batches:
             for i, bucket in enumerate(batch.column("bucket").to_pylist()):
                 if bucket != at and held:
-                    yield out()
+                    yield from out()
                     held = []
                 at = bucket
                 held.append(tuple(_arrays(batch.column(c)[i]).copy() for c in ("a", "b", "n")))
         if held:
-            yield out()
+            yield from out()
 
     found = docs.select("text").mapInArrow(count, PACKED)
     placed = found.repartition(_partitions(buckets, 2), "bucket").sortWithinPartitions("bucket")
@@ -315,10 +318,13 @@ def context_sums(pairs: DataFrame, known: DataFrame, frequent: dict[str, np.ndar
                 if len(rare):
                     yield from _context_rows(h[rare], w2=w[rare])
 
-    parts = pin(pairs.select("w1", "w2", "n").mapInArrow(sums, "w1 long, tokens long, taken double, seen double, w2 long"), "katz-contexts")
-    none = [F.lit(0).cast("long").alias("tokens"), F.lit(0.0).alias("taken")]
-    rest = parts.filter("w2 is not null").select("w1", "w2").join(known, "w2").select("w1", *none, F.col("p").alias("seen"))
-    return parts.filter("w2 is null").select("w1", "tokens", "taken", "seen").unionAll(rest)
+    parts = pairs.select("w1", "w2", "n").mapInArrow(sums, "w1 long, tokens long, taken double, seen double, w2 long")
+    # One left join serves both kinds of rows; sums are dealt out by their context and meet nothing there.
+    rare = F.col("w2").isNotNull()
+    parts = parts.withColumns({"rare": rare, "w2": F.coalesce("w2", "w1")})
+    joined = parts.join(known.withColumn("rare", F.lit(True)), ["w2", "rare"], "left")
+    zero = [F.coalesce(c, F.lit(0)).alias(c) for c in ("tokens", "taken")]
+    return joined.select("w1", *zero, F.coalesce("seen", "p", F.lit(0.0)).alias("seen"))
 
 
 def _context_rows(h, tokens=None, taken=None, seen=None, w2=None) -> Iterator[pa.RecordBatch]:
@@ -486,7 +492,10 @@ def chunk_rows(rows: list[tuple], texts: list, shared: dict, words: Words) -> li
         return int(mixed(np.array([base + kind], dtype=np.int64))[0] >> np.uint64(33)) % buckets
 
     none = np.empty(0, np.int64)
-    packed.append((anywhere(3), 3, signed(words.hash[rare_word]), none, n0, place[rare_doc], base))
+    rare_hash, rare_place = signed(words.hash[rare_word]), place[rare_doc]
+    for first in range(0, len(n0), SLICE):
+        part = slice(first, first + SLICE)
+        packed.append((anywhere(3), 3, rare_hash[part], none, n0[part], rare_place[part], base))
     packed.append((anywhere(4), 4, score.view(np.int64), bases.view(np.int64), n_tokens, place, base))
     ids = np.array([0 if r[1] is None else r[1] for r in rows], dtype=np.int64)
     missing = np.array([r[1] is None for r in rows], dtype=np.int64)
@@ -494,6 +503,15 @@ def chunk_rows(rows: list[tuple], texts: list, shared: dict, words: Words) -> li
     return packed
 
 
+def lookup_table(slices: list[tuple]) -> tuple:
+    """Pairs of a bucket and their order by key."""
+    h, w, n = (np.concatenate(c) for c in zip(*slices, strict=True))
+    h, w = h.view(np.uint64), w.view(np.uint64)
+    keys = pair_keys(h, w)
+    order = np.argsort(keys)
+    return h, w, n, keys[order], order
+
+
 def bucket_rows(model: tuple, kind: int, a: np.ndarray, b: np.ndarray, n: np.ndarray, doc: np.ndarray, shared: dict):
     """Of pairs of one chunk in one bucket: (text, gain), and rare words of seen pairs as (text, word, as context, as word)."""
     hot = shared["hot"]
@@ -536,7 +554,7 @@ def score_block(rows: DataFrame, model: Model) -> DataFrame:
                 yield _packed(packed[at : at + 64])
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tables, at = None, None
+        tables, at, slices = None, None, []
         texts, gains, size = [], [], 0
         lost, lost_size = [], 0  # many small results become few batches
 
@@ -553,10 +571,9 @@ def score_block(rows: DataFrame, model: Model) -> DataFrame:
                 bucket, kind, base = (batch.column(c)[k].as_py() for c in ("bucket", "kind", "base"))
                 a, b, n = (_arrays(batch.column(c)[k]) for c in "abn")
                 if kind == 0:
-                    h, w = a.copy().view(np.uint64), b.copy().view(np.uint64)
-                    keys = pair_keys(h, w)
-                    order = np.argsort(keys)
-                    tables, at = (h, w, n.copy(), keys[order], order), bucket
+                    slices = slices if at == bucket else []
+                    slices.append((a.copy(), b.copy(), n.copy()))
+                    tables, at = None, bucket
                     continue
                 if kind >= 3:
                     row = _arrays(batch.column("doc")[k]).astype(np.int64) + base
@@ -569,6 +586,8 @@ def score_block(rows: DataFrame, model: Model) -> DataFrame:
                     continue
                 if at != bucket:  # no training pair fell into this bucket
                     continue
+                if tables is None:
+                    tables, slices = lookup_table(slices), []
                 (text, gain), (doc, word, na, nb) = bucket_rows(tables, kind, a, b, n, _arrays(batch.column("doc")[k]), shared.value)
                 texts.append(text.astype(np.int64) + base), gains.append(gain)
                 size += len(text)
@@ -588,7 +607,7 @@ def score_block(rows: DataFrame, model: Model) -> DataFrame:
 
     texts = rows.mapInArrow(chunk, PACKED)
     pairs = model.pairs.selectExpr("bucket", "0 kind", "w1 a", "w2 b", "n", "cast(null as array<int>) doc", "0L base")
-    placed = texts.unionByName(pairs).repartition(_partitions(model.buckets, 1), "bucket").sortWithinPartitions("bucket", "kind")
+    placed = texts.unionByName(pairs).repartition(_partitions(model.buckets, 3), "bucket").sortWithinPartitions("bucket", "kind")
     return placed.mapInArrow(answer, OUT)
 
 
