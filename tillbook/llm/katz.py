@@ -39,12 +39,11 @@ from tillbook.session import pin
 
 K = 5
 START, END = xxhash.xxh64_intdigest(b"\r"), xxhash.xxh64_intdigest(b"\n")  # no word holds white space
-COUNT_TOKENS, SCORE_TOKENS = 1_000_000, 300_000  # tokens that a task holds at a time
-SUMMED_PAIRS = 300_000  # gains that a task holds before it sums them by text
+COUNT_TOKENS, SCORE_TOKENS = 1_000_000, 500_000  # tokens that a task holds at a time
+SUMMED_PAIRS = 500_000  # gains that a task holds before it sums them by text
 BUCKET_BYTES = 4_000_000  # text per bucket
 KNOWN_WORDS = 400_000  # words a task keeps before it starts anew
 SEEN_BITS = 22
-CONTEXT_ROWS = 50_000
 SLICE = 30_000  # entries of an array in a row: larger ones are humongous objects of the JVM, whose heap then grows to its end
 BINS = 8  # count bins per power of two
 PAIR = np.uint64(0x9E3779B97F4A7C15)
@@ -292,52 +291,6 @@ def hot_count(bins: list[tuple[int, int]], most: int) -> int:
     return int(np.ceil(2 ** (at / BINS) - 1e-9)) if at is not None else 1 << 62
 
 
-def context_sums(pairs: DataFrame, known: DataFrame, frequent: dict[str, np.ndarray], d2: np.ndarray) -> DataFrame:
-    """w1, tokens, taken, seen: parts of each context's tokens, of what discounts take and of P summed over words seen after it.
-
-    A task sums a bucket's pairs as arrays and looks P of frequent words up in the broadcast table; only rare words
-    leave it as rows of their own, to be joined with known(w2, p).
-    """
-    order = np.argsort(frequent["w2"].view(np.uint64))
-    shared = pairs.sparkSession.sparkContext.broadcast((frequent["w2"].view(np.uint64)[order], frequent["p"][order]))
-
-    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, p = shared.value
-        for batch in batches:
-            for i in range(batch.num_rows):
-                h, w, n = (_arrays(batch.column(c)[i]) for c in ("w1", "w2", "n"))
-                if not len(h):
-                    continue
-                at = hot_index(words, w.view(np.uint64))
-                seen = np.where(at >= 0, p[at], 0.0) if len(p) else np.zeros(len(w))
-                new = np.flatnonzero(np.r_[True, h[1:] != h[:-1]])
-                taken = n - discounted_array(n, d2)
-                whole = [h[new], *(np.add.reduceat(x, new) for x in (n, taken, seen))]
-                yield from _context_rows(*whole)
-                rare = np.flatnonzero(at < 0)
-                if len(rare):
-                    yield from _context_rows(h[rare], w2=w[rare])
-
-    parts = pairs.select("w1", "w2", "n").mapInArrow(sums, "w1 long, tokens long, taken double, seen double, w2 long")
-    # One left join serves both kinds of rows; sums are dealt out by their context and meet nothing there.
-    rare = F.col("w2").isNotNull()
-    parts = parts.withColumns({"rare": rare, "w2": F.coalesce("w2", "w1")})
-    joined = parts.join(known.withColumn("rare", F.lit(True)), ["w2", "rare"], "left")
-    zero = [F.coalesce(c, F.lit(0)).alias(c) for c in ("tokens", "taken")]
-    return joined.select("w1", *zero, F.coalesce("seen", "p", F.lit(0.0)).alias("seen"))
-
-
-def _context_rows(h, tokens=None, taken=None, seen=None, w2=None) -> Iterator[pa.RecordBatch]:
-    """Rows in batches that stay small in the JVM."""
-    for at in range(0, len(h), CONTEXT_ROWS):
-        part = slice(at, at + CONTEXT_ROWS)
-        columns = [
-            pa.nulls(len(h[part]), kind) if c is None else pa.array(c[part], kind)
-            for c, kind in zip((h, tokens, taken, seen, w2), (pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.int64()), strict=True)
-        ]
-        yield pa.RecordBatch.from_arrays(columns, ["w1", "tokens", "taken", "seen", "w2"])
-
-
 class Model:
     """Tables of a trained model: pairs by bucket, words with c, log P(w), log C and log alpha, and the hot entries."""
 
@@ -362,11 +315,16 @@ class Model:
         t1 = hot_count(bins, hot_words)
         p = (discounted(F.col("n"), d1) / total).alias("p")
         known = counts.select(F.col("w").alias("w2"), p, F.col("n").alias("c"))
-        frequent = columns_of(known.filter(F.col("c") >= t1).drop("c"))  # at most hot_words rows
+        hot = F.broadcast(known.filter(F.col("c") >= t1).drop("c"))  # at most hot_words rows
+        looked = flat.join(hot, "w2", "left")
+        rest = looked.filter("p is null").drop("p").join(known.drop("c"), "w2")
+        n = F.col("n")
         contexts = (
-            context_sums(self.pairs, known.drop("c"), frequent, self.d2)
+            looked.filter("p is not null")
+            .select("w1", "n", "p")
+            .unionAll(rest.select("w1", "n", "p"))
             .groupBy("w1")
-            .agg(F.sum("tokens").alias("tokens"), F.sum("taken").alias("taken"), F.sum("seen").alias("seen"))
+            .agg(F.sum("n").alias("tokens"), F.sum(n - discounted(n, self.d2)).alias("taken"), F.sum("p").alias("seen"))
         )
         # what the discounts leave, and one token more where they leave nothing
         extra = F.when(F.col("taken") > 1e-9, F.col("taken")).otherwise(F.lit(1.0))
@@ -607,7 +565,7 @@ def score_block(rows: DataFrame, model: Model) -> DataFrame:
 
     texts = rows.mapInArrow(chunk, PACKED)
     pairs = model.pairs.selectExpr("bucket", "0 kind", "w1 a", "w2 b", "n", "cast(null as array<int>) doc", "0L base")
-    placed = texts.unionByName(pairs).repartition(_partitions(model.buckets, 3), "bucket").sortWithinPartitions("bucket", "kind")
+    placed = texts.unionByName(pairs).repartition(_partitions(model.buckets, 4), "bucket").sortWithinPartitions("bucket", "kind")
     return placed.mapInArrow(answer, OUT)
 
 
