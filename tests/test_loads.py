@@ -451,3 +451,35 @@ def test_a_repeated_load_id_brings_its_new_rows(star, spark):
         results = nightly.run_pipeline(spark, source(cut), root, star.as_of, 1, blocking_relationships=False)
     assert nightly.fact_table(spark, root).read().count() == star.stored("fct_sales").count()
     assert results.filter("rule like 'row count%' and bad_rows > 0").isEmpty()
+
+
+def test_lines_and_headers_meet_in_state(spark):
+    """A header first, a line first, a header after the delay (of a sale, of a return), and one that never comes."""
+    line_shape, head_shape = schemas.RAW["sales_transaction_item"], schemas.RAW["sales_transaction"]
+    folders, state = {n: new_folder(spark, n) for n in ("line", "head")}, new_folder(spark, "state")
+    table = SnapshotTable(spark, new_folder(spark, "t"), mark="mark")
+    seen = []
+
+    def line(i, at_day, number=1):
+        return (i, number, 7, None, 1, money(10), money(0), ts(at_day), ts(at_day), 1)
+
+    def head(i, at_day, status="completed"):
+        return (i, i + 100, 5, 1, ts(at_day), status, ts(at_day), ts(at_day), 1)
+
+    def run(lines=(), heads=()):
+        for name, shape, data in (("line", line_shape, lines), ("head", head_shape, heads)):
+            spark.createDataFrame(list(data), shape).coalesce(1).write.mode("append").parquet(folders[name])
+        streams = [loads.read_files(spark, folders[n], s) for n, s in (("line", line_shape), ("head", head_shape))]
+        loads.upsert_stream(loads.join_lines_headers(*streams, "2 days"), table, ["transaction_id", "line_number"], state, "mark")
+        seen.append(rows(table.read(), "transaction_id", "line_number", "store_id") if table.exists() else [])
+
+    run([line(2, "2024-01-01"), line(3, "2024-01-01"), line(4, "2024-01-01"), line(5, "2024-01-01"), line(6, "2024-01-01")], [head(1, "2024-01-01"), head(6, "2024-01-01", "returned")])
+    assert seen[-1] == [], "lines wait for their headers, and a returned sale has none"
+    run([line(1, "2024-01-02"), line(1, "2024-01-02", 2)], [head(2, "2024-01-02")])
+    assert seen[-1] == [(1, 1, 101), (1, 2, 101), (2, 1, 102)]
+    run([line(900, "2024-03-01")], [head(901, "2024-03-01")])  # time passes on both sides
+    assert seen[-1] == [(1, 1, 101), (1, 2, 101), (2, 1, 102), (3, 1, -2), (4, 1, -2), (5, 1, -2)]
+    run([], [head(3, "2024-01-01"), head(5, "2024-01-01", "cancelled")])
+    assert seen[-1] == seen[-2], "a header after the delay finds no line in state"
+    loads.repair_alone(table, spark.read.schema(head_shape).parquet(folders["head"]), ["transaction_id", "line_number"])
+    assert rows(table.read(), "transaction_id", "line_number", "store_id") == [(1, 1, 101), (1, 2, 101), (2, 1, 102), (3, 1, 103), (4, 1, -2)]

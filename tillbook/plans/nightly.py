@@ -10,12 +10,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillbook import schemas
-from tillbook.operators import facts, history
+from tillbook.operators import facts, history, staging
 from tillbook.operators.quality import assert_shape, freshness, gate, report, stack
 from tillbook.plans import suites
+from tillbook.plans.months import MonthlyHeadcount
 from tillbook.plans.star import Star
 from tillbook.session import pin
+from tillbook.sources.histories import MaintainedHistory
 from tillbook.sources.ingest import load_appended, read_raw, replace_table
+from tillbook.sources.nights import Nights
 from tillbook.sources.snapshots import SnapshotTable
 
 FACT_KEYS = ["transaction_id", "line_number"]
@@ -54,17 +57,63 @@ def run_fct_sales(star: Star, table: SnapshotTable, mode: str = "incremental", b
         table.upsert(df, FACT_KEYS, batch)
 
 
+def maintained_history(star: Star, root: str, name: str) -> MaintainedHistory:
+    key, tracked, type1 = history.HISTORIES[name]
+    return MaintainedHistory(star.spark, f"{root}/histories/{name}", key, tracked, type1, limits=star.limits)
+
+
+def merge_loads(star: Star, kept: MaintainedHistory, name: str, load_id: int) -> None:
+    """Bring the loads that the history lacks into it, this one in any case: a repeated load may have added rows.
+
+    RAW is partitioned by load, so only those loads are read.
+    """
+    raw = star.raw(name)
+    merged = [int(b) for b in kept.table.batches() if int(b) != load_id]
+    rows = raw.filter(~F.col("_load_id").isin(merged)) if merged else raw
+    stage = {"product": staging.stage_product, "employee": lambda df: history.named_employees(staging.stage_employee(df))}
+    kept.merge(stage[name](rows), str(load_id), again=True)
+
+
 def history_checks(star: Star) -> DataFrame:
     """The rules of both histories."""
-    tracked = ["category_id", "brand_id", "unit_price", "unit_cost"]
-    people = ["employee_name", "salary", "address", "start_date", "end_date"]
+    (product_id, tracked, names), (employee_id, store, people) = history.HISTORIES["product"], history.HISTORIES["employee"]
     product, employee = star.stored("product_history"), star.stored("employee_history")
     return stack(
         [
             suites.check_scd2(
-                product, "product_history", "product_id", tracked, ["product_sku", "product_name"], source=star.fresh("stg_product"), limits=star.limits
+                product, "product_history", product_id, tracked, names, source=star.fresh("stg_product"), limits=star.limits
+            ),
+            suites.check_scd2(employee, "employee_history", employee_id, store, people, gapless=True, limits=star.limits),
+        ]
+    )
+
+
+def mart_checks(star: Star, marts: dict[str, DataFrame], lines: DataFrame, headers: DataFrame) -> DataFrame:
+    """The rules of all marts and histories; a night with an error among them is not published."""
+    return stack(
+        [
+            suites.contract_checks(marts),
+            suites.fact_rules(marts["fct_sales"]),
+            suites.dim_rules(star.dims()),
+            suites.fact_relationships(marts["fct_sales"], star.dims()),
+            suites.enriched_matches(marts["fct_sales"], marts["fct_sales_enriched"]),
+            history_checks(star),
+            suites.check_headcount(
+                marts["fct_store_headcount_monthly"], star.stored("employee_history"), marts["fct_sales"], marts["dim_store"], marts["dim_date"], star.as_of
             ),
-            suites.check_scd2(employee, "employee_history", "employee_id", ["store_id"], people, gapless=True, limits=star.limits),
+            suites.row_count_matches(marts["fct_sales"], lines, headers),
+        ]
+    )
+
+
+def source_checks(raw: Callable[[str], DataFrame], relationships: DataFrame, as_of: date) -> DataFrame:
+    """What the source should keep to; its breaches are reported."""
+    return stack(
+        [
+            relationships,
+            suites.check_source_rules({n: raw(n) for n in schemas.RAW}),
+            report("sales_transaction", "status never changes", suites.status_changes(raw("sales_transaction"))),
+            *[freshness_rule(raw(t), t, as_of) for t in schemas.APPENDED],
         ]
     )
 
@@ -87,7 +136,8 @@ def run_pipeline(
     """One night; returns the check results, those of freshness as warnings.
 
     Bad RAW, repeated staging keys and staging rows without their parent stop the run before history is built.
-    With blocking_relationships=False missing parents are only reported.
+    With blocking_relationships=False missing parents are only reported. A mart that breaks a rule stops the run
+    before anything is published: `nights(...).read(mart)` shows all marts of the night before.
     """
     load_raw(spark, source, root, load_id)
     raw = raw_table(spark, root)
@@ -103,30 +153,29 @@ def run_pipeline(
     relationships = pin(suites.staging_relationships(parents), "staging-relationships")
     if blocking_relationships:
         gate(relationships)
+    kept = {name: maintained_history(star, root, name) for name in history.HISTORIES}
+    for name, table in kept.items():
+        merge_loads(star, table, name, load_id)
+        star.use(f"{name}_history", table.versions())
     fact = fact_table(spark, root)
     # No batch id: a repeated load id may bring new rows, and the load by key adds nothing twice.
     run_fct_sales(star, fact, mode)
     star.use("fct_sales", fact.read())
-    star.build()
+    months = MonthlyHeadcount(spark, f"{root}/marts/fct_store_headcount_monthly", tz=star.tz)
+    months.refresh(kept["employee"], fact, star.stored("dim_store"), star.stored("dim_date"), as_of)
+    star.use("fct_store_headcount_monthly", months.read(as_of))
+    star.build(without=("employee_daily_store",))
 
     marts = {name: star.stored(name) for name in schemas.MART}
-    results = stack(
-        [
-            suites.contract_checks(marts),
-            suites.fact_rules(marts["fct_sales"]),
-            suites.dim_rules(star.dims()),
-            suites.fact_relationships(marts["fct_sales"], star.dims()),
-            suites.enriched_matches(marts["fct_sales"], marts["fct_sales_enriched"]),
-            relationships,
-            history_checks(star),
-            suites.check_headcount(
-                marts["fct_store_headcount_monthly"], star.stored("employee_history"), marts["fct_sales"], marts["dim_store"], marts["dim_date"], as_of
-            ),
-            suites.row_count_matches(marts["fct_sales"], parents["sales_transaction_item"], parents["sales_transaction"]),
-            suites.check_source_rules({n: raw(n) for n in schemas.RAW}),
-            report("sales_transaction", "status never changes", suites.status_changes(raw("sales_transaction"))),
-            *[freshness_rule(raw(t), t, as_of) for t in schemas.APPENDED],
-        ]
-    )
+    checked = pin(mart_checks(star, marts, parents["sales_transaction_item"], parents["sales_transaction"]), "mart-checks")
+    gate(checked)
+    places = {n: [f"{layers}/{n}"] for n in star.dims()}
+    places |= {"fct_sales": list(fact.directories().values()), "fct_store_headcount_monthly": list(months.table.directories().values())}
+    nights(spark, root).publish(places, f"{as_of}#{load_id}")
+    results = checked.unionByName(source_checks(raw, relationships, as_of))
     # Written, because the next night replaces tables that the rules read.
     return pin(results.withColumn("load_id", F.lit(load_id)), "night-checks")
+
+
+def nights(spark: SparkSession, root: str) -> Nights:
+    return Nights(spark, f"{root}/marts/nights")

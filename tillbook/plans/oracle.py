@@ -863,6 +863,15 @@ def statements() -> dict[str, str]:
     # streams
     q["stream_ingest"] = shown("from src_employee", _raw("employee"))
     q["stream_dedupe"] = shown("from one_employee", EMPLOYEE)
+    q["stream_headers_lines"] = shown(
+        "select i.transaction_id, i.line_number, i.product_id, i.promotion_id, i.quantity, i.regular_price, i.coupon_amount, "
+        "case when known then h.store_id else -2 end as store_id, case when known then h.employee_id else -2 end as employee_id, "
+        "case when known then h.payment_method_id else -2 end as payment_method_id, case when known then h.transaction_ts end as transaction_ts "
+        "from (select distinct * exclude (_load_id) from src_sales_transaction_item) i "
+        "join (select distinct * exclude (_load_id), transaction_id % 10 <> 0 as known "
+        "from src_sales_transaction) h using (transaction_id) where not known or status = 'completed'",
+        "transaction_id line_number product_id promotion_id quantity regular_price coupon_amount store_id employee_id payment_method_id transaction_ts",
+    )
     q["stream_pit_join"] = shown(
         "select transaction_id, t.employee_id, transaction_ts, ifnull(employee_key, -2) as employee_key from s_tx t left join dim_employee e "
         "on e.employee_id = t.employee_id and transaction_ts >= valid_from and transaction_ts < valid_to",

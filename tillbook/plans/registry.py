@@ -659,6 +659,44 @@ def stream_upsert_fact(s: Star) -> DataFrame:
     return table.read().drop("sale_month")
 
 
+@registered
+def stream_headers_lines(s: Star) -> DataFrame:
+    """Two streams joined in state: most headers come with their lines, some later, some after the delay, some never.
+
+    The delay spans the given history, because all of it arrives at once; a heartbeat of both streams ends the waiting.
+    """
+    table = SnapshotTable(s.spark, new_folder(s.spark, "stream-joined"), mark="mark")
+    folders = {n: new_folder(s.spark, f"stream-{n}") for n in ("sales_transaction", "sales_transaction_item")}
+    state, delay = new_folder(s.spark, "stream-state"), "20000 days"
+    lines, headers = s.stored("raw_sales_transaction_item"), s.stored("raw_sales_transaction")
+    turn = F.col("transaction_id") % 10
+
+    def arrive(name: str, df: DataFrame) -> None:
+        df.write.mode("append").parquet(folders[name])
+
+    def run() -> None:
+        streams = {n: loads.read_files(s.spark, folder, schemas.RAW[n]) for n, folder in folders.items()}
+        joined = loads.join_lines_headers(streams["sales_transaction_item"], streams["sales_transaction"], delay)
+        loads.upsert_stream(joined, table, nightly.FACT_KEYS, state, "mark")
+
+    def heartbeat(df: DataFrame, number: int) -> DataFrame:
+        late = F.lit(datetime(2200, 1, 1)).cast("timestamp_ntz")
+        return df.limit(1).withColumns({"transaction_id": F.lit(number).cast("bigint"), "updated_at": late})
+
+    arrive("sales_transaction_item", lines)
+    arrive("sales_transaction", headers.filter(turn > 2))
+    run()
+    arrive("sales_transaction", headers.filter(turn == 2))
+    run()
+    arrive("sales_transaction_item", heartbeat(lines, -1))
+    arrive("sales_transaction", heartbeat(headers, -2))
+    run()
+    arrive("sales_transaction", headers.filter(turn == 1))
+    run()
+    loads.repair_alone(table, s.spark.read.schema(headers.schema).parquet(folders["sales_transaction"]), nightly.FACT_KEYS)
+    return table.read().drop("mark")
+
+
 @registered
 def stream_pit_join(s: Star) -> DataFrame:
     """Sales headers arrive as a stream and find the seller version valid at the sale."""

@@ -58,14 +58,15 @@ class MaintainedHistory:
         found = found.select(self.key, self.order_by, *VERSION, latest.alias("latest"))
         return points.join(found, [self.key, self.order_by], "left").withColumn("bucket", self._bucket())
 
-    def merge(self, rows: DataFrame, batch: str | None = None) -> bool:
+    def merge(self, rows: DataFrame, batch: str | None = None, again: bool = False) -> bool:
         """Bring new change rows in, in any order of loads; False if the batch was merged before or holds nothing new.
 
-        Two different rows of a key with one change time are an error, as in scd2.
+        With `again` a batch that was merged is merged once more, which adds only what it did not hold then. Two
+        different rows of a key with one change time are an error, as in scd2.
         """
         columns = [self.key, self.order_by, *self.tracked, *self.type1]
         now = self.table.state(batch)
-        if now.has_batch:
+        if now.has_batch and not again:
             return False
         new = pin(rows.select(columns).distinct(), "history-new")
         keys = pin(new.select(self.key, self._bucket().cast("string").alias("slice")).distinct(), "history-keys")

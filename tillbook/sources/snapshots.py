@@ -81,6 +81,11 @@ class SnapshotTable:
             last["batch"] if last else None,
         )
 
+    def batches(self) -> set[str]:
+        """Every batch ever committed; one for each write."""
+        log = self._log()
+        return set() if log is None else {r[0] for r in log.select("batch").distinct().collect() if r[0] is not None}
+
     def changed_slices(self, since: int) -> list[str]:
         """Slices written after a version."""
         log = self._log()
@@ -158,10 +163,17 @@ class SnapshotTable:
         written = {r[0]: r[1] for r in stored.groupBy("in_slice").agg(mark).collect()}
         rows = [(s, f"{data}/in_slice={s}", None if m is None else m.isoformat(sep=" ")) for s, m in written.items()]
         rows += [(s, None, None) for s in touched if s not in written]
+        self._log_rows(version, batch, rows)
+
+    def _log_rows(self, version: int, batch: str | None, rows: list[tuple]) -> None:
+        names = ("slice", "directory", "mark")
         if rows:
-            names = ("slice", "directory", "mark")
             self._commit(version, [{"version": version, "batch": batch} | dict(zip(names, r, strict=True)) for r in rows])
 
+    def point(self, now: State, directories: dict[str, str | None], batch: str | None = None) -> None:
+        """Commit slices that were written elsewhere; None takes a slice away."""
+        self._log_rows(now.version + 1, batch, [(s, d, None) for s, d in directories.items()])
+
     def replace(self, df: DataFrame, batch: str | None = None, keys: list[str] | None = None) -> None:
         """Full refresh: the new rows are the whole table; `keys` must be unique in them."""
         now = self.state(batch)

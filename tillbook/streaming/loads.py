@@ -77,6 +77,43 @@ def upsert_stream(
     )
 
 
+# Header columns that a line takes; of a line that stays alone the ids are Unknown and the rest is NULL.
+HEADER = ["store_id", "employee_id", "payment_method_id", "transaction_ts"]
+
+
+def join_lines_headers(lines: DataFrame, headers: DataFrame, delay: str) -> DataFrame:
+    """Lines with their header, whichever comes first, held in state; each line comes out once.
+
+    Both sides wait for each other until the watermarks, `delay` behind the slower stream, have passed. A line without
+    a header then comes out with an empty one. Only lines of completed sales and lines that stayed alone are kept;
+    `mark` is the later change of the two.
+    """
+    left = lines.withColumn("_line_at", F.col("updated_at").cast("timestamp")).withWatermark("_line_at", delay)
+    right = headers.select(
+        F.col("transaction_id").alias("_id"), *HEADER, "status", F.col("updated_at").cast("timestamp").alias("_header_at")
+    ).withWatermark("_header_at", delay)
+    reach = F.expr(f"interval {delay}")
+    near = F.col("_header_at").between(F.col("_line_at") - reach, F.col("_line_at") + reach)
+    joined = left.join(right, (F.col("transaction_id") == F.col("_id")) & near, "leftOuter")
+    alone = F.col("_id").isNull()
+    unknown = {c: F.coalesce(c, F.lit(UNKNOWN_KEY).cast("bigint")) for c in HEADER if c.endswith("_id")}
+    mark = F.greatest("updated_at", F.col("_header_at").cast("timestamp_ntz"))
+    kept = joined.filter(alone | (F.col("status") == "completed")).withColumns(unknown | {"mark": mark})
+    return kept.drop("_id", "_line_at", "_header_at", "status", "_load_id", "created_at", "updated_at")
+
+
+def repair_alone(table: SnapshotTable, headers: DataFrame, keys: list[str]) -> None:
+    """Settle lines that stayed alone by headers that came after all: they take the header, or go if the sale was none."""
+    rows = table.read()
+    waiting = rows.filter(F.col("store_id") == UNKNOWN_KEY).drop(*HEADER)
+    came = latest_state(headers, ["transaction_id"]).select("transaction_id", *HEADER, "status", F.col("updated_at").alias("_at"))
+    settled = pin(waiting.join(came, "transaction_id").withColumn("mark", F.greatest("mark", "_at")).drop("_at"), "settled-lines")
+    if settled.isEmpty():
+        return
+    rest = rows.join(broadcast_if_small(settled.select(*keys)), keys, "left_anti")
+    table.replace(rest.unionByName(settled.filter("status = 'completed'").drop("status")), keys=keys)
+
+
 class LandedStreams:
     """Streams of several tables that share a key, landed side by side, and the keyed table made from them.
 
