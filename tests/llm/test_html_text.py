@@ -64,3 +64,52 @@ def test_odd_pages(llm):
     texts = ["", "a", "a", "", "plain", ("x " * 50_000).strip(), "deep"]
     assert got == sorted(((r[0], r[1], t, len(t)) for r, t in zip(rows, texts, strict=True)), key=repr)
     assert html_text.extract(pages.limit(0)).collect() == []
+
+
+SCHEMA = "page_id long, url string, html string"
+
+
+def brute_templates(rows, host, least_pages=5, least_share=0.5, prose_pages=20, prose_share=0.8):
+    """Template hashes of a host by counting over all its pages."""
+    texts, where = set(), {}
+    for _, url, source in rows:
+        if f"//{host}/" in url:
+            page = Page(source)
+            texts.add(page.text())
+            for _, _, digest, prose in page.subtrees:
+                where.setdefault((digest, prose), set()).add(page.text())
+    return frozenset(
+        d
+        for (d, prose), found in where.items()
+        if len(found) >= (prose_pages if prose else least_pages) and len(found) >= (prose_share if prose else least_share) * len(texts)
+    )
+
+
+def article(i, inner=""):
+    return f"<html><body><nav>menu</nav><article><h1>Title {i}</h1><p>Story number {i} is told here.</p>{inner}<p>It ends {i}.</p></article></body></html>"
+
+
+BOX = "<div class=card><h3>Join our list</h3><p>Weekly letters, no spam.</p></div>"
+
+
+def test_boxes_in_articles_go_and_copied_stories_stay(llm):
+    rows = [(i, f"http://box.example/{i}", article(i, BOX)) for i in range(20)]
+    # a story without an article element that stands on 6 of 50 pages, three times under the same frame
+    story = "<div><p>A long story that was copied.</p><p>It has two paragraphs.</p></div>"
+    rows += [(100 + i, f"http://news.example/{i}", f"<body>{story}<p>frame {i % 4}</p></body>") for i in range(6)]
+    rows += [(200 + i, f"http://news.example/o{i}", f"<body><div><p>Other story {i}.</p></div></body>") for i in range(44)]
+    # one page copied many times is one text: nothing of it is a template
+    rows += [(300 + i, f"http://copies.example/{i}", f"<body><div><p>Only page.</p>{BOX}</div></body>") for i in range(30)]
+    # a quoted box on a third of the articles stays, a sentence at one place of all of many articles goes
+    rows += [(400 + i, f"http://quotes.example/{i}", article(i, BOX if i % 3 == 0 else "")) for i in range(30)]
+    rows += [(500 + i, f"http://notice.example/{i}", article(i, "<p>Subscribe to read more.</p>")) for i in range(25)]
+    got = {r.page_id: r.text for r in html_text.extract(llm.createDataFrame(rows, SCHEMA).repartition(4)).collect()}
+    for i, url, source in rows:
+        host = url.split("/")[2]
+        assert got[i] == Page(source).text(brute_templates(rows, host)), url
+    plain = lambda i: f"Title {i}\n\nStory number {i} is told here.\n\nIt ends {i}."
+    assert got[3] == plain(3)
+    assert got[101] == "A long story that was copied.\n\nIt has two paragraphs.\n\nframe 1"
+    assert got[300] == "Only page.\n\nJoin our list\n\nWeekly letters, no spam."
+    assert "Join our list" in got[403] and got[404] == plain(4)
+    assert got[507] == plain(7)

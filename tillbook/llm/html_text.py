@@ -2,16 +2,17 @@
 
 A page is read by one forgiving scan that keeps a stack of open elements. Text in menus, headers, footers,
 sidebars, notices, adverts, forms, scripts, styles and reader comments is left out by element, role and class.
-Every remaining element subtree is hashed (name, texts and child subtrees); Spark counts per host on how many
-pages a hash occurs, and subtrees on at least `least_pages` pages and `least_share` of the pages of a host are
-deleted. Inside an article only subtrees made mostly of links can be deleted: a paragraph that
-several articles of a host quote is text, not template.
+Every remaining element subtree is hashed (place, name, texts and child subtrees); Spark counts per host in how many
+different texts a hash occurs, so that copies of one page weigh once. A subtree in at least `least_pages` texts and
+`least_share` of the texts of a host, well above what quoting reaches, is a template and deleted. Inside an article
+this holds for boxes and lists; a single paragraph or heading there must occur at one place in `prose_pages` texts and
+`prose_share` of them, because articles quote each other.
 
 The hashes of a host that reach the share are at most subtrees per page / share, so the list that travels to
 a host's pages is bounded by the pages, not by their number.
 
 Defined cases: null or empty html gives an empty text; a null or unusable url has no host and no template;
-repeated rows count as pages of their own; broken or cut markup is read as far as it goes (a tag without its
+repeated rows each give a row; broken or cut markup is read as far as it goes (a tag without its
 end is dropped, an element without its end lasts as long as its parent).
 """
 
@@ -19,7 +20,6 @@ from __future__ import annotations
 
 import html
 import re
-from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -53,6 +53,7 @@ NAMES = frozenset(
     "sharing sidebar signup social sponsor sponsored subscribe toolbar widget".split()
 )
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+PROSE = HEADINGS | frozenset("p pre blockquote figcaption caption summary".split())
 # What an opening element ends, and what it does not look beyond.
 ENDS = {"li": "li", "dt": "dt dd", "dd": "dt dd", "tr": "tr td th", "td": "td th", "th": "td th", "tbody": "tbody thead tr td th", "tfoot": "tbody thead tr td th"}
 ENDS = {k: frozenset(v.split()) for k, v in ENDS.items()}
@@ -70,13 +71,13 @@ class Element:
 
 
 class Page:
-    """Blocks of text of one page and its subtrees: (first block, block after the last, hash)."""
+    """Blocks of text of one page and its subtrees: (first block, block after the last, hash, is prose of an article)."""
 
     def __init__(self, source: str | None):
         self.blocks: list[str] = []
         self.in_article: list[bool] = []
         self.in_main: list[bool] = []
-        self.subtrees: list[tuple[int, int, int]] = []
+        self.subtrees: list[tuple[int, int, int, bool]] = []
         self.has_article = self.has_main = False
         self._stack: list[Element] = []
         self._outside = self._articles = self._mains = self._anchors = 0
@@ -229,8 +230,11 @@ class Page:
         if len(self.blocks) > e.first and not e.outside:
             digest = xxhash.xxh64_digest(e.name.encode() + b"\0" + b"\0".join(e.parts))
             mostly_links = 2 * e.links >= e.chars > 0
-            if not e.kept_whole and (mostly_links or not self._articles):
-                self.subtrees.append((e.first, len(self.blocks), int.from_bytes(digest, "little", signed=True)))
+            if not e.kept_whole:
+                place = "/".join(above.name for above in self._stack).encode()
+                key = int.from_bytes(xxhash.xxh64_digest(digest + place), "little", signed=True)
+                prose = bool(self._articles) and e.name in PROSE and not mostly_links
+                self.subtrees.append((e.first, len(self.blocks), key, prose))
             if self._stack:
                 top = self._stack[-1]
                 top.parts.append(digest)
@@ -241,7 +245,7 @@ class Page:
     def text(self, templates: frozenset[int] = frozenset()) -> str:
         """Blocks of the article (without one, of the main element, else of the page) that are no template."""
         deleted = set()
-        for first, end, digest in self.subtrees:
+        for first, end, digest, _ in self.subtrees:
             if digest in templates:
                 deleted.update(range(first, end))
         inside = self.in_article if self.has_article else self.in_main if self.has_main else [True] * len(self.blocks)
@@ -270,46 +274,50 @@ def host() -> Column:
     return F.coalesce(F.regexp_extract(F.lower("url"), r"^\s*+(?:[a-z][a-z0-9+.-]*+:)?//(?:[^/?#@]*@)?([^/?#:]++)", 1), F.lit(""))
 
 
-def subtree_pages(pages: DataFrame) -> DataFrame:
-    """host, digest, pages: on how many pages of a host a subtree occurs; digest null counts the pages themselves."""
+def subtree_texts(pages: DataFrame) -> DataFrame:
+    """host, digest, prose, texts: in how many different texts of a host a subtree occurs; digest null counts the texts themselves."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: Counter = Counter()
+        found: set[tuple] = set()
 
         def out() -> pa.RecordBatch:
-            keys, values = zip(*counts.items(), strict=True) if counts else ((), ())
-            hosts, digests = zip(*keys, strict=True) if keys else ((), ())
-            return pa.RecordBatch.from_arrays(
-                [pa.array(hosts, pa.string()), pa.array(digests, pa.int64()), pa.array(values, pa.int64())], ["host", "digest", "pages"]
-            )
+            columns = zip(*found, strict=True) if found else ((),) * 4
+            kinds = (pa.string(), pa.int64(), pa.bool_(), pa.int64())
+            names = ["host", "digest", "prose", "text"]
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
 
         for batch in batches:
             for name, source in zip(*batch.columns, strict=True):
                 site = name.as_py()
                 if site:
-                    counts[site, None] += 1
-                    for digest in {d for _, _, d in Page(source.as_py()).subtrees}:
-                        counts[site, digest] += 1
-            if len(counts) > 200_000:
+                    page = Page(source.as_py())
+                    text = int.from_bytes(xxhash.xxh64_digest(page.text().encode()), "little", signed=True)
+                    found.add((site, None, False, text))
+                    found.update((site, digest, prose, text) for _, _, digest, prose in page.subtrees)
+            if len(found) > 200_000:
                 yield out()
-                counts.clear()
+                found.clear()
         yield out()
 
-    found = pages.select(host().alias("host"), "html").mapInArrow(count, "host string, digest long, pages long")
-    return found.groupBy("host", "digest").agg(F.sum("pages").alias("pages"))
+    found = pages.select(host().alias("host"), "html").mapInArrow(count, "host string, digest long, prose boolean, text long")
+    return found.distinct().groupBy("host", "digest", "prose").agg(F.count(F.lit(1)).alias("texts"))
 
 
-def templates(pages: DataFrame, least_pages: int, least_share: float) -> DataFrame:
+def templates(pages: DataFrame, least_pages: int, least_share: float, prose_pages: int, prose_share: float) -> DataFrame:
     """host and the array of its template hashes."""
-    counted = pin(subtree_pages(pages), "subtrees")
-    total = counted.filter("digest is null").select("host", F.col("pages").alias("total"))
-    often = counted.filter((F.col("digest").isNotNull()) & (F.col("pages") >= least_pages)).join(total, "host")
-    return often.filter(F.col("pages") >= least_share * F.col("total")).groupBy("host").agg(F.collect_list("digest").alias("digests"))
+    counted = pin(subtree_texts(pages), "subtrees")
+    total = counted.filter("digest is null").select("host", F.col("texts").alias("total"))
+    least = F.when(F.col("prose"), prose_pages).otherwise(least_pages)
+    often = counted.filter(F.col("digest").isNotNull() & (F.col("texts") >= least)).join(total, "host")
+    share = F.when(F.col("prose"), prose_share).otherwise(least_share)
+    return often.filter(F.col("texts") >= share * F.col("total")).groupBy("host").agg(F.collect_set("digest").alias("digests"))
 
 
-def extract(pages: DataFrame, least_pages: int = 5, least_share: float = 0.1) -> DataFrame:
+def extract(
+    pages: DataFrame, least_pages: int = 5, least_share: float = 0.5, prose_pages: int = 20, prose_share: float = 0.8
+) -> DataFrame:
     """page_id, url, text and n_chars (code points) of every row of pages(page_id, url, html)."""
-    found = pin(templates(pages, least_pages, least_share), "templates").select(F.col("host").alias("_host"), "digests")
+    found = pin(templates(pages, least_pages, least_share, prose_pages, prose_share), "templates").select(F.col("host").alias("_host"), "digests")
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
