@@ -7,8 +7,8 @@ from conftest import day, money, rows, ts
 from tillbook import schemas
 from tillbook.functions import columns as C
 from tillbook.operators import facts, history
-from tillbook.operators.quality import ContractError, QualityError
-from tillbook.plans import nightly
+from tillbook.operators.quality import ContractError, QualityError, stack
+from tillbook.plans import nightly, suites
 from tillbook.plans.star import Star
 from tillbook.session import new_folder
 from tillbook.sources import ingest
@@ -483,3 +483,46 @@ def test_lines_and_headers_meet_in_state(spark):
     assert seen[-1] == seen[-2], "a header after the delay finds no line in state"
     loads.repair_alone(table, spark.read.schema(head_shape).parquet(folders["head"]), ["transaction_id", "line_number"])
     assert rows(table.read(), "transaction_id", "line_number", "store_id") == [(1, 1, 101), (1, 2, 101), (2, 1, 102), (3, 1, 103), (4, 1, -2)]
+
+
+def test_a_night_that_fails_after_its_fact_load_publishes_nothing(star, spark, monkeypatch):
+    root = new_folder(spark, "nightly")
+
+    def source(cut):
+        def read(name):
+            df = star.stored(f"raw_{name}")
+            if name not in schemas.APPENDED:
+                return df
+            return df.filter("_load_id = 1").drop("_load_id").filter(F.col("updated_at") < C.at(ts(cut)))
+
+        return read
+
+    nightly.run_pipeline(spark, source("2024-06-01"), root, star.as_of, 1, blocking_relationships=False)
+    published = nightly.nights(spark, root)
+    before = {m: published.read(m).count() for m in published.published()}
+    assert {"fct_sales", "fct_store_headcount_monthly", "dim_product", "dim_employee"} <= set(before)
+
+    def broken(*_):
+        raise QualityError("a mart is wrong")
+
+    with monkeypatch.context() as broken_night:
+        broken_night.setattr(nightly, "mart_checks", broken)
+        with pytest.raises(QualityError, match="a mart is wrong"):
+            nightly.run_pipeline(spark, source("2100-01-01"), root, star.as_of, 2, blocking_relationships=False)
+    assert nightly.fact_table(spark, root).read().count() > before["fct_sales"], "the fact was loaded"
+    assert {m: published.read(m).count() for m in published.published()} == before, "and nobody sees it"
+
+    nightly.run_pipeline(spark, source("2100-01-01"), root, star.as_of, 2, blocking_relationships=False)
+    assert published.read("fct_sales").count() == star.stored("fct_sales").count()
+    whole = star.stored("product_history")
+    assert same(nightly.maintained_history(star, root, "product").versions().select(whole.columns), whole)
+    columns = [c for c in schemas.MART["fct_store_headcount_monthly"].names if c not in ("is_month_closed", "as_of_date")]
+    assert same(published.read("fct_store_headcount_monthly").select(columns), star.stored("fct_store_headcount_monthly").select(columns))
+    # what the appends measured is what a scan of RAW finds
+    raw = nightly.raw_table(spark, root)
+    scanned = stack([suites.raw_checks(raw(t), t) for t in suites.RAW_RULES])
+    assert rows(nightly.raw_results(spark, root)) == rows(scanned)
+    # rows whose results were lost are scanned
+    ingest.append_raw(raw("employee").limit(1).drop("_load_id").withColumn("store_id", F.lit(None).cast("bigint")), f"{root}/raw/employee", 9)
+    lost = nightly.raw_results(spark, root).filter("bad_rows > 0")
+    assert rows(lost, "table", "rule") == [("employee", "not_null store_id")]

@@ -231,3 +231,40 @@ def test_metrics_of_two_models_side_by_side(star):
     assert both.exceptAll(both.distinct()).isEmpty()
     top = metrics.query(tables, ["net_revenue"], by=["store_name"], order="net_revenue", limit=3).collect()
     assert len(top) == 3 and top[0]["net_revenue"] >= top[1]["net_revenue"] >= top[2]["net_revenue"]
+
+
+def test_rules_are_measured_by_the_write(spark):
+    """Two appends, then the source is taken away: the results need neither it nor a scan of the table."""
+    from tillbook.operators.quality import Rule, Watched, check_rows, not_null, sum_watched, watched_results
+    from tillbook.session import new_folder
+
+    rules = [not_null("v"), Rule("small", F.col("k") > 5, "warn")]
+    source, table = new_folder(spark, "source"), new_folder(spark, "table")
+    data = spark.createDataFrame([(i, None if i % 3 == 0 else "x") for i in range(10)], "k int, v string")
+    watched = Watched("t", rules)
+    for part in ("k < 4", "k >= 4"):
+        data.filter(part).write.mode("overwrite").parquet(source)
+        watched.watch(spark.read.parquet(source)).write.mode("append").parquet(table)
+    data.limit(0).write.mode("overwrite").parquet(source)
+    found = watched.results()
+    assert len(found) == 4 and {r[4] for r in found} == {4, 6}
+    got = sum_watched(watched_results(spark, found), min_rows=1)
+    assert rows(got) == rows(check_rows(spark.read.parquet(table), "t", rules, min_rows=1))
+    few = sum_watched(watched_results(spark, found), min_rows=11).filter("rule like 'row_count%'")
+    assert rows(few, "bad_rows") == [(1,)]
+
+
+def test_rules_are_measured_by_stream_batches(spark):
+    from tillbook.operators.quality import Watched, not_null, sum_watched, watched_results
+    from tillbook.session import new_folder
+    from tillbook.streaming import loads
+
+    folder, path, state = (new_folder(spark, n) for n in ("files", "raw", "state"))
+    shape = spark.createDataFrame([], "k int, v string").schema
+    results = []
+    for batch in ([(1, "a"), (2, None)], [(3, None)], []):
+        spark.createDataFrame(batch, shape).write.mode("append").parquet(folder)
+        stream = loads.read_files(spark, folder, shape)
+        results += loads.ingest_watched(stream, path, state, Watched("t", [not_null("v")]))
+    assert rows(sum_watched(watched_results(spark, results)), "bad_rows") == [(2,)]
+    assert spark.read.parquet(path).count() == 3

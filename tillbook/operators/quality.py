@@ -6,7 +6,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import datetime, timedelta
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -56,6 +56,55 @@ def check_rows(df: DataFrame, table: str, rules: list[Rule], min_rows: int | Non
     return df.agg(*counts).select(F.inline(_rule_rows(table, named)))
 
 
+class Watched:
+    """Row rules measured while a table is written: `watch` the frame, write it, then read the `results`.
+
+    The counts are taken by the write itself, so the rules need no scan of what was written.
+    """
+
+    def __init__(self, table: str, rules: list[Rule]):
+        self.table, self.rules = table, rules
+        self._seen: list[Observation] = []
+
+    def counts(self) -> list[Column]:
+        return [F.count(F.lit(1)).alias("n"), *[F.count_if(r.bad).alias(f"r{i}") for i, r in enumerate(self.rules)]]
+
+    def watch(self, df: DataFrame) -> DataFrame:
+        self._seen.append(Observation())
+        return df.observe(self._seen[-1], *self.counts())
+
+    def results(self) -> list[tuple]:
+        """(table, rule, severity, bad_rows, rows) of every watched write; waits for the writes."""
+        return [row for seen in self._seen for row in self.named(seen.get)]
+
+    def named(self, counts: dict) -> list[tuple]:
+        return [(self.table, r.name, r.severity, counts[f"r{i}"], counts["n"]) for i, r in enumerate(self.rules)]
+
+
+WATCHED = "table string, rule string, severity string, bad_rows bigint, rows bigint"
+
+
+def watched_results(spark: SparkSession, rows: list[tuple]) -> DataFrame:
+    """Measured counts as a table, a few rows for each write."""
+    return spark.createDataFrame(rows, WATCHED)
+
+
+def sum_watched(results: DataFrame, min_rows: int | None = None) -> DataFrame:
+    """(table, rule, severity, bad_rows) over all writes, as check_rows over the whole tables gives them."""
+    out = results.groupBy("table", "rule", "severity").agg(F.sum("bad_rows").alias("bad_rows"))
+    if min_rows is None:
+        return out
+    # Every rule of a table saw the same rows.
+    totals = results.groupBy("table", "rule").agg(F.sum("rows").alias("n")).groupBy("table").agg(F.max("n").alias("n"))
+    few = totals.select(
+        "table",
+        F.lit(f"row_count >= {min_rows}").alias("rule"),
+        F.lit("error").alias("severity"),
+        F.when(F.col("n") < min_rows, 1).otherwise(0).cast("bigint").alias("bad_rows"),
+    )
+    return out.unionByName(few)
+
+
 def _rule_rows(table: str, named: list[tuple[str, str, Column]]) -> Column:
     return F.array(
         *[

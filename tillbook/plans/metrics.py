@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillbook.functions.columns import period, ratio
+from tillbook.operators.quality import check_rows, not_null, report, stack, unique
 
 SEMI_ADDITIVE_WARNING = "A level, not a flow: added up over stores; over a longer period the edge month alone is counted."
 
@@ -174,6 +175,22 @@ def validate_model(model: SemanticModel, df: DataFrame) -> None:
         raise MetricError(f"{model.name} uses unknown columns: {sorted(missing)}")
 
 
+def check_models(tables: dict[str, DataFrame]) -> DataFrame:
+    """Validation of models and metrics on their tables: definitions raise, rows are counted.
+
+    (table, rule, severity, bad_rows): entities are unique, time and dimensions are filled.
+    """
+    for m in METRICS.values():
+        validate_metric(m)
+    parts = []
+    for model in MODELS:
+        df = tables[model.table]
+        validate_model(model, df)
+        parts.append(check_rows(df, model.table, [not_null(c) for c in (*model.entity, model.time, *model.dimensions)]))
+        parts.append(report(model.table, "unique entity", unique(df, list(model.entity))))
+    return stack(parts)
+
+
 def query(
     tables: dict[str, DataFrame],
     metrics: list[str],

@@ -478,6 +478,7 @@ def statements() -> dict[str, str]:
     # facts
     for name in ["fct_sales", "fct_sales_incremental", "full_refresh", "late_rows_repaired", "stream_upsert_fact"]:
         q[name] = shown("from fct", _mart("fct_sales"))
+    q["night_committed"] = shown(f"from fct where source_updated_at < {CUT}", _mart("fct_sales"))
     q["fct_sales_enriched"] = shown("from wide", _mart("fct_sales_enriched"))
     q["employee_daily_store"] = shown("from daily", "employee_id calendar_date is_employed store_id prev_is_employed prev_store_id")
     q["headcount_movements"] = shown("from move", "employee_id calendar_date store_id movement")
@@ -544,6 +545,13 @@ def statements() -> dict[str, str]:
         "period opening_headcount closing_headcount",
         whole="opening_headcount closing_headcount",
     )
+    counts = "count(distinct transaction_id) as transaction_count, sum(quantity) as quantity_sold from wide group by all"
+    asked = [("null", g) for g in ("day", "month", "quarter", "year")] + [("store_name", "month"), ("category_name", "quarter")]
+    q["metric_transaction_count_rollup"] = shown(
+        " union all ".join(f"select '{g}' as grain, cast(date_trunc('{g}', full_date) as date) as period, {m} as member, {counts}" for m, g in asked),
+        "grain period member transaction_count quantity_sold",
+        whole="quantity_sold",
+    )
     q["metric_headcount_total"] = shown(
         "select store_name, sum(opening_headcount) filter (month_start = date '2020-01-01') as opening_headcount, "
         "sum(closing_headcount) filter (month_start = date '2026-08-01') as closing_headcount, sum(joiners) as joiners "
@@ -750,6 +758,17 @@ def statements() -> dict[str, str]:
             f"if((select {c} from fct) is distinct from (select {c} from wide), 1, 0)" for c in compared))),
         rule_cols,
     )
+    models = {
+        "fct_sales_enriched": ("wide", ["transaction_id", "line_number"], ["full_date", "store_name", "product_name", "category_name", "brand_name", "promotion_label", "payment_method_name"]),
+        "fct_store_headcount_monthly": ("snapshot", ["store_id", "month_start"], ["month_start", "store_name", "is_month_closed"]),
+    }
+    q["metric_models_valid"] = shown(
+        _rules(
+            *[r for t, (cte, entity, others) in models.items() for r in _nulls(t, cte, [*entity, *others])],
+            *[_repeats(t, cte, "unique entity", ", ".join(entity)) for t, (cte, entity, _) in models.items()],
+        ),
+        rule_cols,
+    )
     snap = "fct_store_headcount_monthly"
     per_store = f"select store_id from grid group by store_id having count(*) <> 80"
     q["headcount_checks"] = shown(
@@ -877,4 +896,13 @@ def statements() -> dict[str, str]:
         "on e.employee_id = t.employee_id and transaction_ts >= valid_from and transaction_ts < valid_to",
         "transaction_id employee_id transaction_ts employee_key",
     )
+    q["raw_expectations_observed"] = q["raw_expectations"]
+    stale = [
+        (t, "fresh", f"select count(*) from (select max(updated_at) as newest from src_{t}) where newest is null "
+         "or date_diff('second', newest, timestamp '2026-08-02 23:59:59') > 26 * 3600")
+        for t in schemas.APPENDED
+    ]
+    night = ["contract_nulls", "fact_rules", "dim_rules", "relationships_orphans", "enriched_matches", "scd2_checks_product", "scd2_checks_employee"]
+    night += ["headcount_checks", "row_count_matches", "staging_relationships", "source_rules", "status_changes"]
+    q["nightly_checks"] = " union all ".join(f"select * from ({q[n]})" for n in night) + f" union all select * from ({shown(_rules(*stale, severity='warn'), rule_cols)})"
     return q

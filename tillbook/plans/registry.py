@@ -19,6 +19,7 @@ from tillbook.operators.pit import pit_join
 from tillbook.operators.scale import Limits, broadcast_if_small
 from tillbook.plans import metrics, nightly, reports, suites
 from tillbook.plans.months import MonthlyHeadcount
+from tillbook.plans.rollups import Rollups
 from tillbook.plans.star import Star
 from tillbook.session import new_folder
 from tillbook.sources import ingest, testdata
@@ -275,6 +276,18 @@ def late_rows_repaired(s: Star) -> DataFrame:
     return table.read().drop("sale_month")
 
 
+@registered
+def night_committed(s: Star) -> DataFrame:
+    """What readers see while a second night has loaded its fact and has not published: the first night's fact."""
+    root, sales = new_folder(s.spark, "nights"), s.stored("fct_sales")
+    table, published = nightly.fact_table(s.spark, root), nightly.nights(s.spark, root)
+    early = F.col("source_updated_at") < at(CUT)
+    table.upsert(sales.filter(early), nightly.FACT_KEYS)
+    published.publish({"fct_sales": list(table.directories().values())}, "1")
+    table.upsert(sales.filter(~early), nightly.FACT_KEYS)
+    return published.read("fct_sales").drop("sale_month")
+
+
 @registered
 def materialized_table(s: Star) -> DataFrame:
     """A staging view kept as a table, bucketed by its key."""
@@ -359,6 +372,24 @@ def metric_closing_headcount_by_quarter(s: Star) -> DataFrame:
     return metrics.query(_marts(s), ["opening_headcount", "closing_headcount"], grain="quarter")
 
 
+@registered
+def metric_transaction_count_rollup(s: Star) -> DataFrame:
+    """Distinct receipts from stored rollups: in total by four grains, by store and month, by category and quarter."""
+    rollups = Rollups.build(s.stored("fct_sales_enriched"), limits=s.limits)
+    asked = [(None, g) for g in ("day", "month", "quarter", "year")] + [("store_name", "month"), ("category_name", "quarter")]
+    parts = []
+    for by, grain in asked:
+        found = rollups.query(["transaction_count", "quantity_sold"], [by] if by else [], grain)
+        member = F.col(by) if by else F.lit(None).cast("string")
+        parts.append(found.select(F.lit(grain).alias("grain"), "period", member.alias("member"), "transaction_count", "quantity_sold"))
+    return quality.stack(parts)
+
+
+@registered
+def metric_models_valid(s: Star) -> DataFrame:
+    return metrics.check_models(_marts(s))
+
+
 @registered
 def metric_headcount_total(s: Star) -> DataFrame:
     return metrics.query(_marts(s), ["opening_headcount", "closing_headcount", "joiners"], by=["store_name"])
@@ -428,6 +459,29 @@ def raw_expectations(s: Star) -> DataFrame:
     return quality.stack([suites.raw_checks(s.stored(f"raw_{t}"), t) for t in suites.RAW_RULES])
 
 
+@registered
+def raw_expectations_observed(s: Star) -> DataFrame:
+    """The same rules measured by the appends of two loads, and by a stream, without a scan of RAW."""
+    found = []
+    for name in schemas.APPENDED:
+        rules, path, rows = quality.Watched(name, suites.RAW_RULES[name]()), new_folder(s.spark, "watched"), s.stored(f"raw_{name}")
+        if name == "employee":
+            found += loads.ingest_watched(_stream(s, name), path, new_folder(s.spark, "stream-state"), rules)
+            continue
+        for load_id, part in enumerate([F.col("updated_at") < at(CUT), F.col("updated_at") >= at(CUT)]):
+            ingest.append_raw(rules.watch(rows.filter(part).drop("_load_id")), path, load_id)
+        found += rules.results()
+    return quality.sum_watched(quality.watched_results(s.spark, found), min_rows=1)
+
+
+@registered
+def nightly_checks(s: Star) -> DataFrame:
+    """Everything a night checks after its gates: marts, histories, source rules, freshness."""
+    lines, headers = s.stored("stg_sales_transaction_item"), s.stored("stg_sales_transaction")
+    checked = nightly.mart_checks(s, _marts(s), lines, headers)
+    return checked.unionByName(nightly.source_checks(lambda n: s.stored(f"raw_{n}"), staging_relationships(s), AS_OF))
+
+
 @registered
 def source_rules(s: Star) -> DataFrame:
     return suites.check_source_rules({n: s.stored(f"raw_{n}") for n in schemas.RAW})

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 from datetime import datetime
 
 from pyspark.errors import AnalysisException
@@ -64,8 +65,15 @@ def replace_table(df: DataFrame, path: str) -> None:
     spark.catalog.refreshByPath(path)
 
 
-def load_appended(source: DataFrame, path: str, schema: StructType, pk: list[str], load_id: int) -> None:
-    """Extract since the newest RAW row, drop the boundary copies, append.
+def load_appended(
+    source: DataFrame,
+    path: str,
+    schema: StructType,
+    pk: list[str],
+    load_id: int,
+    watch: Callable[[DataFrame], DataFrame] = lambda df: df,
+) -> None:
+    """Extract since the newest RAW row, drop the boundary copies, append. `watch` sees exactly the appended rows.
 
     The cursor state is RAW itself, so a lost run repeats without a gap, and a repeated load adds only what
     the source has changed since.
@@ -73,11 +81,11 @@ def load_appended(source: DataFrame, path: str, schema: StructType, pk: list[str
     spark = source.sparkSession
     raw = existing(spark, path, schema)
     if raw is None:
-        append_raw(source, path, load_id)
+        append_raw(watch(source), path, load_id)
         return
     # The newest row may stand in any load, because a load can be repeated; one column is read.
     last = high_water(raw)
-    append_raw(drop_boundary(rows_since(source, "updated_at", last), raw, pk, "updated_at", last), path, load_id)
+    append_raw(watch(drop_boundary(rows_since(source, "updated_at", last), raw, pk, "updated_at", last)), path, load_id)
 
 
 def existing(spark: SparkSession, path: str, schema: StructType) -> DataFrame | None:

@@ -16,6 +16,7 @@ from pyspark.sql.types import StructType
 from tillbook.functions.columns import UNKNOWN_KEY
 from tillbook.operators.history import latest_state
 from tillbook.operators.pit import pit_join
+from tillbook.operators.quality import Watched
 from tillbook.operators.scale import broadcast_if_small
 from tillbook.session import pin
 from tillbook.sources.ingest import existing
@@ -44,6 +45,22 @@ def ingest_stream(stream: DataFrame, path: str, checkpoint: str) -> int:
     return sum(p["numInputRows"] for p in query.recentProgress)
 
 
+def ingest_watched(stream: DataFrame, path: str, checkpoint: str, rules: Watched) -> list[tuple]:
+    """ingest_stream with row rules measured by its batches; returns their results, one set for each batch."""
+    query = (
+        stream.observe("rules", *rules.counts())
+        .writeStream.format("parquet")
+        .outputMode("append")
+        .option("path", path)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    seen = [p.observedMetrics["rules"].asDict() for p in query.recentProgress if "rules" in p.observedMetrics]
+    return [row for counts in seen for row in rules.named(counts)]
+
+
 def dedupe_stream(stream: DataFrame, keys: list[str], event_time: str, delay: str) -> DataFrame:
     """Drop copies that arrive within `delay`; state older than the watermark is let go.
 
