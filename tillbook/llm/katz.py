@@ -227,7 +227,7 @@ def pair_table(docs: DataFrame, buckets: int) -> DataFrame:
             yield from out()
 
     found = docs.select("text").mapInArrow(count, PACKED)
-    placed = found.repartition(_partitions(buckets, 8), "bucket").sortWithinPartitions("bucket")
+    placed = found.repartition(_partitions(buckets, 16), "bucket").sortWithinPartitions("bucket")
     return placed.mapInArrow(merge, "bucket int, w1 array<long>, w2 array<long>, n array<long>, small array<long>, binned array<long>")
 
 
@@ -565,7 +565,7 @@ def score_block(rows: DataFrame, model: Model) -> DataFrame:
 
     texts = rows.mapInArrow(chunk, PACKED)
     pairs = model.pairs.selectExpr("bucket", "0 kind", "w1 a", "w2 b", "n", "cast(null as array<int>) doc", "0L base")
-    placed = texts.unionByName(pairs).repartition(_partitions(model.buckets, 8), "bucket").sortWithinPartitions("bucket", "kind")
+    placed = texts.unionByName(pairs).repartition(_partitions(model.buckets, 16), "bucket").sortWithinPartitions("bucket", "kind")
     return placed.mapInArrow(answer, OUT)
 
 
