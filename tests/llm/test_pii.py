@@ -86,6 +86,44 @@ def test_context_discovers_unseen_identifiers_only(llm):
         assert text[d][int(a) : int(b)] == word
 
 
+def brute_scores(edges, rounds, least_score):
+    """{pattern: (score, believed instances)} of {(pattern, instance): seed} by plain loops."""
+    belief = {}
+    for (_, i), seed in edges.items():
+        belief[i] = max(belief.get(i, 0.0), float(seed))
+    known = {i for i, b in belief.items() if b == 1.0}
+    for n in range(rounds):
+        by_pattern = {}
+        for p, i in edges:
+            by_pattern.setdefault(p, []).append(belief[i])
+        scores = {p: (sum(b) / (len(b) + 1), sum(x >= least_score for x in b)) for p, b in by_pattern.items()}
+        if n + 1 < rounds:
+            doubt = {}
+            for p, i in edges:
+                doubt[i] = doubt.get(i, 1.0) * (1 - min(scores[p][0], 0.999999))
+            belief = {i: 1.0 if i in known else 1 - d for i, d in doubt.items()}
+    return scores
+
+
+def test_graph_scores_equal_brute_force(llm):
+    rng = random.Random(3)
+    edges = {(f"p{rng.randrange(12)}", f"i{rng.randrange(60)}"): rng.random() < 0.3 for _ in range(200)}
+    df = llm.createDataFrame([(*k, v) for k, v in edges.items()], "pattern string, instance string, seed boolean")
+    got = {r.pattern: (round(r.score, 9), r.seeds) for r in pii.pattern_scores(df, 4, 0.8).collect()}
+    assert got == {p: (round(a, 9), b) for p, (a, b) in brute_scores(edges, 4, 0.8).items()}
+
+
+def test_found_identifiers_speak_for_further_patterns(llm):
+    """12 ids stand right of a pattern of many addresses, and with 3 unseen ids right of a second pattern."""
+    rows = [(i, f"write to office mail: clerk{i}@shop.example now") for i in range(60)]
+    rows += [(100 + i, f"write to office mail: A-77{1000 + i} now") for i in range(12)]
+    rows += [(200 + i, f"member card code A-77{1000 + i} is valid") for i in range(12)]
+    rows += [(300 + i, f"member card code B-99{2000 + i} is valid") for i in range(3)]
+    rows += [(400 + i, f"order number {100000 + i} and room {i}") for i in range(30)]
+    out = {r.doc_id: r.n_id for r in pii.personal_data(llm.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert {d for d, n in out.items() if n} == {*range(100, 112), *range(200, 212), 300, 301, 302}
+
+
 def test_redaction(llm):
     rows = [(1, "Mail a@b.org, ask 10.0.0.1 or +49 170 1234567."), (2, None), (3, "nothing"), (4, "4111 1111 1111 1111"), (None, "é a@b.org")]
     docs = llm.createDataFrame(rows + [(60 + i, t) for i, t in context_rows()[:12]] + [(40, context_rows()[20][1])], "doc_id long, text string")

@@ -4,8 +4,9 @@ Base spans of four kinds come from patterns and checks. They are the seeds: the
 lexical pattern. Candidates are tokens that look like identifiers, hold no base span and have such a left
 context too. Patterns and instances (seeds and candidates) form a bipartite graph with one edge per distinct
 pair. Each round scores a pattern by the mean confidence of its instances (with one doubtful instance added)
-and an instance by the chance that not all its patterns are wrong. Candidates right of a pattern with at least
-`least_score` and `least_seeds` distinct seeds become spans of the kind `id`.
+and an instance by the chance that not all its patterns are wrong. An instance of at least `least_score` is believed and
+counts as a seed in the next round, so a pattern that only found identifiers speak for finds further ones. Candidates right
+of a pattern with at least `least_score` and `least_seeds` distinct believed instances become spans of the kind `id`.
 
 Positions are code points. The patterns are written with possessive quantifiers and a look-behind so that each
 text is read in time linear in its length; what they match is what the plain patterns match.
@@ -164,14 +165,14 @@ def findings(docs: DataFrame) -> DataFrame:
     )
 
 
-def pattern_scores(edges: DataFrame, rounds: int) -> DataFrame:
-    """pattern, score and number of distinct seeds, from edges(pattern, instance, seed)."""
+def pattern_scores(edges: DataFrame, rounds: int, least_score: float) -> DataFrame:
+    """pattern, score and number of distinct believed instances, from edges(pattern, instance, seed)."""
     belief = edges.groupBy("instance").agg(F.max(F.col("seed").cast("double")).alias("belief"))
     for i in range(rounds):
         scores = pin(
             edges.join(belief, "instance")
             .groupBy("pattern")
-            .agg((F.sum("belief") / (F.count(F.lit(1)) + 1)).alias("score"), F.sum(F.col("seed").cast("long")).alias("seeds")),
+            .agg((F.sum("belief") / (F.count(F.lit(1)) + 1)).alias("score"), F.count_if(F.col("belief") >= least_score).alias("seeds")),
             "pattern-scores",
         )
         if i + 1 < rounds:
@@ -186,13 +187,13 @@ def discovered(found: DataFrame, rounds: int, least_score: float, least_seeds: i
     seeds = found.select(F.explode("seeds").alias("e")).select("e.pattern", "e.instance", F.lit(True).alias("seed"))
     open_ = found.select(F.explode("candidates").alias("e")).select("e.pattern", "e.instance", F.lit(False).alias("seed"))
     edges = pin(seeds.unionAll(open_).groupBy("pattern", "instance").agg(F.max("seed").alias("seed")), "pattern-instances")
-    good = pattern_scores(edges, rounds).filter((F.col("score") >= least_score) & (F.col("seeds") >= least_seeds)).select("pattern")
+    good = pattern_scores(edges, rounds, least_score).filter((F.col("score") >= least_score) & (F.col("seeds") >= least_seeds)).select("pattern")
     hits = found.select("doc_id", "text_hash", F.explode("candidates").alias("c")).select("doc_id", "text_hash", "c.pattern", "c.start", "c.end")
     spans = F.sort_array(F.collect_set(F.struct("start", "end"))).alias("id")  # bounded by one document
     return hits.join(good, "pattern", "left_semi").groupBy("doc_id", "text_hash").agg(spans)
 
 
-def personal_data(docs: DataFrame, rounds: int = 3, least_score: float = 0.8, least_seeds: int = 5) -> DataFrame:
+def personal_data(docs: DataFrame, rounds: int = 4, least_score: float = 0.8, least_seeds: int = 5) -> DataFrame:
     """doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans and n_id for every row of docs(doc_id, text)."""
     found = pin(findings(docs), "findings")
     more = discovered(found, rounds, least_score, least_seeds).select(F.col("doc_id").alias("_doc"), F.col("text_hash").alias("_hash"), "id")
@@ -208,7 +209,7 @@ def personal_data(docs: DataFrame, rounds: int = 3, least_score: float = 0.8, le
     )
 
 
-def redact(docs: DataFrame, rounds: int = 3, least_score: float = 0.8, least_seeds: int = 5) -> DataFrame:
+def redact(docs: DataFrame, rounds: int = 4, least_score: float = 0.8, least_seeds: int = 5) -> DataFrame:
     """docs with every span of the text replaced by its kind in angle brackets; other columns as they were.
 
     Overlapping spans become one place with the kind of the first. A null text stays null.
