@@ -227,7 +227,7 @@ def pair_table(docs: DataFrame, buckets: int) -> DataFrame:
             yield from out()
 
     found = docs.select("text").mapInArrow(count, PACKED)
-    placed = found.repartition(_partitions(buckets, 16), "bucket").sortWithinPartitions("bucket")
+    placed = found.repartition(_partitions(buckets, 4), "bucket").sortWithinPartitions("bucket")
     return placed.mapInArrow(merge, "bucket int, w1 array<long>, w2 array<long>, n array<long>, small array<long>, binned array<long>")
 
 
@@ -565,7 +565,7 @@ def score_block(rows: DataFrame, model: Model) -> DataFrame:
 
     texts = rows.mapInArrow(chunk, PACKED)
     pairs = model.pairs.selectExpr("bucket", "0 kind", "w1 a", "w2 b", "n", "cast(null as array<int>) doc", "0L base")
-    placed = texts.unionByName(pairs).repartition(_partitions(model.buckets, 16), "bucket").sortWithinPartitions("bucket", "kind")
+    placed = texts.unionByName(pairs).repartition(_partitions(model.buckets, 4), "bucket").sortWithinPartitions("bucket", "kind")
     return placed.mapInArrow(answer, OUT)
 
 
@@ -605,25 +605,21 @@ def _scores(docs: DataFrame, hot_words: int, hot_pairs: int, blocks: int) -> Dat
     out = None
     for block in range(blocks):
         part = numbered.filter(F.pmod(F.xxhash64("doc_id"), F.lit(blocks)) == block)
-        found = pin(score_block(part, model), "katz-parts")
-        rare = found.filter("w is not null").select("row", "w", "n0", "na", "nb")  # every figure below is linear in them
-        joined = rare.join(words, rare["w"] == words["_w"], "left")
+        # Rows with a rare word meet it, the others go by their text's number and meet nothing; every figure is linear.
+        rare = F.col("w").isNotNull()
+        found = score_block(part, model).withColumns({"rare": rare, "key": F.coalesce("w", "row")})
+        joined = found.join(words, (found["key"] == words["_w"]) & found["rare"], "left")
         n0, na, nb = (F.coalesce(c, F.lit(0)) for c in ("n0", "na", "nb"))
         c, log_p = F.coalesce("c", F.lit(0)), F.coalesce("log_p", F.lit(model.log_unknown))
         log_alpha, log_c = F.coalesce("log_alpha", F.lit(0.0)), F.coalesce("log_c", F.lit(0.0))
-        answered = joined.select(
-            "row",
-            F.lit(None).cast("long").alias("doc_id"),
-            F.lit(0).cast("long").alias("n_tokens"),
-            F.when(c > 0, n0).otherwise(0).alias("n_known"),
-            (n0 * F.log10((c + 0.5) / F.lit(total))).alias("base"),
-            (n0 * (log_p + log_alpha) - na * (log_c + log_alpha) - nb * log_p).alias("score"),
-        )
-        plain = found.filter("w is null").select("row", "doc_id", "n_tokens", "n_known", "base", "score")
-        summed = (
-            plain.unionAll(answered)
-            .groupBy("row")
-            .agg(F.max("doc_id").alias("doc_id"), *[F.sum(x).alias(x) for x in ("n_tokens", "n_known", "base", "score")])
+        of_rare = {
+            "n_known": F.when(c > 0, n0).otherwise(0),
+            "base": n0 * F.log10((c + 0.5) / F.lit(total)),
+            "score": n0 * (log_p + log_alpha) - na * (log_c + log_alpha) - nb * log_p,
+        }
+        answered = joined.withColumns({k: F.when(F.col("rare"), v).otherwise(F.col(k)) for k, v in of_rare.items()})
+        summed = answered.groupBy("row").agg(
+            F.max("doc_id").alias("doc_id"), *[F.sum(x).alias(x) for x in ("n_tokens", "n_known", "base", "score")]
         )
         summed = pin(summed, "katz-scores")
         out = summed if out is None else out.unionAll(summed)
