@@ -20,7 +20,7 @@ from tillbook.functions.columns import (
     yyyymmdd,
 )
 from tillbook.operators.pit import pit_join
-from tillbook.operators.scale import DEFAULT, Limits, broadcast_if_small
+from tillbook.operators.scale import DEFAULT, Limits, broadcast_if_small, in_ranges, key_ranges
 from tillbook.schemas import MART
 from tillbook.session import pin
 
@@ -60,13 +60,12 @@ def incremental_slice(items: DataFrame, tx: DataFrame, watermark, limits: Limits
         return df.filter(F.col("updated_at") >= since).select("transaction_id")
 
     ids = pin(changed(items).unionByName(changed(tx)).distinct(), "changed-receipts")
-    lo, hi = ids.agg(F.min("transaction_id"), F.max("transaction_id")).first()
+    touched = in_ranges("transaction_id", key_ranges(ids, "transaction_id"))
     ids = broadcast_if_small(ids, limits)
 
     def near(df: DataFrame) -> DataFrame:
-        # New receipts have high ids: the id range lets Parquet skip old row groups.
-        kept = df.filter(F.col("transaction_id").between(lo, hi))
-        return kept.join(ids, "transaction_id", "left_semi")
+        # New receipts have high ids, and a corrected old one stands alone: row groups between them are skipped.
+        return df.filter(touched).join(ids, "transaction_id", "left_semi")
 
     rows = headers_lines(near(tx), near(items))
     return rows.filter(F.col("source_updated_at") >= since)

@@ -62,6 +62,43 @@ def broadcast_if_small(df: DataFrame, limits: Limits = DEFAULT) -> DataFrame:
     return F.broadcast(df) if fits_broadcast(df, limits) else df
 
 
+# ------------------------------------------------------------------ sets of touched keys
+RANGES = 64
+
+
+def key_ranges(keys: DataFrame, key: str, most: int = RANGES) -> list[tuple[int, int]]:
+    """At most `most` ranges that hold every value of a whole-number key, separated by its widest gaps.
+
+    The driver sees the least and greatest key of each of 16 x `most` equal pieces of the whole range, no more.
+    """
+    lo, hi = keys.agg(F.min(key), F.max(key)).first()
+    if lo is None:
+        return []
+    width = (hi - lo) // (16 * most) + 1
+    piece = F.floor((F.col(key) - F.lit(lo)) / width)
+    pieces = keys.groupBy(piece.alias("piece")).agg(F.min(key).alias("lo"), F.max(key).alias("hi"))
+    return merge_ranges([(r["lo"], r["hi"]) for r in pieces.collect()], most)
+
+
+def merge_ranges(pieces: list[tuple[int, int]], most: int) -> list[tuple[int, int]]:
+    """Join neighbours until `most` ranges are left, the closest first."""
+    if not pieces:
+        return []
+    pieces = sorted(pieces)
+    gaps = sorted(range(1, len(pieces)), key=lambda i: pieces[i][0] - pieces[i - 1][1], reverse=True)
+    starts = sorted([0, *gaps[: most - 1]])
+    ends = [*starts[1:], len(pieces)]
+    return [(pieces[a][0], pieces[b - 1][1]) for a, b in zip(starts, ends, strict=True)]
+
+
+def in_ranges(key: str, ranges: list[tuple[int, int]]) -> Column:
+    """A filter that Parquet evaluates on the statistics of its row groups."""
+    found = F.lit(False)
+    for lo, hi in ranges:
+        found = found | F.col(key).between(lo, hi)
+    return found
+
+
 # ------------------------------------------------------------------ hot keys
 def hot_groups(df: DataFrame, keys: list[str], limits: Limits = DEFAULT) -> DataFrame | None:
     """(keys, pieces) for groups above the row limit, or None when no group is.

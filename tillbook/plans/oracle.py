@@ -476,7 +476,7 @@ def statements() -> dict[str, str]:
         )
 
     # facts
-    for name in ["fct_sales", "fct_sales_incremental", "full_refresh", "late_rows_repaired", "stream_upsert_fact"]:
+    for name in ["fct_sales", "fct_sales_bucketed", "fct_sales_incremental", "full_refresh", "late_rows_repaired", "stream_upsert_fact"]:
         q[name] = shown("from fct", _mart("fct_sales"))
     q["night_committed"] = shown(f"from fct where source_updated_at < {CUT}", _mart("fct_sales"))
     q["fct_sales_enriched"] = shown("from wide", _mart("fct_sales_enriched"))
@@ -882,6 +882,26 @@ def statements() -> dict[str, str]:
     # streams
     q["stream_ingest"] = shown("from src_employee", _raw("employee"))
     q["stream_dedupe"] = shown("from one_employee", EMPLOYEE)
+    q["table_differences"] = shown(
+        "select coalesce(a.transaction_id, b.transaction_id) as transaction_id, case when b.transaction_id is null then 'only first' "
+        "when a.transaction_id is null then 'only second' else 'changed' end as difference "
+        "from (from s_tx where transaction_id % 997 <> 5) a full join "
+        "(select *, store_id + if(transaction_id between 3000 and 3100, 1, 0) as new_store from s_tx where transaction_id % 1009 <> 7) b "
+        "on a.transaction_id = b.transaction_id where a.transaction_id is null or b.transaction_id is null or a.store_id <> b.new_store",
+        "transaction_id difference",
+    )
+    q["sql_surface"] = shown(
+        "select s.store_name, s.store_key, f.promotion_key, case when f.promotion_key > 0 then p.promotion_label end as promotion_label, "
+        "min(year(l.local_ts) * 10000 + month(l.local_ts) * 100 + day(l.local_ts)) as first_date_key, sum(f.quantity) as quantity, "
+        "count(*) filter (e.start_date <= cast(l.local_ts as date) and (e.end_date is null or e.end_date >= cast(l.local_ts as date))) as staff_lines, "
+        "sum(f.gross_amount) as gross_amount, sum(f.discount_amount) as discount_amount "
+        "from fct f join line l using (transaction_id, line_number) join dim_store s on s.store_key = f.store_key "
+        "join dim_promotion p on p.promotion_key = f.promotion_key "
+        "left join (select * from h_employee where is_current) e on e.employee_id = l.employee_id group by 1, 2, 3, 4",
+        "store_name store_key promotion_key promotion_label first_date_key quantity staff_lines gross_amount discount_amount",
+        sums="gross_amount discount_amount",
+        whole="first_date_key",
+    )
     q["stream_headers_lines"] = shown(
         "select i.transaction_id, i.line_number, i.product_id, i.promotion_id, i.quantity, i.regular_price, i.coupon_amount, "
         "case when known then h.store_id else -2 end as store_id, case when known then h.employee_id else -2 end as employee_id, "

@@ -14,7 +14,8 @@ from pyspark.sql.types import DateType, DecimalType, IntegerType, TimestampNTZTy
 
 from tillbook import schemas
 from tillbook.functions.columns import LOCAL_TZ, at, local_date
-from tillbook.operators import dims, facts, headcount, history, quality, staging
+from tillbook.functions.sql_surface import create_functions
+from tillbook.operators import differences, dims, facts, headcount, history, quality, staging
 from tillbook.operators.pit import pit_join
 from tillbook.operators.scale import Limits, broadcast_if_small
 from tillbook.plans import metrics, nightly, reports, suites
@@ -610,6 +611,66 @@ def fingerprint(s: Star) -> DataFrame:
     return quality.fingerprint(s.fresh("stg_sales_transaction"), columns)
 
 
+@registered
+def table_differences(s: Star) -> DataFrame:
+    """Keys on which two written snapshots of the headers differ: rows missing, added and changed here and there."""
+    tx = s.stored("stg_sales_transaction").select("transaction_id", "store_id", "employee_id", "transaction_ts")
+    paths = [new_folder(s.spark, "differences") for _ in range(2)]
+    tx.filter("transaction_id % 997 <> 5").repartitionByRange(8, "transaction_id").sortWithinPartitions("transaction_id").write.parquet(paths[0])
+    changed = F.when(F.col("transaction_id").between(3000, 3100), F.col("store_id") + 1).otherwise(F.col("store_id"))
+    later = tx.filter("transaction_id % 1009 <> 7").withColumn("store_id", changed)
+    later.repartitionByRange(8, "transaction_id").sortWithinPartitions("transaction_id").write.parquet(paths[1])
+    one, two = (s.spark.read.schema(tx.schema).parquet(p) for p in paths)
+    return differences.table_differences(one, two, "transaction_id", rows=500)
+
+
+@registered
+def sql_surface(s: Star) -> DataFrame:
+    """A small star in Spark SQL alone: receipts with their local day, keys, discount and promotion, summed by store and label."""
+    create_functions(s.spark, "tb_")
+    views = {"lines": s.lines(), "promotions": s.fresh("stg_promotion"), "stores": s.fresh("stg_store"), "people": s.stored("employee_history")}
+    names = {k: f"sql_surface_{k}_{uuid.uuid4().hex[:8]}" for k in views}
+    for k, df in views.items():
+        df.createOrReplaceTempView(names[k])
+    return s.spark.sql(
+        f"""
+        WITH people AS (SELECT employee_id, MIN(start_date) AS first_day, MAX(end_date) AS last_day FROM {names["people"]} WHERE is_current GROUP BY employee_id),
+        sold AS (
+          SELECT tb_surrogate_key(ARRAY(CAST(l.store_id AS STRING))) AS store_key,
+                 CASE WHEN l.promotion_id IS NULL THEN tb_no_promotion_key()
+                      WHEN p.promotion_id IS NULL THEN tb_unknown_key()
+                      ELSE tb_surrogate_key(ARRAY(CAST(l.promotion_id AS STRING))) END AS promotion_key,
+                 tb_promo_label(p.type, p.amount) AS promotion_label,
+                 tb_yyyymmdd(tb_local_date(l.transaction_ts)) AS date_key,
+                 tb_sells_on(e.first_day, e.last_day, tb_local_date(l.transaction_ts)) AS by_staff,
+                 l.quantity, CAST(l.quantity * l.regular_price AS DECIMAL(18,2)) AS gross_amount,
+                 tb_discount(l.quantity, l.regular_price, p.type, p.amount) AS discount_amount
+          FROM {names["lines"]} l LEFT JOIN {names["promotions"]} p ON p.promotion_id = l.promotion_id
+          LEFT JOIN people e ON e.employee_id = l.employee_id)
+        SELECT s.store_name, d.store_key, d.promotion_key, d.promotion_label, MIN(d.date_key) AS first_date_key, SUM(d.quantity) AS quantity,
+               COUNT_IF(d.by_staff) AS staff_lines, SUM(d.gross_amount) AS gross_amount, SUM(d.discount_amount) AS discount_amount
+        FROM sold d JOIN {names["stores"]} s ON tb_surrogate_key(ARRAY(CAST(s.store_id AS STRING))) = d.store_key
+        GROUP BY ALL
+        """
+    )
+
+
+@registered
+def fct_sales_bucketed(s: Star) -> DataFrame:
+    """The fact from RAW headers and lines that are stored in buckets of the receipt, so that they meet where they lie."""
+    return facts.fct_sales(bucketed_lines(s), s.dims(), s.tz, s.limits)
+
+
+def bucketed_lines(s: Star, buckets: int = 8) -> DataFrame:
+    """Headers joined to copy-free lines, both from tables bucketed and sorted by receipt."""
+    tables = {}
+    for name in ("sales_transaction", "sales_transaction_item"):
+        label = f"bucketed_{name}_{uuid.uuid4().hex[:8]}"
+        tables[name] = materialize(s.stored(f"raw_{name}"), "table", label, bucket_by=(buckets, ["transaction_id"]))
+    tx = staging.stage_sales_transaction(tables["sales_transaction"])
+    return facts.headers_lines(tx, history.dedupe_copies(tables["sales_transaction_item"]))
+
+
 @registered
 def invalid_promo_pairs(s: Star) -> DataFrame:
     return suites.invalid_promo_pairs(s.stored("stg_sales_transaction_item"), s.stored("raw_promotion_product"))

@@ -16,11 +16,12 @@ from datetime import datetime
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from tillbook.operators.quality import ContractError, contract_mismatches
-from tillbook.operators.scale import broadcast_if_small
+from tillbook.operators.scale import broadcast_if_small, in_ranges, key_ranges
 from tillbook.session import pin
 
 # The mark is ISO text in the file.
@@ -214,8 +215,8 @@ class SnapshotTable:
                 return
         new_keys = broadcast_if_small(src.select(*keys))
         # A row may sit in another slice than its new version, so the old place is looked up by key.
-        # Only key columns are read, and the key range lets Parquet skip row groups.
-        near = target.filter(F.col(keys[0]).between(lo, hi)).withColumn("in_slice", self._slice())
+        # Only key columns are read, and the key ranges let Parquet skip row groups.
+        near = target.filter(_near(src, keys[0], lo, hi)).withColumn("in_slice", self._slice())
         old = near.join(new_keys, keys, "left_semi").select("in_slice")
         places = old.union(src.select(self._slice())).distinct()
         touched = [r[0] for r in places.collect()]
@@ -234,6 +235,13 @@ class SnapshotTable:
         ).select(src.columns)
 
 
+def _near(src: DataFrame, key: str, lo, hi) -> Column:
+    """Rows whose key may be in src: ranges of touched keys, or the one range of a key that is no whole number."""
+    if isinstance(src.schema[key].dataType, IntegralType):
+        return in_ranges(key, key_ranges(src, key))
+    return F.col(key).between(lo, hi)
+
+
 class WriterConflict(RuntimeError):
     """Another writer committed since this write began."""
 
