@@ -590,7 +590,7 @@ def settings(spark: SparkSession) -> Iterator[None]:
             spark.conf.set(k, v)
 
 
-def scores(docs: DataFrame, hot_words: int = 250_000, hot_pairs: int = 400_000, blocks: int = 3) -> DataFrame:
+def scores(docs: DataFrame, hot_words: int = 250_000, hot_pairs: int = 400_000, blocks: int = 4) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every row of docs(doc_id, text)."""
     with settings(docs.sparkSession):
         return _scores(docs, hot_words, hot_pairs, blocks)
