@@ -12,7 +12,7 @@ import corpus_pipeline  # noqa: E402
 from test_bpe import digests, reference  # noqa: E402, F401
 from test_decontaminate import brute_matches  # noqa: E402
 from test_pii import brute as base_spans  # noqa: E402
-from test_simhash import brute_groups  # noqa: E402
+from test_simhash import brute_components  # noqa: E402
 from tillbook.llm import decontaminate, queries  # noqa: E402
 
 
@@ -26,10 +26,8 @@ def test_stages_in_order_keep_the_columns(llm, documents, reference):  # noqa: F
     kept = [tuple(r) for r in seen["quality"].select("doc_id", "text").collect()]
     assert 0 < len(kept) < len(documents)
 
-    # near-duplicates: exactly the smallest id of each brute-force group stays
-    tops = brute_groups(sorted(kept))
-    ids = [d for d, _ in sorted(kept)]
-    assert {r.doc_id for r in seen["near_dedup"].collect()} == {ids[t] for t in tops.values()}
+    # near-duplicates: exactly the smallest id of each brute-force component stays
+    assert {r.doc_id for r in seen["near_dedup"].collect()} == {least for _, _, least in brute_components(kept)}
 
     # decontamination: exactly the documents without a match stay
     items = [tuple(r) for r in llm.read.parquet(f"{SF}/benchmark.parquet").select("item_id", "text").collect()]
@@ -68,4 +66,4 @@ def test_query_is_registered_and_runs(llm, name):
 
 def test_every_operator_has_its_query():
     numbers = {int(re.match(r"op(\d+)_", n)[1]) for n in queries.queries()}
-    assert numbers == set(range(1, 11)) and "pipeline" in __spark_entry__.queries()
+    assert numbers == set(range(1, 14)) and "pipeline" in __spark_entry__.queries()

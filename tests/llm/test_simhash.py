@@ -54,6 +54,17 @@ def test_odd_rows(odd, odd_rows, nothing):
     assert simhash.fingerprint_components(nothing).collect() == []
 
 
+def test_one_document_of_each_component_stays(llm, documents, odd, odd_rows, nothing):
+    least = {least for _, _, least in brute_components(documents)}
+    docs = llm.read.parquet(f"{SF}/documents.parquet")
+    left = simhash.drop_linked(docs)
+    assert left.columns == docs.columns and {r.doc_id for r in left.collect()} == least and len(least) < len(documents)
+    keepers = {d for d, _, top in brute_components(odd_rows) if d is not None and d == top}
+    want = [d for d, _ in odd_rows if d is None or d in keepers]
+    assert sorted((r.doc_id for r in simhash.drop_linked(odd).collect()), key=repr) == sorted(want, key=repr)
+    assert simhash.drop_linked(nothing).collect() == []
+
+
 def test_links_of_close_fingerprints_and_split_shards(llm):
     rng = random.Random(5)
     fps = set()

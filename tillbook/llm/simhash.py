@@ -356,13 +356,26 @@ def _light_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
             yield (*head, batch.columns[-1][i].values.to_numpy(zero_copy_only=False).copy())
 
 
+def drop_linked(docs: DataFrame, k: int = 3, radius: int = 2, shard_rows: int = 20_000) -> DataFrame:
+    """Rows of docs with one document left of each component of fingerprints linked at `radius` bits, every column as it was.
+
+    The smallest doc_id of a component stays. Rows that share an id count as one document: they stay if it is the smallest
+    of any of their texts. Rows without an id always stay; texts without words are one component.
+    """
+    named = fingerprint_components(docs, k, radius, shard_rows)
+    return _keepers(docs, named.select("doc_id", F.col("component_id").alias("keeper")))
+
+
 def drop_near_duplicates(docs: DataFrame, **options) -> DataFrame:
     """Rows of docs with one document left of each near-duplicate group, every column as it was.
 
     Rows that share an id count as one document: they stay if any of their texts is its group's keeper.
     Rows without an id always stay.
     """
-    named = near_duplicate_groups(docs, **options)
+    return _keepers(docs, near_duplicate_groups(docs, **options))
+
+
+def _keepers(docs: DataFrame, named: DataFrame) -> DataFrame:
     verdict = named.groupBy("doc_id").agg(F.max((F.col("doc_id") == F.col("keeper")).cast("int")).alias("keep"))
     gone = verdict.filter("keep = 0").select(F.col("doc_id").alias("_gone"))
     return docs.join(gone, docs["doc_id"].cast("long") == gone["_gone"], "left_anti")
