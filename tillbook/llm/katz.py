@@ -590,7 +590,7 @@ def settings(spark: SparkSession) -> Iterator[None]:
             spark.conf.set(k, v)
 
 
-def scores(docs: DataFrame, hot_words: int = 250_000, hot_pairs: int = 400_000, blocks: int = 4) -> DataFrame:
+def scores(docs: DataFrame, hot_words: int = 250_000, hot_pairs: int = 400_000, blocks: int = 3) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every row of docs(doc_id, text)."""
     with settings(docs.sparkSession):
         return _scores(docs, hot_words, hot_pairs, blocks)
@@ -606,8 +606,11 @@ def _scores(docs: DataFrame, hot_words: int, hot_pairs: int, blocks: int) -> Dat
     for block in range(blocks):
         part = numbered.filter(F.pmod(F.xxhash64("doc_id"), F.lit(blocks)) == block)
         # Rows with a rare word meet it, the others go by their text's number and meet nothing; every figure is linear.
-        rare = F.col("w").isNotNull()
-        found = score_block(part, model).withColumns({"rare": rare, "key": F.coalesce("w", "row")})
+        # What a text has once travels as one struct, which the many rows of rare words leave empty.
+        rare, once = F.col("w").isNotNull(), ("doc_id", "n_tokens", "n_known", "base", "score")
+        found = score_block(part, model).select(
+            "row", rare.alias("rare"), F.coalesce("w", "row").alias("key"), "n0", "na", "nb", F.when(~rare, F.struct(*once)).alias("once")
+        )
         joined = found.join(words, (found["key"] == words["_w"]) & found["rare"], "left")
         n0, na, nb = (F.coalesce(c, F.lit(0)) for c in ("n0", "na", "nb"))
         c, log_p = F.coalesce("c", F.lit(0)), F.coalesce("log_p", F.lit(model.log_unknown))
@@ -617,7 +620,9 @@ def _scores(docs: DataFrame, hot_words: int, hot_pairs: int, blocks: int) -> Dat
             "base": n0 * F.log10((c + 0.5) / F.lit(total)),
             "score": n0 * (log_p + log_alpha) - na * (log_c + log_alpha) - nb * log_p,
         }
-        answered = joined.withColumns({k: F.when(F.col("rare"), v).otherwise(F.col(k)) for k, v in of_rare.items()})
+        answered = joined.select(
+            "row", "once.doc_id", "once.n_tokens", *[F.when(F.col("rare"), v).otherwise(F.col(f"once.{k}")).alias(k) for k, v in of_rare.items()]
+        )
         summed = answered.groupBy("row").agg(
             F.max("doc_id").alias("doc_id"), *[F.sum(x).alias(x) for x in ("n_tokens", "n_known", "base", "score")]
         )
