@@ -1,9 +1,12 @@
 """Licence scan: sparse TF-IDF cosine of notices to templates, then inheritance along directories.
 
-DataFrame functions only. The sentences and lines of a file that speak of a licence are its notices; equal notices are
-one row before anything is joined. Notices and the sentences of the templates become TF-IDF vectors, the terms of
-the templates (a fixed list, so small) are broadcast, and a notice has the licence of its closest template
-sentence at `least_cosine` or more. A file is a licence file if its name says so or at least half of its words stand
+DataFrame functions only. The notices of a file are its lines and sentences that speak of a licence, and the sentences of
+its paragraphs once comment marks and line breaks inside them are gone, so a wrapped header reads as it was written. Equal
+notices are one row before anything is joined. Notices and the sentences of the templates become TF-IDF vectors, the terms
+of the templates (a fixed list, so small) are broadcast, and a notice has the licence of its closest template
+sentence at `least_cosine` or more whose version numbers and qualifiers (lesser, affero, non-commercial ...) are the
+notice's own. A notice that denies is none. A licence whose text extends another's (BSD-3-Clause that of
+BSD-2-Clause) goes before it. A file is a licence file if its name says so or at least half of its words stand
 in matched notices; the licence of a directory is that of its licence files (most words, then name). A file without its own licence inherits from the nearest directory above it that has one.
 
 Directories are joined once per distinct directory, files only with the answer for their directory.
@@ -14,24 +17,55 @@ ties take the licence that comes first in the alphabet; without files there is n
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillbook.session import pin
 
+_GPL_START = "This program is free software{} you can redistribute it and/or modify it under the terms of the GNU {}General Public License as published by the Free Software Foundation{} either version {} of the License, or (at your option) any later version."
+_GPL_ONLY = "This work is licensed under the GNU {}General Public License, version {}."
+_GPL_NAMED = "Licensed under the GNU {}General Public License v{}."
+
 # Identifiers and the sentences that licence headers and files use for them.
 TEMPLATES = {
+    "AGPL-3.0": [
+        _GPL_START.format(":", "Affero ", ",", "3"),
+        _GPL_ONLY.format("Affero ", "3"),
+        _GPL_NAMED.format("Affero ", "3.0"),
+        "GNU AFFERO GENERAL PUBLIC LICENSE Version 3, 19 November 2007",
+        "The GNU Affero General Public License is a free, copyleft license for software and other kinds of works, specifically designed to ensure cooperation with the community in the case of network server software.",
+        "SPDX-License-Identifier: AGPL-3.0-or-later",
+        "SPDX-License-Identifier: AGPL-3.0-only",
+    ],
     "Apache-2.0": [
         "Licensed under the Apache License, Version 2.0.",
         "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License.",
         "Apache License Version 2.0, January 2004",
+        "You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0",
+        "Licensed to the Apache Software Foundation (ASF) under one or more contributor license agreements.",
+        "Subject to the terms and conditions of this License, each Contributor hereby grants to You a perpetual, worldwide, non-exclusive, no-charge, royalty-free, irrevocable copyright license to reproduce, "
+        "prepare Derivative Works of, publicly display, publicly perform, sublicense, and distribute the Work and such Derivative Works in Source or Object form.",
         "SPDX-License-Identifier: Apache-2.0",
     ],
-    "BSD-3-Clause": [
+    "BSD-2-Clause": [
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:",
+        "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.",
+        "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.",
+        "Licensed under the BSD 2-Clause License.",
+        "BSD 2-Clause License",
+        "SPDX-License-Identifier: BSD-2-Clause",
+    ],
+    "BSD-3-Clause": [
+        "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.",
         "Licensed under the BSD 3-Clause License.",
+        "BSD 3-Clause License",
         "SPDX-License-Identifier: BSD-3-Clause",
     ],
+    "BSL-1.0": [
+        "Distributed under the Boost Software License, Version 1.0.",
+        "Boost Software License - Version 1.0 - August 17th, 2003",
+        "SPDX-License-Identifier: BSL-1.0",
+    ],
     "CC-BY-4.0": [
         "Licensed under CC BY 4.0.",
         "This work is licensed under a Creative Commons Attribution 4.0 International License.",
@@ -42,32 +76,94 @@ TEMPLATES = {
         "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
         "SPDX-License-Identifier: CC-BY-NC-4.0",
     ],
+    "CC-BY-SA-4.0": [
+        "Licensed under CC BY-SA 4.0.",
+        "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
+        "SPDX-License-Identifier: CC-BY-SA-4.0",
+    ],
+    "EPL-2.0": [
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0",
+        "Eclipse Public License - v 2.0",
+        "SPDX-License-Identifier: EPL-2.0",
+    ],
+    "GPL-2.0": [
+        _GPL_START.format(";", "", ";", "2"),
+        _GPL_ONLY.format("", "2"),
+        _GPL_NAMED.format("", "2.0"),
+        "GNU GENERAL PUBLIC LICENSE Version 2, June 1991",
+        "SPDX-License-Identifier: GPL-2.0-or-later",
+        "SPDX-License-Identifier: GPL-2.0-only",
+    ],
     "GPL-3.0": [
-        "This work is licensed under the GNU General Public License, version 3.",
-        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by "
-        "the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+        _GPL_START.format(":", "", ",", "3"),
+        _GPL_ONLY.format("", "3"),
+        _GPL_NAMED.format("", "3.0"),
         "GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007",
         "SPDX-License-Identifier: GPL-3.0-or-later",
+        "SPDX-License-Identifier: GPL-3.0-only",
     ],
     "ISC": [
         "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted.",
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
         "SPDX-License-Identifier: ISC",
     ],
+    "LGPL-2.1": [
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version.",
+        _GPL_ONLY.format("Lesser ", "2.1"),
+        _GPL_NAMED.format("Lesser ", "2.1"),
+        "GNU LESSER GENERAL PUBLIC LICENSE Version 2.1, February 1999",
+        "SPDX-License-Identifier: LGPL-2.1-or-later",
+        "SPDX-License-Identifier: LGPL-2.1-only",
+    ],
+    "LGPL-3.0": [
+        _GPL_START.format(":", "Lesser ", ",", "3"),
+        _GPL_ONLY.format("Lesser ", "3"),
+        _GPL_NAMED.format("Lesser ", "3.0"),
+        "GNU LESSER GENERAL PUBLIC LICENSE Version 3, 29 June 2007",
+        "SPDX-License-Identifier: LGPL-3.0-or-later",
+        "SPDX-License-Identifier: LGPL-3.0-only",
+    ],
     "MIT": [
         "Released under the MIT License.",
+        "Licensed under the MIT License.",
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files.",
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, "
+        "including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished "
+        "to do so, subject to the following conditions:",
+        "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.",
         "The MIT License (MIT)",
         "SPDX-License-Identifier: MIT",
     ],
     "MPL-2.0": [
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
+        "Mozilla Public License Version 2.0",
         "SPDX-License-Identifier: MPL-2.0",
     ],
+    "Unlicense": [
+        "This is free and unencumbered software released into the public domain.",
+        "Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.",
+        "Released under the Unlicense.",
+        "SPDX-License-Identifier: Unlicense",
+    ],
+    "Zlib": [
+        "Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions:",
+        "Licensed under the zlib License.",
+        "SPDX-License-Identifier: Zlib",
+    ],
 }
+# A licence whose text holds the other's.
+EXTENDS = {"BSD-3-Clause": "BSD-2-Clause"}
+# Words that a notice and its template must agree on, besides version numbers.
+QUALIFIERS = ["affero", "lesser", "library", "agpl", "lgpl", "nc", "noncommercial", "nd", "noderivatives", "noderivs", "sa", "sharealike"]
+VERSION = r"^v?([1-9](?:\.[0-9])?)(?:\.0)*$"
+DENIES = r"(?i)(?:\bnot|n't|\bnever|\bno longer)\s+(?:\w+\s+){0,2}(?:licen[cs]ed|released|distributed|covered|available|subject)\b"
 # Words without which a sentence is no notice.
-SPEAKS = r"(?i)licen[cs]e|redistribut|permission|creative commons"
+SPEAKS = r"(?i)licen[cs]e|redistribut|permission|creative commons|neither the name|unencumbered|free to copy"
 FILE_NAME = r"(?i)^(?:licen[cs]e|copying|notice|unlicense)(?:[._-][^/]*)?$"
 SENTENCES = r"\n|(?<=[.!?;])[\x20\x09\x0B-\x0D]+(?=\S)"
+# A line break with the comment marks and list numbers of the next line; an empty line ends a paragraph.
+WRAP = r"[\x20\x09\x0D]*+\n[\x20\x09]*+(?:[#/*;%>|-]++[\x20\x09]*+)?(?=[^\s#/*;%>|-])"
+PARAGRAPHS = r"\n|(?<=[.!?:])(?<!\bv\.)[\x20\x09\x0B-\x0D]+(?=\S)"
 
 
 def _terms(text: Column) -> Column:
@@ -75,9 +171,20 @@ def _terms(text: Column) -> Column:
 
 
 def _notices(text: Column) -> Column:
-    """Distinct sentences that speak of a licence, trimmed of white space and comment marks."""
-    found = F.filter(F.split(text, SENTENCES, -1), lambda s: s.rlike(SPEAKS))
-    return F.array_distinct(F.transform(found, lambda s: F.regexp_replace(s, r"^[\s#/*;%-]++|[\s*/]++$", "")))
+    """Distinct sentences that speak of a licence, trimmed of white space, comment marks and list numbers.
+
+    Once as the lines have them, once from paragraphs with their lines joined.
+    """
+    found = F.concat(F.split(text, SENTENCES, -1), F.split(F.regexp_replace(text, WRAP, " "), PARAGRAPHS, -1))
+    speaking = F.filter(found, lambda s: s.rlike(SPEAKS) & ~s.rlike(DENIES))
+    return F.array_distinct(F.transform(speaking, lambda s: F.regexp_replace(s, r"^(?:[\s#/*;%>|-]++|(?:[0-9]{1,2}|[a-z])[.)]\s++)++|[\s*/]++$", "")))
+
+
+def _marks(text: Column) -> Column:
+    """Version numbers (3 and v3.0 are one) and qualifiers of a notice, sorted."""
+    numbers = F.filter(F.transform(_terms(text), lambda t: F.regexp_extract(t, VERSION, 1)), lambda v: v != "")
+    words = F.filter(_terms(text), lambda t: t.isin(QUALIFIERS))
+    return F.array_join(F.array_sort(F.array_distinct(F.concat(numbers, words))), " ")
 
 
 def _vectors(texts: DataFrame, key: list[str]) -> DataFrame:
@@ -104,7 +211,9 @@ def matched_notices(notices: DataFrame, least_cosine: float) -> DataFrame:
         .groupBy("text", "licence", "sentence")
         .agg(F.sum(F.col("weight") * F.col("share")).alias("dot"))
     )
-    close = dots.join(norms, "text").select("text", "licence", F.round(F.col("dot") / F.col("norm"), 9).alias("cosine"))
+    marked = templates.select("licence", "sentence", _marks(F.col("text")).alias("marks"))
+    agreeing = dots.join(F.broadcast(marked), ["licence", "sentence"]).filter(F.col("marks") == _marks(F.col("text")))
+    close = agreeing.join(norms, "text").select("text", "licence", F.round(F.col("dot") / F.col("norm"), 9).alias("cosine"))
     best = close.filter(F.col("cosine") >= least_cosine).groupBy("text", "licence").agg(F.max("cosine").alias("cosine"))
     return _strongest(best, "text", "cosine")
 
@@ -138,7 +247,12 @@ def scan(files: DataFrame, least_cosine: float = 0.8) -> DataFrame:
     matched = pin(matched_notices(each.select("text").distinct(), least_cosine), "matched-notices")
     hits = each.join(matched, "text").withColumn("covered", F.size(_terms(F.col("text"))))
     covered = hits.groupBy("row").agg(F.sum("covered").alias("covered"))
-    per_file = _strongest(hits, "row", "cosine")
+    # what another licence of the file extends steps back; a row has at most as many licences as there are templates
+    held = F.collect_set("licence").over(Window.partitionBy("row"))
+    extended = F.lit(False)
+    for more, less in EXTENDS.items():
+        extended = extended | ((F.col("licence") == less) & F.array_contains("held", more))
+    per_file = _strongest(hits.withColumn("held", held).filter(~extended), "row", "cosine")
     own = pin(per_file.join(covered, "row").join(rows.select("row", "dir", "path", "words"), "row"), "own-licences")
 
     # licence of a directory from its licence files
