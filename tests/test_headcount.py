@@ -1,4 +1,4 @@
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import functions as F
 
@@ -21,14 +21,27 @@ HISTORY = [
     (6, 1, "2020-02-01", None, OPEN, "2020-02-01 03:00:00"),
     (6, 2, "2020-02-01", None, "2020-02-01 03:00:00", CLOSE),
 ]
-STATES = {
-    1: ["f1", "t1", "t1"],
-    2: ["t1", "f1", "f1"],
-    3: ["t1", "t2", "t2"],
-    4: ["t1", "t1", "t2"],
-    5: ["f1", "f2", "f2"],
-    6: ["f1", "t2", "t2"],
-}
+# Fixed values: (employee, day, employed at its end, store) of the worked case.
+STATES = [
+    (1, "2020-01-31", False, 1),
+    (1, "2020-02-01", True, 1),
+    (1, "2020-02-02", True, 1),
+    (2, "2020-01-31", True, 1),
+    (2, "2020-02-01", False, 1),
+    (2, "2020-02-02", False, 1),
+    (3, "2020-01-31", True, 1),
+    (3, "2020-02-01", True, 2),
+    (3, "2020-02-02", True, 2),
+    (4, "2020-01-31", True, 1),
+    (4, "2020-02-01", True, 1),
+    (4, "2020-02-02", True, 2),
+    (5, "2020-01-31", False, 1),
+    (5, "2020-02-01", False, 2),
+    (5, "2020-02-02", False, 2),
+    (6, "2020-01-31", False, 1),
+    (6, "2020-02-01", True, 2),
+    (6, "2020-02-02", True, 2),
+]
 DAYS = [date(2020, 1, 31), date(2020, 2, 1), date(2020, 2, 2)]
 
 
@@ -42,12 +55,8 @@ def history(spark):
 
 def test_state_at_the_end_of_each_local_day(spark):
     got = daily_state(history(spark), date(2020, 2, 1), date(2020, 2, 2))
-    expected = []
-    for emp, states in STATES.items():
-        parsed = [(s[0] == "t", int(s[1])) for s in states]
-        for i, d in enumerate(DAYS):
-            before = parsed[i - 1] if i else (None, None)
-            expected.append((emp, d, *parsed[i], *before))
+    held = {(e, day(d)): (employed, store) for e, d, employed, store in STATES}
+    expected = [(e, d, *state, *held.get((e, d - timedelta(days=1)), (None, None))) for (e, d), state in held.items()]
     assert rows(got) == sorted(expected, key=repr)
 
 
