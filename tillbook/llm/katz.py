@@ -48,7 +48,7 @@ SLICE = 30_000  # entries of an array in a row: larger ones are humongous object
 BINS = 8  # count bins per power of two
 PAIR = np.uint64(0x9E3779B97F4A7C15)
 
-PACKED = "bucket int, kind int, a array<long>, b array<long>, n array<long>, doc array<int>, base long"
+PACKED = "bucket int, kind int, a array<long>, b array<long>, n array<int>, doc array<int>, base long"
 OUT = "row long, doc_id long, w long, n0 long, na long, nb long, n_tokens long, n_known long, base double, score double"
 
 
@@ -141,7 +141,7 @@ def unique_pairs(h: np.ndarray, w: np.ndarray, n: np.ndarray) -> tuple[np.ndarra
 
 
 def _packed(rows: list[tuple]) -> pa.RecordBatch:
-    types = [pa.int32(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.int64()]
+    types = [pa.int32(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.int64()]
     columns = zip(*rows, strict=True) if rows else [[]] * 7
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], ["bucket", "kind", "a", "b", "n", "doc", "base"])
 
@@ -564,7 +564,9 @@ def score_block(rows: DataFrame, model: Model) -> DataFrame:
             yield rare_rows()
 
     texts = rows.mapInArrow(chunk, PACKED)
-    pairs = model.pairs.selectExpr("bucket", "0 kind", "w1 a", "w2 b", "n", "cast(null as array<int>) doc", "0L base")
+    # A count beyond 2 ** 31 is that of a hot pair, which is never looked up here.
+    small = "transform(n, x -> cast(least(x, 2147483647) as int)) n"
+    pairs = model.pairs.selectExpr("bucket", "0 kind", "w1 a", "w2 b", small, "cast(null as array<int>) doc", "0L base")
     placed = texts.unionByName(pairs).repartition(_partitions(model.buckets, 4), "bucket").sortWithinPartitions("bucket", "kind")
     return placed.mapInArrow(answer, OUT)
 
