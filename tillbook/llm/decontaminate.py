@@ -1,12 +1,13 @@
 """Benchmark decontamination by SimHash windows of item size.
 
-An item of n words is looked for in windows of n words, in a shorter text in the whole text as the one window. A window and an item are fingerprinted by SimHash over
-their five-word shingles with counts; fingerprints looked up for one item size within `radius` bits are found through
-`radius + 1` blocks of bits (two that differ in `radius` bits agree on a block, so none is missed), and the
-weighted Jaccard similarity of the shingle counts decides at `similarity`. Where a window or an item repeats a shingle,
-one difference moves many bits, so such a pair is compared at any distance. A window of which fewer than
-`similarity` of the shingles belong to any item cannot reach it and is not fingerprinted; all others are, at
-every offset and item size.
+An item of n words is looked for in windows of n words, in a shorter text in the whole text as the one window. A window
+and an item are fingerprinted by SimHash over their five-word shingles with counts. Fingerprints of one item size within
+`radius` bits are found through BLOCKS wide blocks of bits: two of them agree but for radius / BLOCKS bits on a block, so
+none is missed, and an eighth of all pairs is looked at. What the radius would lose (a far pair that is similar all the
+same) comes from shingle postings, exactly: a pair whose window holds fewer than `similarity` of the item's size in places
+of its shingles cannot be similar and is not compared, any other is. The weighted Jaccard similarity of the shingle
+counts decides at `similarity`. A window of which fewer than `similarity` of the shingles belong to any item is not
+fingerprinted; all others are, at every offset and item size.
 
 Words are runs without white space, compared by their letters and digits in lower case; a word without any
 is skipped. Documents stay where they are: items are sent in blocks of at most `block_words` words, one pass
@@ -31,7 +32,9 @@ from tillbook.llm.simhash import block_bounds
 from tillbook.llm.text import CACHED_WORDS, runs
 
 SHINGLE = 5
-RADIUS = 24  # at similarity 0.8 without repeated shingles the mean distance is 9.7 bits, standard deviation 2.9
+RADIUS = 20  # at similarity 0.8 without repeated shingles the mean distance is 9.7 bits, standard deviation 2.9
+BLOCKS = 3
+AT_ONCE = 1 << 20  # pairs of block values compared at a time
 FILTER_BITS = 22
 STRETCH = 32768
 
@@ -63,15 +66,6 @@ def window_fingerprints(shingles: np.ndarray, starts: np.ndarray, widths: np.nda
     return np.packbits(over, axis=1, bitorder="little").view(np.uint64).reshape(-1)
 
 
-def repeats_before(shingles: np.ndarray) -> np.ndarray:
-    """Per place, the last place that one of the shingles up to here stood at before; -1 if none did."""
-    order = np.argsort(shingles, kind="stable")
-    again = shingles[order[1:]] == shingles[order[:-1]]
-    earlier = np.full(len(shingles), -1, dtype=np.int64)
-    earlier[order[1:][again]] = order[:-1][again]
-    return np.maximum.accumulate(earlier)
-
-
 def weighted_similarity(a: np.ndarray, b: np.ndarray) -> float:
     """Sum of the smaller over the sum of the larger counts of two shingle lists."""
     values, index = np.unique(np.concatenate([a, b]), return_inverse=True)
@@ -84,7 +78,7 @@ class ItemIndex:
     """Items of one shingle size, with a table per block of bits for the Hamming search."""
 
     def __init__(self, items: list[tuple[int, np.ndarray]], k: int, radius: int):
-        self.k, self.radius, self.bounds = k, radius, block_bounds(radius)
+        self.k, self.radius, self.bounds = k, radius, block_bounds(BLOCKS - 1)
         self.items = [(item, runs(hashes, k)) for item, hashes in items]
         self.widths = np.unique([len(s) for _, s in self.items])
         self.known = np.unique(np.concatenate([s for _, s in self.items]))
@@ -92,39 +86,57 @@ class ItemIndex:
         self.mask[self.known & np.uint64((1 << FILTER_BITS) - 1)] = True
         own = np.array([len(s) for _, s in self.items])
         self.fps = np.array([window_fingerprints(s, np.zeros(1, np.int64), np.array([len(s)]))[0] for _, s in self.items], dtype=np.uint64)
-        repeated = np.array([len(np.unique(s)) < len(s) for _, s in self.items])
         self.sized = {w: np.flatnonzero(own == w) for w in self.widths.tolist()}
-        self.repeating = {w: found[repeated[found]] for w, found in self.sized.items()}
-        self.tables = []
-        for i in range(len(self.bounds)):
-            keys = self._keys(self.fps, own, i)
-            order = np.argsort(keys, kind="stable")
-            self.tables.append((keys[order], order))
-
-    def _keys(self, fps: np.ndarray, widths: np.ndarray, block: int) -> np.ndarray:
-        """Window width and value of a block as one number."""
-        first, size = self.bounds[block]
-        values = (fps >> np.uint64(first)) & np.uint64((1 << size) - 1)
-        return values | (widths.astype(np.uint64) << np.uint64(size))
-
-    def near(self, fps: np.ndarray, widths: np.ndarray, repeated: np.ndarray) -> np.ndarray:
-        """(window, item) rows of the asked item width within the radius or with repeated shingles, by window and item."""
-        pairs = []
+        # postings: the items of every known shingle
+        shingle = np.concatenate([np.unique(s) for _, s in self.items])
+        item = np.repeat(np.arange(len(self.items)), [len(np.unique(s)) for _, s in self.items])
+        order = np.argsort(shingle, kind="stable")
+        self.posted = item[order]
+        self.posting_at = np.r_[np.searchsorted(shingle[order], self.known), len(order)]
+
+    def near(self, fps: np.ndarray, widths: np.ndarray) -> np.ndarray:
+        """window * items + item of every pair of one width within the radius, in order."""
+        most, found = self.radius // BLOCKS, [np.empty(0, dtype=np.int64)]
         for width in np.unique(widths).tolist():
-            for some, held in ((repeated, self.sized[width]), (~repeated, self.repeating[width])):
-                if len(held):
-                    pairs.append(np.add.outer(np.flatnonzero(some & (widths == width)) * len(self.items), held).reshape(-1))
-        for block, (keys, order) in enumerate(self.tables):
-            mine = self._keys(fps, widths, block)
-            low, high = np.searchsorted(keys, mine, "left"), np.searchsorted(keys, mine, "right")
-            count = high - low
-            window = np.repeat(np.arange(len(fps)), count)
-            offset = np.arange(len(window)) - np.repeat(np.cumsum(count) - count, count)
-            item = order[np.repeat(low, count) + offset]
-            close = np.bitwise_count(fps[window] ^ self.fps[item]) <= self.radius
-            pairs.append(window[close] * len(self.items) + item[close])
-        found = np.unique(np.concatenate(pairs))
-        return np.stack([found // len(self.items), found % len(self.items)], axis=1)
+            held, rows = self.sized[width], np.flatnonzero(widths == width)
+            step = max(1, AT_ONCE // len(held))
+            for at in range(0, len(rows), step):
+                mine = rows[at : at + step]
+                for first, size in self.bounds:
+                    mask = np.uint64((1 << size) - 1)
+                    a, b = ((x >> np.uint64(first) & mask).astype(np.uint32) for x in (fps[mine], self.fps[held]))
+                    w, i = np.nonzero(np.bitwise_count(a[:, None] ^ b) <= most)
+                    close = np.bitwise_count(fps[mine[w]] ^ self.fps[held[i]]) <= self.radius
+                    found.append(mine[w[close]] * len(self.items) + held[i[close]])
+        return np.unique(np.concatenate(found))
+
+    def occurrences(self, shingles: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Items and the places of their shingles in a stretch, by item and place."""
+        at = np.minimum(np.searchsorted(self.known, shingles), len(self.known) - 1)
+        place = np.flatnonzero(self.known[at] == shingles)
+        first, last = self.posting_at[at[place]], self.posting_at[at[place] + 1]
+        count = last - first
+        offset = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+        item, place = self.posted[np.repeat(first, count) + offset], np.repeat(place, count)
+        order = np.lexsort((place, item))
+        return item[order], place[order]
+
+    def sharing(self, held: tuple[np.ndarray, np.ndarray], starts: np.ndarray, spans: np.ndarray, sizes: np.ndarray, similarity: float) -> np.ndarray:
+        """window * items + item of every pair of one width that shares enough places to be similar, in order."""
+        item, place = held
+        found = [np.empty(0, dtype=np.int64)]
+        cuts = np.flatnonzero(np.r_[True, item[1:] != item[:-1]]) if len(item) else np.empty(0, np.int64)
+        by_size = {w: np.flatnonzero(sizes == w) for w in np.unique(sizes).tolist()}
+        for a, b in zip(cuts.tolist(), [*cuts[1:].tolist(), len(item)], strict=True):
+            own = len(self.items[item[a]][1])
+            if own in by_size and b - a >= similarity * own - 1e-9:
+                rows = by_size[own]
+                # windows around the item's own places only
+                lo, hi = np.searchsorted(starts[rows], [place[a] - own, place[b - 1] + 1])
+                rows = rows[lo:hi]
+                n = np.searchsorted(place[a:b], starts[rows] + spans[rows]) - np.searchsorted(place[a:b], starts[rows])
+                found.append(rows[n >= similarity * own - 1e-9] * len(self.items) + item[a])
+        return np.unique(np.concatenate(found))
 
     def windows(self, shingles: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray]:
         """Start and item size of the windows that can match: shingles of items make up `similarity` of that size.
@@ -157,13 +169,16 @@ class ItemIndex:
         order = np.argsort(starts, kind="stable")
         starts, sizes = starts[order], sizes[order]
         widths = np.minimum(sizes, len(shingles))
-        repeated = repeats_before(shingles)[starts + widths - 1] >= starts
         at = 0
         while at < len(starts):  # in stretches, so that memory does not follow the length of the text
             end = min(int(np.searchsorted(starts, starts[at] + STRETCH)), at + STRETCH)
             first, last = starts[at], int((starts[at:end] + widths[at:end]).max())
             fps = window_fingerprints(shingles[first:last], starts[at:end] - first, widths[at:end])
-            for w, i in self.near(fps, sizes[at:end], repeated[at:end]):
+            near = self.near(fps, sizes[at:end])
+            able = self.sharing(self.occurrences(shingles[first:last]), starts[at:end] - first, widths[at:end], sizes[at:end], similarity)
+            # a near pair that cannot be similar is dropped, an able pair beyond the radius is compared all the same
+            pairs = np.union1d(near[np.isin(near, able)], able)
+            for w, i in zip((pairs // len(self.items)).tolist(), (pairs % len(self.items)).tolist(), strict=True):
                 item, own = self.items[i]
                 start, width = int(starts[at + w]), int(widths[at + w])
                 value = weighted_similarity(shingles[start : start + width], own)
