@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillbook.llm.text import lower_words, mixed, signed
-from tillbook.session import pin
+from tillbook.session import new_folder, pin
 
 K = 5
 START, END = xxhash.xxh64_intdigest(b"\r"), xxhash.xxh64_intdigest(b"\n")  # no word holds white space
@@ -297,7 +297,10 @@ class Model:
     def __init__(self, docs: DataFrame, hot_words: int = 250_000, hot_pairs: int = 400_000):
         size = docs.agg(F.sum(F.length("text") + 1)).first()[0] or 0
         self.buckets = 8 * max(1, int(np.ceil(size / (8 * BUCKET_BYTES))))
-        self.pairs = pin(pair_table(docs, self.buckets), "katz-pairs")
+        # The one large table that stays for the whole run; zstd takes less disk than the usual codec.
+        path, table = new_folder(docs.sparkSession, "katz-pairs"), pair_table(docs, self.buckets)
+        table.write.option("compression", "zstd").parquet(path)
+        self.pairs = docs.sparkSession.read.schema(table.schema).parquet(path)
         flat = self.pairs.select(F.inline(F.arrays_zip("w1", "w2", "n")))
         counts = pin(flat.groupBy(F.col("w2").alias("w")).agg(F.sum("n").alias("n")), "katz-words")
         self.train_tokens, self.vocabulary = (x or 0 for x in counts.agg(F.sum("n"), F.count(F.lit(1))).first())
