@@ -164,3 +164,51 @@ def test_repeated_shingles_far_apart_in_bits():
         text[84:88] = item[84:88]  # the repeated shingle is 10 of 94 in one and gone in the other: 84 / 104 = 0.81
         found = Items([(n, item)]).matches(text, 0.8)
         assert found and abs(found[n][0] - 84 / 104) < 1e-9, n
+
+
+def many_items(n, words=40):
+    rng = random.Random(12)
+    return [(i, " ".join(f"w{rng.randrange(20_000)}" for _ in range(words))) for i in range(n)]
+
+
+def test_the_index_looks_at_a_small_part_of_all_pairs():
+
+    plain, rng = decontaminate.PlainWords(), random.Random(13)
+    index = decontaminate.Items([(i, plain.of(t)) for i, t in many_items(3000)]).indexes[0]
+    fps = np.array([rng.getrandbits(64) for _ in range(200)], dtype=np.uint64)
+    seen, most = 0, decontaminate.RADIUS // decontaminate.BLOCKS
+    for first, size in index.bounds:
+        mask = np.uint64((1 << size) - 1)
+        a, b = (x >> np.uint64(first) & mask for x in (fps, index.fps))
+        seen += int((np.bitwise_count(a[:, None] ^ b) <= most).sum())
+    assert seen <= 0.2 * len(fps) * len(index.fps)
+    near = index.near(fps, np.full(len(fps), index.widths[0]))
+    distance = np.bitwise_count(fps[:, None] ^ index.fps)
+    assert near.tolist() == np.flatnonzero(distance.reshape(-1) <= decontaminate.RADIUS).tolist()  # none is missed
+
+
+def test_a_text_that_quotes_many_items():
+    plain, items = decontaminate.PlainWords(), many_items(1000)
+    index = decontaminate.Items([(i, plain.of(t)) for i, t in items])
+    rng = random.Random(14)
+    text = " ".join(" ".join([t, *(f"x{rng.random()}" for _ in range(7))]) for _, t in items[:800])
+    found = index.matches(plain.of(text), 0.8)
+    assert set(found) == set(range(800)) and all(v[0] == 1.0 for v in found.values())
+
+
+def test_nothing_is_lost_beyond_the_radius():
+    """With a radius of no bit, the pairs come from the postings alone and are the same."""
+    plain, rng, items = decontaminate.PlainWords(), random.Random(15), many_items(60, 30)
+    texts = []
+    for _, t in items:
+        words = t.split()
+        for _ in range(rng.randrange(3)):
+            words[rng.choice([0, 1, len(words) - 1])] = "other"
+        at = rng.randrange(len(words))
+        texts.append(" ".join([f"x{rng.random()}"] * 5 + words[:at] + words[at : at + 2] * rng.randrange(1, 3) + words[at + 2 :]))
+    near = decontaminate.Items([(i, plain.of(t)) for i, t in items])
+    far = decontaminate.Items([(i, plain.of(t)) for i, t in items], radius=0)
+    found = [near.matches(plain.of(t), 0.8) for t in texts]
+    assert found == [far.matches(plain.of(t), 0.8) for t in texts] and sum(map(len, found)) > 20
+    for t, got in zip(texts, found, strict=True):
+        assert set(got) == set(brute_matches(t, items, 0.8))
