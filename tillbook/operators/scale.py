@@ -92,11 +92,16 @@ def merge_ranges(pieces: list[tuple[int, int]], most: int) -> list[tuple[int, in
 
 
 def in_ranges(key: str, ranges: list[tuple[int, int]]) -> Column:
-    """A filter that Parquet evaluates on the statistics of its row groups."""
+    """A filter that Parquet evaluates on the statistics of its row groups: the whole range, then its parts."""
+    if not ranges:
+        return F.lit(False)
+    whole = F.col(key).between(ranges[0][0], ranges[-1][1])
+    if len(ranges) == 1:
+        return whole
     found = F.lit(False)
     for lo, hi in ranges:
         found = found | F.col(key).between(lo, hi)
-    return found
+    return whole & found
 
 
 # ------------------------------------------------------------------ hot keys
