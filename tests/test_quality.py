@@ -1,4 +1,7 @@
+import hashlib
 from datetime import date, datetime
+from functools import reduce
+from operator import xor
 
 import pytest
 from pyspark.sql import functions as F
@@ -84,6 +87,16 @@ def test_fingerprint_ignores_order_and_sees_changes(spark):
     assert rows(Q.fingerprint(df.withColumn("v", F.col("v") + F.when(F.col("id") == 3, 1).otherwise(0)), ["id", "v"])) != first
 
 
+def test_fingerprint_sums_63_bit_keys_without_nulls(spark):
+    cells = [(1, 2, "a"), (None, 2, "a"), (3, None, None), (None, None, None), (1, 2, "a"), (9, 9, "")]
+    df = spark.createDataFrame(cells, "a int, b long, c string")
+    texts = ["|".join(str(x) for x in row if x is not None) for row in cells]
+    keys = [int(hashlib.md5(t.encode()).hexdigest()[:16], 16) & (1 << 63) - 1 for t in texts]
+    assert max(keys) >= 1 << 60
+    assert rows(Q.fingerprint(df, ["a", "b", "c"]), "rows", "hash_sum", "hash_xor") == [(6, str(sum(keys)), reduce(xor, keys))]
+    assert rows(Q.fingerprint(df.limit(0), ["a", "b", "c"]), "rows", "hash_sum", "hash_xor") == [(0, None, None)]
+
+
 @pytest.mark.parametrize(
     ("newest", "status"),
     [("2026-01-10 00:00:00", "pass"), ("2026-01-08 22:00:00", "pass"), ("2026-01-08 21:59:59", "warn"),
