@@ -3,7 +3,9 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
+import xxhash
 from llm_data import SF, documents, llm, nothing, odd, odd_rows  # noqa: F401
 
 from tillbook.llm import katz
@@ -106,3 +108,31 @@ def test_discounts_fall_back():
     assert len(katz.discounts({1: 100, 2: 40, 3: 20, 4: 12, 5: 8, 6: 6})) == 6
     d = katz.discounts({1: 100, 2: 40, 3: 20})
     assert 1 < len(d) <= 3 and all(0 < x < 1 for x in d[1:])
+
+
+def test_tokens_are_numbered_by_distinct_words():
+    """Words split and lower-cased as bytes are, numbered once a chunk, so that only distinct ones are hashed in Python."""
+    texts = ["  A b\tA\x0b\x0cÀ\x1cx \r\n", None, "", " ", "\x85 one\u00a0two \u2003", "b", "a " * 50]
+    w, h, doc, hashes = katz.tokens(pa.array(texts))
+    end, start = len(hashes) - 2, len(hashes) - 1
+    assert hashes[[end, start]].tolist() == [katz.END, katz.START]
+    expected = [[xxhash.xxh64_intdigest(x) for x in (t or "").encode().lower().split()] + [katz.END] for t in texts]
+    assert [hashes[w[doc == i]].tolist() for i in range(len(texts))] == expected
+    assert [hashes[h[doc == i]].tolist() for i in range(len(texts))] == [[katz.START, *x[:-1]] for x in expected]
+    assert len(set(hashes.tolist())) == len(hashes)
+
+
+def test_chunks_hold_every_row_in_order():
+    texts = [None if i % 7 == 0 else "word " * (i % 5 * 10) for i in range(200)]
+    parts = [pa.RecordBatch.from_arrays([pa.array(range(a, b)), pa.array(texts[a:b], pa.string())], ["row", "text"]) for a, b in ((0, 90), (90, 90), (90, 200))]
+    chunks = list(katz._chunks(iter(parts), 1, 100))
+    assert [r for rows, _ in chunks for r in rows.to_pylist()] == list(range(200))
+    assert [t for _, column in chunks for t in column.to_pylist()] == texts
+    sizes = [sum(len(t or "") // 6 + 1 for t in column.to_pylist()) for _, column in chunks]
+    assert all(100 <= n <= 100 + 35 for n in sizes[:-1])
+    assert list(katz._chunks(iter([]), 1, 100)) == []
+
+
+def test_counts_beyond_32_bits_travel_as_the_largest(llm):
+    cells = llm.sql("select try_cast(array(1L, 3000000000L, 2147483647L) as array<int>) n").toArrow().column(0).combine_chunks()
+    assert katz._arrays(cells[0], katz.MOST).tolist() == [1, katz.MOST, katz.MOST]
