@@ -212,3 +212,58 @@ def test_nothing_is_lost_beyond_the_radius():
     assert found == [far.matches(plain.of(t), 0.8) for t in texts] and sum(map(len, found)) > 20
     for t, got in zip(texts, found, strict=True):
         assert set(got) == set(brute_matches(t, items, 0.8))
+
+
+def quotes():
+    """Items, and texts that quote each whole, with changes, with a part repeated, or by half."""
+    plain, rng, items = decontaminate.PlainWords(), random.Random(16), many_items(40, 45)
+    texts = []
+    for n, (_, t) in enumerate(items):
+        words = t.split()
+        if n % 4 == 1:
+            words[rng.randrange(45)] = "other"
+        if n % 4 == 2:
+            words[20:20] = words[19:20] * rng.randrange(1, 4)
+        texts.append(" ".join([f"x{rng.random()}"] * 9 + (words if n % 4 != 3 else words[:22]) + [f"y{rng.random()}"] * 9))
+    return [(i, plain.of(t)) for i, t in items], [plain.of(t) for t in texts]
+
+
+def test_pairs_within_the_radius_come_from_the_fingerprints_alone(monkeypatch):
+    items, texts = quotes()
+    whole = [Items(items).matches(t, 0.8) for t in texts]
+    assert sum(map(len, whole)) > 10
+    monkeypatch.setattr(decontaminate.ItemIndex, "near", lambda self, fps, widths: np.empty(0, dtype=np.int64))
+    without = [Items(items).matches(t, 0.8) for t in texts]
+    assert all(not found for found, text in zip(without, whole, strict=True) if any(v[0] == 1.0 for v in text.values()))
+    assert sum(map(len, without)) < sum(map(len, whole))
+    assert [Items(items, radius=-1).matches(t, 0.8) for t in texts] == whole  # no pair is within -1 bits, so all are far
+
+
+def test_postings_are_searched_where_fingerprints_find_nothing(monkeypatch):
+    items, texts = quotes()
+    index, asked = Items(items), []
+    found = [bool(index.matches(t, 0.8)) for t in texts]
+    far = decontaminate.ItemIndex.far
+    monkeypatch.setattr(decontaminate.ItemIndex, "far", lambda self, *a: asked.append(1) or far(self, *a))
+    assert [index.hold(t, 0.8) for t in texts] == found
+    assert [index.hold(t, 0.8) for t in texts[::4]] == [True] * 10  # whole quotes
+    before = len(asked)
+    assert all(index.hold(t, 0.8) for t in texts[::4]) and len(asked) == before
+
+
+def test_every_pair_is_near_or_far_and_none_both():
+    items, texts = quotes()
+    for radius in (-1, 0, 6, decontaminate.RADIUS):
+        index = Items(items, radius=radius).indexes[0]
+        for text in texts:
+            shingles = decontaminate.runs(text, index.k)
+            starts, sizes = index.windows(shingles, 0.8)
+            spans = np.minimum(sizes, len(shingles))
+            fps, held = decontaminate.window_fingerprints(shingles, starts, spans), index.occurrences(shingles)
+            every = np.array([w * len(items) + i for w in range(len(starts)) for i in range(len(items)) if index.sizes[i] == sizes[w]], dtype=np.int64)
+            distance = np.bitwise_count(fps[every // len(items)] ^ index.fps[every % len(items)])
+            counts = [np.isin(shingles[starts[w] : starts[w] + spans[w]], index.items[i][1]).sum() for w, i in (divmod(p, len(items)) for p in every.tolist())]
+            able = np.array(counts, dtype=np.int64) >= 0.8 * index.sizes[every % len(items)] - 1e-9
+            near = index.able(held, index.near(fps, sizes), starts, spans, 0.8)
+            assert near.tolist() == every[able & (distance <= radius)].tolist()
+            assert index.far(held, fps, starts, spans, sizes, 0.8).tolist() == every[able & (distance > radius)].tolist()

@@ -3,10 +3,12 @@
 An item of n words is looked for in windows of n words, in a shorter text in the whole text as the one window. A window
 and an item are fingerprinted by SimHash over their five-word shingles with counts. Fingerprints of one item size within
 `radius` bits are found through BLOCKS wide blocks of bits: two of them agree but for radius / BLOCKS bits on a block, so
-none is missed, and an eighth of all pairs is looked at. What the radius would lose (a far pair that is similar all the
-same) comes from shingle postings, exactly: a pair whose window holds fewer than `similarity` of the item's size in places
-of its shingles cannot be similar and is not compared, any other is. The weighted Jaccard similarity of the shingle
-counts decides at `similarity`. A window of which fewer than `similarity` of the shingles belong to any item is not
+none is missed, and an eighth of all pairs is looked at. Every pair is decided by one of two ways: one within the radius
+comes from the fingerprints alone, one beyond it (far, but similar all the same) from shingle postings, exactly. A pair whose
+window holds fewer than `similarity` of the item's size in places of its shingles cannot be similar and is not compared, any
+other is. The weighted Jaccard similarity of the shingle counts decides at `similarity`. Dropping documents ends with
+the first similar pair, so postings are searched only where the fingerprints find none.
+A window of which fewer than `similarity` of the shingles belong to any item is not
 fingerprinted; all others are, at every offset and item size.
 
 Words are runs without white space, compared by their letters and digits in lower case; a word without any
@@ -84,7 +86,7 @@ class ItemIndex:
         self.known = np.unique(np.concatenate([s for _, s in self.items]))
         self.mask = np.zeros(1 << FILTER_BITS, dtype=bool)
         self.mask[self.known & np.uint64((1 << FILTER_BITS) - 1)] = True
-        own = np.array([len(s) for _, s in self.items])
+        self.sizes = own = np.array([len(s) for _, s in self.items])
         self.fps = np.array([window_fingerprints(s, np.zeros(1, np.int64), np.array([len(s)]))[0] for _, s in self.items], dtype=np.uint64)
         self.sized = {w: np.flatnonzero(own == w) for w in self.widths.tolist()}
         # postings: the items of every known shingle
@@ -121,19 +123,31 @@ class ItemIndex:
         order = np.lexsort((place, item))
         return item[order], place[order]
 
-    def sharing(self, held: tuple[np.ndarray, np.ndarray], starts: np.ndarray, spans: np.ndarray, sizes: np.ndarray, similarity: float) -> np.ndarray:
-        """window * items + item of every pair of one width that shares enough places to be similar, in order."""
+    def able(self, held: tuple[np.ndarray, np.ndarray], pairs: np.ndarray, starts: np.ndarray, spans: np.ndarray, similarity: float) -> np.ndarray:
+        """Those of the pairs that share enough places to be similar."""
+        item, place = held
+        w, i = pairs // len(self.items), pairs % len(self.items)
+        size = int((starts + spans).max(initial=0)) + 1
+        at = item * size + np.minimum(place, size - 1)  # in order, because places are by item
+        n = np.searchsorted(at, i * size + starts[w] + spans[w]) - np.searchsorted(at, i * size + starts[w])
+        return pairs[n >= similarity * self.sizes[i] - 1e-9]
+
+    def far(
+        self, held: tuple[np.ndarray, np.ndarray], fps: np.ndarray, starts: np.ndarray, spans: np.ndarray, sizes: np.ndarray, similarity: float
+    ) -> np.ndarray:
+        """window * items + item of every pair of one width beyond the radius that shares enough places to be similar, in order."""
         item, place = held
         found = [np.empty(0, dtype=np.int64)]
         cuts = np.flatnonzero(np.r_[True, item[1:] != item[:-1]]) if len(item) else np.empty(0, np.int64)
         by_size = {w: np.flatnonzero(sizes == w) for w in np.unique(sizes).tolist()}
         for a, b in zip(cuts.tolist(), [*cuts[1:].tolist(), len(item)], strict=True):
-            own = len(self.items[item[a]][1])
+            own = int(self.sizes[item[a]])
             if own in by_size and b - a >= similarity * own - 1e-9:
                 rows = by_size[own]
                 # windows around the item's own places only
                 lo, hi = np.searchsorted(starts[rows], [place[a] - own, place[b - 1] + 1])
                 rows = rows[lo:hi]
+                rows = rows[np.bitwise_count(fps[rows] ^ self.fps[item[a]]) > self.radius]
                 n = np.searchsorted(place[a:b], starts[rows] + spans[rows]) - np.searchsorted(place[a:b], starts[rows])
                 found.append(rows[n >= similarity * own - 1e-9] * len(self.items) + item[a])
         return np.unique(np.concatenate(found))
@@ -159,12 +173,11 @@ class ItemIndex:
             widths.append(np.full(len(found), width))
         return np.concatenate(starts), np.concatenate(widths)
 
-    def matches(self, hashes: np.ndarray, similarity: float) -> dict[int, tuple[float, int, int]]:
-        """item -> (similarity, first word, words) of its best window in one text."""
-        best: dict[int, tuple[float, int, int]] = {}
+    def similar(self, hashes: np.ndarray, similarity: float) -> Iterator[tuple[int, float, int, int, int]]:
+        """(item, similarity, first word, words, rank) of every similar pair of a text; of a stretch those near in bits come first."""
         shingles = runs(hashes, self.k)
         if not len(shingles):
-            return best
+            return
         starts, sizes = self.windows(shingles, similarity)
         order = np.argsort(starts, kind="stable")
         starts, sizes = starts[order], sizes[order]
@@ -173,19 +186,34 @@ class ItemIndex:
         while at < len(starts):  # in stretches, so that memory does not follow the length of the text
             end = min(int(np.searchsorted(starts, starts[at] + STRETCH)), at + STRETCH)
             first, last = starts[at], int((starts[at:end] + widths[at:end]).max())
-            fps = window_fingerprints(shingles[first:last], starts[at:end] - first, widths[at:end])
-            near = self.near(fps, sizes[at:end])
-            able = self.sharing(self.occurrences(shingles[first:last]), starts[at:end] - first, widths[at:end], sizes[at:end], similarity)
-            # a near pair that cannot be similar is dropped, an able pair beyond the radius is compared all the same
-            pairs = np.union1d(near[np.isin(near, able)], able)
-            for w, i in zip((pairs // len(self.items)).tolist(), (pairs % len(self.items)).tolist(), strict=True):
-                item, own = self.items[i]
-                start, width = int(starts[at + w]), int(widths[at + w])
-                value = weighted_similarity(shingles[start : start + width], own)
-                if value >= similarity and (item not in best or value > best[item][0]):
-                    best[item] = (value, start, width + self.k - 1)
+            begin, span, size = starts[at:end] - first, widths[at:end], sizes[at:end]
+            fps = window_fingerprints(shingles[first:last], begin, span)
+            held = self.occurrences(shingles[first:last])
+            near = self.able(held, self.near(fps, size), begin, span, similarity)
+            yield from self.compared(near, at, starts, widths, shingles, similarity)
+            far = self.far(held, fps, begin, span, size, similarity)
+            yield from self.compared(far, at, starts, widths, shingles, similarity)
             at = end
-        return best
+
+    def compared(
+        self, pairs: np.ndarray, at: int, starts: np.ndarray, widths: np.ndarray, shingles: np.ndarray, similarity: float
+    ) -> Iterator[tuple[int, float, int, int, int]]:
+        """The similar ones of the pairs of a stretch whose windows count from `at`."""
+        for pair in (pairs + at * len(self.items)).tolist():
+            w, i = divmod(pair, len(self.items))
+            item, own = self.items[i]
+            start, width = int(starts[w]), int(widths[w])
+            value = weighted_similarity(shingles[start : start + width], own)
+            if value >= similarity:
+                yield item, value, start, width + self.k - 1, pair
+
+    def matches(self, hashes: np.ndarray, similarity: float) -> dict[int, tuple[float, int, int]]:
+        """item -> (similarity, first word, words) of its best window in one text."""
+        best: dict[int, tuple] = {}
+        for item, value, start, words, rank in self.similar(hashes, similarity):
+            if item not in best or (value, -rank) > (best[item][0], -best[item][3]):
+                best[item] = (value, start, words, rank)
+        return {item: found[:3] for item, found in best.items()}
 
 
 class Items:
@@ -206,6 +234,10 @@ class Items:
                     out[item] = found
         return out
 
+    def hold(self, hashes: np.ndarray, similarity: float) -> bool:
+        """Whether any item matches; the first similar pair answers."""
+        return any(True for index in self.indexes for _ in index.similar(hashes, similarity))
+
 
 def item_blocks(items: DataFrame, block_words: int) -> Iterator[list[tuple[int | None, str]]]:
     """Items in blocks of at most block_words words; a single longer item is a block of its own."""
@@ -259,7 +291,7 @@ def drop_contaminated(docs: DataFrame, items: DataFrame, similarity: float = 0.8
         def clean(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             plain, index = PlainWords(), shared.value
             for batch in batches:
-                keep = [not index.matches(plain.of(t.as_py()), similarity) for t in batch.column(column)]
+                keep = [not index.hold(plain.of(t.as_py()), similarity) for t in batch.column(column)]
                 yield batch.filter(pa.array(keep, pa.bool_()))
 
         docs = docs.mapInArrow(clean, schema)
