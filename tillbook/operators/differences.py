@@ -18,6 +18,12 @@ SPLIT = 256
 ROWS = 50_000
 
 
+def unequal_rows(one: DataFrame, two: DataFrame) -> DataFrame:
+    """Distinct rows that one table holds more often than the other; each side is computed once."""
+    sides = one.withColumn("_side", F.lit(1)).unionByName(two.withColumn("_side", F.lit(-1)))
+    return sides.groupBy(*one.columns).agg(F.sum("_side").alias("_side")).filter("_side <> 0").drop("_side")
+
+
 def row_hashes(columns: list[str]) -> tuple[Column, Column]:
     """Two hashes of a row; NULLs are told apart by position."""
     marks = [F.col(c).isNull() for c in columns]
