@@ -68,3 +68,18 @@ def test_a_fact_of_two_merges_keeps_one_copy_of_its_lines(spark, star):
     fact = facts.fct_sales(star.lines(), star.dims(), star.tz, replace(DEFAULT, versions_per_key=0))
     assert len(folders(spark, "pit-facts") - before) == 1
     assert unequal_rows(fact, star.stored("fct_sales").drop("sale_month")).isEmpty()
+
+
+def test_the_daily_table_is_not_written_for_the_snapshot(spark):
+    fresh = Star(spark, registry.star(spark, "/root/testdata/sf0.001").raw, registry.AS_OF)
+    fresh.stored("fct_store_headcount_monthly")
+    assert not os.path.exists(f"{fresh.root}/employee_daily_store")
+
+
+def test_mart_checks_are_computed_one_by_one(spark, star):
+    marts = {name: star.stored(name) for name in schemas.MART}
+    headers = star.stored("stg_sales_transaction")
+    checked = nightly.mart_checks(star, marts, star.stored("stg_sales_transaction_item"), headers)
+    assert all("/check-results-" in path for path in checked.inputFiles())
+    single = rows(suites.fact_rules(marts["fct_sales"]))
+    assert set(single) <= set(rows(checked))
