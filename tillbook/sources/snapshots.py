@@ -22,7 +22,7 @@ from pyspark.sql.types import IntegralType
 
 from tillbook.operators.quality import ContractError, contract_mismatches
 from tillbook.operators.scale import broadcast_if_small, in_ranges, key_ranges
-from tillbook.session import pin
+from tillbook.session import passing, pin, store
 
 # The mark is ISO text in the file.
 _LOG = "version bigint, batch string, slice string, directory string, mark string"
@@ -156,7 +156,7 @@ class SnapshotTable:
         data = f"{self.path}/data/v{version}-{uuid.uuid4().hex[:8]}"
         sliced = df.withColumn("in_slice", self._slice())
         # Rebalance keeps files even: a large slice is split, small pieces are merged.
-        (sliced if dealt else sliced.hint("rebalance", "in_slice")).write.partitionBy("in_slice").parquet(data)
+        store(sliced if dealt else sliced.hint("rebalance", "in_slice"), data, ("in_slice",))
         stored = self.spark.read.schema(df.schema.add("in_slice", "string")).parquet(data)
         if keys:
             _assert_unique(stored, keys)
@@ -190,6 +190,10 @@ class SnapshotTable:
 
         With a `mark`, a stored row with a later mark than the new one stays, so batches may come in any order.
         """
+        with passing(self.spark):
+            self._upsert(src, keys, batch)
+
+    def _upsert(self, src: DataFrame, keys: list[str], batch: str | None) -> None:
         # All that the write builds on comes from this one read of the log, and only the next version may follow it.
         now = self.state(batch)
         version, found = now.version + 1, now.directories
@@ -200,7 +204,7 @@ class SnapshotTable:
             return
         target = self.rows_of(found)
         assert_same_schema(src, target)
-        src = pin(src, "upsert")
+        src = src if hasattr(src, "pinned_at") else pin(src, "upsert")
         copies, lo, hi, earliest = _key_range(src, keys, self.mark)
         if copies > 1:
             raise ValueError(f"source rows repeat on {keys}")
