@@ -70,6 +70,19 @@ def test_a_fact_of_two_merges_keeps_one_copy_of_its_lines(spark, star):
     assert unequal_rows(fact, star.stored("fct_sales").drop("sale_month")).isEmpty()
 
 
+def test_loads_leave_only_their_table(spark, star, kept):
+    limits = replace(DEFAULT, versions_per_key=0)
+    raws = registry._sales_raws(star)
+    run = Star(spark, lambda n: raws[n], registry.AS_OF, limits=limits, views=("raw_sales_transaction", "raw_sales_transaction_item", "stg_sales_transaction"))
+    for name, df in star.dims().items():
+        run.use(name, df)
+    table = nightly.fact_table(spark, new_folder(spark, "leaves"))
+    for mode in ("incremental", "incremental", "full"):
+        nightly.run_fct_sales(run, table, mode)
+        assert kept() == set()
+        assert unequal_rows(table.read().drop("sale_month"), star.stored("fct_sales").drop("sale_month")).isEmpty()
+
+
 def test_the_daily_table_is_not_written_for_the_snapshot(spark):
     fresh = Star(spark, registry.star(spark, "/root/testdata/sf0.001").raw, registry.AS_OF)
     fresh.stored("fct_store_headcount_monthly")
