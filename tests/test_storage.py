@@ -83,6 +83,13 @@ def test_loads_leave_only_their_table(spark, star, kept):
         assert unequal_rows(table.read().drop("sale_month"), star.stored("fct_sales").drop("sale_month")).isEmpty()
 
 
+def test_rollups_leave_only_their_groups(spark, star, kept):
+    rollups = Rollups.build(star.stored("fct_sales_enriched"))
+    assert kept() == set()
+    asked = rollups.query(["transaction_count"]).first()[0]
+    assert asked == star.stored("fct_sales").select("transaction_id").distinct().count()
+
+
 def test_the_daily_table_is_not_written_for_the_snapshot(spark):
     fresh = Star(spark, registry.star(spark, "/root/testdata/sf0.001").raw, registry.AS_OF)
     fresh.stored("fct_store_headcount_monthly")

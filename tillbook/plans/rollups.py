@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from tillbook.functions.columns import period
 from tillbook.operators.scale import DEFAULT, Limits, numbered
 from tillbook.plans.metrics import MetricError
-from tillbook.session import pin
+from tillbook.session import pin, unpin
 
 # A finer grain nests into a coarser one; a week nests into none but itself.
 NESTS = {
@@ -61,17 +61,21 @@ class Rollups:
 
     @classmethod
     def build(cls, wide: DataFrame, rollups: tuple[Rollup, ...] = STORED, limits: Limits = DEFAULT) -> Rollups:
-        """Write the rollups of the enriched fact; receipts are numbered and joined to their lines once."""
+        """Write the rollups of the enriched fact; receipts are numbered and joined to their lines once.
+
+        Lines of a bucket lie together, so a bitmap is begun by few tasks: each begun one is shuffled at its full length.
+        """
         numbers = receipt_numbers(wide, limits)
         names = sorted({c for r in rollups for c in r.by})
-        lines = pin(wide.select("transaction_id", "full_date", *names, *SUMS.values()).join(numbers, "transaction_id"), "receipt-lines")
+        lines = wide.select("transaction_id", "full_date", *names, *SUMS.values()).join(numbers, "transaction_id").drop("transaction_id")
+        lines = pin(lines.withColumn("bucket", F.bitmap_bucket_number("receipt")).hint("rebalance", "bucket"), "receipt-lines")
         stored = {}
         for r in rollups:
-            place = F.bitmap_bucket_number("receipt").alias("bucket")
-            found = lines.groupBy(*r.by, period("full_date", r.grain).alias("period"), place).agg(
+            found = lines.groupBy(*r.by, period("full_date", r.grain).alias("period"), "bucket").agg(
                 F.bitmap_construct_agg(F.bitmap_bit_position("receipt")).alias("receipts"), *[F.sum(c).alias(m) for m, c in SUMS.items()]
             )
             stored[r] = pin(found, f"rollup-{r.name}")
+        unpin(lines)
         return cls(wide.sparkSession, stored)
 
     def choose(self, by: list[str], grain: str | None) -> Rollup:
