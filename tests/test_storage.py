@@ -103,3 +103,32 @@ def test_mart_checks_are_computed_one_by_one(spark, star):
     assert all("/check-results-" in path for path in checked.inputFiles())
     single = rows(suites.fact_rules(marts["fct_sales"]))
     assert set(single) <= set(rows(checked))
+
+
+def test_runs_of_state_are_the_counted_days(spark, star):
+    day = date(2024, 4, 17)
+    history = star.stored("employee_history")
+    counted = F.col("is_employed") | F.coalesce("prev_is_employed", F.lit(False))
+    days = headcount.daily_state(history, date(2023, 12, 1), day).filter(counted)
+    runs = headcount.state_runs(history, date(2023, 12, 1), day)
+    spread = runs.withColumn("calendar_date", F.explode(F.sequence("run_first", "run_last")))
+    assert unequal_rows(spread.select(days.columns), days).isEmpty()
+    assert spread.filter(F.trunc("calendar_date", "month") != F.col("month_start")).isEmpty()
+    # No two runs could be one: equal histories give equal runs, whatever versions they are made of.
+    ends = runs.select("employee_id", "month_start", *headcount.STATE, F.date_add("run_last", 1).alias("run_first"))
+    keys = ["employee_id", "month_start", "run_first", *headcount.STATE]
+    assert ends.select(keys).intersect(runs.select(keys)).isEmpty()
+    assert runs.count() < days.count() / 3
+
+
+def test_runs_do_not_depend_on_how_versions_are_cut(spark):
+    columns = "employee_id bigint, store_id bigint, start_date date, end_date date, valid_from timestamp_ntz, valid_to timestamp_ntz"
+    d = date.fromisoformat
+    open_ = (ts("1900-01-01 00:00:00"), ts("9999-12-31 00:00:00"))
+    person = (1, 7, d("2024-01-10"), d("2024-03-05"))
+    whole = spark.createDataFrame([(*person, *open_), (2, 7, None, None, *open_)], columns)
+    mid = ts("2024-02-11 03:00:00")
+    cut = spark.createDataFrame([(*person, open_[0], mid), (*person, mid, open_[1]), (2, 7, None, None, *open_)], columns)
+    a, b = (rows(headcount.state_runs(df, d("2024-01-01"), d("2024-04-30"))) for df in (whole, cut))
+    assert a == b and len(a) == 5  # joining, rest of January, February, March, leaving
+    assert {r[0] for r in a} == {1}

@@ -15,13 +15,14 @@ from pyspark.sql import functions as F
 
 from tillbook.functions.columns import LOCAL_TZ
 from tillbook.operators import headcount
+from tillbook.operators.differences import unequal_rows
 from tillbook.operators.dims import DATE_START, real_members
 from tillbook.schemas import MART
+from tillbook.session import passing
 from tillbook.sources.histories import MaintainedHistory
 from tillbook.sources.snapshots import SnapshotTable, State
 
 STORES = ["store_key", "store_id", "store_name"]
-STATE = ["employee_id", "calendar_date", "is_employed", "store_id", "prev_is_employed", "prev_store_id"]
 
 
 def next_month(first: date) -> date:
@@ -64,11 +65,17 @@ class MonthlyHeadcount:
         if differing is None:
             return []
         # A day on which someone is employed neither at its end nor the day before counts nowhere.
-        counted = F.col("is_employed") | F.coalesce("prev_is_employed", F.lit(False))
-        before, after = (headcount.daily_state(df, self.start, as_of, self.tz).filter(counted).select(STATE) for df in differing)
-        days = before.exceptAll(after).unionByName(after.exceptAll(before)).select("calendar_date").distinct()
-        month = F.explode(F.array(F.trunc("calendar_date", "month"), F.trunc(F.date_add("calendar_date", 1), "month")))
-        return [r[0] for r in days.select(month.alias("m")).distinct().collect()]
+        before, after = (self._touching(headcount.state_runs(df, self.start, as_of, self.tz)) for df in differing)
+        return [r[0] for r in unequal_rows(before, after).select("touched").distinct().collect()]
+
+    @staticmethod
+    def _touching(runs: DataFrame) -> DataFrame:
+        """What each month depends on: its own runs and the state at the end of the month before."""
+        following = F.add_months("month_start", 1)
+        ending = F.col("run_last") == F.last_day("month_start")
+        own = runs.withColumnRenamed("month_start", "touched")
+        ends = runs.filter(ending).withColumns({"touched": following, "run_first": F.col("run_last")}).drop("month_start")
+        return own.unionByName(ends)
 
     def _stores_changed(self, now: State, dim_store: DataFrame) -> bool:
         asked = real_members(dim_store, "store_key").select(STORES)
@@ -90,6 +97,10 @@ class MonthlyHeadcount:
 
     def refresh(self, people: MaintainedHistory, fact: SnapshotTable, dim_store: DataFrame, dim_date: DataFrame, as_of: date) -> list[date]:
         """Compute and commit the touched months; returns them."""
+        with passing(self.spark):
+            return self._refresh(people, fact, dim_store, dim_date, as_of)
+
+    def _refresh(self, people: MaintainedHistory, fact: SnapshotTable, dim_store: DataFrame, dim_date: DataFrame, as_of: date) -> list[date]:
         now, fact_now, people_now = self.table.state(), fact.state(), people.table.state()
         dirty = self.dirty_months(now, people, fact, dim_store, as_of)
         history, parts = people.versions(), []

@@ -12,9 +12,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillbook.operators.differences import unequal_rows
 from tillbook.operators.history import scd2
 from tillbook.operators.scale import DEFAULT, Limits, broadcast_if_small
-from tillbook.session import pin
+from tillbook.session import passing, pin
 from tillbook.sources.snapshots import SnapshotTable
 
 VERSION = ["valid_from", "valid_to", "is_current"]
@@ -64,6 +65,10 @@ class MaintainedHistory:
         With `again` a batch that was merged is merged once more, which adds only what it did not hold then. Two
         different rows of a key with one change time are an error, as in scd2.
         """
+        with passing(self.spark):
+            return self._merge(rows, batch, again)
+
+    def _merge(self, rows: DataFrame, batch: str | None, again: bool) -> bool:
         columns = [self.key, self.order_by, *self.tracked, *self.type1]
         now = self.table.state(batch)
         if now.has_batch and not again:
@@ -100,6 +105,6 @@ class MaintainedHistory:
         after = self._versions(self.table.rows_of({s: now[s] for s in slices if s in now}))
         old = {s: then[s] for s in slices if s in then}
         before = self._versions(self.table.rows_of(old)) if old else after.limit(0)
-        key = before.exceptAll(after).unionByName(after.exceptAll(before)).select(self.key).distinct()
+        key = unequal_rows(before, after).select(self.key).distinct()
         key = broadcast_if_small(pin(key, "differing-keys"), self.limits)
         return before.join(key, self.key, "left_semi"), after.join(key, self.key, "left_semi")
