@@ -132,3 +132,20 @@ def test_runs_do_not_depend_on_how_versions_are_cut(spark):
     a, b = (rows(headcount.state_runs(df, d("2024-01-01"), d("2024-04-30"))) for df in (whole, cut))
     assert a == b and len(a) == 5  # joining, rest of January, February, March, leaving
     assert {r[0] for r in a} == {1}
+
+
+def test_state_of_joined_streams_lies_outside_the_heap(spark):
+    provider = "spark.sql.streaming.stateStore.providerClass"
+    before, base, state = spark.conf.get(provider), new_folder(spark, "state-test"), new_folder(spark, "state-test")
+    at = ts("2024-01-01 10:00:00")
+    line = spark.createDataFrame([(1, 1, 5, None, 2, money("3.00"), money("0.00"), at, at, 1)], schemas.RAW["sales_transaction_item"])
+    head = spark.createDataFrame([(1, 3, 4, 2, at, "completed", at, ts("2024-01-02 10:00:00"), 1)], schemas.RAW["sales_transaction"])
+    line.write.parquet(f"{base}/lines")
+    head.write.parquet(f"{base}/heads")
+    streams = [loads.read_files(spark, f"{base}/{n}", schemas.RAW[t]) for n, t in (("lines", "sales_transaction_item"), ("heads", "sales_transaction"))]
+    joined = loads.join_lines_headers(*streams, "30 days")
+    table = SnapshotTable(spark, f"{base}/table", mark="mark")
+    loads.upsert_stream(joined, table, nightly.FACT_KEYS, state, "mark")
+    assert "RocksDBStateStoreProvider" in open(f"{state}/offsets/0").read()
+    assert spark.conf.get(provider) == before
+    assert table.read().select("transaction_id", "store_id", "mark").collect() == [(1, 3, ts("2024-01-02 10:00:00"))]
